@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_output, decontaminate, exact_topk, language_id, packing, url_filter
+from . import binary_output, decontaminate, exact_topk, language_id, near_dedup, packing, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_output.pack_matrix(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op3_url_filters, op4_language_id, op6_benchmark_decontamination, op8_packing, op9_binary_output)}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op3_url_filters, op4_language_id, op6_benchmark_decontamination, op8_packing, op9_binary_output, op10_near_dedup)}
 
 ORACLES: dict[str, str] = {}
