@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_output, decontaminate, exact_topk, language_id, near_dedup, packing, substring_dedup, token_counts, toxicity, url_filter
+from . import binary_output, decontaminate, exact_topk, language_id, near_dedup, oracles, packing, substring_dedup, token_counts, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,4 +55,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_url_filters, op4_language_id, op5_token_counts, op6_benchmark_decontamination, op7_substring_dedup, op8_packing, op9_binary_output, op10_near_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_topk": oracles.OP1,
+    "op3_url_filters": oracles.OP3,
+    "op6_benchmark_decontamination": oracles.OP6,
+    "op7_substring_dedup": oracles.OP7,
+    "op10_near_dedup": oracles.OP10,
+}
