@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import as_table, join_counted
+
 SAMPLE_CHARS = 40_000
 SAMPLE_ROWS = 400
 MAX_SYMBOLS = 96
@@ -40,12 +42,15 @@ _parsers: dict[str, Parser] = {}
 
 def sample(docs: DataFrame, label: Column, usable: Column, *, id_col: str = "doc_id", text_col: str = "text", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> dict[str, str]:
     """A bounded text for each label. Rows are thinned by a hash of their id before any are gathered by label."""
-    rows = docs.select(label.cast("string").alias("label"), F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text")).where(usable & label.isNotNull() & F.col(text_col).isNotNull())
+    rows = docs.select(label.cast("string").alias("label"), F.col(id_col).alias("id")).where(usable & label.isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     share = rows.groupBy("label").agg((F.lit(4.0) * sample_rows / F.count("*")).alias("share"))
-    unit = (F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))).alias("unit")
-    thin = rows.join(share, "label").where(unit < F.col("share"))
+    unit = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
+    # Only ids and labels are gathered before the sample is drawn; about 4 * sample_rows ids a label are left.
+    thin = as_table(rows.join(share, "label").where(unit < F.col("share")).select("id").distinct(), "sample")
+    texts = docs.where(usable & label.isNotNull()).select(label.cast("string").alias("label"), F.col(id_col).alias("id"), F.substring(text_col, 1, sample_chars).alias("text"))
+    drawn = join_counted(texts, thin, ["id"], "left_semi").where("text is not null").withColumn("h", F.xxhash64("id"))
     first = Window.partitionBy("label").orderBy("h", "text")
-    chosen = thin.select("label", "h", F.substring("text", 1, sample_chars).alias("text")).withColumn("before", F.sum(F.length("text")).over(first.rowsBetween(Window.unboundedPreceding, -1)))
+    chosen = drawn.withColumn("before", F.sum(F.length("text")).over(first.rowsBetween(Window.unboundedPreceding, -1)))
     out: dict[str, list[str]] = {}
     for r in chosen.where(F.coalesce("before", F.lit(0)) < sample_chars).orderBy("label", "h").toLocalIterator():
         out.setdefault(r.label, []).append(r.text)
