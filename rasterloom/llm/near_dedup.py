@@ -38,15 +38,17 @@ from .hashing import mixed, run_hashes, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 32, 7
+#: Values of the signature: those in bands, and more that only the comparison uses.
+VALUES = 416
 PERCENT = 85
-MISS = 1e-6
+MISS = 1e-5
 BATCH = 32
 BLOCK = 8192
 PARTNERS = (4, 64, None)
 CHUNK = 1 << 15
 
 _random = np.random.default_rng(20240229)
-FACTORS = _random.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FACTORS = _random.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BAND_SEEDS = [int(x) for x in _random.integers(1, 1 << 62, BANDS)]
 
 SETS = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary, bands array<long>"
@@ -142,7 +144,8 @@ def as_matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 def compare(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """a, b, equal of the pairs that survive the sequential comparison. One sketch is looked up per pair and side."""
-    both = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("left")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("right")), "b")
+    x, y = (sketches.select(F.col("node").alias(n), F.col("size").alias("size_" + n), F.col("sketch").alias(side)) for n, side in (("a", "left"), ("b", "right")))
+    both = pairs.join(x, "a").join(y, "b").where(100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +178,7 @@ def across(partners: int | None):
     """Survivors between different components of two blocks of a bucket; per member and other component the best `partners`."""
 
     def run(group: pa.Table) -> pa.Table:
-        node, comp, half = (group[c].to_numpy() for c in ("node", "component", "half"))
+        node, comp, half, size = (group[c].to_numpy() for c in ("node", "component", "half", "size"))
         signs = as_matrix(group["sketch"], len(FACTORS))
         names, sizes = np.unique(comp, return_counts=True)
         most = names[sizes.argmax()]
@@ -186,6 +189,7 @@ def across(partners: int | None):
         rows = np.flatnonzero(comp != most)
         for r in rows:
             other = (comp != comp[r]) & ((comp == most) | (node > node[r])) if same else (comp != comp[r]) & (half != half[r]) & ((comp == most) | (node > node[r]))
+            other &= (100 * np.minimum(size, size[r]) >= PERCENT * np.maximum(size, size[r]))  # sets of other sizes can't be similar enough
             alive = np.flatnonzero(other)
             equal = np.zeros(len(alive), np.int32)
             for i, m in enumerate(least):
@@ -215,7 +219,7 @@ def cross_pairs(members: DataFrame, sketches: DataFrame, labels: DataFrame, part
     mixed_buckets = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").join(sketches, "node")
     held = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = held.select("key", "node", "component", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
+    dealt = held.select("key", "node", "component", "size", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
     return dealt.groupBy("key", "i", "j").applyInArrow(across(partners), "a long, b long, equal int").groupBy("a", "b").agg(F.max("equal").alias("equal"))
 
 
@@ -225,9 +229,9 @@ def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     held = rows.where("doc_id is not null and h1 is not null")
     equal = held.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
     documents = as_table(rows.select("doc_id", "n_shingles", "h1", "h2").join(equal, ["h1", "h2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"), "h1"), "nodes")
-    nodes = held.join(documents.where("doc_id = node").select("doc_id", "h1").distinct(), ["doc_id", "h1"], "left_semi").dropDuplicates(["doc_id", "h1"]).select(F.col("doc_id").alias("node"), "sketch", "bands")
+    nodes = held.join(documents.where("doc_id = node").select("doc_id", "h1").distinct(), ["doc_id", "h1"], "left_semi").dropDuplicates(["doc_id", "h1"]).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "sketch", "bands")
     nodes = as_table(nodes, "signatures")
-    sketches = nodes.select("node", "sketch")
+    sketches = nodes.select("node", "size", "sketch")
 
     dealt = nodes.select("node", F.explode("bands").alias("key"))
     leaders = dealt.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("key", "leader")
