@@ -37,10 +37,10 @@ from .common import as_table, join_counted, row_pass, struct_of_all, text_bytes
 from .hashing import SECOND, mixed, run_hashes, word_hashes
 
 WINDOW = 13
-CELLS_PER_WINDOW = 4
-LEAST_BITS, MOST_BITS = 1 << 22, 1 << 30
+CELLS_PER_WINDOW = 2.5
+MOST_BITS = 1 << 30
 RANGE_BITS = 1 << 20
-CHUNK_WORDS = 4_000_000
+CHUNK_WORDS = 1_200_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 _bitmaps: dict[str, np.ndarray] = {}
@@ -139,9 +139,8 @@ def sketch(docs: DataFrame, *, most_bits: int = MOST_BITS, chunk_words: int = CH
     """The merged sketch of a corpus: its width, and a compressed bitmap of repeated cells by range (most_bits / 8 bytes at most)."""
     # A word counts as six bytes; only the width of the sketch depends on it.
     about = docs.agg(F.sum(F.length("text") / 6.0)).first()[0] or 0.0
-    bits = LEAST_BITS
-    while bits < most_bits and bits < 2 * CELLS_PER_WINDOW * about:
-        bits *= 2
+    pair = 2 * RANGE_BITS  # a whole number of ranges in each of the two rows
+    bits = max(pair, min(most_bits, int(2 * CELLS_PER_WINDOW * about)) // pair * pair)
     return bits, {r.range: bytes(r.bits) for r in merge_ranges(sketch_parts(docs, bits, chunk_words)).toLocalIterator()}
 
 
