@@ -83,11 +83,11 @@ class Tree:
     def splice(self, first: tuple[int, int], last: tuple[int, int], chars: np.ndarray, tokens: np.ndarray) -> None:
         """Replaces the pre-tokens from `first` (slot, index) up to, without, `last`; sums are updated on their paths only."""
         (s, i), (e, j) = first, last
-        self.slots[s], tail = (np.r_[self.slots[s][0][:i], chars], np.r_[self.slots[s][1][:i], tokens]), (self.slots[e][0][j:], self.slots[e][1][j:])
-        if s == e:
-            self.slots[s] = np.r_[self.slots[s][0], tail[0]], np.r_[self.slots[s][1], tail[1]]
-        else:
-            self.slots[e] = tail
+        head, tail = (x[:i] for x in self.slots[s]), tuple(x[j:] for x in self.slots[e])
+        parts = [[h, new, t] if s == e else [h, new] for h, new, t in zip(head, (chars, tokens), tail, strict=True)]
+        self.slots[e] = tail
+        self.slots[s] = np.concatenate(parts[0]), np.concatenate(parts[1])
+        if s != e:
             for k in range(s + 1, e):
                 self.slots[k] = chars[:0], tokens[:0]
         if len(self.slots[s][0]) > 4 * SLOT:
@@ -110,10 +110,7 @@ class Document:
         self.tree = Tree(np.fromiter(map(len, pieces), np.int64, len(pieces)), self.counts(pieces))
 
     def counts(self, pieces: list[str]) -> np.ndarray:
-        known = self.coder.known
-        if any(p not in known for p in pieces):
-            known = self.coder.learn(set(pieces))
-        return np.fromiter((len(known[p]) >> 2 for p in pieces), np.int64, len(pieces))
+        return np.fromiter(map(self.coder.counts.__getitem__, pieces), np.int64, len(pieces))
 
     def count(self) -> int:
         if any(a in self.text for a in self.coder.added):
@@ -163,10 +160,9 @@ def count_edits(docs: DataFrame, edits: Column, *, id_col: str = "doc_id", text_
         for batch in batches:
             rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
             for part in in_slices(rows, lambda r: len(r[1] or ""), SLICE_BYTES):
-                split = [coder.pieces(t or "") for _, t, _ in part]
-                coder.learn({p for s in split for p in s})
                 out = []
-                for (doc, text, changes), pieces in zip(part, split, strict=True):
+                for doc, text, changes in part:
+                    pieces = coder.pieces(text or "")
                     d = Document(text or "", coder, pieces)
                     before = d.count()
                     for e in changes or ():

@@ -13,7 +13,7 @@ import regex
 #: fixed value: the pre-token pattern of byte-level BPE (public).
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 TOKENIZER = "byte_bpe_50k.json"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
 #: Texts with a run of this length without a blank are left to the tokenizers library: the rank merger is quadratic in it.
 LONG_RUN = 2000
 
@@ -26,30 +26,41 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class PieceCounts(dict):
+    """The number of ids by pre-token, counted when first asked for. It starts anew when full, so that memory stays bounded."""
+
+    def __init__(self, coder: PreTokens, entries: int) -> None:
+        super().__init__()
+        self.coder, self.entries = coder, entries
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= self.entries:
+            self.clear()
+        n = self[piece] = self.coder.count_piece(piece)
+        return n
+
+
 class PreTokens:
     """Ids of whole texts as little-endian uint32 bytes. Equal to Tokenizer.encode(text, add_special_tokens=False)."""
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.entries = Tokenizer.from_file(path), entries
+        self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
         self.added = [a["content"] for a in described["added_tokens"]]
         self.ranks = rank_merger(described["model"], set(self.added))
-        self.known: dict[str, bytes] = {}
+        self.counts = PieceCounts(self, entries)
 
     def pieces(self, text: str) -> list[str]:
         return PRETOKEN.findall(text)
 
-    def learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """The cache, with these pieces in it. It restarts when full, so that memory stays bounded."""
-        if len(self.known) > self.entries:
-            self.known = {}
-        new = [p for p in pieces if p not in self.known]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[p] = array.array("I", e.ids).tobytes()
-        return self.known
+    def count_piece(self, piece: str) -> int:
+        """The number of ids of one pre-token."""
+        if self.ranks is None or len(piece) >= LONG_RUN:
+            return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        return len(self.ranks.encode_ordinary(piece))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One value per text. Texts that spell an added token, or hold a very long run, go to the tokenizers library."""
