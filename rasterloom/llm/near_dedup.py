@@ -175,14 +175,16 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def across(partners: int | None):
-    """Survivors between different components of two blocks of a bucket; per member and other component the best `partners`."""
+    """Survivors between different components of two blocks of a bucket; per member and other component the best `partners`.
+
+    Whether a pair shares an earlier band is seen from the sketches: seven bytes that agree by chance are a matter of 2**-56."""
 
     def run(group: pa.Table) -> pa.Table:
         node, comp, half, size = (group[c].to_numpy() for c in ("node", "component", "half", "size"))
         signs = as_matrix(group["sketch"], len(FACTORS))
         names, sizes = np.unique(comp, return_counts=True)
         most = names[sizes.argmax()]
-        same = group["i"][0] == group["j"][0]
+        same, band = group["i"][0] == group["j"][0], group["band"][0].as_py()
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         least = least_equal(len(FACTORS))
         # Members of the most common component need no row of their own: their partners' rows meet them.
@@ -199,6 +201,9 @@ def across(partners: int | None):
                 alive, equal = alive[stay], equal[stay]
                 if not len(alive):
                     break
+            if len(alive):  # a pair that shares several bands leaves the first one's bucket only
+                shared = (signs[alive, : BANDS * ROWS] == signs[r, : BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(axis=2)
+                alive, equal = alive[first := shared.argmax(axis=1) == band], equal[first]
             if len(alive) and partners is not None:
                 order = np.lexsort((-equal, comp[alive]))
                 alive, equal = alive[order], equal[order]
@@ -215,11 +220,11 @@ def across(partners: int | None):
 
 def cross_pairs(members: DataFrame, sketches: DataFrame, labels: DataFrame, partners: int | None, block: int) -> DataFrame:
     """Surviving pairs of different components that share a bucket."""
-    held = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    held = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     mixed_buckets = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").join(sketches, "node")
     held = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = held.select("key", "node", "component", "size", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
+    dealt = held.select("key", "band", "node", "component", "size", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
     return dealt.groupBy("key", "i", "j").applyInArrow(across(partners), "a long, b long, equal int").groupBy("a", "b").agg(F.max("equal").alias("equal"))
 
 
@@ -233,7 +238,7 @@ def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     nodes = as_table(nodes, "signatures")
     sketches = nodes.select("node", "size", "sketch")
 
-    dealt = nodes.select("node", F.explode("bands").alias("key"))
+    dealt = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     leaders = dealt.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("key", "leader")
     members = as_table(dealt.join(leaders, "key"), "buckets")
 
