@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import clip, from_wkb, mercator, polygon_area, wkb
+from ..functions.mvt import encode
 from ..plans.settings import MERC, WORLD
 
 EXTENT = 4096
@@ -82,6 +83,18 @@ def coalesce_smallest(tiles: DataFrame, budget: int) -> DataFrame:
     return fits.unionByName(sized.where(F.col("bytes") > budget).drop("bytes").groupBy("z", "tx", "ty").applyInPandas(shrink, TILE))
 
 
+def encode_tiles(tiles: DataFrame, extent: int = EXTENT) -> DataFrame:
+    """z, tx, ty and the encoded tile. A group is one tile, which coalesce_smallest has brought under its budget."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted((r.layer, r.kind, r.geom) for r in group.itertuples(index=False))
+        first = group.iloc[0]
+        data = encode([(layer, kind, from_wkb(geom)) for layer, kind, geom in rows], extent)
+        return pd.DataFrame({"z": [first.z], "tx": [first.tx], "ty": [first.ty], "data": [data]})
+
+    return tiles.groupBy("z", "tx", "ty").applyInPandas(run, "z int, tx int, ty int, data binary")
+
+
 def smallest_first(features: DataFrame, keys: list[str], budget: int) -> DataFrame:
     """Adds `merged`: whether a feature (area, bytes, id) is among the smallest of its group, whose removal brings the group under budget."""
     from pyspark.sql import Window

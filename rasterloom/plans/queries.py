@@ -345,6 +345,11 @@ def q_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.groupBy("z", "tx", "ty", "layer", "kind").agg(F.count("*").alias("n"), F.sum(F.octet_length("geom")).alias("bytes"))
 
 
+def q_encoded_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = tiles.encode_tiles(tiles.coalesce_smallest(tiles.cut_tiles(block_fragments(spark, sf_dir)), 2000))
+    return made.select("z", "tx", "ty", F.octet_length("data").alias("bytes"), F.sha2("data", 256).alias("digest"))
+
+
 def boxes(spark: SparkSession, sf_dir: str, name: str, key: str, size: str) -> DataFrame:
     """Boxes in tile units made from a table's keys, eighths of a tile, so that edges often fall on tile edges."""
     k, s = F.col(key), F.col(size)

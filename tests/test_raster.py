@@ -232,3 +232,43 @@ def test_streaming_rate(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(r.n for r in spark.table("rates").collect()) == [5, 5]
+
+
+def fields(data):
+    """(field, value) pairs of a protobuf message."""
+    at, out = 0, []
+
+    def number():
+        nonlocal at
+        n = shift = 0
+        while True:
+            b = data[at]
+            at += 1
+            n |= (b & 0x7F) << shift
+            shift += 7
+            if b < 0x80:
+                return n
+
+    while at < len(data):
+        key = number()
+        if key & 7 == 2:
+            size = number()
+            out.append((key >> 3, data[at : at + size]))
+            at += size
+        else:
+            out.append((key >> 3, number()))
+    return out
+
+
+def test_encoded_tile(spark):
+    square = [[(0.0, 0.0), (0.0, 10.0), (10.0, 10.0), (10.0, 0.0)], [(2.0, 2.0), (4.0, 2.0), (4.0, 4.0), (2.0, 4.0)]]
+    rows = [(1, 0, 1, "water_polygons", "water", geometry.wkb([square])), (1, 0, 1, "land", "scrub", geometry.wkb([square])), (1, 0, 1, "land", "forest", geometry.wkb([square]))]
+    (tile,) = tiles.encode_tiles(spark.createDataFrame(rows, tiles.TILE)).collect()
+    layers = [fields(v) for f, v in fields(bytes(tile.data)) if f == 3]
+    assert [dict(x)[1] for x in layers] == [b"land", b"water_polygons"]
+    assert [v for f, v in layers[0] if f == 3] == [b"kind"] and [fields(v) for f, v in layers[0] if f == 4] == [[(1, b"forest")], [(1, b"scrub")]]
+    feature = dict(fields(next(v for f, v in layers[0] if f == 2)))
+    assert list(feature[2]) == [0, 0] and feature[3] == 3
+    steps = list(feature[4])
+    assert steps[0] == 9 and steps.count(15) == 2 and steps[3] == 26  # move one, two closes, line of three
+    assert dict(layers[0])[5] == tiles.EXTENT and dict(layers[0])[15] == 2
