@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,6 +18,26 @@ LOWER_AZ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrst
 ALNUM_WORDS = bytes(c if c >= 0x80 or chr(c).isdigit() or chr(c).islower() else c + 32 if chr(c).isupper() else 32 for c in range(256))
 
 
+_caches: dict[str, Callable[[], None]] = {}
+_in_use: set[str] = set()
+
+
+def cache(name: str, clear: Callable[[], None]) -> None:
+    """Registers what a worker keeps between batches, and how to drop it."""
+    _caches[name] = clear
+
+
+def enter(*names: str) -> None:
+    """Called when a pass starts in a worker: drops what other passes left there, as workers are used again."""
+    if _in_use != set(names):
+        for name in _caches.keys() - set(names):
+            _caches[name]()
+        _in_use.clear()
+        _in_use.update(names)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; where the session names none (tests), a temporary one is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -33,16 +54,17 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_pass(df: DataFrame, payload: Column, keep: Column, fn: Callable[[list], dict[str, object]], out: T.StructType) -> DataFrame:
+def row_pass(df: DataFrame, payload: Column, keep: Column, fn: Callable[[list], dict[str, object]], out: T.StructType, caches: tuple[str, ...] = ()) -> DataFrame:
     """Adds a struct `out` to a struct `row`.
 
     keep: a struct column that goes through as it is; payload: what fn gets, a list with one value per row.
-    fn returns a list or Arrow array per field of out. One Arrow pass, no shuffle."""
+    fn returns a list or Arrow array per field of out; caches names what it keeps in the worker. One Arrow pass, no shuffle."""
     source = df.select(keep.alias("row"), payload.alias("payload"))
     schema = T.StructType([T.StructField("row", source.schema["row"].dataType), T.StructField("out", out)])
     names = out.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(*caches)
         kinds = None
         for batch in batches:
             if kinds is None:

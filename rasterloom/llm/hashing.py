@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 300_000
+from .common import cache
+
+CACHE_WORDS = 200_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xD6E8FEB86659FD93)
 SHIFT = np.uint64(29)
@@ -20,6 +22,7 @@ class _Words(dict):
 
 
 _words = _Words()
+cache("words", _words.clear)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

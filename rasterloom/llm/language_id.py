@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_table, join_counted
+from .common import as_table, cache, enter, join_counted
 
 SAMPLE_CHARS = 40_000
 SAMPLE_ROWS = 400
@@ -38,6 +38,7 @@ BLANK, OTHER, FIRST = 0, 1, 2
 UNKNOWN = "und"
 
 _parsers: dict[str, Parser] = {}
+cache("parsers", _parsers.clear)
 
 
 def sample(docs: DataFrame, label: Column, usable: Column, *, id_col: str = "doc_id", text_col: str = "text", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> dict[str, str]:
@@ -185,6 +186,7 @@ def predict(docs: DataFrame, samples: dict[str, str], *, text_col: str = "text",
     source = docs.select(*keep, F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("parsers")
         if name not in _parsers:
             _parsers.clear()
             _parsers[name] = Parser(held.value)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, as_table, join_counted, text_bytes
+from .common import LOWER_AZ, as_table, enter, join_counted, text_bytes
 from .components import components
 from .hashing import mixed, run_hashes, word_hashes
 
@@ -77,6 +77,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 def sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("words")
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(ids), 256):
@@ -276,6 +277,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
     """node and its sorted shingle hashes (uint64 bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("words")
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(ids), 512):

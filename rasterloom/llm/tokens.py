@@ -10,6 +10,8 @@ import json
 
 import regex
 
+from .common import cache, enter
+
 #: fixed value: the pre-token pattern of byte-level BPE (public).
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +20,7 @@ CACHE_ENTRIES = 500_000
 LONG_RUN = 2000
 
 _loaded: dict[str, PreTokens] = {}
+cache("tokens", _loaded.clear)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -102,6 +105,8 @@ def rank_merger(model: dict, added: set[str]):
 
 
 def pretokens(path: str) -> PreTokens:
+    """The worker's coder for a tokenizer file."""
+    enter("tokens")
     if path not in _loaded:
         _loaded[path] = PreTokens(path)
     return _loaded[path]
