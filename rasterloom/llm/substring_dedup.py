@@ -3,6 +3,8 @@
 Windows are runs of 13 consecutive words of one document. A word goes if it lies in a window whose word sequence also starts
 in a document with a smaller doc_id.
 
+0. Of documents with one and the same text only the smallest doc_id needs a look: in the others every window starts in it, so all
+   their words go if there are 13 or more. They are found by 128 bits of hash and take no part in what follows.
 1. Every chunk of documents makes a count-min sketch of its windows: two rows of cells, counts up to "two or more". The
    sketches are split by cell range and merged range by range, in a stream, so a task holds one range. What the second pass
    needs is a bitmap of cells counted twice or more. Its width follows the number of windows (`CELLS_PER_WINDOW`) up to
@@ -11,7 +13,8 @@ in a document with a smaller doc_id.
 2. The second pass takes windows whose two cells are both repeated. Inside a chunk they are grouped at once: a window that a
    document with a smaller id in the same chunk has is decided, and of each other window only the smallest doc_id of the chunk
    goes on. So a window that a third of all documents share leaves each chunk once.
-3. These are grouped exactly over all chunks, by 96 bits of hash, to the smallest doc_id, and joined back to the documents.
+3. These are grouped exactly over all chunks, by 96 bits of hash, to the smallest doc_id. That is one shuffle; a group holds at most
+   the rows of one document from each chunk.
 
 Cases: a null text has no words; texts under 13 words have no window and stay whole. Rows with the same doc_id never remove
 from each other; a repeated row gets the same result as its twin. Rows with a null doc_id lose nothing and remove nothing.
@@ -27,23 +30,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_table, join_counted, row_pass, struct_of_all, text_bytes
+from .common import as_table, cache, enter, join_counted, row_pass, struct_of_all, text_bytes
 from .hashing import SECOND, mixed, run_hashes, word_hashes
 
 WINDOW = 13
-CELLS_PER_WINDOW = 2.5
+CELLS_PER_WINDOW = 3.5
 MOST_BITS = 1 << 30
 RANGE_BITS = 1 << 20
 CHUNK_WORDS = 1_200_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 _bitmaps: dict[str, np.ndarray] = {}
+cache("bitmaps", _bitmaps.clear)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -91,8 +94,9 @@ def sketch_parts(docs: DataFrame, bits: int, chunk_words: int) -> DataFrame:
     """Rows (range, once, more): cells of a chunk counted exactly once, and more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("words")
         for rows in chunks(batches, chunk_words):
-            found = [window_hashes(text)[0] for doc, text in rows if doc is not None]
+            found = [run_hashes(word_hashes(words_of(text)), WINDOW) for _, text, _ in rows]
             h = np.concatenate([*found, np.empty(0, np.uint64)])
             if not len(h):
                 continue
@@ -144,12 +148,13 @@ def sketch(docs: DataFrame, *, most_bits: int = MOST_BITS, chunk_words: int = CH
     return bits, {r.range: bytes(r.bits) for r in merge_ranges(sketch_parts(docs, bits, chunk_words)).toLocalIterator()}
 
 
-CANDIDATES = "h1 long, h2 int, doc_id long, tag int, pos int, spans binary"
+CANDIDATES = "h1 long, h2 int, doc_id long, tag long, pos int, spans binary"
 
 
 def candidates(docs: DataFrame, bits: int, ranges: dict[int, bytes], chunk_words: int) -> DataFrame:
     """Two kinds of rows. With h1: a window that may repeat, with the smallest doc_id that has it in its chunk. With spans:
-    windows of a document (starts as int32) that a smaller doc_id in its chunk has. tag tells texts of one doc_id apart."""
+    windows of a document (starts as int32) that a smaller doc_id in its chunk has; their h1 only spreads them. tag tells texts of one
+    doc_id apart. docs: doc_id (not null), text as bytes, tag."""
     held, name = docs.sparkSession.sparkContext.broadcast(ranges), uuid.uuid4().hex
 
     def bitmap() -> np.ndarray:
@@ -165,11 +170,10 @@ def candidates(docs: DataFrame, bits: int, ranges: dict[int, bytes], chunk_words
         return (bitmap()[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("words", "bitmaps")
         for rows in chunks(batches, chunk_words):
             parts = []
-            for i, (doc, text) in enumerate(rows):
-                if doc is None:
-                    continue
+            for i, (_, text, _) in enumerate(rows):
                 h1, h2 = window_hashes(text)
                 if len(h1):
                     one, two = cells_of(h1, bits)
@@ -179,8 +183,7 @@ def candidates(docs: DataFrame, bits: int, ranges: dict[int, bytes], chunk_words
             if not parts:
                 continue
             h1, h2, pos, row = (np.concatenate(x) for x in zip(*parts, strict=True))
-            ids = np.array([r[0] if r[0] is not None else 0 for r in rows], np.int64)
-            tags = np.array([xxhash.xxh32_intdigest(r[1] or b"") for r in rows], np.uint32).view(np.int32)
+            ids, tags = np.array([r[0] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
             order = np.lexsort((pos, row, ids[row], h2, h1))
             h1, h2, pos, row = h1[order], h2[order], pos[order], row[order]
             new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])] if len(h1) else np.empty(0, bool)
@@ -193,20 +196,32 @@ def candidates(docs: DataFrame, bits: int, ranges: dict[int, bytes], chunk_words
             pos, row = pos[order], row[order]
             owners, begins = np.unique(row, return_index=True)
             spans = [p.tobytes() for p in np.split(pos, begins[1:])] if len(owners) else []
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(owners), pa.int64()), pa.nulls(len(owners), pa.int32()), pa.array(ids[owners]), pa.array(tags[owners]), pa.nulls(len(owners), pa.int32()), pa.array(spans, pa.binary())], names=["h1", "h2", "doc_id", "tag", "pos", "spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[owners]), pa.nulls(len(owners), pa.int32()), pa.array(ids[owners]), pa.array(tags[owners]), pa.nulls(len(owners), pa.int32()), pa.array(spans, pa.binary())], names=["h1", "h2", "doc_id", "tag", "pos", "spans"])
 
     return docs.mapInArrow(run, CANDIDATES)
 
 
+def copies_of(docs: DataFrame) -> DataFrame:
+    """id and tag of documents whose text a smaller doc_id has too. docs: doc_id, text, tag."""
+    hashed = docs.select("doc_id", "tag", F.xxhash64(F.lit(1), "text").alias("h"))
+    least = hashed.groupBy("tag", "h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("tag", "h", "least")
+    return hashed.join(least, ["tag", "h"]).where("doc_id > least").select(F.col("doc_id").alias("id"), "tag").distinct()
+
+
 def repeated_windows(docs: DataFrame, *, most_bits: int = MOST_BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """doc_id, tag, starts (windows to remove, as arrays) and spans (the same, as int32 bytes). docs: doc_id, text as bytes."""
-    found = as_table(candidates(docs, *sketch(docs, most_bits=most_bits, chunk_words=chunk_words), chunk_words), "windows")
-    sent = found.where("h1 is not null").select("h1", "h2", "doc_id", "tag", "pos")
-    least = sent.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
-    late = sent.join(least, ["h1", "h2"]).where("doc_id > least")
-    starts = late.groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("starts"))  # bounded by the windows of a document
-    local = found.where("spans is not null").groupBy("doc_id", "tag").agg(F.collect_list("spans").alias("spans"))
-    return starts.join(local, ["doc_id", "tag"], "full")
+    """id, hits: for each text of a doc_id its tag, and starts or spans (int32 bytes) of windows to remove, or that it is a copy (whole).
+    docs: doc_id (not null), text as bytes, tag."""
+    copies = as_table(copies_of(docs), "copies")
+    own = join_counted(docs.withColumnRenamed("doc_id", "id"), copies, ["id", "tag"], "left_anti").select(F.col("id").alias("doc_id"), "text", "tag")
+    found = candidates(own, *sketch(own, most_bits=most_bits, chunk_words=chunk_words), chunk_words)
+    least = F.min("doc_id").over(Window.partitionBy("h1", "h2", F.col("spans").isNull()))
+    late = found.withColumn("least", least).where("spans is not null or doc_id > least")
+    # Bounded by the windows of a document.
+    hits = late.groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("starts"), F.collect_list("spans").alias("spans"))
+    hits = hits.select(F.col("doc_id").alias("id"), "tag", "starts", "spans", F.lit(False).alias("whole"))
+    empty = F.array().cast("array<int>"), F.array().cast("array<binary>")
+    hits = hits.union(copies.select("id", "tag", empty[0], empty[1], F.lit(True)))
+    return hits.groupBy("id").agg(F.collect_list(F.struct("tag", "starts", "spans", "whole")).alias("hits"))
 
 
 def kept_mask(n_words: int, starts: list[int] | None, spans: list[bytes] | None) -> np.ndarray:
@@ -232,24 +247,19 @@ def dedup(docs: DataFrame, keep: Column | None = None, *, want_text: bool = True
     """row (all columns of docs, or keep) and out: n_words, n_removed, kept_sha256 (of the kept words joined by blanks), text
     (the whole text if nothing was removed; null if want_text is false)."""
     keep = struct_of_all(docs) if keep is None else keep
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"))
-    hits = as_table(repeated_windows(plain, most_bits=most_bits, chunk_words=chunk_words).withColumnRenamed("doc_id", "id"), "hits")
-    rows = docs.select(keep.alias("row"), F.col("doc_id").cast("long").alias("id"), text_bytes("text").alias("text"))
-    ids = hits.select("id", "tag", F.struct("starts", "spans").alias("hit"))
-    # A doc_id may have several texts: hits of all its tags come along, and the text's own tag picks.
-    by_id = as_table(ids.groupBy("id").agg(F.collect_list(F.struct("tag", "hit")).alias("hits")), "hits")
-    size = F.aggregate("hits", F.lit(0), lambda n, x: n + F.coalesce(F.size(x.hit.starts), F.lit(0)) * 4 + F.coalesce(F.aggregate(x.hit.spans, F.lit(0), lambda m, s: m + F.length(s)), F.lit(0)))
+    tag = F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag")
+    plain = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"), tag)
+    by_id = as_table(repeated_windows(plain, most_bits=most_bits, chunk_words=chunk_words), "hits")
+    rows = docs.select(keep.alias("row"), F.col("doc_id").cast("long").alias("id"), text_bytes("text").alias("text"), tag)
+    size = F.aggregate("hits", F.lit(0), lambda n, x: n + F.size(x.starts) * 4 + F.aggregate(x.spans, F.lit(0), lambda m, s: m + F.length(s)))
     both = join_counted(rows, by_id, ["id"], "left", size)
 
     def remove(payload: list[dict]) -> dict[str, list]:
         made: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": [], "text": []}
         for r in payload:
             text, words = r["text"], words_of(r["text"])
-            mine = None
-            if r["hits"]:
-                tag = int(np.uint32(xxhash.xxh32_intdigest(text or b"")).view(np.int32))
-                mine = next((h["hit"] for h in r["hits"] if h["tag"] == tag), None)
-            stay = kept_mask(len(words), mine["starts"], mine["spans"]) if mine else None
+            mine = next((h for h in r["hits"] or () if h["tag"] == r["tag"]), None)
+            stay = None if mine is None or len(words) < WINDOW else np.zeros(len(words), bool) if mine["whole"] else kept_mask(len(words), mine["starts"], mine["spans"])
             kept = words if stay is None else [w for w, s in zip(words, stay, strict=True) if s]
             made["n_words"].append(len(words))
             made["n_removed"].append(len(words) - len(kept))
@@ -257,7 +267,7 @@ def dedup(docs: DataFrame, keep: Column | None = None, *, want_text: bool = True
             made["text"].append(None if text is None or not want_text else (text if stay is None else left_text(text, stay)).decode())
         return made
 
-    return row_pass(both, F.struct("text", "hits"), F.col("row"), remove, OUT)
+    return row_pass(both, F.struct("text", "tag", "hits"), F.col("row"), remove, OUT)
 
 
 def digest(docs: DataFrame) -> DataFrame:
