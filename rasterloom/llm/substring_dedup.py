@@ -39,7 +39,7 @@ from .common import as_table, cache, enter, join_counted, row_pass, struct_of_al
 from .hashing import SECOND, mixed, run_hashes, word_hashes
 
 WINDOW = 13
-CELLS_PER_WINDOW = 3.5
+CELLS_PER_WINDOW = 3
 MOST_BITS = 1 << 30
 RANGE_BITS = 1 << 20
 CHUNK_WORDS = 1_200_000
@@ -209,28 +209,36 @@ def copies_of(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, *, most_bits: int = MOST_BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """id, hits: for each text of a doc_id its tag, and starts or spans (int32 bytes) of windows to remove, or that it is a copy (whole).
+    """id, hits: for each text of a doc_id its tag, and spans of words to remove (int32 pairs), or that it is a copy (whole).
     docs: doc_id (not null), text as bytes, tag."""
     copies = as_table(copies_of(docs), "copies")
     own = join_counted(docs.withColumnRenamed("doc_id", "id"), copies, ["id", "tag"], "left_anti").select(F.col("id").alias("doc_id"), "text", "tag")
     found = candidates(own, *sketch(own, most_bits=most_bits, chunk_words=chunk_words), chunk_words)
     least = F.min("doc_id").over(Window.partitionBy("h1", "h2", F.col("spans").isNull()))
     late = found.withColumn("least", least).where("spans is not null or doc_id > least")
-    # Bounded by the windows of a document.
-    hits = late.groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("starts"), F.collect_list("spans").alias("spans"))
-    hits = hits.select(F.col("doc_id").alias("id"), "tag", "starts", "spans", F.lit(False).alias("whole"))
-    empty = F.array().cast("array<int>"), F.array().cast("array<binary>")
-    hits = hits.union(copies.select("id", "tag", empty[0], empty[1], F.lit(True)))
-    return hits.groupBy("id").agg(F.collect_list(F.struct("tag", "starts", "spans", "whole")).alias("hits"))
+    starts = late.groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("starts"), F.collect_list("spans").alias("spans"))  # bounded by a document's windows
+    hits = starts.mapInArrow(words_of_windows, "id long, tag long, spans binary").withColumn("whole", F.lit(False))
+    hits = hits.union(copies.select("id", "tag", F.lit(None).cast("binary"), F.lit(True)))
+    return hits.groupBy("id").agg(F.collect_list(F.struct("tag", "spans", "whole")).alias("hits"))
 
 
-def kept_mask(n_words: int, starts: list[int] | None, spans: list[bytes] | None) -> np.ndarray:
+def words_of_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Window starts of a text as the spans of words they cover: sorted pairs from, to."""
+    for batch in batches:
+        spans = []
+        for starts, packed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            at = np.unique(np.concatenate([np.array(starts, np.int32), *(np.frombuffer(p, np.int32) for p in packed)]))
+            breaks = np.flatnonzero(np.diff(at) > WINDOW)
+            spans.append(np.column_stack([at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]] + WINDOW]).astype(np.int32).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.binary())], names=["id", "tag", "spans"])
+
+
+def kept_mask(n_words: int, spans: bytes) -> np.ndarray:
     """True for the words that stay."""
-    ends = np.zeros(n_words + 1, np.int32)
-    for at in [np.asarray(starts or [], np.int64), *(np.frombuffer(s, np.int32) for s in spans or [])]:
-        np.add.at(ends, at, 1)
-        np.add.at(ends, at + WINDOW, -1)
-    return np.cumsum(ends[:-1]) == 0
+    stay = np.ones(n_words, bool)
+    for a, b in np.frombuffer(spans, np.int32).reshape(-1, 2):
+        stay[a:b] = False
+    return stay
 
 
 def left_text(text: bytes, keep: np.ndarray) -> bytes:
@@ -251,7 +259,7 @@ def dedup(docs: DataFrame, keep: Column | None = None, *, want_text: bool = True
     plain = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"), tag)
     by_id = as_table(repeated_windows(plain, most_bits=most_bits, chunk_words=chunk_words), "hits")
     rows = docs.select(keep.alias("row"), F.col("doc_id").cast("long").alias("id"), text_bytes("text").alias("text"), tag)
-    size = F.aggregate("hits", F.lit(0), lambda n, x: n + F.size(x.starts) * 4 + F.aggregate(x.spans, F.lit(0), lambda m, s: m + F.length(s)))
+    size = F.aggregate("hits", F.lit(0), lambda n, x: n + F.coalesce(F.length(x.spans), F.lit(0)) + 16)
     both = join_counted(rows, by_id, ["id"], "left", size)
 
     def remove(payload: list[dict]) -> dict[str, list]:
@@ -259,7 +267,7 @@ def dedup(docs: DataFrame, keep: Column | None = None, *, want_text: bool = True
         for r in payload:
             text, words = r["text"], words_of(r["text"])
             mine = next((h for h in r["hits"] or () if h["tag"] == r["tag"]), None)
-            stay = None if mine is None or len(words) < WINDOW else np.zeros(len(words), bool) if mine["whole"] else kept_mask(len(words), mine["starts"], mine["spans"])
+            stay = None if mine is None or len(words) < WINDOW else np.zeros(len(words), bool) if mine["whole"] else kept_mask(len(words), mine["spans"])
             kept = words if stay is None else [w for w, s in zip(words, stay, strict=True) if s]
             made["n_words"].append(len(words))
             made["n_removed"].append(len(words) - len(kept))
