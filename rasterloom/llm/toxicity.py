@@ -31,17 +31,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS, row_pass, struct_of_all, text_bytes
+from .common import ALNUM_WORDS, cache, row_pass, struct_of_all, text_bytes
 
 SAMPLE_ROWS = 2000
 FEATURES = 1000
 FOLDS = 4
 PREFIXES = (3, 4, 5, 6)
 LEAST_DOCUMENTS = 5
-PENALTY = 1e-5
+#: Ridge penalty of a model, divided by the number of rows it is fitted to.
+PENALTY = 0.2
 STEPS = 300
 THRESHOLD = 0.3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 DIGITS = b"0123456789"
@@ -49,6 +50,7 @@ SHARES = (0.005, 0.02, 0.05, 0.1, 0.2, 0.4)
 LENGTHS = (5, 20, 60, 200, 1000, 5000)
 
 _models: dict[str, Chain] = {}
+cache("toxicity", _models.clear)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -76,16 +78,16 @@ def shape(text: bytes | None, words: list[bytes], distinct: set[bytes]) -> list[
 
 def held_features(texts: list[bytes]) -> list[np.ndarray]:
     """The distinct features of each text."""
-    out, cache = [], {}
+    out, known = [], {}
     for t in texts:
         words = words_of(t)
         distinct = set(words)
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        if len(known) > CACHE_WORDS:
+            known.clear()
         for w in distinct:
-            if w not in cache:
-                cache[w] = features_of_word(w)
-        out.append(np.unique(np.array([f for w in distinct for f in cache[w]] + shape(t, words, distinct), np.uint64)))
+            if w not in known:
+                known[w] = features_of_word(w)
+        out.append(np.unique(np.array([f for w in distinct for f in known[w]] + shape(t, words, distinct), np.uint64)))
     return out
 
 
@@ -103,19 +105,21 @@ def chosen_features(held: list[np.ndarray], y: np.ndarray, most: int) -> np.ndar
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> np.ndarray:
     """Weights, the intercept last, by accelerated gradient steps on the weighted, penalised loss."""
+    penalty /= len(x)
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    weight = weight / weight.sum()
-    v = np.ones(x.shape[1])
+    weight = (weight / weight.sum()).astype(x.dtype)
+    y = y.astype(x.dtype)
+    v = np.ones(x.shape[1], x.dtype)
     for _ in range(20):  # the largest curvature, by power iteration
         v = x.T @ (weight * (x @ v))
-        top = np.linalg.norm(v)
+        top = float(np.linalg.norm(v))
         v /= top
     rate = 1 / (top / 4 + penalty)
     w = ahead = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 0
     for k in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ ahead.astype(x.dtype), -30, 30)))
         new = ahead - rate * (x.T @ (weight * (p - y)) + ridge * ahead)
         ahead, w = new + k / (k + 3) * (new - w), new
     return w
@@ -138,15 +142,15 @@ class Link:
 class Chain:
     names: list[str]
     links: list[Link]
-    cache: dict[bytes, list[tuple[int, int]]] = field(default_factory=dict)
+    known: dict[bytes, tuple[tuple[int, int], ...]] = field(default_factory=dict)
 
-    def inputs_of(self, word: bytes) -> list[tuple[int, int]]:
+    def inputs_of(self, word: bytes) -> tuple[tuple[int, int], ...]:
         """(link, input) pairs that a word sets; kept in a bounded cache."""
-        found = self.cache.get(word)
+        found = self.known.get(word)
         if found is None:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            found = self.cache[word] = [(i, link.features[f]) for f in features_of_word(word) for i, link in enumerate(self.links) if f in link.features]
+            if len(self.known) >= CACHE_WORDS:
+                self.known.clear()
+            found = self.known[word] = tuple((i, link.features[f]) for f in features_of_word(word) for i, link in enumerate(self.links) if f in link.features)
         return found
 
     def predict(self, texts: list[bytes | None]) -> list[np.ndarray]:
@@ -236,7 +240,7 @@ def score(docs: DataFrame, chain: Chain, keep: Column | None = None) -> DataFram
         parts = [_models[name].predict(texts[i : i + 1000]) for i in range(0, len(texts), 1000)]
         return {f.name: pa.array(np.concatenate([p[i] for p in parts] or [np.empty(0)]), pa.float64()) for i, f in enumerate(out.fields)}
 
-    return row_pass(docs, text_bytes("text"), keep, predict, out)
+    return row_pass(docs, text_bytes("text"), keep, predict, out, ("toxicity",))
 
 
 def categories() -> dict[str, Column]:
