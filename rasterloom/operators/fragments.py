@@ -149,6 +149,30 @@ def chunk_pixels(pixels: DataFrame, chunk: int = 512) -> DataFrame:
     return some.groupBy("level", "cx", "cy").applyInPandas(pack, "level int, cx int, cy int, data binary")
 
 
+def mode_of_four(a: np.ndarray) -> np.ndarray:
+    """The mode of each 2 x 2 cell, the smallest value on a tie."""
+    low, second, third, high = np.sort(np.stack([a[::2, ::2], a[::2, 1::2], a[1::2, ::2], a[1::2, 1::2]]), axis=0)
+    return np.where(low == second, low, np.where(second == third, second, np.where(third == high, third, low)))
+
+
+def halve_chunks(chunks: DataFrame, chunk: int = 512) -> DataFrame:
+    """The next coarser level of stored chunks (cx, cy, data): four chunks make one, and never more rows than that meet in a task's group.
+
+    Chunks that aren't stored are 0, and 0 is counted; a chunk of nothing but 0 isn't stored."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros((chunk, chunk), np.uint8)
+        half = chunk // 2
+        for p in group.itertuples(index=False):
+            x, y = p.cx % 2 * half, p.cy % 2 * half
+            out[y : y + half, x : x + half] = mode_of_four(np.frombuffer(p.data, np.uint8).reshape(chunk, chunk))
+        place = {"cx": [int(group["cx"].iat[0]) // 2], "cy": [int(group["cy"].iat[0]) // 2], "data": [out.tobytes()]}
+        return pd.DataFrame(place if out.any() else {k: [] for k in place})
+
+    places = [F.floor(F.col(c) / 2) for c in ("cx", "cy")]
+    return chunks.select("cx", "cy", "data").groupBy(*(p.alias(f"parent_{c}") for p, c in zip(places, ("cx", "cy"), strict=True))).applyInPandas(run, "cx int, cy int, data binary")
+
+
 def chunks_for_blocks(chunks: DataFrame, blocks: DataFrame, grid: Grid, chunk: int = 512) -> DataFrame:
     """Each chunk once for every block whose window it overlaps, plus an empty piece per block so that all blocks are processed.
 
@@ -159,18 +183,3 @@ def chunks_for_blocks(chunks: DataFrame, blocks: DataFrame, grid: Grid, chunk: i
     placed = placed.select(F.col("level").cast("int").alias("z"), F.col("bx").cast("int").alias("bx"), F.col("by").cast("int").alias("by"), (F.col("cx") * chunk).cast("int").alias("x0"), (F.col("cy") * chunk).cast("int").alias("y0"), F.lit(chunk).alias("width"), F.lit(chunk).alias("height"), "data")
     none = blocks.select("z", "bx", "by", F.lit(0).alias("x0"), F.lit(0).alias("y0"), F.lit(0).alias("width"), F.lit(0).alias("height"), F.lit(b"").alias("data"))
     return placed.join(blocks.select("z", "bx", "by"), ["z", "bx", "by"], "left_semi").unionByName(none)
-
-
-def rows_of_windows(chunks: DataFrame, grid: Grid, fn, schema: str) -> DataFrame:
-    """fn(values, z, bx, by) -> DataFrame for every block window, in one grouped pass."""
-
-    def run(pieces: pd.DataFrame) -> pd.DataFrame:
-        z, bx, by = (int(pieces[c].iat[0]) for c in ("z", "bx", "by"))
-        x0, y0, x1, y1 = window_box(z, bx, by, grid)
-        values = np.zeros((y1 - y0, x1 - x0), np.uint8)
-        inside = pieces[(pieces.x >= x0) & (pieces.x < x1) & (pieces.y >= y0) & (pieces.y < y1)]
-        values[inside.y - y0, inside.x - x0] = inside.value
-        return fn(values, z, bx, by)
-
-    return chunks.groupBy("z", "bx", "by").applyInPandas(run, schema)
-

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fragments, grid, resample, tiles
+from ..operators import fragments, grid, tiles
 from ..sources import sinks
 from ..sources.legend import active_channels
 from .settings import Grid
@@ -14,22 +16,25 @@ from .settings import Grid
 def load_levels(base: DataFrame, out: str, grid_: Grid, chunk: int = 512) -> None:
     """Base pixels (x, y, value at the top level) to a pyramid of sparse chunks, a level at a time from the one before.
 
-    Each level is read back from storage, so no level's lineage holds the others."""
+    Only the base is ever in pixels; each coarser level is made chunk by chunk and read back from storage."""
     spark = base.sparkSession
-    current = base.select(F.lit(grid_.max_level).alias("level"), "x", "y", "value")
-    for level in range(grid_.max_level, -1, -1):
-        path = f"{out}/level={level}"
-        fragments.chunk_pixels(current, chunk).drop("level").write.mode("overwrite").option("compression", "zstd").parquet(path)
-        if level:
-            stored = spark.read.parquet(path)
-            current = resample.halve(pixels_of(stored, chunk)).select(F.lit(level - 1).alias("level"), "x", "y", "value")
+    top = f"{out}/level={grid_.max_level}"
+    fragments.chunk_pixels(base.select(F.lit(grid_.max_level).alias("level"), "x", "y", "value"), chunk).drop("level").write.mode("overwrite").option("compression", "zstd").parquet(top)
+    for level in range(grid_.max_level - 1, -1, -1):
+        above = spark.read.parquet(f"{out}/level={level + 1}")
+        fragments.halve_chunks(above, chunk).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={level}")
 
 
 def pixels_of(chunks: DataFrame, chunk: int = 512) -> DataFrame:
-    """x, y, value of stored chunks, zeros included, so that the mode counts them."""
-    bytes_ = F.posexplode(F.split(F.hex("data"), "(?<=\\G..)"))
-    out = chunks.select("cx", "cy", bytes_.alias("i", "h")).where("h <> ''")
-    return out.select((F.col("cx") * chunk + F.col("i") % chunk).cast("int").alias("x"), (F.col("cy") * chunk + F.floor(F.col("i") / chunk)).cast("int").alias("y"), F.conv("h", 16, 10).cast("int").alias("value"))
+    """x, y, value of stored chunks, zeros included."""
+
+    def run(frames):
+        for frame in frames:
+            for p in frame.itertuples(index=False):
+                y, x = np.divmod(np.arange(chunk * chunk), chunk)
+                yield pd.DataFrame({"x": x + p.cx * chunk, "y": y + p.cy * chunk, "value": np.frombuffer(p.data, np.uint8)})
+
+    return chunks.select("cx", "cy", "data").mapInPandas(run, "x int, y int, value int")
 
 
 def plan_blocks(spark: SparkSession, cells: DataFrame, grid_: Grid) -> DataFrame:

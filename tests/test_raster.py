@@ -222,6 +222,29 @@ def test_build_resumes_and_merges(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "merged")).count() == 2 * len(first)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_chunked_pyramid_equals_the_relational_one(spark, tmp_path, seed):
+    a = blobs(seed, 64)
+    a[:32, :32] = 0  # chunks that are never stored
+    base = rows_of(spark, a)
+    pipeline.load_levels(base, str(tmp_path / "levels"), FIXTURE, chunk=8)
+    levels = spark.read.parquet(str(tmp_path / "levels"))
+    for z in range(3):
+        want = {(r.x, r.y): r.value for r in resample.pyramid(base, 2).where(F.col("level") == z).collect() if r.value}
+        got = {(r.x, r.y): r.value for r in pipeline.pixels_of(levels.where(F.col("level") == z), 8).collect() if r.value}
+        assert got == want
+
+
+def test_mode_of_four():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 4, (60, 60))
+    got = fragments.mode_of_four(a)
+    for y in range(30):
+        for x in range(30):
+            cell = a[2 * y : 2 * y + 2, 2 * x : 2 * x + 2].ravel().tolist()
+            assert got[y, x] == min(cell, key=lambda v: (-cell.count(v), v))
+
+
 def test_streaming_rate(spark, tmp_path):
     from rasterloom.streaming.rates import windowed_rate
 
