@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .tokens import in_slices, pretokens, tokenizer_path
 
 CAPACITY = 1024
@@ -100,6 +101,7 @@ def rows_of(pieces: list[tuple[int | None, int, bytes]], capacity: int, first_id
 
 def pack_matrix(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Rows of packed ids of all documents. row_id: the partition's number times 2**32, plus a count inside it."""
+    bounded_batches(docs.sparkSession)
     path, end = tokenizer or tokenizer_path(), int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

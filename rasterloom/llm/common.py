@@ -38,6 +38,18 @@ def enter(*names: str) -> None:
         pa.default_memory_pool().release_unused()
 
 
+#: Bytes of an Arrow batch on its way to a worker, so that long texts don't add up to large ones.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit on the bytes of an Arrow batch to BATCH_BYTES; a lower one stays. Arrow passes call this."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key).rstrip("b")
+    if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; where the session names none (tests), a temporary one is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -59,6 +71,7 @@ def row_pass(df: DataFrame, payload: Column, keep: Column, fn: Callable[[list],
 
     keep: a struct column that goes through as it is; payload: what fn gets, a list with one value per row.
     fn returns a list or Arrow array per field of out; caches names what it keeps in the worker. One Arrow pass, no shuffle."""
+    bounded_batches(df.sparkSession)
     source = df.select(keep.alias("row"), payload.alias("payload"))
     schema = T.StructType([T.StructField("row", source.schema["row"].dataType), T.StructField("out", out)])
     names = out.fieldNames()

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS, row_pass, struct_of_all, text_bytes
+from .common import ALNUM_WORDS, bounded_batches, row_pass, struct_of_all, text_bytes
 
 WINDOW = 10
 SHINGLE = 3
@@ -157,6 +157,7 @@ def scan(index: Broadcast, payload: list[dict]) -> dict[str, list]:
 def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Column | None = None, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """row (all columns of docs, or keep) and out: n_words, n_hit, spans (int32 pairs of hit words), items (sorted ids)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     keep = struct_of_all(docs) if keep is None else keep
     state = docs.select(keep.alias("row"), text_bytes(text_col).alias("text"), F.lit(None).cast("binary").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     for block in [*(spark.sparkContext.broadcast(Index(b, shingle_counts(docs, text_col, list({s for w in b for _, s in shingle_starts(w, shingle)})), shingle)) for b in blocks(benchmark, item_col, item_text_col, window, block_windows))] or [spark.sparkContext.broadcast(Index({}, Counter(), shingle))]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_table, cache, enter, join_counted
+from .common import as_table, bounded_batches, cache, enter, join_counted
 
 SAMPLE_CHARS = 40_000
 SAMPLE_ROWS = 400
@@ -182,6 +182,7 @@ def predict(docs: DataFrame, samples: dict[str, str], *, text_col: str = "text",
     """The kept columns, then lang_pred and score. One Arrow pass; each worker builds the automata once."""
     from .tokens import in_slices
 
+    bounded_batches(docs.sparkSession)
     held, name = docs.sparkSession.sparkContext.broadcast(samples), uuid.uuid4().hex
     source = docs.select(*keep, F.col(text_col).alias("_text"))
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, as_table, enter, join_counted, text_bytes
+from .common import LOWER_AZ, as_table, bounded_batches, enter, join_counted, text_bytes
 from .components import components
 from .hashing import mixed, run_hashes, word_hashes
 
@@ -231,6 +231,7 @@ def cross_pairs(members: DataFrame, sketches: DataFrame, labels: DataFrame, part
 
 def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, n_shingles, node; labels: node, component for nodes with links)."""
+    bounded_batches(docs.sparkSession)
     rows = as_table(sketch(docs), "sketches")
     held = rows.where("doc_id is not null and h1 is not null")
     equal = held.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))

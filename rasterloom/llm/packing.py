@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_table
+from .common import as_table, bounded_batches
 from .tokens import in_slices, pretokens, tokenizer_path
 
 CAPACITY = 1024
@@ -127,6 +127,7 @@ def place(pieces: DataFrame, rows: list[tuple[int, int, int, int, int, int]]) ->
 
 def pack(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_rows: int = GROUP_ROWS) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    bounded_batches(docs.sparkSession)
     pieces = as_table(cut(docs, tokenizer or tokenizer_path(), capacity, end_id), "pieces")
     salts = max(1, -(-pieces.count() // group_rows))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))

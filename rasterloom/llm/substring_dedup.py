@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_table, cache, enter, join_counted, row_pass, struct_of_all, text_bytes
+from .common import as_table, bounded_batches, cache, enter, join_counted, row_pass, struct_of_all, text_bytes
 from .hashing import SECOND, mixed, run_hashes, word_hashes
 
 WINDOW = 13
@@ -254,6 +254,7 @@ OUT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_rem
 def dedup(docs: DataFrame, keep: Column | None = None, *, want_text: bool = True, most_bits: int = MOST_BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """row (all columns of docs, or keep) and out: n_words, n_removed, kept_sha256 (of the kept words joined by blanks), text
     (the whole text if nothing was removed; null if want_text is false)."""
+    bounded_batches(docs.sparkSession)
     keep = struct_of_all(docs) if keep is None else keep
     tag = F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag")
     plain = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"), tag)

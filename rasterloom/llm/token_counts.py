@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .tokens import PRETOKEN, PreTokens, in_slices, pretokens, tokenizer_path
 
 SLOT = 64
@@ -152,6 +153,7 @@ def count_edits(docs: DataFrame, edits: Column, *, id_col: str = "doc_id", text_
     """id, tokens_before, tokens_after, n_pretokens, n_encoded (pre-tokens encoded for the edits).
 
     edits: array<struct<start int, end int, text string>> of the row, offsets in characters."""
+    bounded_batches(docs.sparkSession)
     path = tokenizer or tokenizer_path()
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), edits.cast("array<struct<start:int,end:int,text:string>>").alias("edits"))
 
