@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -54,7 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; where the session names none (tests), a temporary one is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="checkpoint-")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        found = "file://" + folder
         spark.sparkContext.setCheckpointDir(found)
     return found
 
