@@ -234,7 +234,8 @@ def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     bounded_batches(docs.sparkSession)
     rows = as_table(sketch(docs), "sketches")
     held = rows.where("doc_id is not null and h1 is not null")
-    equal = held.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
+    # Tables of their own: the joins back may then split a set, or a bucket, that very many documents have.
+    equal = as_table(held.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "equal")
     documents = as_table(rows.select("doc_id", "n_shingles", "h1", "h2").join(equal, ["h1", "h2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"), "h1"), "nodes")
     nodes = held.join(documents.where("doc_id = node").select("doc_id", "h1").distinct(), ["doc_id", "h1"], "left_semi").dropDuplicates(["doc_id", "h1"]).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "sketch", "bands")
     nodes = as_table(nodes, "signatures")
@@ -242,7 +243,7 @@ def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
 
     dealt = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     leaders = dealt.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("key", "leader")
-    members = as_table(dealt.join(leaders, "key"), "buckets")
+    members = as_table(join_counted(dealt, as_table(leaders, "leaders"), ["key"], "inner"), "buckets")
 
     wanted = as_table(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
     sets = as_table(full_sets(join_counted(docs.select(F.col("doc_id").cast("long"), text_bytes("text").alias("text")), wanted, ["doc_id"], "left_semi")), "sets")
