@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, as_table, bounded_batches, enter, join_counted, text_bytes
+from .common import LOWER_AZ, as_table, bounded_batches, enter, join_counted, struct_of_all, text_bytes
 from .components import components
 from .hashing import mixed, run_hashes, word_hashes
 
@@ -297,5 +297,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: one document of each group, columns unchanged."""
-    gone = as_table(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return join_counted(docs.withColumn("_gone", F.col("doc_id").cast("long")), gone, ["_gone"], "left_anti").drop("_gone")
+    gone = as_table(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    rows = docs.select(struct_of_all(docs).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return join_counted(rows, gone, ["id"], "left_anti").select("row.*")
