@@ -7,7 +7,7 @@ place in the window gives the only start that can match (positional bound), whic
 the document (length bound); then the whole window is compared word by word.
 
 The benchmark is read in blocks of at most `block_windows` windows. Only a block is ever on the driver or broadcast, so
-what is broadcast has a fixed bound, and a larger benchmark costs further passes instead of memory.
+what is broadcast has a fixed bound (about 2 kB a window), and a larger benchmark costs further passes instead of memory.
 
 Cases: a null or wordless text has no words and no hit. A null or wordless item, or one with a null id, gives no window.
 Rows of the benchmark with the same item_id count as one item. Repeated documents get a row each. An empty benchmark marks
@@ -30,7 +30,7 @@ from .common import ALNUM_WORDS, bounded_batches, row_pass, struct_of_all, text_
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK_WINDOWS = 200_000
+BLOCK_WINDOWS = 50_000
 
 Words = tuple[bytes, ...]
 
