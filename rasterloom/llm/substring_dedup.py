@@ -205,7 +205,8 @@ def copies_of(docs: DataFrame) -> DataFrame:
     """id and tag of documents whose text a smaller doc_id has too. docs: doc_id, text, tag."""
     hashed = docs.select("doc_id", "tag", F.xxhash64(F.lit(1), "text").alias("h"))
     least = hashed.groupBy("tag", "h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("tag", "h", "least")
-    return hashed.join(least, ["tag", "h"]).where("doc_id > least").select(F.col("doc_id").alias("id"), "tag").distinct()
+    # A table of its own: the join may then split a text that very many documents have.
+    return join_counted(hashed, as_table(least, "texts"), ["tag", "h"], "inner").where("doc_id > least").select(F.col("doc_id").alias("id"), "tag").distinct()
 
 
 def repeated_windows(docs: DataFrame, *, most_bits: int = MOST_BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
