@@ -58,7 +58,8 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def number(feature: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(feature)
+    """32 bits of hash stand for a feature."""
+    return xxhash.xxh32_intdigest(feature)
 
 
 def features_of_word(word: bytes) -> list[int]:
@@ -87,15 +88,16 @@ def held_features(texts: list[bytes]) -> list[np.ndarray]:
         for w in distinct:
             if w not in known:
                 known[w] = features_of_word(w)
-        out.append(np.unique(np.array([f for w in distinct for f in known[w]] + shape(t, words, distinct), np.uint64)))
+        out.append(np.unique(np.array([f for w in distinct for f in known[w]] + shape(t, words, distinct), np.uint32)))
     return out
 
 
 def chosen_features(held: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
     """The features whose share of texts differs most between those with the category and those without, sorted."""
-    names, at = np.unique(np.concatenate(held), return_inverse=True)
-    with_it = np.repeat(y > 0, [len(f) for f in held])
-    a, b = np.bincount(at[with_it], minlength=len(names)), np.bincount(at[~with_it], minlength=len(names))
+    # One side at a time, sorted and counted, so that only half of all features are copied at once.
+    (with_it, a), (without, b) = (np.unique(np.concatenate([f for f, label in zip(held, y, strict=True) if (label > 0) == side]), return_counts=True) for side in (True, False))
+    names = np.union1d(with_it, without)
+    a, b = (np.bincount(np.searchsorted(names, own), n, len(names)) for own, n in ((with_it, a), (without, b)))
     p, q = a / (y > 0).sum(), b / (y == 0).sum()
     mean = (p + q) / 2
     score = np.where(a + b >= LEAST_DOCUMENTS, np.abs(p - q) / np.sqrt((mean + 1e-4) * (1 - mean) + 1e-6), 0)
