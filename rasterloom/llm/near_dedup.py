@@ -178,11 +178,13 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def across(partners: int | None):
     """Survivors between different components of two blocks of a bucket; per member and other component the best `partners`.
 
-    Whether a pair shares an earlier band is seen from the sketches: seven bytes that agree by chance are a matter of 2**-56."""
+    Whether a pair shares an earlier band is decided from the bands' keys, by which the buckets are made. The sketches would not do:
+    in a near-duplicate pair six of a band's seven values are often equal, and the seventh's byte agrees by chance with 1/256."""
 
     def run(group: pa.Table) -> pa.Table:
         node, comp, half, size = (group[c].to_numpy() for c in ("node", "component", "half", "size"))
         signs = as_matrix(group["sketch"], len(FACTORS))
+        keys = group["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         names, sizes = np.unique(comp, return_counts=True)
         most = names[sizes.argmax()]
         same, band = group["i"][0] == group["j"][0], group["band"][0].as_py()
@@ -203,8 +205,8 @@ def across(partners: int | None):
                 if not len(alive):
                     break
             if len(alive):  # a pair that shares several bands leaves the first one's bucket only
-                shared = (signs[alive, : BANDS * ROWS] == signs[r, : BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(axis=2)
-                alive, equal = alive[first := shared.argmax(axis=1) == band], equal[first]
+                first = (keys[alive] == keys[r]).argmax(axis=1) == band
+                alive, equal = alive[first], equal[first]
             if len(alive) and partners is not None:
                 order = np.lexsort((-equal, comp[alive]))
                 alive, equal = alive[order], equal[order]
@@ -219,13 +221,13 @@ def across(partners: int | None):
     return run
 
 
-def cross_pairs(members: DataFrame, sketches: DataFrame, labels: DataFrame, partners: int | None, block: int) -> DataFrame:
+def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, partners: int | None, block: int) -> DataFrame:
     """Surviving pairs of different components that share a bucket."""
     held = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     mixed_buckets = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").join(sketches, "node")
+    held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").join(nodes, "node")
     held = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = held.select("key", "band", "node", "component", "size", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
+    dealt = held.select("key", "band", "node", "component", "size", "sketch", "bands", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
     return dealt.groupBy("key", "i", "j").applyInArrow(across(partners), "a long, b long, equal int").groupBy("a", "b").agg(F.max("equal").alias("equal"))
 
 
@@ -257,7 +259,7 @@ def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     tested = first
     labels = as_table(components(links), "labels")
     for partners in (0, *PARTNERS):
-        pairs = star.select("a", "b") if partners == 0 else cross_pairs(members, sketches, labels, partners, block).select("a", "b")
+        pairs = star.select("a", "b") if partners == 0 else cross_pairs(members, nodes, labels, partners, block).select("a", "b")
         pairs = as_table(open_pairs(pairs, labels).join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue

@@ -191,6 +191,26 @@ def test_sequential_comparison_keeps_what_is_similar():
     assert len(near_dedup.survivors(a, far.astype(np.uint8))[0]) == 0
 
 
+@pytest.mark.parametrize("block", [8192, 1])
+def test_a_band_that_only_looks_shared_takes_no_pair(spark, block):
+    """Six of seven values of bands 0 to 4 are equal and the seventh has the same byte by chance; band 5 is the first shared one."""
+    rng = np.random.default_rng(5)
+    signs = np.tile(rng.integers(0, 1 << 63, near_dedup.VALUES, dtype=np.uint64), (2, 1))
+    for band in range(5):
+        at = band * near_dedup.ROWS
+        others = rng.integers(0, 1 << 63, 10_000, dtype=np.uint64)
+        signs[1, at] = others[near_dedup.mixed(others, 7).astype(np.uint8) == near_dedup.mixed(signs[0, at : at + 1], 7).astype(np.uint8)][0]
+    small = near_dedup.mixed(signs, 7).astype(np.uint8)
+    assert (small[0] == small[1]).all() and (signs[0] != signs[1]).sum() == 5
+    bands = [near_dedup.mixed(near_dedup.run_hashes_of_rows(signs[:, b * near_dedup.ROWS : (b + 1) * near_dedup.ROWS]), seed).view(np.int64).tolist() for b, seed in enumerate(near_dedup.BAND_SEEDS)]
+    nodes = spark.createDataFrame([(n + 1, 100, small[n].tobytes(), [b[n] for b in bands]) for n in range(2)], "node long, size long, sketch binary, bands array<long>")
+    members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    labels = spark.createDataFrame([], "node long, component long")
+    for partners in near_dedup.PARTNERS:
+        got = near_dedup.cross_pairs(members, nodes, labels, partners, block).collect()
+        assert [tuple(r) for r in got] == [(1, 2, near_dedup.VALUES)]
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_components(spark, seed):
     rng = random.Random(seed)
