@@ -10,6 +10,10 @@ from rasterloom.llm import decontaminate, near_dedup, packing, substring_dedup,
 from rasterloom.llm.common import as_table
 
 
+#: Documents whose sets of word shingles are so alike, in percent, are near-duplicates; op10_near_dedup has a limit of its own, 85.
+NEAR_PERCENT = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain calls toxic go."""
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -17,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate group the document with the smallest id stays."""
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

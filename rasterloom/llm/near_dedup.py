@@ -4,7 +4,7 @@ A document's set is its distinct runs of five lower-cased words. Documents with
 the smallest doc_id, stands for all. Its MinHash signature is banded; documents that share a band are in one bucket.
 A candidate pair is compared batch by batch of the signature: after n values with m equal, the posterior of the similarity
 under a uniform prior is Beta(m + 1, n - m + 1), and the pair is dropped once the chance that it reaches the threshold is under
-`miss`. Survivors are confirmed on the full sets: 100 * |A and B| >= 85 * |A or B|.
+`miss`. Survivors are confirmed on the full sets: 100 * |A and B| >= percent * |A or B|, 85 if nothing else is asked for.
 
 What is wanted are components, so pairs that are joined already are never compared:
 1. every member of a bucket against the bucket's smallest member (a pair per member, not per pair of members);
@@ -13,7 +13,8 @@ What is wanted are components, so pairs that are joined already are never compar
 Buckets are dealt out in blocks of `block` members; a group of any size is a number of bounded tasks, and the pairs that leave
 a task are only survivors between different components.
 
-With 32 bands of 7 values a pair at the threshold misses all buckets with chance 4e-6, and less above it.
+With 32 bands of 7 values a pair at 85 % misses all buckets with chance 4e-6, and less above it. Other thresholds take as many bands
+of 7 values as keep that chance (`bands_for`): 53 at 80 %, where 32 would miss 5e-4.
 
 Cases: a null, empty or wordless text has an empty set and no links; with one to four words the whole sequence is the set.
 Rows with the same doc_id are one document of the graph: it has the links of all of them. Rows with a null doc_id take no part
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +50,21 @@ CHUNK = 1 << 15
 
 _random = np.random.default_rng(20240229)
 FACTORS = _random.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BAND_SEEDS = [int(x) for x in _random.integers(1, 1 << 62, BANDS)]
+BAND_SEEDS = [int(x) for x in _random.integers(1, 1 << 62, VALUES // ROWS)]
 
 SETS = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary, bands array<long>"
 
 
+def bands_for(percent: int) -> int:
+    """The number of bands with which a pair at the threshold misses all with the chance that BANDS have at PERCENT."""
+    if percent == PERCENT:
+        return BANDS
+    bands = ceil(BANDS * log(1 - (PERCENT / 100) ** ROWS) / log(1 - (percent / 100) ** ROWS)) if percent < 100 else 1
+    if bands > len(BAND_SEEDS):
+        raise ValueError(f"{percent} % takes {bands} bands; the signature has values for {len(BAND_SEEDS)}")
+    return bands
+
+
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
     words = text.translate(LOWER_AZ).split() if text else []
@@ -75,7 +86,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, n_bands: int = BANDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("words")
         for batch in batches:
@@ -84,8 +95,8 @@ def sketch(docs: DataFrame) -> DataFrame:
                 sets = [shingle_set(t) for t in texts[at : at + 256]]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 signs = signatures([sets[i] for i in full])
-                bands = np.zeros((len(full), BANDS), np.uint64)
-                for b, seed in enumerate(BAND_SEEDS):
+                bands = np.zeros((len(full), n_bands), np.uint64)
+                for b, seed in enumerate(BAND_SEEDS[:n_bands]):
                     bands[:, b] = mixed(run_hashes_of_rows(signs[:, b * ROWS : (b + 1) * ROWS]), seed)
                 small = mixed(signs, 7).astype(np.uint8)  # eight bits of each value
                 rows = dict(zip(full, range(len(full)), strict=True))
@@ -129,10 +140,10 @@ def least_equal(size: int, percent: int = PERCENT, miss: float = MISS) -> tuple[
     return tuple(out)
 
 
-def survivors(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def survivors(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Of pairs of signature rows: which survive all batches, and their numbers of equal values."""
     alive, equal = np.arange(len(a)), np.zeros(len(a), np.int32)
-    for i, least in enumerate(least_equal(a.shape[1])):
+    for i, least in enumerate(least_equal(a.shape[1], percent)):
         part = slice(i * BATCH, (i + 1) * BATCH)
         equal[alive] += (a[alive, part] == b[alive, part]).sum(axis=1, dtype=np.int32)
         alive = alive[equal[alive] >= least]
@@ -143,22 +154,22 @@ def as_matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
-def compare(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def compare(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     """a, b, equal of the pairs that survive the sequential comparison. One sketch is looked up per pair and side."""
     x, y = (sketches.select(F.col("node").alias(n), F.col("size").alias("size_" + n), F.col("sketch").alias(side)) for n, side in (("a", "left"), ("b", "right")))
-    both = pairs.join(x, "a").join(y, "b").where(100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b"))
+    both = pairs.join(x, "a").join(y, "b").where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                alive, equal = survivors(as_matrix(batch.column(2), len(FACTORS)), as_matrix(batch.column(3), len(FACTORS)))
+                alive, equal = survivors(as_matrix(batch.column(2), len(FACTORS)), as_matrix(batch.column(3), len(FACTORS)), percent)
                 kept = batch.take(pa.array(alive))
                 yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(equal)], names=["a", "b", "equal"])
 
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, equal int")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
 
@@ -168,14 +179,14 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for left, right in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
+                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
 
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long").distinct()
 
 
-def across(partners: int | None):
+def across(partners: int | None, percent: int = PERCENT):
     """Survivors between different components of two blocks of a bucket; per member and other component the best `partners`.
 
     Whether a pair shares an earlier band is decided from the bands' keys, by which the buckets are made. The sketches would not do:
@@ -189,12 +200,12 @@ def across(partners: int | None):
         most = names[sizes.argmax()]
         same, band = group["i"][0] == group["j"][0], group["band"][0].as_py()
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        least = least_equal(len(FACTORS))
+        least = least_equal(len(FACTORS), percent)
         # Members of the most common component need no row of their own: their partners' rows meet them.
         rows = np.flatnonzero(comp != most)
         for r in rows:
             other = (comp != comp[r]) & ((comp == most) | (node > node[r])) if same else (comp != comp[r]) & (half != half[r]) & ((comp == most) | (node > node[r]))
-            other &= (100 * np.minimum(size, size[r]) >= PERCENT * np.maximum(size, size[r]))  # sets of other sizes can't be similar enough
+            other &= (100 * np.minimum(size, size[r]) >= percent * np.maximum(size, size[r]))  # sets of other sizes can't be similar enough
             alive = np.flatnonzero(other)
             equal = np.zeros(len(alive), np.int32)
             for i, m in enumerate(least):
@@ -221,20 +232,20 @@ def across(partners: int | None):
     return run
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, partners: int | None, block: int) -> DataFrame:
+def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, partners: int | None, block: int, percent: int = PERCENT) -> DataFrame:
     """Surviving pairs of different components that share a bucket."""
     held = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     mixed_buckets = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").join(nodes, "node")
     held = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = held.select("key", "band", "node", "component", "size", "sketch", "bands", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
-    return dealt.groupBy("key", "i", "j").applyInArrow(across(partners), "a long, b long, equal int").groupBy("a", "b").agg(F.max("equal").alias("equal"))
+    return dealt.groupBy("key", "i", "j").applyInArrow(across(partners, percent), "a long, b long, equal int").groupBy("a", "b").agg(F.max("equal").alias("equal"))
 
 
-def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def link(docs: DataFrame, *, block: int = BLOCK, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, n_shingles, node; labels: node, component for nodes with links)."""
     bounded_batches(docs.sparkSession)
-    rows = as_table(sketch(docs), "sketches")
+    rows = as_table(sketch(docs, bands_for(percent)), "sketches")
     held = rows.where("doc_id is not null and h1 is not null")
     # Tables of their own: the joins back may then split a set, or a bucket, that very many documents have.
     equal = as_table(held.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "equal")
@@ -250,20 +261,20 @@ def link(docs: DataFrame, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     wanted = as_table(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
     sets = as_table(full_sets(join_counted(docs.select(F.col("doc_id").cast("long"), text_bytes("text").alias("text")), wanted, ["doc_id"], "left_semi")), "sets")
 
-    star = as_table(compare(members.where("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sketches), "pairs")
+    star = as_table(compare(members.where("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sketches, percent), "pairs")
     best = Window.partitionBy("b").orderBy(F.desc("equal"), "a")  # at most one row per band and member
     first = star.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("a", "b")
     several = documents.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
     same_id = several.select("doc_id", "a").join(documents.select("doc_id", F.col("node").alias("b")), "doc_id").where("a < b").select("a", "b")
-    links = as_table(confirm(first, sets).select("a", "b").union(same_id.select("a", "b")), "links")
+    links = as_table(confirm(first, sets, percent).select("a", "b").union(same_id.select("a", "b")), "links")
     tested = first
     labels = as_table(components(links), "labels")
     for partners in (0, *PARTNERS):
-        pairs = star.select("a", "b") if partners == 0 else cross_pairs(members, nodes, labels, partners, block).select("a", "b")
+        pairs = star.select("a", "b") if partners == 0 else cross_pairs(members, nodes, labels, partners, block, percent).select("a", "b")
         pairs = as_table(open_pairs(pairs, labels).join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
-        new = as_table(confirm(pairs, sets), "links")
+        new = as_table(confirm(pairs, sets, percent), "links")
         tested = tested.union(pairs)
         if not new.isEmpty():
             links = links.union(new)
@@ -290,15 +301,15 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "node long, shingles binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row per row of docs."""
-    documents, labels = link(docs)
+    documents, labels = link(docs, percent=percent)
     out = documents.join(labels, "node", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stay: one document of each group, columns unchanged."""
-    gone = as_table(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    gone = as_table(near_duplicates(docs, percent=percent).where("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
     rows = docs.select(struct_of_all(docs).alias("row"), F.col("doc_id").cast("long").alias("id"))
     return join_counted(rows, gone, ["id"], "left_anti").select("row.*")

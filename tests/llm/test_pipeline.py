@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from rasterloom.llm import near_dedup
 from rasterloom.llm.tokens import tokenizer_path
 
 RUDE = ["moron", "scumbag", "dimwit", "halfwit"]
@@ -115,5 +116,17 @@ def test_odd_rows_and_columns(spark, corpus):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() >= 6
 
 
+def test_near_duplicates_from_eighty_percent(spark, docs_of):
+    """Of 96 shingles a changed word takes 5: two changes leave 86 of 106 (81 %), three leave 81 of 111 (73 %)."""
+    base = words(random.Random(3), 100)
+    two, three = list(base), list(base)
+    two[20] = two[60] = "changed"
+    three[10] = three[40] = three[80] = "other"
+    docs = docs_of([(1, " ".join(base)), (2, " ".join(two)), (3, " ".join(three))])
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "").collect()) == [1, 3]
+    assert near_dedup.drop_near_duplicates(docs).count() == 3
+    assert near_dedup.bands_for(85) == 32 and near_dedup.bands_for(80) == 53
+
+
 def test_whole_texts_are_packed(spark, corpus):
     assert not re.search(r"\.limit\(|\.sample\(", open(corpus_pipeline.__file__).read())
