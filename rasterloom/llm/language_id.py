@@ -5,9 +5,11 @@ automaton: from where the last phrase ended, the next phrase is the longest matc
 resembles the document needs few, long phrases. Phrases are normalised to bits per symbol, phrases * log2(sample size) /
 symbols; the fewest win, ties go to the smaller language name. The score is 2**-bits of the winner over the sum for all.
 
-Texts are lower-cased, every run of non-letters is one blank, letters outside the samples' alphabet match nothing. Whole
+Texts are lower-cased, every run of non-letters is one blank, letters outside a language's sample match nothing in it. Whole
 texts are parsed. Each batch is parsed in lockstep: texts are cut into lanes of `lane` symbols, each lane starts a phrase of
-its own, and all lanes take a step at a time through a dense transition table, so the work is numpy gathers.
+its own, and all lanes take a step at a time through a dense transition table, so the work is numpy gathers. The table has a
+column for each of a language's commonest letters, up to `max_symbols` columns; its other letters, as of Chinese, are looked up in
+a sorted list of transitions, with the same result.
 
 What is fitted: at most `sample_chars` characters a language, from labelled rows chosen by a hash of the id (bounds are
 parameters). Only text and the label are used for fitting, only text for predicting.
@@ -94,37 +96,60 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Parser:
-    """Dense tables over the automata: table[state * width + symbol] = next state * width * 4 + phrases that end here."""
+    """Dense tables over the automata: table[state * width + symbol] = next state * width * 4 + phrases that end here. Each language has
+    symbols of its own, which `local` gives for the common ones; those from width on are in its sparse transitions."""
 
     def __init__(self, samples: dict[str, str], max_symbols: int = MAX_SYMBOLS, lane: int = LANE) -> None:
         texts = {k: s for k in sorted(samples) if (s := squeeze(samples[k])).strip()}
         self.names, self.lane = list(texts), lane
-        letters = [c for c, _ in sorted(Counter("".join(texts.values())).items(), key=lambda x: (-x[1], x[0])) if c != " "][: max_symbols - FIRST]
-        self.width = FIRST + len(letters)
+        letters = sorted(set("".join(texts.values())) - {" "})
         # The class of every code point, by str.isalpha; surrogates don't occur in UTF-8 text.
-        self.symbol = np.fromiter((OTHER if chr(c).isalpha() else BLANK for c in range(0x110000)), np.uint8, 0x110000)
+        self.symbol = np.fromiter((OTHER if chr(c).isalpha() else BLANK for c in range(0x110000)), np.min_scalar_type(FIRST + len(letters)), 0x110000)
         for i, c in enumerate(letters):
             self.symbol[ord(c)] = FIRST + i
-        self.tables = [self.table(automaton(self.encode(t).tolist())) for t in texts.values()]
+        self.local, self.widths, self.tables, self.sparse = [], [], [], []
+        for t in texts.values():
+            own = [self.symbol[ord(c)] for c, _ in sorted(Counter(t).items(), key=lambda x: (-x[1], x[0])) if c != " "]
+            local = np.full(FIRST + len(letters), OTHER, np.int32)
+            local[BLANK] = BLANK
+            local[own] = np.arange(FIRST, FIRST + len(own))
+            width = min(FIRST + len(own), max_symbols)
+            edges = automaton(local[self.encode(t)].tolist())
+            self.local.append(local)
+            self.widths.append(width)
+            self.tables.append(self.table(edges, width))
+            self.sparse.append(self.transitions(edges, width, FIRST + len(own) - width))
         self.bits = np.log2([max(2, len(t)) for t in texts.values()])
 
     def encode(self, text: str) -> np.ndarray:
         return self.symbol[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
-    def table(self, edges: list[dict[int, int]]) -> np.ndarray:
-        root = np.full(self.width, -1, np.int64)
+    @staticmethod
+    def table(edges: list[dict[int, int]], width: int) -> np.ndarray:
+        root = np.full(width, -1, np.int64)
         for c, q in edges[0].items():
-            root[c] = q
-        root[OTHER] = -1
+            if c < width:
+                root[c] = q
         # After a failed step the symbol starts a phrase, or is one of its own if the sample lacks it.
-        restart = np.where(root >= 0, root * self.width * 4 + 1, 2)
+        restart = np.where(root >= 0, root * width * 4 + 1, 2)
         out = np.tile(restart, (len(edges), 1))
-        out[0] = np.where(root >= 0, root * self.width * 4, 1)
+        out[0] = np.where(root >= 0, root * width * 4, 1)
         for state, e in enumerate(edges):
             for c, q in e.items():
-                if c != OTHER:
-                    out[state, c] = q * self.width * 4
-        return out.astype(np.int32 if out.max() < 2**31 else np.int64).ravel()
+                if c < width:
+                    out[state, c] = q * width * 4
+        # By states, not by entries: a target may be reached by a sparse transition only.
+        return out.astype(np.int32 if len(edges) * width * 4 < 2**31 else np.int64).ravel()
+
+    @staticmethod
+    def transitions(edges: list[dict[int, int]], width: int, rare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Of the symbols from width on: sorted keys state * width * rare + symbol - width, their entries, and the entries after a
+        failed step by symbol (all are in the sample, so each starts a phrase). None if there are no such symbols."""
+        if not rare:
+            return None
+        found = sorted((state * width * rare + c - width, q * width * 4) for state, e in enumerate(edges) for c, q in e.items() if c >= width)
+        keys, entries = np.array(found, np.int64).T
+        return keys, entries, np.array([edges[0][width + c] * width * 4 + 1 for c in range(rare)], np.int64)
 
     def parse(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by text and language; symbols by text (0 if it has no letter)."""
@@ -156,12 +181,23 @@ class Parser:
         """Phrases of lanes, longest lane first, for each language."""
         steps = int(size[0]) if len(size) else 0
         active = np.searchsorted(-size, -np.arange(steps), side="left")
-        columns = [symbols[start[:a] + t].astype(np.int32) for t, a in enumerate(active)]
+        columns = [symbols[start[:a] + t] for t, a in enumerate(active)]
         out = []
-        for table in self.tables:
+        for table, local, width, sparse in zip(self.tables, self.local, self.widths, self.sparse, strict=True):
             state, count = np.zeros(len(size), table.dtype), np.zeros(len(size), np.int32)
             for a, column in zip(active, columns, strict=True):
-                entry = table.take(state[:a] + column)
+                symbol = local.take(column)
+                if sparse is None:
+                    entry = table.take(state[:a] + symbol)
+                else:
+                    at = np.flatnonzero(symbol >= width)
+                    entry = table.take(state[:a] + np.where(symbol < width, symbol, OTHER))
+                    if len(at):
+                        keys, entries, restart = sparse
+                        rare = symbol[at] - width
+                        key = state[at].astype(np.int64) * len(restart) + rare
+                        nearest = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                        entry[at] = np.where(keys[nearest] == key, entries[nearest], restart[rare])
                 count[:a] += entry & 3
                 state[:a] = entry >> 2
             out.append(count + (state != 0))

@@ -171,3 +171,21 @@ def test_chain_uses_earlier_categories():
     texts = [b"alpha beta " + (b"mark" if a else b"none") + b" w%d" % i for i, a in enumerate(first)]
     chain = toxicity.fit_chain(texts, np.column_stack([first, first]).astype(int), np.ones(400), ["a", "b"])
     assert len(chain.links[1].weights) == len(chain.links[1].features) + 2 and chain.links[1].weights[-2] > 0
+
+
+def test_languages_of_many_letters_keep_them_all():
+    """Four languages of 60 letters each and one of 900, no two with the same: more than a table has columns."""
+    rng = random.Random(4)
+    alphabets = {"a": (0x4E00, 60), "b": (0x5000, 60), "c": (0x5200, 60), "d": (0xAC00, 60), "e": (0x6000, 900)}
+    write = lambda first, n, words: " ".join("".join(chr(first + min(rng.randrange(n), rng.randrange(n))) for _ in range(rng.randint(1, 5))) for _ in range(words))
+    samples = {k: write(*v, 400) for k, v in alphabets.items()}
+    texts = [write(*v, 30) for v in alphabets.values()] + [samples["e"][40:300] + " " + samples["b"][5:90], "\u4e00\u4e01 xyz " + samples["d"][:50]]
+    parser = language_id.Parser(samples)
+    assert parser.predict(texts)[0][:5] == list(alphabets)
+    phrases, _ = parser.parse(texts)
+    wide, _ = language_id.Parser(samples, max_symbols=5000).parse(texts)
+    narrow, _ = language_id.Parser(samples, max_symbols=5).parse(texts)
+    assert (phrases == wide).all() and (phrases == narrow).all()
+    for i, t in enumerate(texts):
+        for j, name in enumerate(parser.names):
+            assert phrases[i, j] == plain_parse(language_id.squeeze(t), language_id.squeeze(samples[name]))
