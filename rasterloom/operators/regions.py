@@ -11,7 +11,6 @@ from collections import defaultdict
 import numpy as np
 
 Ring = list[tuple[int, int]]
-SIEVE_ROUNDS = 16
 
 
 def merge_labels(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -54,28 +53,48 @@ def adjacency(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pairs[0], pairs[1], n
 
 
-def sieve(a: np.ndarray, threshold: int, rounds: int = SIEVE_ROUNDS) -> np.ndarray:
-    """Regions under threshold pixels take the class of their largest neighbour (the smaller id on a tie), all at once; repeated
-    until none changes or for `rounds` rounds."""
-    a = a.copy()
-    for _ in range(rounds):
-        labels = label(a)
-        ids, n = sizes_of(labels)
-        u, v, _ = adjacency(labels)
-        if not (n < threshold).any() or not len(u):
-            break
-        u, v = np.searchsorted(ids, np.concatenate([u, v])), np.searchsorted(ids, np.concatenate([v, u]))
-        order = np.lexsort((v, -n[v], u))
-        first = np.unique(u[order], return_index=True)[1]
-        target = np.arange(len(ids))
-        target[u[order][first]] = v[order][first]
-        flat = a.ravel()
-        value = flat[ids]
-        changed = np.where(n < threshold, value[target], value)
-        if np.array_equal(changed, value):
-            break
-        a = changed[np.searchsorted(ids, labels)]
-    return a
+def sieve(a: np.ndarray, threshold: int) -> np.ndarray:
+    """Regions under threshold pixels take the class of their largest neighbour (the smaller id on a tie), one after the other by size
+    and id. A region grows by what it absorbs, and by the neighbours of its new class. None under threshold is left, unless it is all."""
+    labels = label(a)
+    ids, n = sizes_of(labels)
+    u, v, _ = adjacency(labels)
+    if not (n < threshold).any() or not len(u):
+        return a.copy()
+    near: list[set[int]] = [set() for _ in ids]
+    for x, y in zip(np.searchsorted(ids, u).tolist(), np.searchsorted(ids, v).tolist(), strict=True):
+        near[x].add(y)
+        near[y].add(x)
+    value, size, first, into = a.ravel()[ids].tolist(), n.tolist(), list(range(len(ids))), list(range(len(ids)))
+    heap = [(size[i], i, i) for i in np.flatnonzero(n < threshold).tolist()]
+    heapq.heapify(heap)
+    while heap:
+        held, _, i = heapq.heappop(heap)
+        if into[i] != i or size[i] != held or not near[i]:
+            continue
+        target = min(near[i], key=lambda j: (-size[j], first[j]))
+        joined = [i, *(j for j in near[i] if value[j] == value[target])]
+        keep = max(joined, key=lambda j: len(near[j]))  # the fewest neighbours are told of another name
+        value[keep], size[keep], first[keep] = value[target], sum(size[j] for j in joined), min(first[j] for j in joined)
+        for j in joined:
+            if j != keep:
+                into[j] = keep
+                for k in near[j]:
+                    near[k].discard(j)
+                    if k != keep:
+                        near[k].add(keep)
+                        near[keep].add(k)
+                near[j] = set()
+        near[keep].difference_update(joined)
+        if size[keep] < threshold:
+            heapq.heappush(heap, (size[keep], first[keep], keep))
+    for i in range(len(into)):
+        top = i
+        while into[top] != top:
+            top = into[top]
+        while into[i] != top:
+            into[i], i = top, into[i]
+    return np.array(value, a.dtype)[into][np.searchsorted(ids, labels)]
 
 
 def boundary_edges(labels: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:

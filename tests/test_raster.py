@@ -108,6 +108,16 @@ def test_sieve_leaves_no_small_region(seed):
     assert (n >= 28).all()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_sieve_ends_in_speckle(seed):
+    """Regions that are each other's largest neighbour don't swap classes for ever."""
+    y, x = np.mgrid[:40, :40]
+    for a in ((x + y) % 2 + 1, np.random.default_rng(seed).integers(0, 5, (40, 40)), np.array([[1, 2]])):
+        out = regions.sieve(a, 28)
+        _, n = regions.sizes_of(regions.label(out))
+        assert out.dtype == a.dtype and (len(n) == 1 or (n >= 28).all())
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_polygons_cover_without_gaps(seed):
     a = blobs(seed)
