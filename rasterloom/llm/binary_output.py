@@ -15,6 +15,7 @@ table gives no row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, shared_dir
 from .tokens import in_slices, pretokens, tokenizer_path
 
 CAPACITY = 1024
@@ -127,3 +128,10 @@ def pack_matrix(docs: DataFrame, *, tokenizer: str | None = None, capacity: int
 def write_matrix(packed: DataFrame, path: str) -> None:
     """Writes the rows as Parquet: `ids` is the id matrix row, with cu_seqlens and positions beside it."""
     packed.write.parquet(path)
+
+
+def written_matrix(packed: DataFrame) -> DataFrame:
+    """The rows as they are read again from a matrix written under the shared folder."""
+    path = f"{shared_dir(packed.sparkSession).rstrip('/')}/matrix-{uuid.uuid4().hex}"
+    write_matrix(packed, path)
+    return packed.sparkSession.read.schema(packed.schema).parquet(path)

@@ -46,7 +46,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binary_output.pack_matrix(table(spark, sf_dir, "documents"))
+    return binary_output.written_matrix(binary_output.pack_matrix(table(spark, sf_dir, "documents")))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

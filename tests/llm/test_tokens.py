@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rasterloom.llm import binary_output, packing, token_counts
+from rasterloom.llm.queries import QUERIES
 from rasterloom.llm.tokens import pretokens, tokenizer_path
 
 PIECES = ["a", "b", "'", "'s", "r", "e", " ", "  ", "\n", "\t", "1", "é", "中", "the ", "hello", ".", "\x85", "\x1c", " ", "ﬁ", "<|endoftext|>"]
@@ -165,3 +166,15 @@ def test_binary_output_is_lossless(docs_of, plain, chunk):
         ids = [*ids_of(plain, text), 0]
         want[doc] += [(s, ids[s : s + 1024]) for s in range(0, len(ids), 1024)]
     assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_the_matrix_is_written_and_read_again(spark, docs_of, tmp_path):
+    docs = docs_of(pack_rows(random.Random(8))).coalesce(1)
+    packed = binary_output.pack_matrix(docs)
+    want = sorted(map(tuple, packed.collect()))
+    binary_output.write_matrix(packed, f"{tmp_path}/matrix")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/matrix").collect())) == want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op9_binary_output"](spark, str(tmp_path))
+    assert got.schema == packed.schema and "/matrix-" in got.inputFiles()[0]
+    assert len(got.collect()) == len(want)
