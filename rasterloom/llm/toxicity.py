@@ -2,14 +2,16 @@
 
 Categories are predicted one after the other by linear (logistic) models; each later model gets the probabilities of the earlier
 categories as further inputs. In training those inputs are out-of-fold predictions, so a later model sees earlier ones as good
-as they will be on new text, not as they are on text they were fitted to.
+as they will be on new text, not as they are on text they were fitted to. All that a fold's model is made of, its choice of inputs
+too, comes from the other folds; equal texts are in one fold.
 
 Inputs: which words a text holds, the first three to six letters of each word (which carries over to forms not seen in training),
 and its share of signs and digits, its length and its repetition in steps. They are chosen for each category by how much more often they
 occur in texts that have it, and in those that don't.
 
-What is fitted: at most about `sample_rows` labelled rows for each combination of categories, chosen by a hash of the id and
-weighted back to their true share; the labels are counted in full. Rows are predicted from their whole text.
+What is fitted: at most about `rows` labelled ids for each combination of categories and `most_bytes` of text in all (the text that
+reaches it is the last), chosen by a hash of the id and weighted back to their true share; the labels are counted in full. An id
+on several rows gives one text. Rows are predicted from their whole text.
 
 Cases: a null or empty text has no words and gets the model's base rate. Documents without labels are predicted all the same. A
 label row with a null id, or null in any category, isn't used; several label rows of one id count as the most severe. If nothing is
@@ -34,6 +36,7 @@ from pyspark.sql import types as T
 from .common import ALNUM_WORDS, cache, row_pass, struct_of_all, text_bytes
 
 SAMPLE_ROWS = 2000
+SAMPLE_BYTES = 64 << 20
 FEATURES = 1000
 FOLDS = 4
 PREFIXES = (3, 4, 5, 6)
@@ -179,10 +182,34 @@ class Chain:
         return out
 
 
+def inputs(held: list[np.ndarray], chosen: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """A row per text: 0 or 1 for each chosen feature, then the earlier categories' probabilities."""
+    x = np.zeros((len(held), len(chosen) + earlier.shape[1]), np.float32)
+    for row, f in enumerate(held):
+        x[row, np.flatnonzero(np.isin(chosen, f, assume_unique=True))] = 1
+    x[:, len(chosen) :] = earlier
+    return x
+
+
+def out_of_fold(held: list[np.ndarray], y: np.ndarray, weight: np.ndarray, earlier: np.ndarray, fold: np.ndarray, features: int) -> np.ndarray:
+    """For each text, the prediction of a model whose features and weights come from the other folds only."""
+    unseen = np.empty(len(held))
+    for k in np.unique(fold):
+        here, there = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        seen = y[there]
+        if not len(seen) or seen.min() == seen.max():
+            unseen[here] = seen.mean() if len(seen) else y.mean()
+            continue
+        chosen = chosen_features([held[i] for i in there], seen, features)
+        w = fit_logistic(inputs([held[i] for i in there], chosen, earlier[there]), seen, weight[there])
+        unseen[here] = probability(inputs([held[i] for i in here], chosen, earlier[here]), w)
+    return unseen
+
+
 def fit_chain(texts: list[bytes], labels: np.ndarray, weight: np.ndarray, names: Sequence[str], *, features: int = FEATURES, folds: int = FOLDS) -> Chain:
     """labels: a row per text, a column (0/1) per category, in the chain's order."""
     held = held_features(texts)
-    fold = np.arange(len(texts)) % folds
+    fold = np.array([number(t) % folds for t in texts], int)
     links: list[Link] = []
     earlier = np.empty((len(texts), 0))
     for c in range(len(names)):
@@ -192,22 +219,13 @@ def fit_chain(texts: list[bytes], labels: np.ndarray, weight: np.ndarray, names:
             earlier = np.column_stack([earlier, np.full(len(texts), links[-1].constant)])
             continue
         chosen = chosen_features(held, y, features)
-        x = np.zeros((len(texts), len(chosen) + earlier.shape[1]), np.float32)
-        for row, f in enumerate(held):
-            x[row, np.flatnonzero(np.isin(chosen, f, assume_unique=True))] = 1
-        x[:, len(chosen) :] = earlier
-        links.append(Link({f: i for i, f in enumerate(chosen.tolist())}, fit_logistic(x, y, weight)))
+        links.append(Link({f: i for i, f in enumerate(chosen.tolist())}, fit_logistic(inputs(held, chosen, earlier), y, weight)))
         if c + 1 < len(names):  # later models are fitted to predictions of models that haven't seen the row
-            unseen = np.empty(len(texts))
-            for k in range(folds):
-                out = fold == k
-                seen = y[~out]
-                unseen[out] = seen.mean() if not len(seen) or seen.min() == seen.max() else probability(x[out], fit_logistic(x[~out], seen, weight[~out]))
-            earlier = np.column_stack([earlier, unseen])
+            earlier = np.column_stack([earlier, out_of_fold(held, y, weight, earlier, fold, features)])
     return Chain(list(names), links)
 
 
-def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, rows: int = SAMPLE_ROWS) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Texts, labels and weights of a bounded sample. Only ids and labels are gathered before the sample is drawn."""
     names = list(categories)
     known = labels.where(F.col("doc_id").isNotNull()).select("doc_id", *(c.cast("int").alias(n) for n, c in categories.items())).na.drop()
@@ -220,10 +238,15 @@ def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
         share = F.when(F.array(*names) == F.array(*map(F.lit, combination)), F.lit(rows / n)).otherwise(share)
     unit = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
     drawn = known.where(unit < share)  # about `rows` ids a combination
-    texts, y = [], []
-    for r in docs.select("doc_id", text_bytes("text").alias("text")).where("text is not null").join(F.broadcast(drawn), "doc_id").orderBy(F.xxhash64("doc_id"), "text").select("text", *names).toLocalIterator():
+    # By id before any row leaves its task: an id may be on any number of rows.
+    once = docs.where("text is not null").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", *names).agg(F.min_by(text_bytes("text"), F.xxhash64("text")).alias("text"))
+    texts, y, held = [], [], 0
+    for r in once.orderBy(F.xxhash64("doc_id")).select("text", *names).toLocalIterator():
         texts.append(bytes(r[0]))
         y.append(tuple(r)[1:])
+        held += len(texts[-1])
+        if held >= most_bytes:
+            break
     drawn_counts = Counter(y)
     weight = np.array([counts[k] / drawn_counts[k] for k in y]) if y else np.empty(0)
     return texts, np.array(y).reshape(-1, len(names)), weight
