@@ -1,18 +1,22 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton is built over a sample of labelled text. A document is cross-parsed against every
-automaton: from where the last phrase ended, the next phrase is the longest match with the sample. A language whose sample
+automaton: from where the last phrase ended, the next phrase is the longest match with the sample. A symbol that the sample lacks
+counts as two phrases, an escape and itself. A language whose sample
 resembles the document needs few, long phrases. Phrases are normalised to bits per symbol, phrases * log2(sample size) /
 symbols; the fewest win, ties go to the smaller language name. The score is 2**-bits of the winner over the sum for all.
 
 Texts are lower-cased, every run of non-letters is one blank, letters outside a language's sample match nothing in it. Whole
-texts are parsed. Each batch is parsed in lockstep: texts are cut into lanes of `lane` symbols, each lane starts a phrase of
-its own, and all lanes take a step at a time through a dense transition table, so the work is numpy gathers. The table has a
+texts are parsed. Each batch is parsed in lockstep: texts are cut into lanes of `lane` symbols, and all lanes take a step at a time
+through a dense transition table, so the work is numpy gathers. A lane at first starts a phrase of its own; then the lanes whose
+predecessor ended inside a phrase go on from there until they are in the state that they were in before, which mostly takes a
+phrase or two. The phrases are thus those of the whole text, whatever the lanes. The table has a
 column for each of a language's commonest letters, up to `max_symbols` columns; its other letters, as of Chinese, are looked up in
 a sorted list of transitions, with the same result.
 
-What is fitted: at most `sample_chars` characters a language, from labelled rows chosen by a hash of the id (bounds are
-parameters). Only text and the label are used for fitting, only text for predicting.
+What is fitted: windows of at most `window_chars` characters, at a place that a hash chooses, of labelled rows chosen by a hash of
+the id, until there are `sample_chars` characters a language (bounds are parameters). Only text and the label are used for fitting,
+only text for predicting.
 
 Cases: a null text or one without a letter gives `und` with score 0, as does any text if nothing is labelled. Rows with a
 null id or label are never fitted. Repeated rows get a row each.
@@ -33,8 +37,11 @@ from .common import as_table, bounded_batches, cache, enter, join_counted
 
 SAMPLE_CHARS = 40_000
 SAMPLE_ROWS = 400
+WINDOW_CHARS = 4_000
 MAX_SYMBOLS = 96
 LANE = 512
+#: So many times lanes are gone over again together, unless so few are left.
+ROUNDS, FEW = 6, 12
 SLICE_CHARS = 2_000_000
 BLANK, OTHER, FIRST = 0, 1, 2
 UNKNOWN = "und"
@@ -43,14 +50,16 @@ _parsers: dict[str, Parser] = {}
 cache("parsers", _parsers.clear)
 
 
-def sample(docs: DataFrame, label: Column, usable: Column, *, id_col: str = "doc_id", text_col: str = "text", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> dict[str, str]:
+def sample(docs: DataFrame, label: Column, usable: Column, *, id_col: str = "doc_id", text_col: str = "text", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS, window_chars: int = WINDOW_CHARS) -> dict[str, str]:
     """A bounded text for each label. Rows are thinned by a hash of their id before any are gathered by label."""
     rows = docs.select(label.cast("string").alias("label"), F.col(id_col).alias("id")).where(usable & label.isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     share = rows.groupBy("label").agg((F.lit(4.0) * sample_rows / F.count("*")).alias("share"))
     unit = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
     # Only ids and labels are gathered before the sample is drawn; about 4 * sample_rows ids a label are left.
     thin = as_table(rows.join(share, "label").where(unit < F.col("share")).select("id").distinct(), "sample")
-    texts = docs.where(usable & label.isNotNull()).select(label.cast("string").alias("label"), F.col(id_col).alias("id"), F.substring(text_col, 1, sample_chars).alias("text"))
+    begin = F.pmod(F.xxhash64(id_col, F.lit("window")), F.greatest(F.lit(1), F.length(text_col) - window_chars + 1)) + 1
+    window = F.substring(text_col, begin.cast("int"), F.lit(window_chars))
+    texts = docs.where(usable & label.isNotNull()).select(label.cast("string").alias("label"), F.col(id_col).alias("id"), window.alias("text"))
     drawn = join_counted(texts, thin, ["id"], "left_semi").where("text is not null").withColumn("h", F.xxhash64("id"))
     first = Window.partitionBy("label").orderBy("h", "text")
     chosen = drawn.withColumn("before", F.sum(F.length("text")).over(first.rowsBetween(Window.unboundedPreceding, -1)))
@@ -130,10 +139,10 @@ class Parser:
         for c, q in edges[0].items():
             if c < width:
                 root[c] = q
-        # After a failed step the symbol starts a phrase, or is one of its own if the sample lacks it.
-        restart = np.where(root >= 0, root * width * 4 + 1, 2)
+        # After a failed step the symbol starts a phrase, or is an escape and a phrase of its own if the sample lacks it.
+        restart = np.where(root >= 0, root * width * 4 + 1, 3)
         out = np.tile(restart, (len(edges), 1))
-        out[0] = np.where(root >= 0, root * width * 4, 1)
+        out[0] = np.where(root >= 0, root * width * 4, 2)
         for state, e in enumerate(edges):
             for c, q in e.items():
                 if c < width:
@@ -170,38 +179,78 @@ class Parser:
         start, size = begins[of] + nth * self.lane, np.minimum(self.lane, lengths[of] - nth * self.lane)
         order = np.argsort(-size, kind="stable")
         phrases = np.zeros((len(texts), len(self.names)), np.int64)
-        for i in range(0, len(order), 8192):
-            chosen = order[i : i + 8192]
-            counts = self.step(symbols, start[chosen], size[chosen])
-            for lang, n in enumerate(counts):
-                phrases[:, lang] += np.bincount(of[chosen], n, len(texts)).astype(np.int64)
+        for lang in range(len(self.names)):
+            entries = np.empty(len(symbols), self.tables[lang].dtype)
+            local = self.local[lang].take(symbols)
+            for i in range(0, len(order), 8192):
+                self.step(lang, local, entries, start[order[i : i + 8192]], size[order[i : i + 8192]])
+            self.stitch(lang, local, entries, start, size, nth > 0)
+            ends = (begins + lengths - 1)[lengths > 0]
+            phrases[:, lang] = np.bincount(owner, entries & 3, len(texts))
+            phrases[lengths > 0, lang] += entries[ends] >> 2 != 0  # the last phrase has no symbol after it
         return phrases, np.where(lettered > 0, lengths, 0)
 
-    def step(self, symbols: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-        """Phrases of lanes, longest lane first, for each language."""
+    def entry_after(self, lang: int, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The table's entries for states and symbols of a language, dense or sparse."""
+        table, width, sparse = self.tables[lang], self.widths[lang], self.sparse[lang]
+        if sparse is None:
+            return table.take(state + symbol)
+        entry = table.take(state + np.where(symbol < width, symbol, OTHER))
+        at = np.flatnonzero(symbol >= width)
+        if len(at):
+            keys, entries, restart = sparse
+            rare = symbol[at] - width
+            key = state[at].astype(np.int64) * len(restart) + rare
+            nearest = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            entry[at] = np.where(keys[nearest] == key, entries[nearest], restart[rare])
+        return entry
+
+    def step(self, lang: int, local: np.ndarray, entries: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Fills in the entries of lanes, longest lane first, each from the start of a phrase."""
         steps = int(size[0]) if len(size) else 0
-        active = np.searchsorted(-size, -np.arange(steps), side="left")
-        columns = [symbols[start[:a] + t] for t, a in enumerate(active)]
-        out = []
-        for table, local, width, sparse in zip(self.tables, self.local, self.widths, self.sparse, strict=True):
-            state, count = np.zeros(len(size), table.dtype), np.zeros(len(size), np.int32)
-            for a, column in zip(active, columns, strict=True):
-                symbol = local.take(column)
-                if sparse is None:
-                    entry = table.take(state[:a] + symbol)
-                else:
-                    at = np.flatnonzero(symbol >= width)
-                    entry = table.take(state[:a] + np.where(symbol < width, symbol, OTHER))
-                    if len(at):
-                        keys, entries, restart = sparse
-                        rare = symbol[at] - width
-                        key = state[at].astype(np.int64) * len(restart) + rare
-                        nearest = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                        entry[at] = np.where(keys[nearest] == key, entries[nearest], restart[rare])
-                count[:a] += entry & 3
-                state[:a] = entry >> 2
-            out.append(count + (state != 0))
-        return out
+        state = np.zeros(len(size), entries.dtype)
+        for t, a in enumerate(np.searchsorted(-size, -np.arange(steps), side="left")):
+            at = start[:a] + t
+            entry = self.entry_after(lang, state[:a], local[at])
+            entries[at] = entry
+            state[:a] = entry >> 2
+
+    def stitch(self, lang: int, local: np.ndarray, entries: np.ndarray, start: np.ndarray, size: np.ndarray, inner: np.ndarray) -> None:
+        """Goes over the lanes again that should have begun inside a phrase, until each begins where the one before it ends.
+
+        inner: whether the lane before is of the same text. Where lanes don't fall into step, as in one letter repeated, the rest is
+        walked in order, each lane once."""
+        begun = np.zeros(len(start), entries.dtype)  # the state each lane began in
+        seams = np.flatnonzero(inner)
+        for _ in range(ROUNDS):
+            seams = seams[entries[start[seams] - 1] >> 2 != begun[seams]]
+            if len(seams) <= FEW:
+                break
+            on, t, state = seams, 0, entries[start[seams] - 1] >> 2
+            begun[seams] = state
+            while len(on):
+                at = start[on] + t
+                entry = self.entry_after(lang, state, local[at])
+                t += 1
+                go = np.flatnonzero((entry >> 2 != entries[at] >> 2) & (t < size[on]))
+                entries[at] = entry
+                on, state = on[go], entry[go] >> 2
+            seams = seams[seams + 1 < len(start)] + 1
+            seams = seams[inner[seams]]
+        for lane in seams.tolist():
+            while lane < len(start) and inner[lane] and (state := entries[start[lane] - 1] >> 2) != begun[lane]:
+                begun[lane] = state
+                self.walk(lang, local, entries, int(start[lane]), int(size[lane]), int(state))
+                lane += 1
+
+    def walk(self, lang: int, local: np.ndarray, entries: np.ndarray, at: int, size: int, state: int) -> None:
+        """One lane, a symbol at a time, until it is in the state it was in before."""
+        table, width = self.tables[lang], self.widths[lang]
+        for i, symbol, old in zip(range(at, at + size), local[at : at + size].tolist(), (entries[at : at + size] >> 2).tolist(), strict=True):
+            entry = table.item(state + symbol) if symbol < width else int(self.entry_after(lang, np.array([state]), np.array([symbol]))[0])
+            entries[i], state = entry, entry >> 2
+            if state == old:
+                return
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         if not self.names:
