@@ -109,7 +109,7 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
 
 
-def join_counted(large: DataFrame, small: DataFrame, on: list[str], how: str, payload: Column | None = None) -> DataFrame:
+def join_counted(large: DataFrame, small: DataFrame, on: list[str] | Column, how: str, payload: Column | None = None) -> DataFrame:
     """Joins a written table; it is broadcast only if its rows and the bytes of its payload are counted to be few."""
     rows, held = small.agg(F.count("*"), F.sum(payload) if payload is not None else F.lit(0)).first()
     return large.join(F.broadcast(small) if rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES else small, on, how)

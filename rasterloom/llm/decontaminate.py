@@ -6,8 +6,11 @@ entirely, its necessary prefix is its one rarest shingle. Documents are probed f
 place in the window gives the only start that can match (positional bound), which must leave room for the window inside
 the document (length bound); then the whole window is compared word by word.
 
-The benchmark is read in blocks of at most `block_windows` windows. Only a block is ever on the driver or broadcast, so
-what is broadcast has a fixed bound (about 2 kB a window), and a larger benchmark costs further passes instead of memory.
+The benchmark is read in blocks of at most `block_windows` windows. A block is counted, broadcast and probed for before the next
+one is read, and its broadcast is dropped again, so driver and workers hold one block at a time (about 2 kB a window). What a block
+finds is written as a small table of hits; the last block's pass adds the hits of all others to its own. So the plan of the result
+has one Arrow pass over the documents however large the benchmark is, and each block costs a count and a probe of the documents.
+Hits belong to a text: rows are known by doc_id and a hash of their text.
 
 Cases: a null or wordless text has no words and no hit. A null or wordless item, or one with a null id, gives no window.
 Rows of the benchmark with the same item_id count as one item. Repeated documents get a row each. An empty benchmark marks
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS, bounded_batches, row_pass, struct_of_all, text_bytes
+from .common import ALNUM_WORDS, as_table, bounded_batches, join_counted, row_pass, struct_of_all, text_bytes
 
 WINDOW = 10
 SHINGLE = 3
@@ -78,6 +81,7 @@ def heads_by_size(shingles) -> dict[int, frozenset[bytes]]:
 def shingle_counts(docs: DataFrame, text_col: str, shingles: list[Words]) -> Counter[Words]:
     """How often each of these shingles (a bounded list) stands in all documents."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     number = spark.sparkContext.broadcast({s: i for i, s in enumerate(shingles)})
     heads = heads_by_size(shingles)
 
@@ -95,7 +99,9 @@ def shingle_counts(docs: DataFrame, text_col: str, shingles: list[Words]) -> Cou
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(found[some], pa.int64())], names=["shingle", "n"])
 
     counted = docs.select(text_bytes(text_col).alias("text")).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    return Counter({shingles[i]: n for i, n in counted.collect()})  # at most len(shingles) rows
+    out = Counter({shingles[i]: n for i, n in counted.collect()})  # at most len(shingles) rows
+    number.unpersist()
+    return out
 
 
 class Index:
@@ -126,7 +132,7 @@ class Index:
         return spans, items
 
 
-STATE = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("spans", T.BinaryType()), T.StructField("items", T.ArrayType(T.StringType()))])
+FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("spans", T.BinaryType()), T.StructField("items", T.ArrayType(T.StringType()))])
 
 
 def merged(spans: list[tuple[int, int]]) -> np.ndarray:
@@ -139,31 +145,56 @@ def merged(spans: list[tuple[int, int]]) -> np.ndarray:
     return np.array(out, np.int32).reshape(-1, 2)
 
 
-def scan(index: Broadcast, payload: list[dict]) -> dict[str, list]:
+def scan(index: Index, payload: list[dict]) -> dict[str, list]:
+    """What a block finds in each text, with what `hits` (spans and items of other blocks) has found."""
     made: dict[str, list] = {"n_words": [], "n_hit": [], "spans": [], "items": []}
     for row in payload:
         words = words_of(row["text"])
-        spans, items = index.value.probe(words)
-        if row["spans"]:
-            spans += map(tuple, np.frombuffer(row["spans"], np.int32).reshape(-1, 2).tolist())
+        spans, items = index.probe(words)
+        for h in row["hits"] or ():
+            spans += map(tuple, np.frombuffer(h["spans"], np.int32).reshape(-1, 2).tolist())
+            items.update(h["items"])
         union = merged(spans)
         made["n_words"].append(len(words))
         made["n_hit"].append(int((union[:, 1] - union[:, 0]).sum()))
         made["spans"].append(union.tobytes())
-        made["items"].append(sorted(items.union(row["items"] or ())))
+        made["items"].append(sorted(items))
     return made
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Column | None = None, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+HITS = "array<struct<spans:binary,items:array<string>>>"
+
+
+def probed(rows: DataFrame, index: Broadcast, keep: Column) -> DataFrame:
+    return row_pass(rows, F.struct("text", "hits"), keep, lambda payload: scan(index.value, payload), FOUND)
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Column | None = None, *, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """row (all columns of docs, or keep) and out: n_words, n_hit, spans (int32 pairs of hit words), items (sorted ids)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     keep = struct_of_all(docs) if keep is None else keep
-    state = docs.select(keep.alias("row"), text_bytes(text_col).alias("text"), F.lit(None).cast("binary").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    for block in [*(spark.sparkContext.broadcast(Index(b, shingle_counts(docs, text_col, list({s for w in b for _, s in shingle_starts(w, shingle)})), shingle)) for b in blocks(benchmark, item_col, item_text_col, window, block_windows))] or [spark.sparkContext.broadcast(Index({}, Counter(), shingle))]:
-        done = row_pass(state, F.struct("text", "spans", "items"), F.struct("row", "text"), lambda payload, block=block: scan(block, payload), STATE)
-        state = done.select("row.row", "row.text", "out.spans", "out.items", "out.n_words", "out.n_hit")
-    return state.select("row", F.struct("n_words", "n_hit", "spans", "items").alias("out"))
+    rows = docs.select(keep.alias("row"), text_bytes(text_col).alias("text"), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tag")).alias("key"))
+    index, earlier = spark.sparkContext.broadcast(Index({}, Counter(), shingle)), None
+    held = 0
+    for block in blocks(benchmark, item_col, item_text_col, window, block_windows):
+        if held:  # the block before isn't the last: its hits become a table
+            hits = probed(rows.withColumn("hits", F.lit(None).cast(HITS)), index, F.col("key")).where("out.n_hit > 0")
+            hits = as_table(hits.select(F.col("row").alias("key"), "out.spans", "out.items").dropDuplicates(["key"]), "hits")
+            earlier = hits if earlier is None else earlier.union(hits)
+            index.unpersist()
+        shingles = list({s for w in block for _, s in shingle_starts(w, shingle)})
+        index = spark.sparkContext.broadcast(Index(block, shingle_counts(docs, text_col, shingles), shingle))
+        held += 1
+    if earlier is None:
+        rows = rows.withColumn("hits", F.lit(None).cast(HITS))
+    else:
+        found = as_table(earlier.groupBy("key").agg(F.collect_list(F.struct("spans", "items")).alias("hits")), "hits")  # a row per block, at most
+        size = F.aggregate("hits", F.lit(0), lambda n, h: n + F.length(h.spans) + 64 * F.size(h["items"]))
+        # The id and the tag apart, and null-safe: rows without an id have hits too.
+        found = found.select(F.col("key.tag").alias("_tag"), F.col("key.id").alias("_id"), "hits")
+        on = (F.col("key.tag") == F.col("_tag")) & F.col("key.id").eqNullSafe(F.col("_id"))
+        rows = join_counted(rows, found, on, "left", size)
+    return probed(rows, index, F.col("row"))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

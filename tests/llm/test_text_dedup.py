@@ -111,11 +111,12 @@ def test_decontamination(spark, docs_of, seed, block):
                     hit.update(range(s, s + len(win)))
                     found |= ids
         want.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
-    docs = docs_of(rows, extra=["spans", "items", "row"])
+    docs = docs_of(rows, extra=["spans", "items", "row", "key", "hits", "_id"])
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.find_contamination(docs, benchmark, F.struct("doc_id"), block_windows=block)
     got = found.select("row.doc_id", "out.n_words", "out.n_hit", F.size("out.items").cast("long"), F.sha2(F.concat_ws(",", "out.items"), 256), F.col("out.n_hit") > 0)
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert found._jdf.queryExecution().toString().count("MapInArrow [") <= 4  # one pass, in each of the four plans that are shown
     assert decontaminate.digest(docs, benchmark).columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     kept = decontaminate.drop_contaminated(docs, benchmark)
     assert kept.columns == docs.columns and kept.count() == sum(not w[-1] for w in want)
