@@ -6,13 +6,14 @@ in a document with a smaller doc_id.
 0. Of documents with one and the same text only the smallest doc_id needs a look: in the others every window starts in it, so all
    their words go if there are 13 or more. They are found by 128 bits of hash and take no part in what follows.
 1. Every chunk of documents makes a count-min sketch of its windows: two rows of cells, counts up to "two or more". The
-   sketches are split by cell range and merged range by range, in a stream, so a task holds one range. What the second pass
-   needs is a bitmap of cells counted twice or more. Its width follows the number of windows (`CELLS_PER_WINDOW`) up to
-   `most_bits`, a fixed bound on what is broadcast. A sketch overestimates, so no repeated window is missed; a full one only
-   lets more windows through.
-2. The second pass takes windows whose two cells are both repeated. Inside a chunk they are grouped at once: a window that a
-   document with a smaller id in the same chunk has is decided, and of each other window only the smallest doc_id of the chunk
-   goes on. So a window that a third of all documents share leaves each chunk once.
+   sketches are split by cell range and merged range by range, so a task holds one range. The merged sketch is as wide as the corpus
+   has windows (`CELLS_PER_WINDOW`), so its share of false repeats stays the same at any size, and it is never put together anywhere: a
+   merged range answers every chunk, a bit for each of the chunk's own cells, whether another chunk has that cell too.
+2. The second pass brings chunks, compressed, and their answers together, and takes windows whose two cells are both repeated. A
+   sketch overestimates, so no repeated window is missed. Chunks are known by a hash of the documents in them: one without an answer,
+   as after another split of the input, lets all its windows through, and the result is the same. Inside a chunk windows are
+   grouped at once: a window that a document with a smaller id in the same chunk has is decided, and of each other window only the
+   smallest doc_id of the chunk goes on. So a window that a third of all documents share leaves each chunk once.
 3. These are grouped exactly over all chunks, by 96 bits of hash, to the smallest doc_id. That is one shuffle; a group holds at most
    the rows of one document from each chunk.
 
@@ -25,30 +26,27 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_table, bounded_batches, cache, enter, join_counted, row_pass, struct_of_all, text_bytes
+from .common import as_table, bounded_batches, enter, join_counted, row_pass, struct_of_all, text_bytes
 from .hashing import SECOND, mixed, run_hashes, word_hashes
 
 WINDOW = 13
 CELLS_PER_WINDOW = 3
-MOST_BITS = 1 << 30
-RANGE_BITS = 1 << 20
+#: Cells of a range: from the first number on, doubled while there are more than RANGES ranges, up to the second.
+RANGE_CELLS = 1 << 20, 1 << 26
+RANGES = 1024
 CHUNK_WORDS = 1_200_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-_bitmaps: dict[str, np.ndarray] = {}
-cache("bitmaps", _bitmaps.clear)
-
-
 def words_of(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
@@ -59,10 +57,24 @@ def window_hashes(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     return run_hashes(words, WINDOW), (run_hashes(words ^ SECOND, WINDOW, SECOND | np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
 
 
-def cells_of(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of windows in the two rows; each row has half of the bits."""
-    half = np.uint64(bits // 2)
-    return h % half, mixed(h, 1) % half + half
+def sketch_width(docs: DataFrame) -> tuple[int, int]:
+    """The number of cells, in both rows together, and the cells of a range. A word counts as six bytes."""
+    about = docs.agg(F.sum(F.length("text") / 6.0)).first()[0] or 0.0
+    wanted, width = 2 * CELLS_PER_WINDOW * about, RANGE_CELLS[0]
+    while width < RANGE_CELLS[1] and wanted > width * RANGES:
+        width *= 2
+    return max(1, int(wanted / (2 * width))) * 2 * width, width
+
+
+def cells_of(h: np.ndarray, cells: int) -> np.ndarray:
+    """The cells of windows in the first row, then those in the second; each row has half of the cells."""
+    half = np.uint64(cells // 2)
+    return np.concatenate([h % half, mixed(h, 1) % half + half])
+
+
+def by_range(cells: np.ndarray, total: int, width: int) -> np.ndarray:
+    """Where the ranges begin and end in sorted cells."""
+    return np.searchsorted(cells, np.arange(0, total + 1, width, dtype=np.uint64))
 
 
 def pack_cells(cells: np.ndarray) -> bytes:
@@ -77,7 +89,7 @@ def unpack_cells(packed: bytes) -> np.ndarray:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[list[tuple]]:
-    """Rows of (doc_id, text, ...) in chunks of about so many words, counted as six bytes each."""
+    """Rows of (doc_id, text, tag) in chunks of about so many words, counted as six bytes each."""
     held, size = [], 0
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -90,115 +102,134 @@ def chunks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[list[tuple
         yield held
 
 
-def sketch_parts(docs: DataFrame, bits: int, chunk_words: int) -> DataFrame:
-    """Rows (range, once, more): cells of a chunk counted exactly once, and more than once."""
+def chunk_key(rows: list[tuple]) -> bytes:
+    """A chunk's name: a hash of which documents it holds, in which order."""
+    return xxhash.xxh3_128_digest(np.array([(r[0], r[2]) for r in rows], np.int64).tobytes())
+
+
+def sketch_parts(docs: DataFrame, cells: int, width: int, chunk_words: int) -> DataFrame:
+    """Rows (range, chunk, once, more): cells of a chunk counted exactly once, and more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("words")
         for rows in chunks(batches, chunk_words):
             found = [run_hashes(word_hashes(words_of(text)), WINDOW) for _, text, _ in rows]
-            h = np.concatenate([*found, np.empty(0, np.uint64)])
-            if not len(h):
-                continue
-            cells, n = np.unique(np.concatenate(cells_of(h, bits)), return_counts=True)
-            cuts = np.searchsorted(cells, np.arange(0, bits + 1, RANGE_BITS, dtype=np.uint64))
+            own, n = np.unique(cells_of(np.concatenate(found), cells), return_counts=True)
+            cuts, key = by_range(own, cells, width), chunk_key(rows)
             out: list[tuple[int, bytes, bytes]] = []
-            for r in range(len(cuts) - 1):
-                part, many = (cells[cuts[r] : cuts[r + 1]] - np.uint64(r * RANGE_BITS)), n[cuts[r] : cuts[r + 1]] > 1
-                if len(part):
-                    out.append((r, pack_cells(part[~many]), pack_cells(part[many])))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary())], names=["range", "once", "more"])
+            for r in np.flatnonzero(np.diff(cuts)).tolist():
+                part, many = own[cuts[r] : cuts[r + 1]] - np.uint64(r * width), n[cuts[r] : cuts[r + 1]] > 1
+                out.append((r, pack_cells(part[~many]), pack_cells(part[many])))
+            columns = [pa.array([o[0] for o in out], pa.int64()), pa.array([key] * len(out), pa.binary()), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["range", "chunk", "once", "more"])
 
-    return docs.mapInArrow(run, "range int, once binary, more binary")
+    return docs.mapInArrow(run, "range long, chunk binary, once binary, more binary")
 
 
-def merge_ranges(parts: DataFrame) -> DataFrame:
-    """The merged sketch: for each range, the compressed bitmap of cells counted twice or more. One range at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, seen, twice = None, np.zeros(RANGE_BITS, bool), np.zeros(RANGE_BITS, bool)
+def merge_ranges(parts: DataFrame, width: int) -> DataFrame:
+    """Rows (chunk, range, bits): for each cell that a chunk has once, whether another chunk has it too. A task holds one range at a time:
+    its cells, and its parts as they came, which are about as many bytes as a range has cells."""
 
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([zstandard.compress(np.packbits(twice, bitorder="little").tobytes(), 3)], pa.binary())], names=["range", "bits"])
+    def answers(now: int, held: list[tuple[bytes, bytes, bytes]], counts: np.ndarray) -> pa.RecordBatch:
+        counts[:] = 0
+        for _, once, more in held:
+            cells = unpack_cells(once)
+            counts[cells] = np.minimum(counts[cells] + 1, 2)
+            counts[unpack_cells(more)] = 2
+        bits = [np.packbits(counts[unpack_cells(once)] > 1).tobytes() for _, once, _ in held]
+        return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held], pa.binary()), pa.array([now] * len(held), pa.int64()), pa.array(bits, pa.binary())], names=["chunk", "range", "bits"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, counts = None, [], np.zeros(width, np.uint8)
         for batch in batches:
-            for r, once, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for r, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if r != now:
-                    if now is not None:
-                        yield done()
-                    now = r
-                    seen[:], twice[:] = False, False
-                cells = unpack_cells(once)
-                twice[cells[seen[cells]]] = True
-                seen[cells] = True
-                cells = unpack_cells(more)
-                seen[cells] = twice[cells] = True
-        if now is not None:
-            yield done()
-
-    return parts.repartition("range").sortWithinPartitions("range").mapInArrow(run, "range int, bits binary")
-
-
-def sketch(docs: DataFrame, *, most_bits: int = MOST_BITS, chunk_words: int = CHUNK_WORDS) -> tuple[int, dict[int, bytes]]:
-    """The merged sketch of a corpus: its width, and a compressed bitmap of repeated cells by range (most_bits / 8 bytes at most)."""
-    # A word counts as six bytes; only the width of the sketch depends on it.
-    about = docs.agg(F.sum(F.length("text") / 6.0)).first()[0] or 0.0
-    pair = 2 * RANGE_BITS  # a whole number of ranges in each of the two rows
-    bits = max(pair, min(most_bits, int(2 * CELLS_PER_WINDOW * about)) // pair * pair)
-    return bits, {r.range: bytes(r.bits) for r in merge_ranges(sketch_parts(docs, bits, chunk_words)).toLocalIterator()}
+                    if held:
+                        yield answers(now, held, counts)
+                    now, held = r, []
+                held.append(part)
+        if held:
+            yield answers(now, held, counts)
+
+    return parts.repartition("range").sortWithinPartitions("range").mapInArrow(run, "chunk binary, range long, bits binary")
+
+
+def chunk_rows(docs: DataFrame, chunk_words: int) -> DataFrame:
+    """Rows (chunk, held): the same chunks, as compressed Arrow streams of doc_id, text and tag."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("tag", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter()
+        for rows in chunks(batches, chunk_words):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema))
+            yield pa.RecordBatch.from_arrays([pa.array([chunk_key(rows)], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "held"])
+
+    return docs.mapInArrow(run, "chunk binary, held binary")
+
+
+def repeated_in(h: np.ndarray, answers: list[dict] | None, cells: int, width: int) -> np.ndarray:
+    """Which windows of a chunk may be repeated: those with both cells had twice in the chunk or, by the answers, in another one."""
+    own, inverse, n = np.unique(cells_of(h, cells), return_inverse=True, return_counts=True)
+    once = np.flatnonzero(n == 1)
+    cuts, told = by_range(own[once], cells, width), {a["range"]: a["bits"] for a in answers or ()}
+    sizes = np.diff(cuts)
+    twice = n > 1
+    for r in np.flatnonzero(sizes).tolist():
+        bits = told.get(r)
+        known = bits is not None and len(bits) == -(-int(sizes[r]) // 8)
+        twice[once[cuts[r] : cuts[r + 1]]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(sizes[r])).astype(bool) if known else True
+    return twice[inverse].reshape(2, -1).all(axis=0)
 
 
 CANDIDATES = "h1 long, h2 int, doc_id long, tag long, pos int, spans binary"
 
 
-def candidates(docs: DataFrame, bits: int, ranges: dict[int, bytes], chunk_words: int) -> DataFrame:
+def candidates(docs: DataFrame, chunk_words: int) -> DataFrame:
     """Two kinds of rows. With h1: a window that may repeat, with the smallest doc_id that has it in its chunk. With spans:
     windows of a document (starts as int32) that a smaller doc_id in its chunk has; their h1 only spreads them. tag tells texts of one
     doc_id apart. docs: doc_id (not null), text as bytes, tag."""
-    held, name = docs.sparkSession.sparkContext.broadcast(ranges), uuid.uuid4().hex
-
-    def bitmap() -> np.ndarray:
-        if name not in _bitmaps:
-            _bitmaps.clear()
-            whole = np.zeros(bits // 8, np.uint8)
-            for r, packed in held.value.items():
-                whole[r * RANGE_BITS // 8 : (r + 1) * RANGE_BITS // 8] = np.frombuffer(zstandard.decompress(packed), np.uint8)
-            _bitmaps[name] = whole
-        return _bitmaps[name]
-
-    def repeated(cells: np.ndarray) -> np.ndarray:
-        return (bitmap()[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    cells, width = sketch_width(docs)
+    answers = merge_ranges(sketch_parts(docs, cells, width, chunk_words), width)
+    told = answers.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits")).alias("answers"))  # a bit for each cell of a chunk
+    both = chunk_rows(docs, chunk_words).join(told, "chunk", "left").select("held", "answers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("words", "bitmaps")
-        for rows in chunks(batches, chunk_words):
-            parts = []
-            for i, (_, text, _) in enumerate(rows):
-                h1, h2 = window_hashes(text)
-                if len(h1):
-                    one, two = cells_of(h1, bits)
-                    some = np.flatnonzero(repeated(one))
-                    some = some[repeated(two[some])]
-                    parts.append((h1[some], h2[some], some.astype(np.int32), np.full(len(some), i, np.int32)))
-            if not parts:
-                continue
-            h1, h2, pos, row = (np.concatenate(x) for x in zip(*parts, strict=True))
-            ids, tags = np.array([r[0] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-            order = np.lexsort((pos, row, ids[row], h2, h1))
-            h1, h2, pos, row = h1[order], h2[order], pos[order], row[order]
-            new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])] if len(h1) else np.empty(0, bool)
-            least = ids[row[np.flatnonzero(new)]][np.cumsum(new) - 1] if len(h1) else ids[:0]
-            here = ids[row] > least
-            go = ~here
-            yield pa.RecordBatch.from_arrays([pa.array(h1[go].view(np.int64)), pa.array(h2[go].view(np.int32)), pa.array(ids[row[go]]), pa.array(tags[row[go]]), pa.array(pos[go]), pa.nulls(int(go.sum()), pa.binary())], names=["h1", "h2", "doc_id", "tag", "pos", "spans"])
-            pos, row = pos[here], row[here]
-            order = np.lexsort((pos, row))
-            pos, row = pos[order], row[order]
-            owners, begins = np.unique(row, return_index=True)
-            spans = [p.tobytes() for p in np.split(pos, begins[1:])] if len(owners) else []
-            yield pa.RecordBatch.from_arrays([pa.array(ids[owners]), pa.nulls(len(owners), pa.int32()), pa.array(ids[owners]), pa.array(tags[owners]), pa.nulls(len(owners), pa.int32()), pa.array(spans, pa.binary())], names=["h1", "h2", "doc_id", "tag", "pos", "spans"])
-
-    return docs.mapInArrow(run, CANDIDATES)
+        enter("words")
+        for batch in batches:
+            for held, mine in zip(batch.column(0), batch.column(1), strict=True):
+                rows = pa.ipc.open_stream(held.as_buffer()).read_all()
+                yield from chunk_candidates(rows, mine.as_py())
+
+    def chunk_candidates(rows: pa.Table, mine: list[dict] | None) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for i, text in enumerate(rows["text"].to_pylist()):
+            h1, h2 = window_hashes(text)
+            if len(h1):
+                parts.append((h1, h2, np.arange(len(h1), dtype=np.int32), np.full(len(h1), i, np.int32)))
+        if not parts:
+            return
+        h1, h2, pos, row = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        some = repeated_in(h1, mine, cells, width)
+        h1, h2, pos, row = h1[some], h2[some], pos[some], row[some]
+        ids, tags = rows["doc_id"].to_numpy(), rows["tag"].to_numpy()
+        order = np.lexsort((pos, row, ids[row], h2, h1))
+        h1, h2, pos, row = h1[order], h2[order], pos[order], row[order]
+        new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])] if len(h1) else np.empty(0, bool)
+        least = ids[row[np.flatnonzero(new)]][np.cumsum(new) - 1] if len(h1) else ids[:0]
+        here = ids[row] > least
+        go = ~here
+        yield pa.RecordBatch.from_arrays([pa.array(h1[go].view(np.int64)), pa.array(h2[go].view(np.int32)), pa.array(ids[row[go]]), pa.array(tags[row[go]]), pa.array(pos[go]), pa.nulls(int(go.sum()), pa.binary())], names=["h1", "h2", "doc_id", "tag", "pos", "spans"])
+        pos, row = pos[here], row[here]
+        order = np.lexsort((pos, row))
+        pos, row = pos[order], row[order]
+        owners, begins = np.unique(row, return_index=True)
+        spans = [p.tobytes() for p in np.split(pos, begins[1:])] if len(owners) else []
+        yield pa.RecordBatch.from_arrays([pa.array(ids[owners]), pa.nulls(len(owners), pa.int32()), pa.array(ids[owners]), pa.array(tags[owners]), pa.nulls(len(owners), pa.int32()), pa.array(spans, pa.binary())], names=["h1", "h2", "doc_id", "tag", "pos", "spans"])
+
+    return both.mapInArrow(run, CANDIDATES)
 
 
 def copies_of(docs: DataFrame) -> DataFrame:
@@ -209,12 +240,12 @@ def copies_of(docs: DataFrame) -> DataFrame:
     return join_counted(hashed, as_table(least, "texts"), ["tag", "h"], "inner").where("doc_id > least").select(F.col("doc_id").alias("id"), "tag").distinct()
 
 
-def repeated_windows(docs: DataFrame, *, most_bits: int = MOST_BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def repeated_windows(docs: DataFrame, *, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """id, hits: for each text of a doc_id its tag, and spans of words to remove (int32 pairs), or that it is a copy (whole).
     docs: doc_id (not null), text as bytes, tag."""
     copies = as_table(copies_of(docs), "copies")
     own = join_counted(docs.withColumnRenamed("doc_id", "id"), copies, ["id", "tag"], "left_anti").select(F.col("id").alias("doc_id"), "text", "tag")
-    found = candidates(own, *sketch(own, most_bits=most_bits, chunk_words=chunk_words), chunk_words)
+    found = candidates(own, chunk_words)
     least = F.min("doc_id").over(Window.partitionBy("h1", "h2", F.col("spans").isNull()))
     late = found.withColumn("least", least).where("spans is not null or doc_id > least")
     starts = late.groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("starts"), F.collect_list("spans").alias("spans"))  # bounded by a document's windows
@@ -252,14 +283,14 @@ def left_text(text: bytes, keep: np.ndarray) -> bytes:
 OUT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("text", T.StringType())])
 
 
-def dedup(docs: DataFrame, keep: Column | None = None, *, want_text: bool = True, most_bits: int = MOST_BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, keep: Column | None = None, *, want_text: bool = True, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """row (all columns of docs, or keep) and out: n_words, n_removed, kept_sha256 (of the kept words joined by blanks), text
     (the whole text if nothing was removed; null if want_text is false)."""
     bounded_batches(docs.sparkSession)
     keep = struct_of_all(docs) if keep is None else keep
     tag = F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag")
     plain = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"), tag)
-    by_id = as_table(repeated_windows(plain, most_bits=most_bits, chunk_words=chunk_words), "hits")
+    by_id = as_table(repeated_windows(plain, chunk_words=chunk_words), "hits")
     rows = docs.select(keep.alias("row"), F.col("doc_id").cast("long").alias("id"), text_bytes("text").alias("text"), tag)
     size = F.aggregate("hits", F.lit(0), lambda n, x: n + F.coalesce(F.length(x.spans), F.lit(0)) + 16)
     both = join_counted(rows, by_id, ["id"], "left", size)

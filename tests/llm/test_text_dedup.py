@@ -50,8 +50,12 @@ def az(text):
     return (text or "").translate({c: c + 32 for c in range(65, 91)})
 
 
-@pytest.mark.parametrize("seed,options", [(1, {}), (2, {"chunk_words": 100}), (3, {"most_bits": 1 << 21, "chunk_words": 400})])
-def test_substring_dedup(docs_of, seed, options):
+@pytest.mark.parametrize("seed,options,cells", [(1, {}, None), (2, {"chunk_words": 100}, None), (3, {"chunk_words": 400}, (64, 256)), (4, {"chunk_words": 30}, (1 << 12, 1 << 13))])
+def test_substring_dedup(docs_of, monkeypatch, seed, options, cells):
+    """cells: small ranges, so that there are many of them, and more windows than cells in some."""
+    if cells:
+        monkeypatch.setattr(substring_dedup, "RANGE_CELLS", cells)
+        monkeypatch.setattr(substring_dedup, "RANGES", 4)
     rows = corpus(seed)
     least = {}
     for i, t in rows:
@@ -72,6 +76,21 @@ def test_substring_dedup(docs_of, seed, options):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
 
 
+def test_the_sketch_grows_with_the_corpus(docs_of):
+    """Few windows pass that aren't repeated, at one width per window; a chunk without an answer passes whole."""
+    rng = np.random.default_rng(1)
+    for n in (1000, 20_000):
+        h = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        cells, width = 6 * n // 64 * 64, 32
+        own, counts = np.unique(substring_dedup.cells_of(h, cells), return_counts=True)
+        cuts = substring_dedup.by_range(own, cells, width)
+        parts = [(r, b"k", substring_dedup.pack_cells((own[a:b] - np.uint64(r * width))[counts[a:b] == 1])) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        told = [{"range": r, "bits": np.packbits(np.zeros(len(substring_dedup.unpack_cells(once)), bool)).tobytes()} for r, _, once in parts]
+        assert substring_dedup.repeated_in(h, told, cells, width).mean() < 0.12
+        assert substring_dedup.repeated_in(h, None, cells, width).all()
+        assert substring_dedup.repeated_in(np.r_[h, h], told, cells, width).all()
+
+
 def test_repeats_are_cut_from_texts(docs_of):
     rng = random.Random(9)
     passage = prose(rng, 20)
