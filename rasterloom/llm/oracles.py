@@ -17,12 +17,13 @@ OP3 = f"""
 WITH u AS (
   SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), {AZ}), '') AS host,
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+v AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM u),
 l AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
-h0 AS (SELECT host, count(l.doc_id) AS n, coalesce(sum(l.bad), 0) AS bad FROM u LEFT JOIN l ON page_id = doc_id GROUP BY host),
+h0 AS (SELECT name, count(l.doc_id) AS n, coalesce(sum(l.bad), 0) AS bad FROM v LEFT JOIN l ON page_id = doc_id GROUP BY name),
 h AS (
-  SELECT *, list_reverse(string_split(host, '.')) AS p,
-         CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ('ac.uk','co.jp','co.uk','com.au','com.br','com.cn','co.in','co.kr','co.nz','co.za','gov.uk','org.uk') THEN 2 ELSE 1 END AS k FROM h0),
-g AS (SELECT host, n, bad, array_to_string(list_reverse(p[1:k + 1]), '.') AS domain, array_to_string(list_reverse(p[1:k]), '.') AS suffix FROM h),
+  SELECT *, list_reverse(string_split(name, '.')) AS p, name LIKE '[%' OR regexp_full_match(name, '[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}') AS ip,
+         CASE WHEN array_to_string(string_split(name, '.')[-2:], '.') IN ('ac.uk','co.jp','co.uk','com.au','com.br','com.cn','co.in','co.kr','co.nz','co.za','gov.uk','org.uk') THEN 2 ELSE 1 END AS k FROM h0),
+g AS (SELECT name, n, bad, CASE WHEN ip THEN name ELSE array_to_string(list_reverse(p[1:k + 1]), '.') END AS domain, CASE WHEN ip THEN '[]' ELSE array_to_string(list_reverse(p[1:k]), '.') END AS suffix FROM h),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM g GROUP BY suffix),
 t AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0.5 END AS m FROM s),
 sm AS (SELECT s.*, least(greatest(m, 0.001), 0.999) AS m FROM s, t),
@@ -34,14 +35,18 @@ dw AS (SELECT 1 / least(greatest((sum(n * (bad / n - m) ** 2 / (m * (1 - m))) -
 dp AS (SELECT domain, (m * w + bad) / (w + n) AS rate FROM dm, dw),
 hm AS (SELECT g.*, least(greatest(rate, 0.001), 0.999) AS m FROM g JOIN dp USING (domain)),
 hw AS (SELECT 1 / least(greatest((sum(n * (bad / n - m) ** 2 / (m * (1 - m))) - count(*)) / (sum(n) - count(*)), 0.001), 0.5) - 1 AS w FROM hm WHERE n > 0),
-hp AS (SELECT host, n, bad, (m * w + bad) / (w + n) AS rate, w + n AS size FROM hm, hw),
-j AS (SELECT host, n, bad, CASE WHEN rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS judged FROM hp),
+hp AS (SELECT name, n, bad, m * w + bad AS a, w + n - m * w - bad AS b FROM hm, hw),
+ab AS (SELECT DISTINCT a, b FROM hp WHERE a / (a + b) > 0.475),
+-- P(rate <= 1/2) by the midpoint rule over the angle t of rate = sin(t)^2, 0 to pi / 4
+tail AS (SELECT a, b, sum(exp((2 * a - 1) * ln(sin(x)) + (2 * b - 1) * ln(cos(x)) + lgamma(a + b) - lgamma(a) - lgamma(b))) * 2 * pi() / 4 / 4000 AS p
+         FROM ab, (SELECT (i + 0.5) * pi() / 4 / 4000 AS x FROM range(4000) r(i)) GROUP BY a, b),
+j AS (SELECT name, n, bad, CASE WHEN p < 0.05 THEN 'block' ELSE 'allow' END AS judged FROM hp LEFT JOIN tail USING (a, b)),
 rules(rule_host, rule_path, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 f AS (
   SELECT host, path, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule, max_by(v, length(rule_host || rule_path)) AS v
   FROM (SELECT DISTINCT host, path FROM u) JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY ALL)
-SELECT page_id, host, path, rule, coalesce(v, judged) AS verdict, CAST(n AS BIGINT) AS labelled, CAST(bad AS BIGINT) AS bad
-FROM u LEFT JOIN f USING (host, path) JOIN j USING (host)
+SELECT page_id, host, path, rule, coalesce(f.v, judged) AS verdict, CAST(n AS BIGINT) AS labelled, CAST(bad AS BIGINT) AS bad
+FROM v LEFT JOIN f USING (host, path) JOIN j USING (name)
 """
 
 OP6 = rf"""

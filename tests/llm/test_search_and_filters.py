@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rasterloom.llm import exact_topk, language_id, toxicity, url_filter
+from rasterloom.llm import beta, exact_topk, language_id, toxicity, url_filter
 
 
 def brute_topk(vectors, k):
@@ -77,6 +77,66 @@ def test_bad_hosts_are_blocked_and_small_samples_are_shrunk(spark):
     assert verdicts["bad.site.net"] == "block" and verdicts["once.fine.net"] == "allow" and verdicts["good1.fine.net"] == "allow"
 
 
+def run_sql(tables):
+    import duckdb
+
+    from rasterloom.llm.oracles import OP3
+
+    c = duckdb.connect()
+    for name, df in tables.items():
+        c.register(name, df.toPandas())
+    found = c.execute(OP3)
+    names = [d[0] for d in found.description]
+    return sorted(tuple(zip(names, r, strict=True)) for r in found.fetchall())
+
+
+def test_reputation_decides_pages_of_the_tables(spark):
+    """Hosts whose pages are labelled bad are blocked, by host and by domain; ports belong to the host, addresses share no domain."""
+    urls = [f"http://{h}/{i}" for i, h in enumerate(["bad.co.uk", "bad.co.uk:8080", "x.bad.co.uk"] * 60 + ["fine.co.uk", "10.0.0.1", "10.0.0.2:90", "good.net", "also.net"] * 60)]
+    urls += ["http://new.bad.co.uk/", "http://11.0.0.1/", "http://[::1]:80/", "http://user@good.net/", "http://10.0.0.1:81/" + "long" * 50_000, "http://bad.co.uk/en/1"]
+    bad = lambda u: int("bad.co" in u or "10.0.0.1/" in u)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1, bad(u)) for i, u in enumerate(urls[:480])], "doc_id long, quality int, toxic int")
+    got = url_filter.judge_pages(pages, labels).collect()
+    verdicts = {r.host: r.verdict for r in got}
+    assert {h for h, v in verdicts.items() if v == "block"} == {"bad.co.uk", "bad.co.uk:8080", "x.bad.co.uk", "new.bad.co.uk", "10.0.0.1", "10.0.0.1:81"}
+    rows = sorted(tuple((c, r[c]) for c in ("page_id", "host", "path", "rule", "verdict", "labelled", "bad")) for r in got)
+    assert rows == run_sql({"pages": pages, "labels": labels})
+
+
+def test_registered_domains(spark):
+    names = spark.createDataFrame([("a.b.co.uk",), ("co.uk",), ("x.y.z.kobe.jp",), ("",), ("com",), ("1.2.3.4",), ("w.e.d.c.b.a.net",)], "name string")
+    suffixes = spark.createDataFrame([("co.uk",), ("kobe.jp",), ("z.kobe.jp",)], "suffix string")
+    got = {r.name: (r.domain, r.suffix) for r in url_filter.domains(names, suffixes).collect()}
+    assert got == {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.z.kobe.jp": ("y.z.kobe.jp", "z.kobe.jp"), "": ("", ""), "com": ("com", "com"), "1.2.3.4": ("1.2.3.4", "[]"), "w.e.d.c.b.a.net": ("a.net", "net")}
+
+
+def test_a_tie_between_rules_is_blocked(spark):
+    pages = spark.createDataFrame([(1, "http://a.b.com/x")], "page_id long, url string")
+    rules = [("allow", "b.com", "/x"), ("block", "b.com", "/x")]
+    assert [r.verdict for r in url_filter.judge(pages, spark.createDataFrame([], "page_id long, bad int"), rules).collect()] == ["block"]
+
+
+def beta_quantile(a, b, p):
+    """By bisection over a sum of the density on a fine grid of angles."""
+    import math
+
+    x = (np.arange(400_000) + 0.5) * (np.pi / 2 / 400_000)
+    log = (2 * a - 1) * np.log(np.sin(x)) + (2 * b - 1) * np.log(np.cos(x)) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    total = np.cumsum(np.exp(log) * 2 * np.pi / 2 / 400_000)
+    i = int(np.searchsorted(total, p))
+    before = total[i - 1] if i else 0.0
+    return math.sin(x[i] + ((p - before) / (total[i] - before) - 0.5) * np.pi / 2 / 400_000) ** 2
+
+
+def test_beta_quantiles(spark):
+    cases = [(float(a), float(b)) for a in (0.5, 1, 2.5, 17, 400, 1900, 2500, 90_000) for b in (0.5, 1, 3, 40, 999, 2100, 80_000)]
+    df = spark.createDataFrame(cases, "a double, b double")
+    for level in (0.05, 0.5):
+        for r in df.select("a", "b", beta.quantile(F.col("a"), F.col("b"), level).alias("q")).collect():
+            assert abs(r.q - beta_quantile(r.a, r.b, level)) < 1e-6, r
+
+
 def test_no_pages(spark):
     pages, labels = spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert url_filter.judge_pages(pages, labels).collect() == []
