@@ -7,12 +7,12 @@ subset-sum programme the multiset of remaining lengths that, with it, comes clos
 and use that pattern for as many windows as the counts allow (each use exhausts a length, so the plan is bounded too).
 
 A piece then needs only its rank among the pieces of its length to find its window and offset. Ranks come from salted
-groups: counts per (length, salt) are summed up, and row_number runs inside a group, so a length that a third of all
-pieces share is spread over many tasks.
+groups: counts per (length, salt) are summed up, and row_number runs inside a group. The salt is a hash of a number that each piece
+is written with, not of its contents, so a length that a third of all pieces share is spread over many tasks, even if these are
+all of one doc_id or of none.
 
 Cases: a null or empty text is the end id alone. Repeated rows are packed each. An empty table gives no piece. Null
-doc_ids are kept. The order of equal pieces follows doc_id, then start, then the ids' checksum; rows equal in all of these
-are interchangeable.
+doc_ids are kept. Which of two pieces of one length comes first depends on how the input is split.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from .tokens import in_slices, pretokens, tokenizer_path
 
 CAPACITY = 1024
 END_ID = 0
-GROUP_ROWS = 50_000
+GROUP_ROWS = 20_000
 SLICE_BYTES = 8 << 20
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -38,11 +39,11 @@ PLAN = ("length", "first_rank", "last_rank", "per_bin", "first_bin", "base")
 
 
 def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of all documents with the checksum of their ids. One Arrow pass; the ids stay in the worker."""
+    """Pieces of all documents with the checksum of their ids and a number of their own. One Arrow pass; the ids stay in the worker."""
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = pretokens(tokenizer)
+        coder, number = pretokens(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             for part in in_slices(rows, lambda r: len(r[1] or ""), SLICE_BYTES):
@@ -53,9 +54,11 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int =
                     for s in range(0, n, capacity):
                         piece = ids[4 * s : 4 * (s + capacity)]
                         out.append((doc, s, len(piece) // 4, zlib.crc32(piece), n))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                columns = [pa.array(c, pa.int64()) for c in (*zip(*out, strict=True), range(number, number + len(out)))]
+                number += len(out)
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "number"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, PIECES + ", number long")
 
 
 def closest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -130,12 +133,12 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPAC
     bounded_batches(docs.sparkSession)
     pieces = as_table(cut(docs, tokenizer or tokenizer_path(), capacity, end_id), "pieces")
     salts = max(1, -(-pieces.count() // group_rows))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(salts)).cast("int"))
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     # One row per length and salt; the running sum is taken inside a length, over at most `salts` rows.
     offsets = groups.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).select("length", "salt", "before")
     histogram = {r.length: r.n for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32")
+    within = Window.partitionBy("length", "salt").orderBy("number")
     ranked = salted.withColumn("nth", F.row_number().over(within)).join(offsets, ["length", "salt"])
     ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("nth") - 1 + F.col("before")).cast("long").alias("rank"))
     return place(ranked, plan(histogram, capacity))
