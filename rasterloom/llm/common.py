@@ -63,10 +63,10 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
+def as_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Writes df under the shared folder and returns a reader of it: the lineage ends there and a lost executor costs nothing."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -39,13 +39,16 @@ def test_ids_equal_the_tokenizer(plain):
 def test_counts_after_edits(plain):
     rng = random.Random(2)
     coder = pretokens(tokenizer_path())
-    for text in [*scraps(rng, 250), "word " * 600]:
-        d = token_counts.Document(text, coder)
-        for new in scraps(rng, 5, 12):
-            n = len(d.text)
+    for text in [*scraps(rng, 250), "word " * 600, " " * 900, "".join(scraps(rng, 40)), "ab\n" * 400]:
+        d, want = token_counts.Document(text, coder), text
+        for new in [*scraps(rng, 5, 12), "", " " * 400]:
+            n = len(want)
             start = rng.randint(0, n + 1)
-            d.edit(start, start + rng.choice([0, 1, 3, n]), new)
-            assert d.count() == len(ids_of(plain, d.text)) and d.tree.chars == len(d.text)
+            end = start + rng.choice([0, 1, 3, n])
+            d.edit(start, end, new)
+            want = want[:start] + new + want[end:]
+            assert d.text == want and d.count() == len(ids_of(plain, want)) and d.tree.chars == len(want)
+            assert [a.tolist() for a in d.leaves()] == [a.tolist() for a in token_counts.Document(want, coder).leaves()]
 
 
 def test_an_edit_encodes_a_region_only():
@@ -64,10 +67,36 @@ def test_edit_table(spark, plain):
         (1, "hello world", []),
         (5, "<|endoftext|> x", [(0, 1, "")]),
     ]
-    df = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<start:int,end:int,text:string>>").withColumn("n_encoded", F.lit("extra"))
-    got = [tuple(r)[:3] for r in token_counts.count_edits(df, F.col("edits")).collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<start:int,end:int,text:string>>").withColumn("leaves", F.lit("extra"))
     after = ["bye all world", "new text", "kept", "", "z b", "hello world", "|endoftext|> x"]
-    assert got == [(r[0], len(ids_of(plain, r[1])), len(ids_of(plain, "<|endoftext|> x"[1:] if r[0] == 5 else a))) for r, a in zip(rows, after, strict=True)]
+    changes = dict(enumerate(r[2] for r in rows))
+    trees = token_counts.build(df.coalesce(1)).collect()
+    assert [(r.doc_id, r.n_tokens) for r in trees] == [(r[0], len(ids_of(plain, r[1]))) for r in rows]
+    kept = spark.createDataFrame([(*r, changes[i]) for i, r in enumerate(trees)], token_counts.TREES + ", edits array<struct<start:int,end:int,text:string>>")
+    got = [(r.doc_id, r.tokens_before, r.text, r.n_tokens) for r in token_counts.edit(kept.coalesce(1), F.col("edits")).collect()]
+    assert got == [(r[0], len(ids_of(plain, r[1])), a, len(ids_of(plain, a))) for r, a in zip(rows, after, strict=True)]
+
+
+def test_a_second_batch_starts_from_stored_trees(spark, docs_of, plain, tmp_path):
+    """Each batch encodes the regions it touches, and what is stored equals a tree built anew."""
+    rng = random.Random(9)
+    texts = ["one two three four five " * 3000, "word\n" * 500, "", "x" * 70_000, " ".join(scraps(rng, 60))]
+    trees = token_counts.build(docs_of(list(enumerate(texts)), extra=["leaves"]))
+    half = (F.length("text") / 2).cast("int")
+    batches = [F.array(F.struct(half.alias("start"), (half + 3).alias("end"), F.lit(put).alias("text"))) for put in (" first edit", "second\n\n", "")]
+    for n, edits in enumerate(batches):
+        trees.write.parquet(f"{tmp_path}/{n}")
+        done = token_counts.edit(spark.read.parquet(f"{tmp_path}/{n}"), edits)
+        for r in done.collect():
+            before = texts[r.doc_id]
+            k = len(before) // 2
+            texts[r.doc_id] = before[:k] + (" first edit", "second\n\n", "")[n] + before[min(k + 3, len(before)) :]
+            assert r.text == texts[r.doc_id] and r.tokens_before == len(ids_of(plain, before)) and r.n_tokens == len(ids_of(plain, r.text))
+            assert r.n_encoded < 16
+        trees = done.select("doc_id", "text", "leaves", "n_pretokens", "n_tokens")
+    new = {r.doc_id: r for r in token_counts.build(docs_of(list(enumerate(texts)))).collect()}
+    for r in trees.collect():
+        assert [a.tolist() for a in token_counts.unpacked(r.leaves)] == [a.tolist() for a in token_counts.unpacked(new[r.doc_id].leaves)]
 
 
 def test_count_all(docs_of, plain):
