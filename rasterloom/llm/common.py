@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +54,13 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where the session names none (tests), a temporary one is set."""
+    """The folder that driver and executors share. Where the session names none, a temporary one is set if all runs on this machine;
+    on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoint-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         found = "file://" + folder
@@ -63,11 +68,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Tables written by this process that are still there: paths, with the Hadoop settings to remove them by.
+_tables: list[tuple[str, object, object]] = []
+
+
 def as_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Writes df under the shared folder and returns a reader of it: the lineage ends there and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """Writes df under the shared folder and returns a reader of it: the lineage ends there and a lost executor costs nothing.
+
+    The table stays until remove_tables is called, or the process ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _tables:
+        atexit.unregister(remove_tables)  # so that it is registered once
+        atexit.register(remove_tables)
+    _tables.append((path, spark._jvm, spark._jsc.hadoopConfiguration()))
     df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tables_made() -> int:
+    """A mark for remove_tables."""
+    return len(_tables)
+
+
+def remove_tables(since: int = 0, *, but_last: bool = False) -> None:
+    """Removes the tables written after the mark, or all but the newest of them. What was read from them can't be read again."""
+    stays = _tables[-1:] if but_last and len(_tables) > since else []
+    for path, jvm, settings in _tables[since : len(_tables) - len(stays)]:
+        try:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(settings).delete(place, True)
+        except (Py4JError, OSError):  # the session's process has ended, or the folder is gone
+            break
+    _tables[since:] = stays
 
 
 def row_pass(df: DataFrame, payload: Column, keep: Column, fn: Callable[[list], dict[str, object]], out: T.StructType, caches: tuple[str, ...] = ()) -> DataFrame:
