@@ -1,13 +1,18 @@
 """Corpus pipeline: five of the training-data operators in a row, each over all that the one before kept.
 
-Stages take (spark, docs, sf_dir) and return a DataFrame. All but the last return the columns of documents."""
+Stages take (spark, docs, sf_dir) and return a DataFrame. All but the last return the columns of documents.
+
+Cases: a null or empty text passes all stages and is packed as one end id. Rows with a null doc_id stay in every stage: they are
+near-duplicates of nothing, lose no passage and take none from others, but go if toxic or contaminated. Repeated rows with one doc_id
+are one document to the near-duplicate stage, so all of them stay or go. Further columns, whatever their names, go through to the last
+stage, which returns pieces. Empty tables give an empty result. A document that substring removal has emptied stays, with its end id."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rasterloom.llm import decontaminate, near_dedup, packing, substring_dedup, toxicity
-from rasterloom.llm.common import as_table
+from rasterloom.llm.common import as_table, remove_tables, tables_made
 
 
 #: Documents whose sets of word shingles are so alike, in percent, are near-duplicates; op10_near_dedup has a limit of its own, 85.
@@ -52,8 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Applies the stages to documents; each result is written to the shared folder and read again, and all other tables go."""
+    docs, mark = spark.read.parquet(f"{sf_dir}/documents.parquet"), tables_made()
     for name, stage in STAGES[:-1]:
         docs = as_table(stage(spark, docs, sf_dir), name)
+        remove_tables(mark, but_last=True)
     return STAGES[-1][1](spark, docs, sf_dir)
