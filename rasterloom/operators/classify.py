@@ -87,12 +87,25 @@ def blur_array(mask: np.ndarray, weights: list[int], axis: int) -> np.ndarray:
     return out
 
 
+#: Rows that are scored at once.
+STRIP = 512
+
+
 def classify_array(values: np.ndarray, z: int, grid: Grid, *, prune: bool = True) -> np.ndarray:
-    """The winning channel of each pixel. Only present channels are blurred: an absent one is zero everywhere and can't win."""
+    """The winning channel of each pixel. Only present channels are blurred: an absent one is zero everywhere and can't win.
+
+    Strip by strip of rows, each with the rows that the blur reaches, so that scores are never held for a whole window."""
     folded, weights = fold_array(values, z), grid.kernel()
-    best, winner = np.zeros(values.shape, np.int64), np.zeros(values.shape, np.uint8)
-    for channel in np.unique(folded) if prune else range(len(LEGEND)):
-        score = blur_array(blur_array((folded == channel).astype(np.int64), weights, 1), weights, 0)
-        better = score > best
-        best[better], winner[better] = score[better], channel
+    channels = np.unique(folded).tolist() if prune else range(len(LEGEND))
+    kind = np.int32 if (2 * sum(weights)) ** 2 < 2**31 else np.int64
+    reach, winner = len(weights) - 1, np.zeros(values.shape, np.uint8)
+    for y in range(0, len(values), STRIP):
+        first, end = max(0, y - reach), min(len(values), y + STRIP + reach)
+        inner = slice(y - first, min(STRIP, len(values) - y) + y - first)
+        best = np.zeros((inner.stop - inner.start, values.shape[1]), kind)
+        out = winner[y : y + STRIP]
+        for channel in channels:
+            score = blur_array(blur_array((folded[first:end] == channel).astype(kind), weights, 1), weights, 0)[inner]
+            better = score > best
+            best[better], out[better] = score[better], channel
     return winner

@@ -17,7 +17,7 @@ from ..functions.geometry import lonlat, wkb
 from ..plans.settings import LEGEND, MERC, Grid
 from ..sources.legend import legend
 from .classify import classify_array, fold_array
-from .regions import area2, label, polygonize, sieve, simplify_coverage
+from .regions import area2, label, sieve, simplify_coverage
 
 FRAGMENT = "z int, bx int, by int, layer string, kind string, geom binary"
 #: Fragments and log rows come out of one pass; record_type tells them apart.
@@ -55,7 +55,7 @@ def block_polygons(values: np.ndarray, z: int, bx: int, by: int, grid: Grid) ->
     cleaned = sieve(classify_array(values, z, grid), grid.sieve_px)
     inner = cleaned[iy0 - y0 : iy1 - y0, ix0 - x0 : ix1 - x0]
     labels = label(inner)
-    simple = simplify_coverage(polygonize(labels), labels, grid.tolerance(z) / grid.metres_per_px(z))
+    simple = simplify_coverage(labels, grid.tolerance(z) / grid.metres_per_px(z))
     flat = inner.ravel()
     return [(int(flat[r]), [[(x + ix0, y + iy0) for x, y in ring] for ring in rings]) for r, rings in sorted(simple.items())]
 

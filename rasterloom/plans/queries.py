@@ -294,7 +294,7 @@ def q_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(a: np.ndarray) -> pd.DataFrame:
         labels = regions.label(a)
         before = regions.polygonize(labels)
-        after = regions.simplify_coverage(before, labels, 1.5)
+        after = regions.simplify_coverage(labels, 1.5)
         return pd.DataFrame([(r, sum(map(len, before[r])), sum(map(len, rings)), sum(map(regions.area2, rings)) / 2) for r, rings in after.items()], columns=["region", "n_before", "n_after", "area"])
 
     return per_raster(classes(spark, sf_dir), "channel", run, "region long, n_before long, n_after long, area double")

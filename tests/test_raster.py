@@ -140,7 +140,7 @@ def test_hole():
 def test_simplified_coverage_keeps_area_and_edge(seed):
     labels = regions.label(regions.sieve(blobs(seed), 28))
     before = regions.polygonize(labels)
-    after = regions.simplify_coverage(before, labels, 1.5)
+    after = regions.simplify_coverage(labels, 1.5)
     assert sum(sum(map(regions.area2, r)) for r in after.values()) == 2 * labels.size
     assert sum(len(x) for r in after.values() for x in r) < sum(len(x) for r in before.values() for x in r)
     segments = {}
@@ -153,6 +153,55 @@ def test_simplified_coverage_keeps_area_and_edge(seed):
         assert (q, p) in segments or p[0] == q[0] and p[0] in (0, w) or p[1] == q[1] and p[1] in (0, h)
 
 
+def crossings(segments):
+    """Pairs of segments that meet in another place than a common end."""
+    def side(p, q, r):
+        return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+
+    def within(p, q, r):
+        return min(p[0], q[0]) <= r[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= r[1] <= max(p[1], q[1])
+
+    found = 0
+    for i, (p, q) in enumerate(segments):
+        for r, s in segments[:i]:
+            a, b, c, d = side(p, q, r), side(p, q, s), side(r, s, p), side(r, s, q)
+            if a * b < 0 and c * d < 0:
+                found += 1
+            found += any(z == 0 and within(*line, t) and t not in line for z, line, t in ((a, (p, q), r), (b, (p, q), s), (c, (r, s), p), (d, (r, s), q)))
+    return found
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_simplified_borders_do_not_cross(seed):
+    """Noise, blobs, thin spirals and nested rings, at tolerances far above a pixel."""
+    rng = np.random.default_rng(seed)
+    y, x = np.mgrid[:24, :24]
+    for a in (rng.integers(0, 3, (24, 24)), blobs(seed, 24), (np.hypot(x - 12, y - 12) + seed).astype(int) % 2, ((x + seed) // 2 + y // 5) % 2 * 2 + (x * y % 7 == 0)):
+        labels = regions.label(a)
+        before = regions.polygonize(labels)
+        for tolerance in (1.5, 4, 50):
+            after = regions.simplify_coverage(labels, tolerance)
+            edges = {tuple(sorted((p, q))) for rings in after.values() for ring in rings for p, q in zip(ring, ring[1:] + ring[:1], strict=True)}
+            assert crossings(sorted(edges)) == 0
+            assert all(len(ring) >= 3 and regions.area2(ring) for rings in after.values() for ring in rings)
+            assert [[regions.area2(r) > 0 for r in rings] for rings in after.values()] == [[regions.area2(r) > 0 for r in rings] for rings in before.values()]
+            assert sum(sum(map(regions.area2, r)) for r in after.values()) == 2 * labels.size
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rings_equal_edges_one_by_one(seed):
+    """Each unit edge between unlike pixels belongs to one ring of each side."""
+    labels = regions.label(np.random.default_rng(seed).integers(0, 3, (13, 17)))
+    h, w = labels.shape
+    want = set()
+    for v in range(h):
+        for u in range(w):
+            around = (((u, v), (u + 1, v), v - 1, u), ((u + 1, v), (u + 1, v + 1), v, u + 1), ((u + 1, v + 1), (u, v + 1), v + 1, u), ((u, v + 1), (u, v), v, u - 1))
+            want |= {(labels[v, u], p, q) for p, q, j, i in around if not (0 <= j < h and 0 <= i < w) or labels[j, i] != labels[v, u]}
+    got = [(r, p, q) for r, rings in regions.polygonize(labels).items() for ring in rings for p, q in zip(ring, ring[1:] + ring[:1], strict=True)]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_uniform_block_equals_its_rectangle():
     grid = Grid(max_level=2, tile_px=16, block_tiles=2)
     records = fragments.process_window(np.full((57, 57), 30, np.uint8), 2, 0, 0, grid)
