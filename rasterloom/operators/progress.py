@@ -5,6 +5,13 @@ ranges' totals are summed in sequence. A frame of the last 64 rows is then a joi
 
 from __future__ import annotations
 
+import sys
+import threading
+import time
+from collections import deque
+from collections.abc import Callable
+from typing import TextIO
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,16 +33,20 @@ def numbered(log: DataFrame, width: int = RANGE) -> DataFrame:
     return out.select(*log.columns, (F.col("row_no") + F.col("rows_before")).alias("row_no"), (F.col("done") + F.col("done_before")).alias("done"))
 
 
-def sliding_rate(log: DataFrame, samples: int = SAMPLES, width: int = RANGE) -> DataFrame:
-    """seq, t_ms, n, done and rate: over the last `samples` rows, or since the start where these span no time, or 0."""
+def sliding_rate(log: DataFrame, samples: int = SAMPLES, width: int = RANGE, start_ms: int | None = None) -> DataFrame:
+    """seq, t_ms, n, done and rate: over the last `samples` rows, or since the start where these span no time, or 0.
+
+    The work started at start_ms (the first row's time, if it isn't given) with nothing done; that is a sample like the rows, the oldest
+    one until `samples` rows have come."""
     rows = numbered(log, width)
-    start = log.agg(F.min_by("t_ms", "seq").alias("start")).first().start
+    if start_ms is None:
+        start_ms = log.agg(F.min_by("t_ms", "seq").alias("start")).first().start
+    start = F.lit(start_ms).cast("long")
     oldest = rows.select((F.col("row_no") + samples - 1).alias("row_no"), F.col("t_ms").alias("old_t"), F.col("done").alias("old_done"))
-    first = rows.where("row_no = 1").select(F.col("t_ms").alias("first_t"), F.col("done").alias("first_done")).first()
     out = rows.join(oldest, "row_no", "left")
-    span = (F.col("t_ms") - F.coalesce("old_t", F.lit(first.first_t if first else None).cast("long"))) / 1000
-    grown = F.col("done") - F.coalesce("old_done", F.lit(first.first_done if first else None).cast("long"))
-    elapsed = (F.col("t_ms") - F.lit(start).cast("long")) / 1000
+    span = (F.col("t_ms") - F.coalesce("old_t", start)) / 1000
+    grown = F.col("done") - F.coalesce("old_done", F.lit(0))
+    elapsed = (F.col("t_ms") - start) / 1000
     rate = F.when(span > 0, grown / span).when(elapsed > 0, F.col("done") / elapsed).otherwise(0.0)
     return out.select(*log.columns, "done", rate.alias("rate"))
 
@@ -51,9 +62,10 @@ def with_eta(rates: DataFrame, total: Column) -> DataFrame:
 
 
 def percent_lines(log: DataFrame, total: Column, width: int = RANGE) -> DataFrame:
-    """The rows at which the whole percentage changes: seq, done, pct. The percentage before a row follows from the row itself."""
+    """The rows at which the whole percentage changes, from that of nothing done: seq, done, pct. The percentage before a row follows from
+    the row itself."""
     rows = numbered(log, width).withColumn("pct", percent(F.col("done"), total))
-    return rows.where((F.col("row_no") == 1) | (percent(F.col("done") - F.col("n"), total) != F.col("pct"))).select("seq", "done", "pct")
+    return rows.where(percent(F.col("done") - F.col("n"), total) != F.col("pct")).select("seq", "done", "pct")
 
 
 def status_line(done: Column, total: Column, rate: Column) -> Column:
@@ -64,3 +76,93 @@ def status_line(done: Column, total: Column, rate: Column) -> Column:
 def filled(done: Column, total: Column, width: int = 24) -> Column:
     """How many of the bar's cells are filled."""
     return F.floor(fraction(done, total) * width + 0.5).cast("int")
+
+
+def clock(seconds: float | None) -> str:
+    """The text of `duration`, for the driver."""
+    if seconds is None or seconds < 0:
+        return "--"
+    minutes, s = divmod(int(seconds + 0.5), 60)
+    hours, m = divmod(minutes, 60)
+    return f"{hours}h{m:02d}m" if hours else f"{m}m{s:02d}s" if m else f"{s}s"
+
+
+class Progress:
+    """Reports a running job on a text stream: a line at the start, at each new whole percentage and at the end; on a terminal one line
+    that is drawn again, with a bar, at most ten times a second."""
+
+    def __init__(self, total: int, label: str = "", out: TextIO | None = None, now: Callable[[], float] = time.monotonic) -> None:
+        self.total, self.label, self.out, self.now = total, label, out or sys.stderr, now
+        self.count, self.start = 0, now()
+        self.samples = deque([(self.start, 0)], maxlen=SAMPLES)
+        self.shown: tuple[float, int] | None = None
+        self.live = self.out.isatty()
+        self.show()
+
+    def rate(self) -> float:
+        (t0, n0), (t1, n1) = self.samples[0], self.samples[-1]
+        if t1 > t0:
+            return (n1 - n0) / (t1 - t0)
+        elapsed = self.now() - self.start
+        return self.count / elapsed if elapsed > 0 else 0.0
+
+    def status(self) -> str:
+        """The text of `status_line`."""
+        share, rate = self.count / self.total if self.total else 1.0, self.rate()
+        left = (self.total - self.count) / rate if rate > 0 and self.count < self.total else None
+        return f"{int(share * 100):3d}% {self.count}/{self.total} ({rate:.1f}/s, ETA {clock(left)})"
+
+    def show(self, force: bool = True) -> None:
+        now, share = self.now(), self.count / self.total if self.total else 1.0
+        if not force and (now - self.shown[0] < 0.1 if self.live else int(share * 100) == self.shown[1]):
+            return
+        self.shown, label = (now, int(share * 100)), f"{self.label} " if self.label else ""
+        if self.live:
+            cells = int(share * 24 + 0.5)
+            self.out.write(f"\r{label}[{'█' * cells}{'░' * (24 - cells)}] {self.status()}\x1b[K")
+        else:
+            self.out.write(f"{label}{self.status()}\n")
+        self.out.flush()
+
+    def tick(self, n: int = 1) -> None:
+        self.count += n
+        self.samples.append((self.now(), self.count))
+        self.show(False)
+
+    def set_label(self, label: str) -> None:
+        self.label = label
+
+    def done(self) -> None:
+        self.count = self.total
+        self.show()
+        if self.live:
+            self.out.write("\n")
+
+    def following(self, counted: Callable[[], int], every: float = 1.0) -> Following:
+        """A block during which a counter that tasks add to (an accumulator) is shown as it grows."""
+        return Following(self, counted, every)
+
+
+class Following:
+    def __init__(self, bar: Progress, counted: Callable[[], int], every: float) -> None:
+        self.bar, self.counted, self.every, self.over = bar, counted, every, threading.Event()
+        self.base, self.thread = bar.count, threading.Thread(target=self.run, daemon=True)
+
+    def look(self) -> None:
+        """Tasks that are run again count again, so the number is cut to what there is to do."""
+        grown = min(self.counted() + self.base, self.bar.total) - self.bar.count
+        if grown > 0:
+            self.bar.tick(grown)
+
+    def run(self) -> None:
+        while not self.over.wait(self.every):
+            self.look()
+
+    def __enter__(self) -> Progress:
+        self.thread.start()
+        return self.bar
+
+    def __exit__(self, *_: object) -> None:
+        self.over.set()
+        self.thread.join()
+        self.look()

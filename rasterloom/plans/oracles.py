@@ -96,9 +96,12 @@ TILES = boxes_sql("ours", "part", "p_partkey", "p_size")
 BASE = boxes_sql("base", "supplier", "s_suppkey", "s_nationkey")
 EVENTS = """log AS (SELECT event_id AS seq, epoch_us(ts) // 1000 AS t_ms, user_id % 3 + 1 AS n FROM events),
 done AS (SELECT *, CAST(sum(n) OVER (ORDER BY seq) AS BIGINT) AS done, CAST(sum(n) OVER () AS BIGINT) AS total, min(seq) OVER () AS first_seq FROM log),
+-- the ring: a sample (start, 0), then the rows; at most 64 are held
+ring AS (SELECT seq, t_ms, done, total FROM done UNION ALL SELECT min(seq) - 1, min_by(t_ms, seq), 0, min(total) FROM done),
 framed AS (
-  SELECT *, first_value(t_ms) OVER w AS old_t, first_value(done) OVER w AS old_done, first_value(t_ms) OVER (ORDER BY seq) AS start_t FROM done
-  WINDOW w AS (ORDER BY seq ROWS BETWEEN 63 PRECEDING AND CURRENT ROW)),
+  SELECT *, first_value(t_ms) OVER w AS old_t, first_value(done) OVER w AS old_done, first_value(t_ms) OVER (ORDER BY seq) AS start_t FROM ring
+  WINDOW w AS (ORDER BY seq ROWS BETWEEN 63 PRECEDING AND CURRENT ROW)
+  QUALIFY seq >= (SELECT min(first_seq) FROM done)),
 rated AS (
   SELECT *, CASE WHEN t_ms > old_t THEN (done - old_done) / ((t_ms - old_t) / 1000) WHEN t_ms > start_t THEN done / ((t_ms - start_t) / 1000) ELSE 0.0 END AS rate FROM framed)"""
 
@@ -180,8 +183,8 @@ SELECT id, c_nationkey, coalesce((SELECT sum(b.bytes) FROM c b WHERE b.c_nationk
 SELECT z, tx, ty, coalesce(CAST(a.n AS VARCHAR), '') || coalesce(CAST(b.n AS VARCHAR), '') AS data FROM a FULL OUTER JOIN b USING (z, tx, ty)""",
     "q_sliding_rate": f"WITH {EVENTS} SELECT seq, done, {micro('rate')} AS rate_micro FROM rated",
     "q_eta": f"WITH {EVENTS}, e AS (SELECT seq, done, CASE WHEN rate > 0 AND done < total THEN (total - done) / rate END AS eta FROM rated) SELECT seq, done, {said('eta')} AS eta_text FROM e",
-    "q_percent_lines": f"""WITH {EVENTS}, p AS (SELECT seq, done, total, CAST(floor(done / total * 100) AS INTEGER) AS pct FROM done), l AS (SELECT *, lag(pct) OVER (ORDER BY seq) AS before FROM p)
-SELECT seq, done, pct, {FILLED} AS cells FROM l WHERE before IS NULL OR before <> pct""",
+    "q_percent_lines": f"""WITH {EVENTS}, p AS (SELECT seq, done, total, CAST(floor(done / total * 100) AS INTEGER) AS pct FROM done), l AS (SELECT *, coalesce(lag(pct) OVER (ORDER BY seq), 0) AS before FROM p)
+SELECT seq, done, pct, {FILLED} AS cells FROM l WHERE before <> pct""",
     "q_duration_text": f"WITH o AS (SELECT o_orderkey, o_totalprice / 7 - 100 AS s FROM orders) SELECT o_orderkey, {said('s')} AS said FROM o",
     "q_json_hist": "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(CASE WHEN json_extract(props, '$.k') IS NULL THEN 0 ELSE 2 END AS INTEGER) AS n_buckets, count(*) AS n FROM events GROUP BY ALL",
     "q_listing_url": """SELECT s_suppkey, 'https://store.example/bucket?list-type=2&prefix=' || replace(replace(url_encode(s_name), '%20', '+'), '%23', '%23') || CASE WHEN s_suppkey % 2 = 0 THEN '&continuation-token=a%2Fb%2B' || s_suppkey ELSE '' END AS url FROM supplier""",

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.types import StructType
 
-KEY = r"<Key>([^<]*\.tif)</Key>"
-TOKEN = r"<NextContinuationToken>([^<]*)</NextContinuationToken>"
+KEY = r"<Key>([^<]+\.tif)</Key>"
+TOKEN = r"<NextContinuationToken>([^<]+)</NextContinuationToken>"
 TRUNCATED = r"<IsTruncated>true</IsTruncated>"
 
 
@@ -28,7 +28,8 @@ def next_token(xml: Column) -> Column:
 
 
 def pages(first: Callable[[str | None], tuple[int, str]]) -> Iterator[str]:
-    """Follows continuation tokens; first(token) returns (status, page). Another status than 200 is an error."""
+    """Follows continuation tokens; first(token) returns (status, page). Another status than 200 is an error. A page without a token, or
+    with an empty one, is the last."""
     token = None
     while True:
         status, page = first(token)

@@ -1,5 +1,7 @@
 """Rasters, classification, regions, fragments and tiles: goldens and properties over seeded rasters."""
 
+import io
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -252,16 +254,52 @@ def test_shared_zoom_is_an_error(spark):
     assert tiles.merge_features(t, t).count() == 2
 
 
+def ring_rates(rows, start):
+    """A ring of 64 samples that begins with (start, 0), fed one row at a time."""
+    ring, done, out = [(start, 0)], 0, []
+    for t, n in rows:
+        done += n
+        ring = [*ring, (t, done)][-64:]
+        span, elapsed = (ring[-1][0] - ring[0][0]) / 1000, (t - start) / 1000
+        out.append((ring[-1][1] - ring[0][1]) / span if span > 0 else done / elapsed if elapsed > 0 else 0.0)
+    return out
+
+
 def test_sliding_rate(spark):
-    log = spark.createDataFrame([(i, i * 1000, 0 if i == 0 else 1) for i in range(101)], "seq long, t_ms long, n long")
-    for width in (1 << 16, 7):
-        last = progress.sliding_rate(log, width=width).orderBy(F.desc("seq")).first()
-        assert (last.done, last.rate) == (100, 1.0)
+    rng = np.random.default_rng(7)
+    rows = [(int(t), int(n)) for t, n in zip(1000 + np.cumsum(rng.integers(0, 900, 150) * rng.integers(0, 2, 150)), rng.integers(0, 5, 150), strict=True)]
+    log = spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(rows)], "seq long, t_ms long, n long")
+    for width, start in ((1 << 16, None), (7, None), (50, 0)):
+        got = [r.rate for r in progress.sliding_rate(log, width=width, start_ms=start).orderBy("seq").collect()]
+        assert got == pytest.approx(ring_rates(rows, rows[0][0] if start is None else start))
+    steady = spark.createDataFrame([(i, i * 1000, 1) for i in range(1, 101)], "seq long, t_ms long, n long")
+    assert {r.rate for r in progress.sliding_rate(steady, start_ms=0).collect()} == {1.0}
     same = spark.createDataFrame([(1, 5, 50)], "seq long, t_ms long, n long")
     assert progress.sliding_rate(same).first().rate == 0.0
     assert progress.with_eta(progress.sliding_rate(same), F.lit(100)).first().eta_text == "--"
-    lines = [r.pct for r in progress.percent_lines(log, F.lit(100), width=10).orderBy("seq").collect()]
-    assert lines == sorted({int(i / 100 * 100) for i in range(101)})
+    lines = [r.pct for r in progress.percent_lines(steady, F.lit(100), width=10).orderBy("seq").collect()]
+    assert lines == sorted({int(i / 100 * 100) for i in range(1, 101)} - {0})
+
+
+def test_progress_of_a_running_job(spark):
+    out, at = io.StringIO(), [0.0]
+    bar = progress.Progress(200, "blocks", out, lambda: at[0])
+    for k in range(200):
+        at[0] += 0.5
+        bar.set_label("zoom 1" if k >= 100 else "blocks")
+        bar.tick()
+    bar.done()
+    lines = out.getvalue().splitlines()
+    assert lines[0] == "blocks   0% 0/200 (0.0/s, ETA --)" and lines[1] == "blocks   1% 2/200 (2.0/s, ETA 1m39s)"
+    assert len(lines) == 102 and lines[-1].startswith("zoom 1 100% 200/200")
+    counter, bar = spark.sparkContext.accumulator(0), progress.Progress(8, out=io.StringIO())
+    with bar.following(lambda: counter.value, 0.05):
+        spark.sparkContext.range(8, numSlices=4).foreach(lambda _: counter.add(1))
+    assert bar.count == 8
+    terminal = io.StringIO()
+    terminal.isatty = lambda: True
+    progress.Progress(4, out=terminal).done()
+    assert terminal.getvalue().endswith("] 100% 4/4 (" + terminal.getvalue().rsplit("(", 1)[1]) and "█" * 24 in terminal.getvalue()
 
 
 def test_build_resumes_and_merges(spark, tmp_path):
