@@ -9,7 +9,8 @@ under a uniform prior is Beta(m + 1, n - m + 1), and the pair is dropped once th
 What is wanted are components, so pairs that are joined already are never compared:
 1. every member of a bucket against the bucket's smallest member (a pair per member, not per pair of members);
 2. then, in buckets that still hold several components, members of different components, block by block, with the few best
-   partners in each other component first and at last all that survive, so that no link is lost for want of a partner.
+   partners in each other component first. A task says if it kept partners back; only its blocks are compared once more, with more
+   partners and at last with all that survive, so that no link is lost for want of a partner. Mostly no block is.
 Buckets are dealt out in blocks of `block` members; a group of any size is a number of bounded tasks, and the pairs that leave
 a task are only survivors between different components.
 
@@ -187,7 +188,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 
 
 def across(partners: int | None, percent: int = PERCENT):
-    """Survivors between different components of two blocks of a bucket; per member and other component the best `partners`.
+    """Survivors between different components of two blocks of a bucket; per member and other component the best `partners`. If there are
+    more, a row without a pair names the blocks.
 
     Whether a pair shares an earlier band is decided from the bands' keys, by which the buckets are made. The sketches would not do:
     in a near-duplicate pair six of a band's seven values are often equal, and the seventh's byte agrees by chance with 1/256."""
@@ -202,7 +204,7 @@ def across(partners: int | None, percent: int = PERCENT):
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         least = least_equal(len(FACTORS), percent)
         # Members of the most common component need no row of their own: their partners' rows meet them.
-        rows = np.flatnonzero(comp != most)
+        rows, held_back = np.flatnonzero(comp != most), False
         for r in rows:
             other = (comp != comp[r]) & ((comp == most) | (node > node[r])) if same else (comp != comp[r]) & (half != half[r]) & ((comp == most) | (node > node[r]))
             other &= (100 * np.minimum(size, size[r]) >= percent * np.maximum(size, size[r]))  # sets of other sizes can't be similar enough
@@ -223,23 +225,32 @@ def across(partners: int | None, percent: int = PERCENT):
                 alive, equal = alive[order], equal[order]
                 begins = np.flatnonzero(np.r_[True, comp[alive][1:] != comp[alive][:-1]])
                 nth = np.arange(len(alive)) - np.repeat(begins, np.diff(np.r_[begins, len(alive)]))
+                held_back |= bool((nth >= partners).any())
                 alive, equal = alive[nth < partners], equal[nth < partners]
             if len(alive):
                 found.append((np.minimum(node[r], node[alive]), np.maximum(node[r], node[alive]), equal))
         a, b, equal = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.empty(0, np.int64)] * 3
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "equal": pa.array(equal, pa.int32())})
+        pairs = pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "equal": pa.array(equal, pa.int32())})
+        rest = group.slice(0, int(held_back)).select(["key", "i", "j"])
+        return pa.concat_tables([pairs, rest], promote_options="default").select(["a", "b", "equal", "key", "i", "j"])
 
     return run
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, partners: int | None, block: int, percent: int = PERCENT) -> DataFrame:
-    """Surviving pairs of different components that share a bucket."""
+def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, partners: int | None, block: int, percent: int = PERCENT, only: DataFrame | None = None) -> DataFrame:
+    """a, b, equal: surviving pairs of different components that share a bucket; and key, i, j, without a pair: blocks of a bucket in which
+    partners were kept back. only: such blocks; no others are compared."""
     held = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     mixed_buckets = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key").join(nodes, "node")
+    held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
+    if only is not None:
+        held = held.join(only.select("key").distinct(), "key", "left_semi")
+    held = held.join(nodes, "node")
     held = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = held.select("key", "band", "node", "component", "size", "sketch", "bands", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("half"))
-    return dealt.groupBy("key", "i", "j").applyInArrow(across(partners, percent), "a long, b long, equal int").groupBy("a", "b").agg(F.max("equal").alias("equal"))
+    if only is not None:
+        dealt = dealt.join(only, ["key", "i", "j"], "left_semi").select(*dealt.columns)
+    return dealt.groupBy("key", "i", "j").applyInArrow(across(partners, percent), "a long, b long, equal int, key long, i int, j int")
 
 
 def link(docs: DataFrame, *, block: int = BLOCK, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -267,18 +278,23 @@ def link(docs: DataFrame, *, block: int = BLOCK, percent: int = PERCENT) -> tupl
     several = documents.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
     same_id = several.select("doc_id", "a").join(documents.select("doc_id", F.col("node").alias("b")), "doc_id").where("a < b").select("a", "b")
     links = as_table(confirm(first, sets, percent).select("a", "b").union(same_id.select("a", "b")), "links")
-    tested = first
+    tested, only = first, None
     labels = as_table(components(links), "labels")
     for partners in (0, *PARTNERS):
-        pairs = star.select("a", "b") if partners == 0 else cross_pairs(members, nodes, labels, partners, block, percent).select("a", "b")
+        if partners == 0:
+            pairs = star.select("a", "b")
+        else:
+            found = as_table(cross_pairs(members, nodes, labels, partners, block, percent, only), "across")
+            pairs, only = found.where("a is not null").select("a", "b").distinct(), found.where("a is null").select("key", "i", "j")
         pairs = as_table(open_pairs(pairs, labels).join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        new = as_table(confirm(pairs, sets, percent), "links")
-        tested = tested.union(pairs)
-        if not new.isEmpty():
-            links = links.union(new)
-            labels = as_table(components(links), "labels")
+        if not pairs.isEmpty():
+            new = as_table(confirm(pairs, sets, percent), "links")
+            tested = tested.union(pairs)
+            if not new.isEmpty():
+                links = links.union(new)
+                labels = as_table(components(links), "labels")
+        if only is not None and only.isEmpty():
+            break
     return documents, labels
 
 

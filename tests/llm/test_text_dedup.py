@@ -228,7 +228,27 @@ def test_a_band_that_only_looks_shared_takes_no_pair(spark, block):
     labels = spark.createDataFrame([], "node long, component long")
     for partners in near_dedup.PARTNERS:
         got = near_dedup.cross_pairs(members, nodes, labels, partners, block).collect()
-        assert [tuple(r) for r in got] == [(1, 2, near_dedup.VALUES)]
+        assert [tuple(r)[:3] for r in got] == [(1, 2, near_dedup.VALUES)]
+
+
+@pytest.mark.parametrize("partners,block", [((1, 2, None), 8192), ((1, None), 3), ((1,), 8192)])
+def test_partners_that_were_kept_back(docs_of, monkeypatch, partners, block):
+    """The leader of every bucket is an outlier, and the others' best partners in a component aren't similar enough: only blocks that kept
+    partners back are compared again, and no link is lost. With one round only, some are."""
+    rng = random.Random(6)
+    base = prose(rng, 120).split()
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for k in rng.sample(range(120), rng.choice([1, 2, 3, 4])):
+            words[k] = f"w{i}x{k}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(near_dedup, "PARTNERS", partners)
+    documents, labels = near_dedup.link(docs_of(rows), block=block)
+    found = {r.node: r.component for r in labels.collect()}
+    want = {i: c for i, _, c, _ in brute_components(rows)}
+    got = {r.doc_id: found.get(r.node, r.node) for r in documents.collect()}
+    assert got == want if partners[-1] is None else all(want[i] <= c for i, c in got.items())
 
 
 @pytest.mark.parametrize("seed", range(2))
