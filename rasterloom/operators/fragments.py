@@ -6,6 +6,7 @@ full chain: classify, sieve, crop, polygonize, simplify shared edges, and only t
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from .regions import area2, label, sieve, simplify_coverage
 
 FRAGMENT = "z int, bx int, by int, layer string, kind string, geom binary"
 #: Fragments and log rows come out of one pass; record_type tells them apart.
-RECORD = "record_type string, " + FRAGMENT + ", branch string, ms long, present string, channels int, n_polygons long, geom_bytes long"
+RECORD = "record_type string, " + FRAGMENT + ", branch string, ms long, ended double, present string, channels int, n_polygons long, geom_bytes long"
 KIND = {idx: (layer, kind) for idx, _, layer, kind, _, _ in LEGEND if layer is not None}
 
 
@@ -78,12 +79,12 @@ def process_window(values: np.ndarray, z: int, bx: int, by: int, grid: Grid) ->
             layer, kind = KIND[channel]
             geom = wkb([[[projected(x, y, z, grid) for x, y in ring] for ring in p] for p in parts])
             out.append({"record_type": "fragment", "layer": layer, "kind": kind, "geom": geom, "geom_bytes": len(geom)})
-    log = {"record_type": "log", "branch": branch, "kind": KIND[active[0]][1] if branch == "uniform" else None, "present": ",".join(map(str, present)), "channels": len(active) if branch == "full" else None, "ms": int((time.perf_counter() - began) * 1000), "n_polygons": len(out), "geom_bytes": sum(f["geom_bytes"] for f in out)}
+    log = {"record_type": "log", "branch": branch, "kind": KIND[active[0]][1] if branch == "uniform" else None, "present": ",".join(map(str, present)), "channels": len(active) if branch == "full" else None, "ms": int((time.perf_counter() - began) * 1000), "ended": time.time(), "n_polygons": len(out), "geom_bytes": sum(f["geom_bytes"] for f in out)}
     return [{"z": z, "bx": bx, "by": by} | r for r in [*out, log]]
 
 
-def process_blocks(chunks: DataFrame, grid: Grid) -> DataFrame:
-    """Records of all blocks. chunks: z, bx, by, x0, y0, width, height, data (uint8 bytes, row by row) - pieces of each block's window.
+def process_blocks(chunks: DataFrame, grid: Grid, count: Callable[[int], None] | None = None) -> DataFrame:
+    """Records of all blocks; count is called with 1 for each (an accumulator's add). chunks: z, bx, by, x0, y0, width, height, data (uint8 bytes, row by row) - pieces of each block's window.
 
     A group is one window, whose size the grid fixes; what no piece covers is 0."""
     names = [f.split(" ")[0] for f in RECORD.split(", ")]
@@ -97,7 +98,10 @@ def process_blocks(chunks: DataFrame, grid: Grid) -> DataFrame:
             u0, v0, u1, v1 = max(x0, p.x0), max(y0, p.y0), min(x1, p.x0 + p.width), min(y1, p.y0 + p.height)
             if u0 < u1 and v0 < v1:
                 values[v0 - y0 : v1 - y0, u0 - x0 : u1 - x0] = a[v0 - p.y0 : v1 - p.y0, u0 - p.x0 : u1 - p.x0]
-        return pd.DataFrame([[r.get(n) for n in names] for r in process_window(values, z, bx, by, grid)], columns=names, dtype=object)
+        made = process_window(values, z, bx, by, grid)
+        if count:
+            count(1)
+        return pd.DataFrame([[r.get(n) for n in names] for r in made], columns=names, dtype=object)
 
     return chunks.groupBy("z", "bx", "by").applyInPandas(run, RECORD)
 
@@ -107,9 +111,9 @@ def fragments_of(records: DataFrame) -> DataFrame:
 
 
 def log_of(records: DataFrame) -> DataFrame:
-    """A row per block: id, branch, ms, bytes by layer, present values, channels (full blocks), kind (uniform blocks)."""
+    """A row per block: id, branch, ms, ts (its end), bytes by layer, present values, channels (full blocks), kind (uniform blocks)."""
     sizes = records.where("record_type = 'fragment'").groupBy("z", "bx", "by").agg(*(F.sum(F.when(F.col("layer") == layer, F.col("geom_bytes"))).alias(name) for layer, name in (("land", "land_bytes"), ("water_polygons", "water_bytes"))))
-    blocks = records.where("record_type = 'log'").select("z", "bx", "by", "branch", "ms", "present", "channels", "kind")
+    blocks = records.where("record_type = 'log'").select("z", "bx", "by", "branch", "ms", F.col("ended").cast("timestamp").alias("ts"), "present", "channels", "kind")
     return blocks.join(sizes, ["z", "bx", "by"], "left")
 
 

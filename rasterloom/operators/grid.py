@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import block_window, blocks_per_axis, snap
@@ -41,6 +41,16 @@ def nonempty_blocks(blocks: DataFrame, cells: DataFrame, grid: Grid) -> DataFram
     return touching(block_windows(blocks, grid), cells, ["z", "bx", "by"])
 
 
+def row_major(blocks: DataFrame) -> DataFrame:
+    """Adds `nth`: the place of a block among those of its zoom, row by row from the north-west, from 0."""
+    return blocks.withColumn("nth", F.row_number().over(Window.partitionBy("z").orderBy("by", "bx")).cast("int") - 1)
+
+
+def in_order(blocks: DataFrame) -> DataFrame:
+    """Blocks by zoom, then row by row: ranges of neighbours, so that a task's windows share chunks."""
+    return blocks.orderBy("z", "by", "bx")
+
+
 def skipped_blocks(blocks: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     return blocks.join(nonempty_blocks(blocks, cells, grid), ["z", "bx", "by"], "left_anti")
 

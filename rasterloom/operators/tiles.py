@@ -4,19 +4,24 @@ Tiles are rows: z, tx, ty, layer, kind, geom (multi-polygon in tile units, 0..ex
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import clip, from_wkb, mercator, polygon_area, wkb
+from ..functions.geometry import Point, area, clip, from_wkb, mercator, polygon_area, wkb
 from ..functions.mvt import encode
 from ..plans.settings import MERC, WORLD
 
 EXTENT = 4096
 BUFFER = 80
 TILE = "z int, tx int, ty int, layer string, kind string, geom binary"
+#: Bytes of an encoded feature besides its geometry, and what a feature and its names take at most.
+FEATURE_BYTES, HEADER_BYTES = 8, 200
+
+Feature = tuple[str, str, list[list[list[Point]]]]
 
 
 def tile_range(low: Column, high: Column, z: Column, buffer: float = 0.0) -> Column:
@@ -57,40 +62,87 @@ def cut_tiles(fragments: DataFrame, extent: int = EXTENT, buffer: int = BUFFER)
     return fragments.select("z", "layer", "kind", "geom").mapInPandas(run, TILE)
 
 
-def coalesce_smallest(tiles: DataFrame, budget: int) -> DataFrame:
-    """Where a tile's geometry is over budget bytes, its smallest features are joined to the largest of their layer and kind until it
-    fits or one feature of each kind is left. Nothing is dropped. Tiles within budget skip the grouped pass."""
-    total = tiles.groupBy("z", "tx", "ty").agg(F.sum(F.octet_length("geom")).alias("bytes"))
+def snapped(ring: list[Point], step: int) -> list[Point]:
+    """The ring in units of `step`, without repeated points, points on straight stretches and spikes; empty if nothing is left of it.
+
+    Every point moves by its own place only, so rings that share a border still do."""
+    out: list[Point] = []
+    for x, y in ring:
+        p = (float(round(x / step) * step), float(round(y / step) * step))
+        if not out or out[-1] != p:
+            out.append(p)
+    changed = True
+    while changed and len(out) >= 3:
+        changed = False
+        for i in range(len(out) - 1, -1, -1):
+            if len(out) < 3:
+                break
+            (ax, ay), (bx, by), (cx, cy) = out[i - 1], out[i % len(out)], out[(i + 1) % len(out)]
+            if (bx - ax) * (cy - by) == (cx - bx) * (by - ay):
+                del out[i]
+                changed = True
+    return out if len(out) >= 3 and area(out) else []
+
+
+def coarser(polygons: list[list[list[Point]]], step: int) -> list[list[list[Point]]]:
+    """Polygons in units of `step`; those that are smaller vanish, and their neighbours' borders meet in their place."""
+    out = []
+    for rings in polygons:
+        kept = [r for r in (snapped(ring, step) for ring in rings[:1]) if r]
+        if kept:
+            out.append(kept + [r for r in (snapped(ring, step) for ring in rings[1:]) if r])
+    return out
+
+
+def within_budget(features: list[Feature], budget: int, extent: int) -> list[Feature]:
+    """Features (layer, kind, polygons) whose encoded tile has at most `budget` bytes. Of an over-full tile the smallest features are joined
+    to the largest of their layer and kind, one after the other; if that isn't enough, coordinates are rounded to 2, 4, 8 ... units."""
+
+    def size() -> int:
+        return len(encode(rows, extent))
+
+    rows = sorted(features, key=lambda f: (sum(map(polygon_area, f[2])), f[0], f[1], wkb(f[2])))
+    over = size() - budget
+    if over <= 0:
+        return rows
+    largest = {f[:2]: i for i, f in enumerate(rows)}
+    parts, gone = {i: [rows[i][2]] for i in largest.values()}, set()
+    for i, f in enumerate(rows):
+        if over > 0 and largest[f[:2]] != i:
+            parts[largest[f[:2]]].append(f[2])
+            gone.add(i)
+            over -= FEATURE_BYTES
+    rows = [(*f[:2], [p for part in parts.get(i, [f[2]]) for p in part]) for i, f in enumerate(rows) if i not in gone]
+    step = 2
+    while rows and size() > budget:
+        rows = [f for f in ((layer, kind, coarser(polygons, step)) for layer, kind, polygons in rows) if f[2]]
+        step *= 2
+    return rows
+
+
+def coalesce_smallest(tiles: DataFrame, budget: int, extent: int = EXTENT) -> DataFrame:
+    """Tiles whose encoded form has at most budget bytes each, see within_budget. Tiles that are sure to fit skip the grouped pass: a feature
+    takes fewer bytes encoded than as it is stored, but for its header and names."""
+    total = tiles.groupBy("z", "tx", "ty").agg((F.sum(F.octet_length("geom") + HEADER_BYTES)).alias("bytes"))
     sized = tiles.join(total, ["z", "tx", "ty"])
     fits = sized.where(F.col("bytes") <= budget).drop("bytes")
 
     def shrink(group: pd.DataFrame) -> pd.DataFrame:
-        rows = [[r.layer, r.kind, from_wkb(r.geom)] for r in group.itertuples(index=False)]
-        rows.sort(key=lambda r: (sum(map(polygon_area, r[2])), r[0], r[1], wkb(r[2])))
-        bytes_now = sum(len(wkb(r[2])) for r in rows)
-        i = 0
-        while bytes_now > budget and i < len(rows):
-            partner = next((j for j in range(len(rows) - 1, i, -1) if rows[j][:2] == rows[i][:2]), None)
-            if partner is None:
-                i += 1
-                continue
-            rows[partner][2] = rows[partner][2] + rows[i][2]
-            del rows[i]
-            bytes_now -= 9  # one multi-polygon header less
+        rows = within_budget([(r.layer, r.kind, from_wkb(r.geom)) for r in group.itertuples(index=False)], budget, extent)
         first = group.iloc[0]
         return pd.DataFrame([(first.z, first.tx, first.ty, layer, kind, wkb(p)) for layer, kind, p in rows], columns=["z", "tx", "ty", "layer", "kind", "geom"])
 
     return fits.unionByName(sized.where(F.col("bytes") > budget).drop("bytes").groupBy("z", "tx", "ty").applyInPandas(shrink, TILE))
 
 
-def encode_tiles(tiles: DataFrame, extent: int = EXTENT) -> DataFrame:
-    """z, tx, ty and the encoded tile. A group is one tile, which coalesce_smallest has brought under its budget."""
+def encode_tiles(tiles: DataFrame, extent: int = EXTENT, *, compress: bool = False) -> DataFrame:
+    """z, tx, ty and the encoded tile, gzipped if asked for. A group is one tile, which coalesce_smallest has brought under its budget."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         rows = sorted((r.layer, r.kind, r.geom) for r in group.itertuples(index=False))
         first = group.iloc[0]
         data = encode([(layer, kind, from_wkb(geom)) for layer, kind, geom in rows], extent)
-        return pd.DataFrame({"z": [first.z], "tx": [first.tx], "ty": [first.ty], "data": [data]})
+        return pd.DataFrame({"z": [first.z], "tx": [first.tx], "ty": [first.ty], "data": [gzip.compress(data, mtime=0) if compress else data]})
 
     return tiles.groupBy("z", "tx", "ty").applyInPandas(run, "z int, tx int, ty int, data binary")
 

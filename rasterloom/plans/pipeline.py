@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import fragments, grid, tiles
+from ..operators.progress import Progress
 from ..sources import sinks
 from ..sources.legend import active_channels
-from .settings import Grid
+from .settings import LAYERS, Grid
 
 
 def load_levels(base: DataFrame, out: str, grid_: Grid, chunk: int = 512) -> None:
-    """Base pixels (x, y, value at the top level) to a pyramid of sparse chunks, a level at a time from the one before.
+    """Base pixels (x, y, value at the top level) to a pyramid of sparse chunks. For rasters that come as chunks, see load_chunks."""
+    load_chunks(fragments.chunk_pixels(base.select(F.lit(grid_.max_level).alias("level"), "x", "y", "value"), chunk), out, grid_, chunk)
+
+
+def load_chunks(chunks: DataFrame, out: str, grid_: Grid, chunk: int = 512) -> None:
+    """Base chunks (cx, cy, data: chunk * chunk bytes, row by row) to a pyramid, a level at a time from the one before.
 
-    Only the base is ever in pixels; each coarser level is made chunk by chunk and read back from storage."""
-    spark = base.sparkSession
-    top = f"{out}/level={grid_.max_level}"
-    fragments.chunk_pixels(base.select(F.lit(grid_.max_level).alias("level"), "x", "y", "value"), chunk).drop("level").write.mode("overwrite").option("compression", "zstd").parquet(top)
+    The base is written as it comes, without a shuffle; each coarser level is made chunk by chunk and read back from storage."""
+    spark = chunks.sparkSession
+    chunks.select("cx", "cy", "data").write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={grid_.max_level}")
     for level in range(grid_.max_level - 1, -1, -1):
         above = spark.read.parquet(f"{out}/level={level + 1}")
         fragments.halve_chunks(above, chunk).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={level}")
@@ -44,37 +51,116 @@ def plan_blocks(spark: SparkSession, cells: DataFrame, grid_: Grid) -> DataFrame
     return blocks.join(F.broadcast(active), "z")  # a row per zoom
 
 
-def build(spark: SparkSession, levels: str, cells: DataFrame, out: str, grid_: Grid, *, chunk: int = 512, budget: int = 500_000) -> DataFrame:
-    """Fragments, log and tiles under out/<params hash>; returns the tiles. Blocks in the manifest of an earlier run are not done again.
+def runs_of(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the complete runs in a folder: those whose write has ended."""
+    return sorted(n for n in (int(name.removeprefix("run=")) for name in listed(spark, folder) if name.startswith("run=")) if "_SUCCESS" in listed(spark, f"{folder}/run={n}"))
 
-    All zooms are one plan; zoom is a partition column."""
-    root = f"{out}/{grid_.params_hash()}"
-    planned = plan_blocks(spark, cells, grid_)
-    if exists(spark, f"{root}/blocks"):
-        planned = planned.join(spark.read.parquet(f"{root}/blocks").select("z", "bx", "by"), ["z", "bx", "by"], "left_anti")
-    stored = spark.read.parquet(levels).select(F.col("level").cast("int").alias("level"), "cx", "cy", "data")
-    pieces = fragments.chunks_for_blocks(stored, planned, grid_, chunk)
-    # Records are written once; fragments, log and manifest are read from them, so the grouped pass runs once.
-    fragments.process_blocks(pieces, grid_).write.mode("overwrite").parquet(f"{root}/records")
-    records = spark.read.parquet(f"{root}/records")
-    sinks.append_fragments(fragments.fragments_of(records), f"{root}/fragments")
-    log = fragments.log_of(records)
-    sinks.append_log(log.withColumn("ts", F.current_timestamp()), f"{root}/log")
-    log.select("z", "bx", "by", "branch").write.mode("append").parquet(f"{root}/blocks")  # last: only then is a block done
-    made = tiles.coalesce_smallest(tiles.cut_tiles(read_fragments(spark, f"{root}/fragments")), budget)
-    sinks.write_tiles(made, f"{root}/tiles")
-    return spark.read.schema(tiles.TILE).parquet(f"{root}/tiles")
 
+def read_records(spark: SparkSession, root: str, runs: list[int], kind: str) -> DataFrame:
+    """Records of one kind of complete runs."""
+    if not runs:
+        return spark.createDataFrame([], fragments.RECORD)
+    read = spark.read.schema(fragments.RECORD).option("basePath", f"{root}/records")
+    return read.parquet(*(f"{root}/records/run={n}" for n in runs)).where(F.col("record_type") == kind)
 
-def read_fragments(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(fragments.FRAGMENT).parquet(path)
 
+def build(spark: SparkSession, levels: str, cells: DataFrame, out: str, grid_: Grid, *, chunk: int = 512, budget: int = 500_000, metadata: dict | None = None, bar: Progress | None = None) -> DataFrame:
+    """Fragments, log, tiles and container under out/<params hash>; returns the tiles as features.
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def merge(spark: SparkSession, ours: str, base: str, out: str) -> None:
+    A run's records are one write; it is what makes blocks done, and all else follows from complete runs and is made again where it is
+    missing: a log for each run, and the tiles of zooms that have newer records than tiles. So a build that is stopped anywhere and
+    started again ends with what it would have ended with. Blocks of complete runs are not done again. All zooms are one plan; bar, if
+    given, is followed while it runs."""
+    root = f"{out}/{grid_.params_hash()}"
+    before = runs_of(spark, f"{root}/records")
+    run = max(before, default=-1) + 1
+    planned = plan_blocks(spark, cells, grid_)
+    done = read_records(spark, root, before, "log").select("z", "bx", "by")
+    pending = planned.join(done, ["z", "bx", "by"], "left_anti")
+    stored = spark.read.parquet(levels).select(F.col("level").cast("int").alias("level"), "cx", "cy", "data")
+    pieces = fragments.chunks_for_blocks(stored, grid.in_order(pending), grid_, chunk)
+    counter = spark.sparkContext.accumulator(0)
+    with bar.following(lambda: counter.value) if bar else nullcontext():
+        sinks.write_records(fragments.process_blocks(pieces, grid_, counter.add), f"{root}/records/run={run}")
+    runs = [*before, run]
+    for n in runs:
+        if n not in runs_of(spark, f"{root}/log"):
+            sinks.write_log(log_of_run(spark, root, runs, n, planned, grid_), f"{root}/log/run={n}")
+    renew_tiles(spark, root, runs, grid_, budget, metadata or {})
+    return read_tiles(spark, root)
+
+
+def log_of_run(spark: SparkSession, root: str, runs: list[int], run: int, planned: DataFrame, grid_: Grid) -> DataFrame:
+    """A row for every block of the grid, row by row: those that the run has processed, those that an earlier one had (cached), and those
+    without a source tile (skip-empty)."""
+    files = read_records(spark, root, [run], "fragment").unionByName(read_records(spark, root, [run], "log"))
+    made = fragments.log_of(files)
+    cached = read_records(spark, root, [n for n in runs if n < run], "log").select("z", "bx", "by").distinct()
+    empty = grid.block_grid(spark, grid_).join(planned, ["z", "bx", "by"], "left_anti")
+    others = cached.withColumn("branch", F.lit("cached")).unionByName(empty.withColumn("branch", F.lit("skip-empty"))).withColumns({"ms": F.lit(0).cast("long"), "ts": F.current_timestamp()})
+    return grid.in_order(made.unionByName(others, allowMissingColumns=True))
+
+
+def newest_by_zoom(spark: SparkSession, folder: str, inside: str = "") -> dict[int, int]:
+    """For each zoom, the newest complete run that has a part of it."""
+    out: dict[int, int] = {}
+    for n in runs_of(spark, folder):
+        for name in listed(spark, f"{folder}/run={n}{inside}"):
+            if name.startswith("z="):
+                out[int(name.removeprefix("z="))] = n
+    return out
+
+
+def renew_tiles(spark: SparkSession, root: str, runs: list[int], grid_: Grid, budget: int, metadata: dict) -> None:
+    """Cuts the tiles of zooms whose newest fragments have none yet, and packs the container if it was made from other tiles."""
+    wanted, have = newest_by_zoom(spark, f"{root}/records", "/record_type=fragment"), newest_by_zoom(spark, f"{root}/tiles")
+    stale = [z for z, n in wanted.items() if have.get(z, -1) < n]
+    if stale:
+        pieces = read_records(spark, root, runs, "fragment").where(F.col("z").isin(stale))
+        sinks.write_tiles(tiles.coalesce_smallest(tiles.cut_tiles(pieces), budget), f"{root}/tiles/run={runs[-1]}")
+    made_from = [[z, n] for z, n in sorted(newest_by_zoom(spark, f"{root}/tiles").items())]
+    packed = "metadata.json" in listed(spark, f"{root}/container") and sinks.read_container(spark, f"{root}/container")[1]["made_from"]
+    if packed != made_from:
+        encoded = tiles.encode_tiles(read_tiles(spark, root), compress=True)
+        sinks.write_container(encoded, f"{root}/container", {**described(metadata, grid_), "made_from": made_from})
+
+
+def described(metadata: dict, grid_: Grid) -> dict:
+    """What a container says of itself: the given name, attribution and description, its zooms, and its layers with their attribute."""
+    return {"minzoom": 0, "maxzoom": grid_.max_level, "format": "pbf", "compression": "gzip", "vector_layers": [{"id": layer, "fields": {"kind": "String"}} for layer in LAYERS], **metadata}
+
+
+def read_tiles(spark: SparkSession, root: str) -> DataFrame:
+    """The tiles of a build: of each zoom the newest."""
+    newest = newest_by_zoom(spark, f"{root}/tiles")
+    if not newest:
+        return spark.createDataFrame([], tiles.TILE)
+    read = spark.read.schema(tiles.TILE).option("basePath", f"{root}/tiles")
+    return read.parquet(*(f"{root}/tiles/run={n}/z={z}" for z, n in sorted(newest.items()))).select("z", "tx", "ty", "layer", "kind", "geom")
+
+
+def read_fragments(spark: SparkSession, root: str) -> DataFrame:
+    """The fragments of a build, of all its complete runs."""
+    return fragments.fragments_of(read_records(spark, root, runs_of(spark, f"{root}/records"), "fragment"))
+
+
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any file system that the engine can read; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
+
+
+def merge_containers(spark: SparkSession, ours: str, base: str, out: str, metadata: dict | None = None) -> None:
+    """Two containers as one: the contents of each tile one after the other (their layers stand side by side)."""
+    (one, about), (two, about_base) = sinks.read_container(spark, ours), sinks.read_container(spark, base)
+    layers = {v["id"]: v for v in [*about_base.get("vector_layers", []), *about.get("vector_layers", [])]}
+    about.pop("made_from", None)
+    about_base.pop("made_from", None)
+    zooms = {"minzoom": min(about["minzoom"], about_base["minzoom"]), "maxzoom": max(about["maxzoom"], about_base["maxzoom"])}
+    sinks.write_container(tiles.merge_blobs(one, two), out, {**about_base, **about, **zooms, "vector_layers": list(layers.values()), **(metadata or {})})
+
+
+def merge(ours: DataFrame, base: DataFrame, out: str) -> None:
     """Both tile sets with all their features."""
-    sinks.write_tiles(tiles.merge_features(spark.read.schema(tiles.TILE).parquet(ours), spark.read.schema(tiles.TILE).parquet(base)), out)
+    sinks.write_tiles(tiles.merge_features(ours, base), out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import shutil
 import tempfile
@@ -36,24 +37,27 @@ def write_list(names: DataFrame, path: str) -> None:
     names.select("key").write.mode("overwrite").text(path)
 
 
-def write_fragments(fragments: DataFrame, path: str) -> None:
-    """Partitioned by zoom and layer; a partition that is written replaces only itself, so a build can be resumed by zoom."""
-    fragments.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("z", "layer").parquet(path)
+def write_records(records: DataFrame, path: str) -> None:
+    """What blocks have made, by kind of record and zoom. The folder counts once it is complete; an incomplete one is written anew."""
+    records.write.mode("overwrite").partitionBy("record_type", "z").parquet(path)
 
 
-def append_fragments(fragments: DataFrame, path: str) -> None:
-    fragments.write.mode("append").partitionBy("z", "layer").parquet(path)
+def write_tiles(tiles: DataFrame, path: str) -> None:
+    """Tiles by zoom, rows of a tile together."""
+    tiles.repartition("z", "tx", "ty").write.mode("overwrite").option("compression", "zstd").partitionBy("z").parquet(path)
 
 
-def write_levels(chunks: DataFrame, path: str) -> None:
-    """Raster chunks by level, zstd: a zoom's read prunes to its level."""
-    chunks.write.mode("overwrite").option("compression", "zstd").partitionBy("level").parquet(path)
+def write_container(encoded: DataFrame, path: str, metadata: dict) -> None:
+    """Encoded tiles (z, tx, ty, data) by zoom, in the order of their places, and beside them `metadata.json`: what a container of tiles says
+    of itself. The tiles are compressed already."""
+    encoded.repartitionByRange("z", "tx", "ty").sortWithinPartitions("z", "tx", "ty").write.mode("overwrite").option("compression", "none").partitionBy("z").parquet(f"{path}/tiles")
+    spark = encoded.sparkSession
+    spark.range(1).select(F.lit(json.dumps(metadata, sort_keys=True)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/metadata.json")
 
 
-def write_tiles(tiles: DataFrame, path: str, metadata: dict[str, str] | None = None) -> None:
-    """Tiles by zoom, rows of a tile together. metadata goes into the schema's comments."""
-    named = tiles.withMetadata("geom", metadata) if metadata else tiles
-    named.repartition("z", "tx", "ty").write.mode("overwrite").option("compression", "zstd").partitionBy("z").parquet(path)
+def read_container(spark, path: str) -> tuple[DataFrame, dict]:
+    tiles = spark.read.schema("tx int, ty int, data binary, z int").parquet(f"{path}/tiles").select("z", "tx", "ty", "data")
+    return tiles, json.loads(spark.read.text(f"{path}/metadata.json").first().value)
 
 
 def log_rows(log: DataFrame) -> DataFrame:
@@ -62,9 +66,9 @@ def log_rows(log: DataFrame) -> DataFrame:
     return log.select(iso_millis(F.col("ts")).alias("timestamp"), block_id(F.col("z"), F.col("bx"), F.col("by")).alias("id"), "branch", *(text(c) for c in LOG_COLUMNS[3:]))
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """Tab-separated rows under a header, one file per task."""
-    log_rows(log).select(*LOG_COLUMNS).write.mode("append").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
+def write_log(log: DataFrame, path: str) -> None:
+    """Tab-separated rows under a header, one file per task; a log that is there already is replaced."""
+    log_rows(log).select(*LOG_COLUMNS).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
 
 
 def style_rules(spark) -> DataFrame:
@@ -72,18 +76,54 @@ def style_rules(spark) -> DataFrame:
     return styled(spark).select("idx", "layer", "kind", colour(F.col("colour")).alias("fill"), F.concat(F.lit("\"kind\" = '"), F.col("kind"), F.lit("'")).alias("rule"))
 
 
+#: fixed values: what the desktop viewer writes for a plain fill without an outline.
+FILL_OPTIONS = (
+    ("border_width_map_unit_scale", "3x:0,0,0,0,0,0"),
+    ("color", None),
+    ("joinstyle", "bevel"),
+    ("offset", "0,0"),
+    ("offset_map_unit_scale", "3x:0,0,0,0,0,0"),
+    ("offset_unit", "MM"),
+    ("outline_color", "0,0,0,0,rgb:0,0,0,0"),
+    ("outline_style", "no"),
+    ("outline_width", "0"),
+    ("outline_width_unit", "MM"),
+    ("style", "solid"),
+)
+#: fixed values: layer flags of the viewer.
+LAYER_FLAGS = (("Identifiable", "1"), ("Removable", "1"), ("Searchable", "1"), ("Private", "0"))
+DOCTYPE = "<!DOCTYPE qgis PUBLIC 'http://mrcc.com/qgis.dtd' 'SYSTEM'>"
+
+
+def option_map(parent: ET.Element, options) -> ET.Element:
+    """A map of string options; one without a value is an empty option."""
+    held = ET.SubElement(parent, "Option", type="Map")
+    for name, value in options:
+        ET.SubElement(held, "Option", {"name": name} if value is None else {"type": "QString", "name": name, "value": value})
+    return held
+
+
 def style_sheet(spark) -> str:
     """A style document of the desktop viewer: one fill rule per kind, no outlines."""
-    root = ET.Element("qgis", version="3.40", styleCategories="AllStyleCategories")
+    root = ET.Element("qgis", version="3.40.3-Bratislava", styleCategories="AllStyleCategories", minScale="1e+08", maxScale="0", hasScaleBasedVisibilityFlag="0", autoRefreshTime="0", autoRefreshMode="Disabled")
+    flags = ET.SubElement(root, "flags")
+    for name, value in LAYER_FLAGS:
+        ET.SubElement(flags, name).text = value
+    ET.SubElement(ET.SubElement(root, "customproperties"), "Option")
     styles = ET.SubElement(ET.SubElement(root, "renderer", type="basic"), "styles")
+    none = (("name", ""), ("properties", None), ("type", "collection"))
     for r in style_rules(spark).orderBy("idx").collect():  # the legend: a dozen rows
         one = ET.SubElement(styles, "style", {"geometry": "2", "min-zoom": "-1", "max-zoom": "-1", "layer": r.layer, "enabled": "1", "name": r.kind, "expression": r.rule})
-        fill = ET.SubElement(ET.SubElement(ET.SubElement(one, "symbols"), "symbol", type="fill", name="0", alpha="1"), "layer", {"class": "SimpleFill", "enabled": "1", "pass": "0"})
-        options = ET.SubElement(fill, "Option", type="Map")
-        for name, value in (("color", r.fill), ("style", "solid"), ("outline_style", "no")):
-            ET.SubElement(options, "Option", type="QString", name=name, value=value)
+        symbol = ET.SubElement(ET.SubElement(one, "symbols"), "symbol", type="fill", name="0", alpha="1", is_animated="0", frame_rate="10", clip_to_extent="1", force_rhr="0")
+        option_map(ET.SubElement(symbol, "data_defined_properties"), none)
+        fill = ET.SubElement(symbol, "layer", {"class": "SimpleFill", "enabled": "1", "locked": "0", "pass": "0"})
+        option_map(fill, ((name, r.fill if name == "color" else value) for name, value in FILL_OPTIONS))
+        option_map(ET.SubElement(fill, "data_defined_properties"), none)
+    ET.SubElement(ET.SubElement(root, "labeling", type="basic", labelsEnabled="0"), "styles")
+    ET.SubElement(root, "blendMode").text = "0"
+    ET.SubElement(root, "layerOpacity").text = "1"
     ET.indent(root)
-    return ET.tostring(root, encoding="unicode")
+    return f"{DOCTYPE}\n{ET.tostring(root, encoding='unicode')}\n"
 
 
 def write_style(spark, path: str) -> None:

@@ -1,5 +1,6 @@
 """Rasters, classification, regions, fragments and tiles: goldens and properties over seeded rasters."""
 
+import gzip
 import io
 
 import numpy as np
@@ -10,6 +11,7 @@ from rasterloom.functions import geometry
 from rasterloom.operators import classify, fragments, progress, regions, resample, tiles
 from rasterloom.plans import pipeline
 from rasterloom.plans.settings import FIXTURE, Grid
+from rasterloom.sources import sinks
 
 CODES = np.array([0, 10, 20, 30, 40, 50, 80, 95], np.uint8)
 
@@ -241,12 +243,31 @@ def test_coalesce_keeps_everything(spark):
         return geometry.wkb([[[(x, 0.0), (x + n, 0.0), (x + n, n), (x, n)]]])
 
     rows = [(0, 0, 0, "land", "forest", square(float(i * 10), float(i + 1))) for i in range(8)] + [(0, 0, 0, "land", "scrub", square(100.0, 1.0)), (1, 0, 0, "land", "forest", square(0.0, 1.0))]
-    out = tiles.coalesce_smallest(spark.createDataFrame(rows, tiles.TILE), 300).collect()
+    out = tiles.coalesce_smallest(spark.createDataFrame(rows, tiles.TILE), 200).collect()
     parts = [p for r in out for p in geometry.from_wkb(r.geom)]
     assert len(parts) == 10 and len(out) < 10
     assert sum(map(geometry.polygon_area, parts)) == sum((i + 1) ** 2 for i in range(8)) + 2
 
 
+@pytest.mark.parametrize("budget", [60, 400, 2000])
+def test_a_byte_budget_is_met(spark, budget):
+    """200 features of a shared grid of wavy borders, ten times over budget; neighbours still share their borders."""
+    wave = lambda i, j: (float(i * 100 + j * 7 % 13), float(j * 20 + i * 5 % 11))
+    rows = []
+    for i in range(20):
+        for j in range(10):
+            ring = [wave(i, 5 * j + k) for k in range(6)] + [wave(i + 1, 5 * j + k) for k in range(5, -1, -1)]
+            rows.append((3, 1, 2, "land", ("forest", "scrub", "heath")[(i + j) % 3], geometry.wkb([[ring]])))
+    df = spark.createDataFrame(rows, tiles.TILE)
+    made = tiles.coalesce_smallest(df, budget)
+    encoded = tiles.encode_tiles(made).collect()
+    assert all(len(r.data) <= budget for r in encoded) and (encoded or budget == 60)
+    parts = [p for r in made.collect() for p in geometry.from_wkb(r.geom)]
+    whole = sum(geometry.polygon_area(p) for r in rows for p in geometry.from_wkb(r[5]))
+    if budget == 2000:
+        assert sum(map(geometry.polygon_area, parts)) == pytest.approx(whole, rel=0.1)
+
+
 def test_shared_zoom_is_an_error(spark):
     t = spark.createDataFrame([(1, 0, 0, "land", "forest", b"")], tiles.TILE)
     with pytest.raises(ValueError):
@@ -302,21 +323,88 @@ def test_progress_of_a_running_job(spark):
     assert terminal.getvalue().endswith("] 100% 4/4 (" + terminal.getvalue().rsplit("(", 1)[1]) and "█" * 24 in terminal.getvalue()
 
 
-def test_build_resumes_and_merges(spark, tmp_path):
+EVERYWHERE = [(lat, lon) for lat in range(-90, 90, 3) for lon in range(-180, 180, 3)]
+CELLS = "lat int, lon int"
+
+
+@pytest.fixture(scope="module")
+def levels(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("raster") / "levels")
+    pipeline.load_levels(rows_of(spark, blobs(5, 64)), path, FIXTURE, chunk=16)
+    return path
+
+
+def built(spark, levels, cells, out, **options):
+    """What a build leaves: tiles, fragments and the container's tiles, sorted."""
+    made = pipeline.build(spark, levels, spark.createDataFrame(cells, CELLS), str(out), FIXTURE, chunk=16, **options)
+    root = f"{out}/{FIXTURE.params_hash()}"
+    packed, about = sinks.read_container(spark, f"{root}/container")
+    return [sorted(map(repr, df.collect())) for df in (made, pipeline.read_fragments(spark, root), packed)], about
+
+
+def log_lines(out):
+    return [sorted(line.split("\t")[1:3] for f in sorted(run.glob("*.csv")) for line in f.read_text().splitlines()[1:]) for run in sorted((out / FIXTURE.params_hash() / "log").glob("run=*"))]
+
+
+def test_build_resumes_and_merges(spark, levels, tmp_path):
     a = blobs(5, 64)
-    grid = FIXTURE
-    pipeline.load_levels(rows_of(spark, a), str(tmp_path / "levels"), grid, chunk=16)
-    levels = spark.read.parquet(str(tmp_path / "levels"))
-    top = {(r.x, r.y): r.value for r in pipeline.pixels_of(levels.where("level = 2"), 16).collect()}
+    top = {(r.x, r.y): r.value for r in pipeline.pixels_of(spark.read.parquet(levels).where("level = 2"), 16).collect()}
     assert all(top.get((x, y), 0) == a[y, x] for x in range(64) for y in range(64))
-    cells = spark.createDataFrame([(lat, lon) for lat in range(-90, 90, 3) for lon in range(-180, 180, 3)], "lat int, lon int")
-    first = sorted(map(tuple, pipeline.build(spark, str(tmp_path / "levels"), cells, str(tmp_path / "out"), grid, chunk=16).collect()))
-    again = sorted(map(tuple, pipeline.build(spark, str(tmp_path / "levels"), cells, str(tmp_path / "out"), grid, chunk=16).collect()))
-    assert first and first == again
-    root = tmp_path / "out" / grid.params_hash()
-    assert spark.read.parquet(str(root / "blocks")).count() == 6
-    pipeline.merge(spark, str(root / "tiles"), str(root / "tiles"), str(tmp_path / "merged"))
-    assert spark.read.parquet(str(tmp_path / "merged")).count() == 2 * len(first)
+    bar = progress.Progress(6, out=io.StringIO())
+    first, about = built(spark, levels, EVERYWHERE, tmp_path / "out", metadata={"name": "classes", "attribution": "none"}, bar=bar)
+    assert bar.count == 6 and about["name"] == "classes" and about["maxzoom"] == 2 and [v["id"] for v in about["vector_layers"]] == ["land", "water_polygons"]
+    assert all(first) and first == built(spark, levels, EVERYWHERE, tmp_path / "out")[0]
+    one, two = log_lines(tmp_path / "out")
+    assert len(one) == len(two) == 6 and {b for _, b in two} == {"cached"} and "cached" not in {b for _, b in one}
+    root = f"{tmp_path}/out/{FIXTURE.params_hash()}"
+    ours = pipeline.read_tiles(spark, root)
+    pipeline.merge(ours, ours, str(tmp_path / "merged"))
+    assert spark.read.parquet(str(tmp_path / "merged")).count() == 2 * len(first[0])
+    pipeline.merge_containers(spark, f"{root}/container", f"{root}/container", f"{tmp_path}/both")
+    both, about = sinks.read_container(spark, f"{tmp_path}/both")
+    single = {(r.z, r.tx, r.ty): gzip.decompress(r.data) for r in sinks.read_container(spark, f"{root}/container")[0].collect()}
+    assert {(r.z, r.tx, r.ty): gzip.decompress(r.data) for r in both.collect()} == {k: 2 * v for k, v in single.items()}
+    assert about["attribution"] == "none"
+
+
+WRITES = ("write_records", "write_log", "write_tiles", "write_container")
+
+
+@pytest.mark.parametrize("stop", WRITES)
+@pytest.mark.parametrize("after", [True, False])
+def test_a_build_that_was_stopped_ends_the_same(spark, levels, tmp_path, monkeypatch, stop, after):
+    """Stopped right before or right after each write, with a part of the blocks done earlier, then started again."""
+    half = [c for c in EVERYWHERE if c[1] < -3]
+    whole, _ = built(spark, levels, EVERYWHERE, tmp_path / "whole")
+    built(spark, levels, half, tmp_path / "out")
+    real = getattr(sinks, stop)
+
+    def stopped(*args):
+        if after:
+            real(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(sinks, stop, stopped)
+    with pytest.raises(KeyboardInterrupt):
+        built(spark, levels, EVERYWHERE, tmp_path / "out")
+    monkeypatch.setattr(sinks, stop, real)
+    assert built(spark, levels, EVERYWHERE, tmp_path / "out")[0] == whole
+    done = [i for run in log_lines(tmp_path / "out") for i, branch in run if branch not in ("cached", "skip-empty")]
+    assert len(done) == len(set(done)) == 6 and all(len(run) == 6 for run in log_lines(tmp_path / "out"))
+
+
+def test_a_run_that_was_cut_short_does_not_count(spark, levels, tmp_path):
+    """Files of a run without its mark of success are replaced."""
+    whole, _ = built(spark, levels, EVERYWHERE, tmp_path / "out")
+    (tmp_path / "out" / FIXTURE.params_hash() / "records" / "run=0" / "_SUCCESS").unlink()
+    assert built(spark, levels, EVERYWHERE, tmp_path / "out")[0] == whole
+
+
+def test_only_touched_zooms_are_cut_again(spark, levels, tmp_path):
+    built(spark, levels, [(0, -180)], tmp_path / "out")
+    built(spark, levels, EVERYWHERE, tmp_path / "out")
+    root = f"{tmp_path}/out/{FIXTURE.params_hash()}"
+    assert pipeline.newest_by_zoom(spark, f"{root}/tiles") == {0: 0, 1: 0, 2: 1}
 
 
 @pytest.mark.parametrize("seed", range(2))
