@@ -25,6 +25,20 @@ def x_of(lon: Column) -> Column:
     return lon / 180 * MERC
 
 
+def corner_lonlat(x: Column, y: Column, z: Column, grid: Grid) -> tuple[Column, Column]:
+    """Degrees of a pixel corner of level z."""
+    px = metres_per_px(z, grid)
+    return lon_of(x * px - MERC), lat_of(F.lit(MERC) - y * px)
+
+
+def pixel_at(lon: Column, lat: Column, z: int, grid: Grid) -> tuple[Column, Column]:
+    """The pixel of level z that holds a point in degrees; points beyond the square's latitudes are in no pixel (null)."""
+    px, last = grid.metres_per_px(z), grid.size_px(z) - 1
+    x, y = F.floor((x_of(lon) + MERC) / px), F.floor((F.lit(MERC) - y_of(lat)) / px)
+    inside = x.between(0, last) & y.between(0, last)
+    return F.when(inside, x).cast("int"), F.when(inside, y).cast("int")
+
+
 def blocks_per_axis(z: Column, grid: Grid) -> Column:
     return F.ceil(F.pow(F.lit(2.0), z) / grid.block_tiles).cast("int")
 

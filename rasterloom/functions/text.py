@@ -88,6 +88,11 @@ def dir_name(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*$", "")
 
 
+def lines(whole: Column) -> Column:
+    """The lines of a text, trimmed, without empty ones."""
+    return F.filter(F.transform(F.split(whole, "\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
 def buckets_of(json: Column) -> Column:
     """bands[0].histogram.buckets of a JSON text; an empty list where any part is missing."""
     return F.coalesce(F.from_json(F.get_json_object(json, "$.bands[0].histogram.buckets"), "array<bigint>"), F.array().cast("array<bigint>"))

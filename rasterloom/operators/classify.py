@@ -88,7 +88,7 @@ def blur_array(mask: np.ndarray, weights: list[int], axis: int) -> np.ndarray:
 
 
 #: Rows that are scored at once.
-STRIP = 512
+STRIP = 128
 
 
 def classify_array(values: np.ndarray, z: int, grid: Grid, *, prune: bool = True) -> np.ndarray:
@@ -96,7 +96,6 @@ def classify_array(values: np.ndarray, z: int, grid: Grid, *, prune: bool = True
 
     Strip by strip of rows, each with the rows that the blur reaches, so that scores are never held for a whole window."""
     folded, weights = fold_array(values, z), grid.kernel()
-    channels = np.unique(folded).tolist() if prune else range(len(LEGEND))
     kind = np.int32 if (2 * sum(weights)) ** 2 < 2**31 else np.int64
     reach, winner = len(weights) - 1, np.zeros(values.shape, np.uint8)
     for y in range(0, len(values), STRIP):
@@ -104,7 +103,7 @@ def classify_array(values: np.ndarray, z: int, grid: Grid, *, prune: bool = True
         inner = slice(y - first, min(STRIP, len(values) - y) + y - first)
         best = np.zeros((inner.stop - inner.start, values.shape[1]), kind)
         out = winner[y : y + STRIP]
-        for channel in channels:
+        for channel in np.flatnonzero(np.bincount(folded[first:end].ravel())).tolist() if prune else range(len(LEGEND)):
             score = blur_array(blur_array((folded[first:end] == channel).astype(kind), weights, 1), weights, 0)[inner]
             better = score > best
             best[better], out[better] = score[better], channel

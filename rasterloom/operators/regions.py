@@ -129,8 +129,8 @@ def boundary_edges(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
         place = y * w + x
         keys.append(place * 4 + side)
         to.append((place + dy * w + dx) * 4 + turn)
-        xs.append(x + corner[0])
-        ys.append(y + corner[1])
+        xs.append((x + corner[0]).astype(np.int32))
+        ys.append((y + corner[1]).astype(np.int32))
         owners.append(own)
     keys, to, xs, ys, owners = map(np.concatenate, (keys, to, xs, ys, owners))
     order = np.argsort(keys)
@@ -149,7 +149,6 @@ def traced(labels: np.ndarray, kept: np.ndarray | None = None) -> dict[int, list
         dx, dy = xs[following] - xs, ys[following] - ys
         wanted = (kept[ys, xs] | (dx != dx[before]) | (dy != dy[before])).astype(np.uint8).tobytes()
     follow, seen = following.tolist(), bytearray(len(following))
-    x_of, y_of, owner = xs.tolist(), ys.tolist(), owners.tolist()
     out: dict[int, list[Ring]] = defaultdict(list)
     for first in range(len(follow)):
         if not seen[first]:
@@ -157,9 +156,9 @@ def traced(labels: np.ndarray, kept: np.ndarray | None = None) -> dict[int, list
             while not seen[at]:
                 seen[at] = 1
                 if wanted[at]:
-                    ring.append((x_of[at], y_of[at]))
+                    ring.append(at)
                 at = follow[at]
-            out[owner[first]].append(ring)
+            out[int(owners[first])].append(list(zip(xs[ring].tolist(), ys[ring].tolist(), strict=True)))
     return {r: sorted(rings, key=lambda ring: (-area2(ring), ring)) for r, rings in out.items()}
 
 

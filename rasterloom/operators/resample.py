@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.geo import pixel_at
 from ..plans.settings import Grid
 
 
@@ -20,6 +21,15 @@ def resample(pixels: DataFrame, x: Column, y: Column) -> DataFrame:
     return pixels.groupBy(x.cast("int").alias("x"), y.cast("int").alias("y")).agg(mode_of("value").alias("value"))
 
 
+def warp(samples: DataFrame, z: int, grid: Grid) -> DataFrame:
+    """x, y, value of level z from source cells in degrees (lon, lat of their centres, value): the dominant value of each target pixel.
+
+    One aggregation, counted map-side; the sources needn't be joined into one raster first."""
+    x, y = pixel_at(F.col("lon"), F.col("lat"), z, grid)
+    placed = samples.select(x.alias("x"), y.alias("y"), "value").where("x is not null")
+    return resample(placed, F.col("x"), F.col("y"))
+
+
 def halve(pixels: DataFrame, factor: int = 2) -> DataFrame:
     return resample(pixels, F.floor(F.col("x") / factor), F.floor(F.col("y") / factor))
 

@@ -192,4 +192,30 @@ SELECT seq, done, pct, {FILLED} AS cells FROM l WHERE before <> pct""",
   (s_suppkey % 3) || CASE WHEN s_suppkey % 3 = 1 THEN ' entry' ELSE ' entries' END AS entries FROM supplier""",
     "q_windowed_rate": f"""WITH e AS (SELECT CAST(floor(epoch_ms(ts) / 60000) AS BIGINT) * 60 - k * 60 AS start_s, event_type FROM events, range(5) t(k))
 SELECT start_s, event_type, count(*) AS n, {micro('(count(*) / 300)')} AS rate_micro FROM e GROUP BY start_s, event_type""",
+    "q_block_order": f'WITH {BLOCKS} SELECT z, bx, by_ AS "by", CAST(by_ * ceil(2 ** z / {G.block_tiles}) + bx AS INTEGER) AS nth FROM blocks',
+    "q_cell_keys": f"WITH {NAMES} SELECT lat || ',' || lon AS cell FROM cells",
+    "q_path_parts": f"WITH {NAMES} SELECT key, CASE WHEN contains(key, '/') THEN 'map' ELSE key END AS folder, string_split(key, '/')[-1] AS name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'[length(key) % 25 + 1] AS band FROM names",
+    "q_lines": "SELECT s_suppkey, CAST(nth AS INTEGER) AS nth, CASE nth WHEN 0 THEN s_name WHEN 1 THEN CAST(s_suppkey AS VARCHAR) ELSE 'end' END AS line FROM supplier, range(3) t(nth)",
+    "q_active_layers": f"WITH {ZOOMS} SELECT z, true AS has_land, z <= 3 AS has_water FROM zooms",
+    "q_project_points": f"""WITH p AS (SELECT c_custkey, c_custkey * 7919 % 3590000 / 10000 - 179.5 AS lon, c_custkey * 104729 % 1700000 / 10000 - 85 AS lat FROM customer)
+SELECT c_custkey, {micro(f'(lon / 180 * {MERC!r})', '1000')} AS x_mm, {micro(f'(ln(tan(pi() / 4 + radians(lat) / 2)) / pi() * {MERC!r})', '1000')} AS y_mm, {micro('lon')} AS lon_micro, {micro('lat')} AS lat_micro FROM p""",
+    "q_pixel_corners": f"""WITH p AS (SELECT p_partkey, {WORLD!r} / 2 ** (p_partkey % 11) / {G.tile_px} AS px, p_partkey * 31 % 1024 AS x, p_partkey * 17 % 1024 AS y FROM part)
+SELECT p_partkey, {micro(f'((x * px - {MERC!r}) / {MERC!r} * 180)')} AS lon_micro, {micro(f'degrees(2 * atan(exp(({MERC!r} - y * px) / {MERC!r} * pi())) - pi() / 2)')} AS lat_micro FROM p""",
+    "q_warp": f"""WITH c AS (SELECT (l_partkey * 7 % 540) / 1.5 - 179.7 AS lon, (l_suppkey * 11 % 270) / 1.5 - 89.6 AS lat, [0, 10, 30, 80, 50][CAST(l_quantity AS INTEGER) % 5 + 1] AS value FROM lineitem),
+m AS (SELECT CAST(floor((lon + 180) / 360 * {SIZE}) AS INTEGER) AS x, CAST(floor((1 - ln(tan(pi() / 4 + radians(lat) / 2)) / pi()) / 2 * {SIZE}) AS INTEGER) AS y, value FROM c)
+SELECT x, y, value FROM (SELECT x, y, value, row_number() OVER (PARTITION BY x, y ORDER BY count(*) DESC, value) AS n FROM m WHERE x BETWEEN 0 AND {SIZE - 1} AND y BETWEEN 0 AND {SIZE - 1} GROUP BY x, y, value) s WHERE n = 1""",
+    "q_simplify_checks": f"""WITH RECURSIVE {REGIONS}, sides AS (
+  SELECT a.region, (SELECT count(*) FROM regions b WHERE abs(a.x - b.x) + abs(a.y - b.y) = 1 AND a.region = b.region) AS same FROM regions a)
+SELECT count(DISTINCT region) AS regions, CAST(sum(4 - same) AS BIGINT) AS corners, count(*) AS area, CAST(0 AS BIGINT) AS wrong FROM sides""",
+    "q_sieve_checks": f"SELECT CAST({SIZE * SIZE} AS BIGINT) AS pixels, CAST(0 AS BIGINT) AS small",
+    "q_rectangle_rings": f"""WITH {UNIFORM} SELECT z, bx, by_ AS "by", CAST(nth AS INTEGER) AS nth, {micro('(CASE WHEN nth IN (1, 2) THEN east ELSE west END)')} AS x_micro, {micro('(CASE WHEN nth IN (2, 3) THEN north ELSE south END)')} AS y_micro FROM uniform, range(5) t(nth)""",
+    "q_fragment_bytes": """WITH b AS (SELECT DISTINCT CAST(c_custkey % 50 AS INTEGER) AS bx, CAST(c_custkey % 7 AS INTEGER) AS by_ FROM customer),
+o AS (SELECT CAST(o_custkey % 50 AS INTEGER) AS bx, CAST(o_custkey % 7 AS INTEGER) AS by_, o_orderkey % 3 = 0 AS water, length(o_orderpriority) AS n FROM orders)
+SELECT 3 AS z, b.bx, b.by_ AS "by", 'full' AS branch, CAST(sum(n) FILTER (NOT water) AS BIGINT) AS land_bytes, CAST(sum(n) FILTER (water) AS BIGINT) AS water_bytes FROM b LEFT JOIN o USING (bx, by_) GROUP BY b.bx, b.by_""",
+    "q_cut_boxes": """WITH b AS (SELECT p_partkey AS id, CAST(p_partkey % 5 AS INTEGER) AS z, (p_partkey * 37 % 128) / 128.0 * 2 ** (p_partkey % 5) AS u0, (p_partkey * 61 % 128) / 128.0 * 2 ** (p_partkey % 5) AS v0, p_size % 4 / 2.0 AS w, p_size % 3 / 4.0 AS h FROM part),
+t AS (SELECT id, z, CAST(i AS INTEGER) AS tx, CAST(j AS INTEGER) AS ty, greatest((u0 - i) * 4096, -80) AS x0, least((u0 + w - i) * 4096, 4176) AS x1, greatest((v0 - j) * 4096, -80) AS y0, least((v0 + h - j) * 4096, 4176) AS y1
+  FROM b, range(16) a(i), range(16) c(j) WHERE i < 2 ** z AND j < 2 ** z AND w > 0 AND h > 0 AND u0 + w <= 2 ** z AND v0 + h <= 2 ** z)
+SELECT id, z, tx, ty, CAST(round(x0) AS BIGINT) AS x0, CAST(round(x1) AS BIGINT) AS x1, CAST(round(y0) AS BIGINT) AS y0, CAST(round(y1) AS BIGINT) AS y1 FROM t WHERE round(x0) < round(x1) AND round(y0) < round(y1)""",
+    "q_status_lines": f"""WITH {EVENTS}, p AS (SELECT seq, done, total, CAST(floor(done / total * 100) AS INTEGER) AS pct FROM done), l AS (SELECT *, coalesce(lag(pct) OVER (ORDER BY seq), 0) AS before, CASE WHEN done < total THEN (total - done) / (2 / 7) END AS eta FROM p)
+SELECT seq, lpad(CAST(pct AS VARCHAR), 3, ' ') || '% ' || done || '/' || total || ' (0.3/s, ETA ' || {said('eta')} || ')' AS line FROM l WHERE before <> pct""",
 }

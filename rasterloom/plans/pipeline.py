@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import fragments, grid, tiles
 from ..operators.progress import Progress
 from ..sources import sinks
-from ..sources.legend import active_channels
+from ..sources.legend import active_layers
 from .settings import LAYERS, Grid
 
 
@@ -46,7 +46,7 @@ def pixels_of(chunks: DataFrame, chunk: int = 512) -> DataFrame:
 
 def plan_blocks(spark: SparkSession, cells: DataFrame, grid_: Grid) -> DataFrame:
     """z, bx, by of blocks that touch an occupied cell, with the layers that their zoom draws."""
-    active = active_channels(spark, grid.zooms(spark, grid_)).groupBy("z").agg(F.bool_or(F.col("layer") == "land").alias("has_land"), F.bool_or(F.col("layer") == "water_polygons").alias("has_water"))
+    active = active_layers(spark, grid.zooms(spark, grid_))
     blocks = grid.nonempty_blocks(grid.block_grid(spark, grid_), cells, grid_)
     return blocks.join(F.broadcast(active), "z")  # a row per zoom
 

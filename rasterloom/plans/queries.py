@@ -10,11 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geo, text
+from ..functions import geo, geometry, text
 from ..operators import classify, fragments, grid, progress, regions, resample, tiles
 from ..sources import legend, listing, sinks
 from ..streaming import rates
-from .settings import FIXTURE, Grid
+from .settings import FIXTURE, MERC, WORLD, Grid
 
 WORLD_GRID = Grid()
 Z = FIXTURE.max_level
@@ -72,6 +72,10 @@ def q_window_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("z", "bx", "by", *(whole(F.col(c), 1000).alias(c) for c in metres), "px_width", "px_height", *(whole(F.col(c), 1e6).alias(c) for c in ("west", "south", "east", "north")))
 
 
+def q_block_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid.row_major(grid.block_grid(spark, WORLD_GRID))
+
+
 def q_tolerance_by_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
     z = F.col("z")
     return grid.zooms(spark, WORLD_GRID).select("z", geo.blocks_per_axis(z, WORLD_GRID).alias("blocks"), whole(geo.metres_per_px(z, WORLD_GRID), 1000).alias("mm_per_px"), whole(geo.tolerance(z), 1000).alias("tolerance_mm"))
@@ -88,6 +92,22 @@ def q_corner_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.corners(tile_names(spark, sf_dir))
 
 
+def q_cell_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listing.occupied_cells(tile_names(spark, sf_dir)).select(text.cell_key(F.col("lat"), F.col("lon")).alias("cell"))
+
+
+def q_path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folder and name of each tile, and a letter for its band."""
+    names = tile_names(spark, sf_dir).join(table(spark, sf_dir, "nation").select("n_nationkey"), F.length("key") % 25 == F.col("n_nationkey"))
+    return names.select("key", text.dir_name(F.col("key")).alias("folder"), text.base_name(F.col("key")).alias("name"), text.band_letter(F.col("n_nationkey")).alias("band"))
+
+
+def q_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of texts with either line end, blanks and empty lines."""
+    whole_text = F.concat(F.lit(" "), F.col("s_name"), F.lit("\r\n\n  "), F.col("s_suppkey").cast("string"), F.lit(" \nend"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.posexplode(text.lines(whole_text)).alias("nth", "line"))
+
+
 def q_xml_key_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey").cast("string")
     last = F.when(F.col("p_size") % 3 == 0, "false").otherwise("true")
@@ -124,6 +144,10 @@ def q_active_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legend.active_channels(spark, grid.zooms(spark, WORLD_GRID))
 
 
+def q_active_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legend.active_layers(spark, grid.zooms(spark, WORLD_GRID))
+
+
 def q_nodata_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legend.nodata_codes(spark, grid.zooms(spark, WORLD_GRID))
 
@@ -145,6 +169,29 @@ def q_mode_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(raw_pixels(spark, sf_dir), F.col("x"), F.col("y"))
 
 
+def q_project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metres of points in degrees, and the degrees again."""
+    points = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") * 7919 % 3590000 / 10000 - 179.5).alias("lon"), (F.col("c_custkey") * 104729 % 1700000 / 10000 - 85).alias("lat"))
+    x, y = geo.x_of(F.col("lon")), geo.y_of(F.col("lat"))
+    back = points.withColumns({"x": x, "y": y})
+    return back.select("c_custkey", whole(F.col("x"), 1000).alias("x_mm"), whole(F.col("y"), 1000).alias("y_mm"), whole(geo.lon_of(F.col("x")), 1e6).alias("lon_micro"), whole(geo.lat_of(F.col("y")), 1e6).alias("lat_micro"))
+
+
+def q_pixel_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Degrees of pixel corners at several levels."""
+    k = F.col("p_partkey")
+    corners = table(spark, sf_dir, "part").select("p_partkey", (k % 11).cast("int").alias("z"), (k * 31 % 1024).alias("x"), (k * 17 % 1024).alias("y"))
+    lon, lat = geo.corner_lonlat(F.col("x"), F.col("y"), F.col("z"), WORLD_GRID)
+    return corners.select("p_partkey", whole(lon, 1e6).alias("lon_micro"), whole(lat, 1e6).alias("lat_micro"))
+
+
+def q_warp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells in degrees, two thirds of a degree apart, warped to the fixture's top level by dominant value."""
+    code = F.element_at(F.array(*map(F.lit, CODES)), (F.col("l_quantity").cast("int") % 5 + 1).cast("int"))
+    cells = table(spark, sf_dir, "lineitem").select(((F.col("l_partkey") * 7 % 540) / 1.5 - 179.7).alias("lon"), ((F.col("l_suppkey") * 11 % 270) / 1.5 - 89.6).alias("lat"), code.alias("value"))
+    return resample.warp(cells, Z, FIXTURE)
+
+
 def q_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.pyramid(raster(spark, sf_dir), Z)
 
@@ -300,6 +347,23 @@ def q_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_raster(classes(spark, sf_dir), "channel", run, "region long, n_before long, n_after long, area double")
 
 
+def q_simplify_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What simplification must keep: every region, the whole area, and no more corners than there were."""
+    found = q_simplify(spark, sf_dir)
+    return found.agg(F.count("*").alias("regions"), F.sum("n_before").alias("corners"), whole(F.sum("area"), 1).alias("area"), F.sum(F.expr("cast(n_after > n_before or n_after < 3 as bigint)")).alias("wrong"))
+
+
+def q_sieve_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels after the sieve, and regions under the threshold, unless one region is all."""
+
+    def run(a: np.ndarray) -> pd.DataFrame:
+        _, n = regions.sizes_of(regions.label(regions.sieve(a, FIXTURE.sieve_px)))
+        return pd.DataFrame({"n": n})
+
+    left = per_raster(classes(spark, sf_dir), "channel", run, "n long")
+    return left.agg(F.sum("n").alias("pixels"), F.sum(F.expr(f"cast(n < {FIXTURE.sieve_px} as bigint)")).alias("small"))
+
+
 def q_tag_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = q_region_sizes(spark, sf_dir)
     codes = sizes.select("channel").where("channel > 0").distinct()
@@ -328,6 +392,23 @@ def q_fragment_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fragments.union_fragments(parts).groupBy("z", "layer", "kind").agg(F.count("*").alias("n"), F.count("geom").alias("n_geom"))
 
 
+def q_rectangle_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five points of each uniform block's ring, in order."""
+    box = [F.col(c) for c in ("west", "south", "east", "north")]
+    points = uniform(spark).select("z", "bx", "by", F.posexplode(geo.ring_of(*box)).alias("nth", "p"))
+    return points.select("z", "bx", "by", "nth", whole(F.col("p.x"), 1e6).alias("x_micro"), whole(F.col("p.y"), 1e6).alias("y_micro"))
+
+
+def q_fragment_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each layer's fragments by block, from records: orders stand for fragments, their customers for blocks."""
+    orders = table(spark, sf_dir, "orders").withColumns({"z": F.lit(3), "bx": (F.col("o_custkey") % 50).cast("int"), "by": (F.col("o_custkey") % 7).cast("int")})
+    layer = F.when(F.col("o_orderkey") % 3 == 0, "water_polygons").otherwise("land")
+    records = orders.select(F.lit("fragment").alias("record_type"), "z", "bx", "by", layer.alias("layer"), F.lit("forest").alias("kind"), F.lit(None).cast("binary").alias("geom"), F.length("o_orderpriority").cast("long").alias("geom_bytes"))
+    logs = table(spark, sf_dir, "customer").select(F.lit("log").alias("record_type"), F.lit(3).alias("z"), (F.col("c_custkey") % 50).cast("int").alias("bx"), (F.col("c_custkey") % 7).cast("int").alias("by")).distinct()
+    logs = logs.withColumns({"branch": F.lit("full"), "ms": F.lit(1).cast("long"), "ended": F.lit(0.0), "present": F.lit("0"), "channels": F.lit(1)})
+    return fragments.log_of(records.unionByName(logs, allowMissingColumns=True)).select("z", "bx", "by", "branch", "land_bytes", "water_bytes")
+
+
 def q_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All blocks of the derived raster through the whole chain: fragments by block, layer and kind."""
     return block_fragments(spark, sf_dir).groupBy("z", "bx", "by", "layer", "kind").agg(F.count("*").alias("n"), F.sum(F.octet_length("geom")).alias("bytes"))
@@ -359,6 +440,28 @@ def boxes(spark: SparkSession, sf_dir: str, name: str, key: str, size: str) -> D
     return table(spark, sf_dir, name).select(k.alias("id"), z.alias("z"), place(37).alias("u0"), (place(37) + s % 4 / 2).alias("u1"), place(61).alias("v0"), (place(61) + s % 3 / 4).alias("v1"))
 
 
+def q_cut_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes as polygons in degrees, cut to their tiles with a buffer, in tile units: the bounds of every piece."""
+    made = boxes(spark, sf_dir, "part", "p_partkey", "p_size").where("u1 > u0 and v1 > v0 and u1 <= power(2, z) and v1 <= power(2, z)")
+
+    def polygons(frames):
+        for f in frames:
+            geoms = []
+            for b in f.itertuples(index=False):
+                n = 1 << b.z
+                corner = lambda u, v: geometry.lonlat(u / n * WORLD - MERC, MERC - v / n * WORLD)  # noqa: B023, E731
+                geoms.append(geometry.wkb([[[corner(b.u0, b.v1), corner(b.u1, b.v1), corner(b.u1, b.v0), corner(b.u0, b.v0)]]]))
+            yield pd.DataFrame({"z": f["z"], "layer": "land", "kind": f["id"].astype(str), "geom": geoms})
+
+    def bounds(frames):
+        for f in frames:
+            points = [[p for rings in geometry.from_wkb(g) for p in rings[0]] for g in f["geom"]]
+            yield pd.DataFrame({"id": f["kind"].astype(int), "z": f["z"], "tx": f["tx"], "ty": f["ty"], **{name: [int(pick(p[axis] for p in ps)) for ps in points] for name, pick, axis in (("x0", min, 0), ("x1", max, 0), ("y0", min, 1), ("y1", max, 1))}})
+
+    cut = tiles.cut_tiles(made.mapInPandas(polygons, "z int, layer string, kind string, geom binary"))
+    return cut.mapInPandas(bounds, "id long, z int, tx int, ty int, x0 long, x1 long, y0 long, y1 long")
+
+
 def q_tile_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.tile_explode(boxes(spark, sf_dir, "part", "p_partkey", "p_size")).select("id", "z", "tx", "ty")
 
@@ -413,6 +516,14 @@ def q_percent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("seq", "done", "pct", progress.filled(F.col("done"), total).alias("cells"))
 
 
+def q_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status text at each new percentage, with the lifetime's rate of one thing in three seconds and a half."""
+    log = log_of_events(spark, sf_dir)
+    total = F.lit(total_of(log))
+    lines = progress.percent_lines(log, total)
+    return lines.select("seq", progress.status_line(F.col("done"), total, F.lit(2 / 7)).alias("line"))
+
+
 def q_duration_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", text.duration(F.col("o_totalprice") / 7 - 100).alias("said"))
 

@@ -24,6 +24,11 @@ def active_channels(spark: SparkSession, zooms: DataFrame) -> DataFrame:
     return zooms.join(F.broadcast(legend(spark)), F.col("layer").isNotNull() & (F.col("max_zoom") >= F.col("z"))).select("z", "idx", "layer", "kind")
 
 
+def active_layers(spark: SparkSession, zooms: DataFrame) -> DataFrame:
+    """z, has_land, has_water: whether a channel of the layer is drawn at each zoom."""
+    return active_channels(spark, zooms).groupBy("z").agg(F.bool_or(F.col("layer") == "land").alias("has_land"), F.bool_or(F.col("layer") == "water_polygons").alias("has_water"))
+
+
 def nodata_codes(spark: SparkSession, zooms: DataFrame) -> DataFrame:
     """z and the source codes that fold into no-data there: the complement of the active ones."""
     return zooms.join(F.broadcast(legend(spark)), F.col("layer").isNull() | (F.col("max_zoom") < F.col("z"))).select("z", F.explode("codes").alias("code"))
