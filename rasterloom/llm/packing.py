@@ -7,9 +7,10 @@ subset-sum programme the multiset of remaining lengths that, with it, comes clos
 and use that pattern for as many windows as the counts allow (each use exhausts a length, so the plan is bounded too).
 
 A piece then needs only its rank among the pieces of its length to find its window and offset. Ranks come from salted
-groups: counts per (length, salt) are summed up, and row_number runs inside a group. The salt is a hash of a number that each piece
-is written with, not of its contents, so a length that a third of all pieces share is spread over many tasks, even if these are
-all of one doc_id or of none.
+groups: counts per (length, salt) are summed up, and row_number runs inside a group. A length with n pieces has about sqrt(n) * `spread`
+salts, so that groups, and the sums over a length's groups, both grow with the root of the corpus only. The salt is a hash of a
+number that each piece is written with, not of its contents, so a length that a third of all pieces share is spread over many tasks,
+even if these are all of one doc_id or of none.
 
 Cases: a null or empty text is the end id alone. Repeated rows are packed each. An empty table gives no piece. Null
 doc_ids are kept. Which of two pieces of one length comes first depends on how the input is split.
@@ -31,7 +32,7 @@ from .tokens import in_slices, pretokens, tokenizer_path
 
 CAPACITY = 1024
 END_ID = 0
-GROUP_ROWS = 20_000
+SPREAD = 0.25
 SLICE_BYTES = 8 << 20
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -128,16 +129,17 @@ def place(pieces: DataFrame, rows: list[tuple[int, int, int, int, int, int]]) ->
     return pieces.mapInArrow(run, PIECES + ", sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_rows: int = GROUP_ROWS) -> DataFrame:
+def pack(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, spread: float = SPREAD) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     bounded_batches(docs.sparkSession)
     pieces = as_table(cut(docs, tokenizer or tokenizer_path(), capacity, end_id), "pieces")
-    salts = max(1, -(-pieces.count() // group_rows))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(salts)).cast("int"))
+    lengths = pieces.groupBy("length").agg(F.count("*").alias("n"))
+    histogram = {r.length: r.n for r in lengths.collect()}  # a row per length, at most `capacity`
+    salts = F.broadcast(lengths.select("length", F.ceil(F.sqrt("n") * spread).alias("salts")))  # the same rows
+    salted = pieces.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64("number"), F.col("salts")).cast("int"))
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    # One row per length and salt; the running sum is taken inside a length, over at most `salts` rows.
+    # One row per length and salt; the running sum is taken inside a length.
     offsets = groups.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).select("length", "salt", "before")
-    histogram = {r.length: r.n for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     within = Window.partitionBy("length", "salt").orderBy("number")
     ranked = salted.withColumn("nth", F.row_number().over(within)).join(offsets, ["length", "salt"])
     ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("nth") - 1 + F.col("before")).cast("long").alias("rank"))

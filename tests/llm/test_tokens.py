@@ -117,10 +117,10 @@ def pack_rows(rng):
     return rows + [(500, None), (501, ""), (None, "x y"), (0, rows[0][1]), (0, rows[0][1]), (502, "<|endoftext|>"), *((600 + i, "same") for i in range(300))]
 
 
-@pytest.mark.parametrize("group_rows", [50_000, 40])
-def test_packing(docs_of, plain, group_rows):
+@pytest.mark.parametrize("spread", [0.25, 3])
+def test_packing(docs_of, plain, spread):
     rows = pack_rows(random.Random(4))
-    got = packing.pack(docs_of(rows, extra=["length", "salt", "rank"]), group_rows=group_rows).collect()
+    got = packing.pack(docs_of(rows, extra=["length", "salt", "rank"]), spread=spread).collect()
     want = defaultdict(int)
     for doc, text in rows:
         ids = [*ids_of(plain, text), 0]
