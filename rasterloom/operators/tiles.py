@@ -5,19 +5,22 @@ Tiles are rows: z, tx, ty, layer, kind, geom (multi-polygon in tile units, 0..ex
 from __future__ import annotations
 
 import gzip
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import Point, area, clip, from_wkb, mercator, polygon_area, wkb
+from ..functions.geometry import Point, area, clip, from_wkb, mercator_ring, polygon_area, wkb
 from ..functions.mvt import encode
 from ..plans.settings import MERC, WORLD
 
 EXTENT = 4096
 BUFFER = 80
 TILE = "z int, tx int, ty int, layer string, kind string, geom binary"
+COLUMNS = ["z", "tx", "ty", "layer", "kind", "geom"]
+FLUSH_BYTES = 4 << 20
 #: Bytes of an encoded feature besides its geometry, and what a feature and its names take at most.
 FEATURE_BYTES, HEADER_BYTES = 8, 200
 
@@ -37,27 +40,54 @@ def tile_explode(boxes: DataFrame, buffer: float = 0.0) -> DataFrame:
     return out.withColumn("ty", F.explode(tile_range(F.col("v0"), F.col("v1"), z, buffer)))
 
 
+def pieces_of(rings: list[list[Point]], tx0: int, ty0: int, tx1: int, ty1: int, extent: int, buffer: int) -> Iterator[tuple[int, int, list[list[Point]]]]:
+    """(tx, ty, rings) of a polygon's pieces in the tiles tx0..tx1, ty0..ty1 (with buffer). The range is halved again and again, so a point
+    is looked at once for each halving, not once for each tile."""
+    rings = clip(rings, tx0 * extent - buffer, ty0 * extent - buffer, (tx1 + 1) * extent + buffer, (ty1 + 1) * extent + buffer)
+    if not rings:
+        return
+    if (tx0, ty0) == (tx1, ty1):
+        yield tx0, ty0, rings
+    elif tx1 - tx0 >= ty1 - ty0:
+        half = (tx0 + tx1) // 2
+        yield from pieces_of(rings, tx0, ty0, half, ty1, extent, buffer)
+        yield from pieces_of(rings, half + 1, ty0, tx1, ty1, extent, buffer)
+    else:
+        half = (ty0 + ty1) // 2
+        yield from pieces_of(rings, tx0, ty0, tx1, half, extent, buffer)
+        yield from pieces_of(rings, tx0, half + 1, tx1, ty1, extent, buffer)
+
+
+def rounded(rings: list[list[Point]], x0: float, y0: float) -> list[list[Point]]:
+    return [[(float(round(x - x0)), float(round(y - y0))) for x, y in ring] for ring in rings]
+
+
 def cut_tiles(fragments: DataFrame, extent: int = EXTENT, buffer: int = BUFFER) -> DataFrame:
     """Every fragment cut to each tile it touches (with buffer), in integer tile units. Batch by batch, no shuffle.
 
-    A fragment ends at its block's edge, so it reaches few tiles, and no task holds more than one fragment's pieces at a time."""
+    A fragment ends at its block's edge, so it reaches few tiles, and no task holds more than one fragment's pieces beyond FLUSH_BYTES."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, held = [], 0
         for frame in frames:
             for f in frame.itertuples(index=False):
-                n = 1 << f.z
-                units = [[[((x + MERC) / WORLD * n * extent, (MERC - y) / WORLD * n * extent) for x, y in (mercator(*p) for p in ring)] for ring in rings] for rings in from_wkb(f.geom)]
-                xs, ys = [x for rings in units for x, _ in rings[0]], [y for rings in units for _, y in rings[0]]
-                out = []
-                for tx in range(max(0, int((min(xs) - buffer) // extent)), min(n - 1, int((max(xs) + buffer) // extent)) + 1):
-                    for ty in range(max(0, int((min(ys) - buffer) // extent)), min(n - 1, int((max(ys) + buffer) // extent)) + 1):
-                        x0, y0 = tx * extent, ty * extent
-                        cut = [clip(rings, x0 - buffer, y0 - buffer, x0 + extent + buffer, y0 + extent + buffer) for rings in units]
-                        cut = [[[(float(round(x - x0)), float(round(y - y0))) for x, y in ring] for ring in rings] for rings in cut if rings]
-                        cut = [rings for rings in cut if polygon_area(rings)]
-                        if cut:
-                            out.append((f.z, tx, ty, f.layer, f.kind, wkb(cut)))
-                yield pd.DataFrame(out, columns=["z", "tx", "ty", "layer", "kind", "geom"])
+                n, cut = 1 << f.z, defaultdict(list)
+                scale = n * extent / WORLD
+                for rings in from_wkb(f.geom):
+                    units = [list(map(tuple, ((mercator_ring(ring) * (1, -1) + MERC) * scale).tolist())) for ring in rings]
+                    (left, right), (top, bottom) = ((min(c), max(c)) for c in zip(*units[0], strict=True))
+                    first, last = (max(0, int((c - buffer) // extent)) for c in (left, top)), (min(n - 1, int((c + buffer) // extent)) for c in (right, bottom))
+                    for tx, ty, piece in pieces_of(units, *first, *last, extent, buffer):
+                        piece = rounded(piece, tx * extent, ty * extent)
+                        if polygon_area(piece):
+                            cut[tx, ty].append(piece)
+                out += [(f.z, tx, ty, f.layer, f.kind, wkb(p)) for (tx, ty), p in sorted(cut.items())]
+                held += len(f.geom)
+                if held >= FLUSH_BYTES:
+                    yield pd.DataFrame(out, columns=COLUMNS)
+                    out, held = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=COLUMNS)
 
     return fragments.select("z", "layer", "kind", "geom").mapInPandas(run, TILE)
 
@@ -130,7 +160,7 @@ def coalesce_smallest(tiles: DataFrame, budget: int, extent: int = EXTENT) -> Da
     def shrink(group: pd.DataFrame) -> pd.DataFrame:
         rows = within_budget([(r.layer, r.kind, from_wkb(r.geom)) for r in group.itertuples(index=False)], budget, extent)
         first = group.iloc[0]
-        return pd.DataFrame([(first.z, first.tx, first.ty, layer, kind, wkb(p)) for layer, kind, p in rows], columns=["z", "tx", "ty", "layer", "kind", "geom"])
+        return pd.DataFrame([(first.z, first.tx, first.ty, layer, kind, wkb(p)) for layer, kind, p in rows], columns=COLUMNS)
 
     return fits.unionByName(sized.where(F.col("bytes") > budget).drop("bytes").groupBy("z", "tx", "ty").applyInPandas(shrink, TILE))
 
