@@ -1,12 +1,18 @@
-"""Listings over a local server, saved lists, sinks."""
+"""Listings over a local server, saved lists, raster files."""
 
+import struct
 import threading
 import urllib.parse
+import zlib
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
+import numpy as np
 import pytest
 
-from rasterloom.sources import listing
+from rasterloom.operators import resample, warp
+from rasterloom.plans import pipeline
+from rasterloom.plans.settings import FIXTURE
+from rasterloom.sources import listing, raster_files
 
 PAGES = {
     None: "<R><Key>a/N00E003.tif</Key><Key>a/readme.txt</Key><Key>.tif</Key><IsTruncated>true</IsTruncated><NextContinuationToken>t/1+</NextContinuationToken></R>",
@@ -68,3 +74,73 @@ def test_a_saved_list(spark, tmp_path):
     assert sorted(r.key for r in listing.read_list(spark, str(tmp_path / "names.txt")).collect()) == ["a/N00E003.tif", "b.tif"]
     with pytest.raises(ValueError):
         listing.read_list(spark, str(tmp_path / "none.txt"))
+
+
+def tiff(pixels, lon, lat, step, *, tile=None, deflate=False, predictor=False, big=False, order="<"):
+    """A north-up file of one byte a pixel."""
+    h, w = pixels.shape
+    wide, high = (tile, tile) if tile else (w, 5)
+    blocks = []
+    for y in range(0, h, high):
+        for x in range(0, w, wide):
+            part = pixels[y : y + high, x : x + wide]
+            if tile:
+                part = np.pad(part, ((0, high - part.shape[0]), (0, wide - part.shape[1])))
+            if predictor:
+                part = np.diff(part, axis=1, prepend=np.uint8(0))
+            blocks.append(zlib.compress(part.tobytes()) if deflate else part.tobytes())
+    word = "Q" if big else "I"
+    head = 16 if big else 8
+    places = [head + sum(map(len, blocks[:k])) for k in range(len(blocks))]
+    sizes = list(map(len, blocks))
+    tags = [(256, "I", [w]), (257, "I", [h]), (258, "H", [8]), (259, "H", [8 if deflate else 1]), (277, "H", [1])]
+    tags += [(322, "I", [wide]), (323, "I", [high]), (324, word, places), (325, word, sizes)] if tile else [(273, word, places), (278, "I", [high]), (279, word, sizes)]
+    tags += [(317, "H", [2])] if predictor else []
+    tags += [(33550, "d", [step, step, 0.0]), (33922, "d", [0.0, 0.0, 0.0, lon, lat, 0.0])]
+    body, extra = b"".join(blocks), b""
+    at = head + len(body)
+    entries, room = b"", struct.calcsize(word)
+    after = at + (8 if big else 2) + len(tags) * (20 if big else 12) + room
+    codes = {"H": 3, "I": 4, "d": 12, "Q": 16}
+    for tag, kind, values in sorted(tags):
+        data = struct.pack(f"{order}{len(values)}{kind}", *values)
+        if len(data) > room:
+            data, extra = struct.pack(order + word, after + len(extra)), extra + data
+        entries += struct.pack(f"{order}HH{word}", tag, codes[kind], len(values)) + data.ljust(room, b"\0")
+    mark = {"<": b"II", ">": b"MM"}[order]
+    start = mark + (struct.pack(order + "HHHQ", 43, 8, 0, at) if big else struct.pack(order + "HI", 42, at))
+    return start + body + struct.pack(order + ("Q" if big else "H"), len(tags)) + entries + bytes(room) + extra
+
+
+@pytest.mark.parametrize("options", [{}, {"tile": 16}, {"tile": 16, "deflate": True, "predictor": True}, {"deflate": True, "big": True}, {"tile": 32, "order": ">"}, {"predictor": True, "big": True, "order": ">"}])
+def test_raster_files(spark, tmp_path, options):
+    pixels = np.random.default_rng(1).integers(0, 200, (37, 41)).astype(np.uint8)
+    (tmp_path / "a.tif").write_bytes(tiff(pixels, 10.0, 50.0, 0.25, **options))
+    got = np.zeros_like(pixels)
+    for r in raster_files.read_blocks(spark, str(tmp_path / "*.tif")).collect():
+        x, y = round((r.lon - 10) / 0.25), round((50 - r.lat) / 0.25)
+        got[y : y + r.height, x : x + r.width] = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width)
+    assert (got == pixels).all()
+
+
+def test_other_files_are_errors():
+    with pytest.raises(ValueError, match="TIFF"):
+        list(raster_files.blocks_of(b"PK\x03\x04 something else"))
+    with pytest.raises(ValueError, match="byte"):
+        list(raster_files.blocks_of(tiff(np.zeros((4, 4), np.uint8), 0, 0, 1).replace(struct.pack("<HHIHH", 258, 3, 1, 8, 0), struct.pack("<HHIHH", 258, 3, 1, 16, 0))))
+
+
+def test_files_warped_to_the_grid(spark, tmp_path):
+    """Overlapping files, one of them across the antimeridian's and the square's edge, against the relational form over all pixels."""
+    rng = np.random.default_rng(2)
+    grid, rows = FIXTURE, []
+    for k, (lon, lat) in enumerate([(-30.0, 40.0), (-10.0, 35.0), (170.0, 88.0), (-180.0, -60.0)]):
+        pixels = rng.choice(np.array([0, 10, 30, 80], np.uint8), (60, 70))
+        (tmp_path / f"{k}.tif").write_bytes(tiff(pixels, lon, lat, 0.5, tile=32, deflate=True))
+        rows += [(lon + (i + 0.5) * 0.5, lat - (j + 0.5) * 0.5, int(pixels[j, i])) for j in range(60) for i in range(70)]
+    want = {(r.x, r.y): r.value for r in resample.warp(spark.createDataFrame(rows, "lon double, lat double, value int"), 2, grid).collect() if r.value}
+    made = warp.warp_blocks(raster_files.read_blocks(spark, str(tmp_path)), 2, grid, 16)
+    got = {(r.x, r.y): r.value for r in pipeline.pixels_of(made, 16).collect() if r.value}
+    assert got == want and len(want) > 100
+    pipeline.load_chunks(made, str(tmp_path / "levels"), grid, 16)
+    assert spark.read.parquet(str(tmp_path / "levels")).where("level = 0").count() >= 1
