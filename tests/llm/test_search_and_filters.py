@@ -27,7 +27,7 @@ def test_topk(spark, shard, block):
     rng = random.Random(1)
     rows = [(i, [rng.choice([-1.0, -0.5, 0.013, 0.5, 1.0]) for _ in range(4)]) for i in range(130)]
     rows += [(200, None), (220, [None, 1.0, 1.0, 1.0]), (240, [float("nan"), 1.0, 1.0, 1.0]), (None, [1.0] * 4), (260, [float("inf")] * 4), (3, rows[3][1]), (280, [1.0, 2.0]), (7, [0.5, 0.5]), (300, [])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit("extra") for c in ("id", "v", "n", "shard", "block", "score", "rank", "node")})
     got = exact_topk.search(exact_topk.quantised(df), F.col("id") % 20 == 0, block=block, shard=shard, fan_in=2)
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 20)
 

@@ -142,6 +142,15 @@ def test_packing(docs_of, plain, spread):
     assert len(sequences) <= -(-sum(n * k[2] for k, n in want.items()) // 1024) + 1
 
 
+def test_pieces_of_one_id_are_spread(docs_of):
+    """A third of all rows are of no doc_id and one length: their ranks come from many groups."""
+    docs = docs_of([(None, None)] * 3000 + [(i, f"text {i}") for i in range(60)])
+    got = packing.pack(docs).collect()
+    assert len(got) == 3060 and len({(r.sequence_id, r.offset) for r in got}) == 3060
+    numbered = packing.cut(docs, tokenizer_path()).select("number").distinct()
+    assert numbered.count() == 3060
+
+
 def test_closest_sum():
     rng = random.Random(5)
     for _ in range(200):
