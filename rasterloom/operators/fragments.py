@@ -140,6 +140,13 @@ def union_fragments(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def layers_by_zoom(fragments: DataFrame) -> DataFrame:
+    """z, n_land, n_water: what a zoom's tiles are made from. A zoom without fragments has no row, and gets no tiles; a layer with none is
+    left out of its zoom's tiles."""
+    count = lambda layer: F.count_if(F.col("layer") == layer)
+    return fragments.where("geom is not null").groupBy("z").agg(count("land").alias("n_land"), count("water_polygons").alias("n_water"))
+
+
 def chunk_pixels(pixels: DataFrame, chunk: int = 512) -> DataFrame:
     """Sparse storage: level, cx, cy, data; chunks of nothing but 0 have no row. pixels: level, x, y, value."""
 

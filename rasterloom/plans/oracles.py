@@ -209,6 +209,7 @@ SELECT x, y, value FROM (SELECT x, y, value, row_number() OVER (PARTITION BY x,
 SELECT count(DISTINCT region) AS regions, CAST(sum(4 - same) AS BIGINT) AS corners, count(*) AS area, CAST(0 AS BIGINT) AS wrong FROM sides""",
     "q_sieve_checks": f"SELECT CAST({SIZE * SIZE} AS BIGINT) AS pixels, CAST(0 AS BIGINT) AS small",
     "q_rectangle_rings": f"""WITH {UNIFORM} SELECT z, bx, by_ AS "by", CAST(nth AS INTEGER) AS nth, {micro('(CASE WHEN nth IN (1, 2) THEN east ELSE west END)')} AS x_micro, {micro('(CASE WHEN nth IN (2, 3) THEN north ELSE south END)')} AS y_micro FROM uniform, range(5) t(nth)""",
+    "q_layers_by_zoom": f"WITH {UNIFORM} SELECT z, count(*) FILTER (layer = 'land') AS n_land, count(*) FILTER (layer = 'water_polygons') AS n_water FROM uniform WHERE z % 2 = 0 AND bx % 2 = 1 GROUP BY z",
     "q_fragment_bytes": """WITH b AS (SELECT DISTINCT CAST(c_custkey % 50 AS INTEGER) AS bx, CAST(c_custkey % 7 AS INTEGER) AS by_ FROM customer),
 o AS (SELECT CAST(o_custkey % 50 AS INTEGER) AS bx, CAST(o_custkey % 7 AS INTEGER) AS by_, o_orderkey % 3 = 0 AS water, length(o_orderpriority) AS n FROM orders)
 SELECT 3 AS z, b.bx, b.by_ AS "by", 'full' AS branch, CAST(sum(n) FILTER (NOT water) AS BIGINT) AS land_bytes, CAST(sum(n) FILTER (water) AS BIGINT) AS water_bytes FROM b LEFT JOIN o USING (bx, by_) GROUP BY b.bx, b.by_""",

@@ -399,6 +399,13 @@ def q_rectangle_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select("z", "bx", "by", "nth", whole(F.col("p.x"), 1e6).alias("x_micro"), whole(F.col("p.y"), 1e6).alias("y_micro"))
 
 
+def q_layers_by_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of uniform blocks' rectangles, those of even zooms and of odd columns; the others have no geometry."""
+    box = [F.col(c) for c in ("west", "south", "east", "north")]
+    shape = F.when((F.col("z") % 2 == 0) & (F.col("bx") % 2 == 1), F.to_json(geo.ring_of(*box)).cast("binary"))
+    return fragments.layers_by_zoom(uniform(spark).withColumn("geom", shape))
+
+
 def q_fragment_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each layer's fragments by block, from records: orders stand for fragments, their customers for blocks."""
     orders = table(spark, sf_dir, "orders").withColumns({"z": F.lit(3), "bx": (F.col("o_custkey") % 50).cast("int"), "by": (F.col("o_custkey") % 7).cast("int")})
