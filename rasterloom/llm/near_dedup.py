@@ -11,8 +11,8 @@ What is wanted are components, so pairs that are joined already are never compar
 2. then, in buckets that still hold several components, members of different components, block by block, with the few best
    partners in each other component first. A task says if it kept partners back; only its blocks are compared once more, with more
    partners and at last with all that survive, so that no link is lost for want of a partner. Mostly no block is.
-Buckets are dealt out in blocks of `block` members; a group of any size is a number of bounded tasks, and the pairs that leave
-a task are only survivors between different components.
+Buckets of over SMALL members are dealt out in about sqrt(members) / 8 blocks, and in blocks of `block` members at most; a group of any
+size is a number of bounded tasks, and the pairs that leave a task are only survivors between different components.
 
 With 32 bands of 7 values a pair at 85 % misses all buckets with chance 4e-6, and less above it. Other thresholds take as many bands
 of 7 values as keep that chance (`bands_for`): 53 at 80 %, where 32 would miss 5e-4.
@@ -46,6 +46,7 @@ PERCENT = 85
 MISS = 1e-5
 BATCH = 32
 BLOCK = 8192
+SMALL = 512
 PARTNERS = (4, 64, None)
 CHUNK = 1 << 15
 
@@ -242,7 +243,7 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, partner
     partners were kept back. only: such blocks; no others are compared."""
     held = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     mixed_buckets = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    held = held.join(mixed_buckets.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
+    held = held.join(mixed_buckets.select("key", F.greatest(F.ceil(F.col("n") / block), F.when(F.col("n") > SMALL, F.ceil(F.sqrt("n") / 8))).cast("int").alias("blocks")), "key")
     if only is not None:
         held = held.join(only.select("key").distinct(), "key", "left_semi")
     held = held.join(nodes, "node")
