@@ -244,7 +244,6 @@ def test_partners_that_were_kept_back(docs_of, monkeypatch, partners, block):
             words[k] = f"w{i}x{k}"
         rows.append((i, " ".join(words)))
     monkeypatch.setattr(near_dedup, "PARTNERS", partners)
-    monkeypatch.setattr(near_dedup, "SMALL", 8)  # several blocks a bucket
     documents, labels = near_dedup.link(docs_of(rows), block=block)
     found = {r.node: r.component for r in labels.collect()}
     want = {i: c for i, _, c, _ in brute_components(rows)}
