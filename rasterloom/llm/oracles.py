@@ -85,3 +85,45 @@ comp AS (SELECT a, min(b) AS least_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(least_id, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(least_id, doc_id)) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON doc_id = a
 """
+
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, lang, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l, len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS n_symbols FROM documents),
+win AS (SELECT row_id, i, array_to_string(w[i:i + 7], ' ') AS s FROM d, unnest(range(1, len(w) - 6)) AS t(i)),
+twice AS (SELECT row_id, s FROM win GROUP BY ALL HAVING count(*) > 1),
+rep AS (SELECT row_id, count(DISTINCT p) AS n FROM win JOIN twice USING (row_id, s), unnest(range(i, i + 8)) AS t(p) GROUP BY row_id),
+m AS (
+  SELECT d.*, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM d LEFT JOIN rep USING (row_id)),
+r AS (
+  SELECT row_id, lang, source, unnest([{'m': 1, 'x': word_chars / n_words}, {'m': 2, 'x': n_symbols / n_words}, {'m': 3, 'x': n_dup_lines / n_lines}, {'m': 4, 'x': n_repeat_words / n_words}], recursive := true)
+  FROM m WHERE n_words > 0),
+b AS (SELECT *, CASE WHEN x > 0 THEN ceil(ln(x) / ln(1.01::DOUBLE / 0.99::DOUBLE)) ELSE -1000000 END AS b FROM r),
+-- each bucket once for its source, its language and the corpus
+k AS (SELECT 0 AS level, lang, source, m, b FROM b UNION ALL SELECT 1, lang, NULL, m, b FROM b UNION ALL SELECT 2, NULL, NULL, m, b FROM b),
+q AS (
+  SELECT level, lang, source, m, count(*) AS docs, list_sort(list(b))[CAST(ceil(count(*) * 0.25) AS BIGINT)] AS b1, list_sort(list(b))[CAST(ceil(count(*) * 0.75) AS BIGINT)] AS b3 FROM k GROUP BY ALL HAVING count(*) >= 100),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY row_id, m ORDER BY level) AS nth
+  FROM (SELECT b.row_id, b.m, b.x, q.level, CASE WHEN b1 = -1000000 THEN 0 ELSE 2 * (1.01::DOUBLE / 0.99::DOUBLE) ** b1 / (1.01::DOUBLE / 0.99::DOUBLE + 1) END AS q1, CASE WHEN b3 = -1000000 THEN 0 ELSE 2 * (1.01::DOUBLE / 0.99::DOUBLE) ** b3 / (1.01::DOUBLE / 0.99::DOUBLE + 1) END AS q3
+        FROM b JOIN q ON b.m = q.m AND (q.level = 2 OR b.lang IS NOT DISTINCT FROM q.lang) AND (q.level > 0 OR b.source IS NOT DISTINCT FROM q.source)) s),
+outside AS (SELECT DISTINCT row_id FROM f WHERE nth = 1 AND (x > q3 + 3 * greatest(q3 - q1, [0.5, 0.04, 0.15, 0.08][m]) OR m = 1 AND x < q1 - 3 * greatest(q3 - q1, 0.5)))
+SELECT doc_id, n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND row_id NOT IN (SELECT row_id FROM outside) AS kept FROM m
+"""
+
+OP12 = r"""
+WITH own AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, '')) AS w FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT) % 6 AS h FROM own),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(o.w[1:h], []), c.w[h + 1:]) AS w FROM crc c LEFT JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (SELECT conv_id, d, w[1:d] AS p, d = len(w) AS ends, CASE WHEN d > 0 THEN length(w[d].t) ELSE 0 END AS chars FROM rebuilt, unnest(range(len(w) + 1)) AS t(d)),
+nodes AS (SELECT d, p, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars, coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ids FROM prefixes GROUP BY d, p),
+kids AS (SELECT p, count(*) AS n_children FROM (SELECT p[1:d - 1] AS p FROM nodes WHERE d > 0) s GROUP BY p),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (p)),
+sums AS (SELECT t.p, sum(CASE WHEN s.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((s.n - 1) * s.chars) AS saved FROM full_nodes t JOIN full_nodes s ON s.d >= t.d AND s.p[1:t.d] = t.p GROUP BY t.p)
+SELECT f.conv_id, f.d AS depth, u.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ids) AS ends_sha256
+FROM full_nodes f JOIN sums USING (p) LEFT JOIN nodes u ON f.d > 0 AND u.d = f.d - 1 AND u.p = f.p[1:f.d - 1]
+"""

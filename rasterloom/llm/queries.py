@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_output, decontaminate, exact_topk, language_id, near_dedup, oracles, packing, substring_dedup, token_counts, toxicity, url_filter
+from . import binary_output, conversation_trie, decontaminate, exact_topk, language_id, near_dedup, oracles, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +53,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_url_filters, op4_language_id, op5_token_counts, op6_benchmark_decontamination, op7_substring_dedup, op8_packing, op9_binary_output, op10_near_dedup)}
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_url_filters, op4_language_id, op5_token_counts, op6_benchmark_decontamination, op7_substring_dedup, op8_packing, op9_binary_output, op10_near_dedup, op11_quality_rules, op12_conversation_trie, op13_whitening)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_topk": oracles.OP1,
@@ -61,4 +73,6 @@ ORACLES: dict[str, str] = {
     "op6_benchmark_decontamination": oracles.OP6,
     "op7_substring_dedup": oracles.OP7,
     "op10_near_dedup": oracles.OP10,
+    "op11_quality_rules": oracles.OP11,
+    "op12_conversation_trie": oracles.OP12,
 }
