@@ -15,7 +15,6 @@ table gives no row.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shared_dir
+from .common import as_table, bounded_batches
 from .tokens import in_slices, pretokens, tokenizer_path
 
 CAPACITY = 1024
@@ -131,7 +130,5 @@ def write_matrix(packed: DataFrame, path: str) -> None:
 
 
 def written_matrix(packed: DataFrame) -> DataFrame:
-    """The rows as they are read again from a matrix written under the shared folder."""
-    path = f"{shared_dir(packed.sparkSession).rstrip('/')}/matrix-{uuid.uuid4().hex}"
-    write_matrix(packed, path)
-    return packed.sparkSession.read.schema(packed.schema).parquet(path)
+    """The rows as they are read again from a matrix written under the shared folder, which goes when the process ends."""
+    return as_table(packed, "matrix")

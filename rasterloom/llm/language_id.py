@@ -19,7 +19,7 @@ the id, until there are `sample_chars` characters a language (bounds are paramet
 only text for predicting.
 
 Cases: a null text or one without a letter gives `und` with score 0, as does any text if nothing is labelled. Rows with a
-null id or label are never fitted. Repeated rows get a row each.
+null id or label are never fitted, and an id on several rows gives its label one window. Repeated rows get a row each.
 """
 
 from __future__ import annotations
@@ -53,15 +53,16 @@ cache("parsers", _parsers.clear)
 def sample(docs: DataFrame, label: Column, usable: Column, *, id_col: str = "doc_id", text_col: str = "text", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS, window_chars: int = WINDOW_CHARS) -> dict[str, str]:
     """A bounded text for each label. Rows are thinned by a hash of their id before any are gathered by label."""
     rows = docs.select(label.cast("string").alias("label"), F.col(id_col).alias("id")).where(usable & label.isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    share = rows.groupBy("label").agg((F.lit(4.0) * sample_rows / F.count("*")).alias("share"))
+    share = rows.groupBy("label").agg((F.lit(4.0) * sample_rows / F.approx_count_distinct("id")).alias("share"))
     unit = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
     # Only ids and labels are gathered before the sample is drawn; about 4 * sample_rows ids a label are left.
     thin = as_table(rows.join(share, "label").where(unit < F.col("share")).select("id").distinct(), "sample")
     begin = F.pmod(F.xxhash64(id_col, F.lit("window")), F.greatest(F.lit(1), F.length(text_col) - window_chars + 1)) + 1
     window = F.substring(text_col, begin.cast("int"), F.lit(window_chars))
     texts = docs.where(usable & label.isNotNull()).select(label.cast("string").alias("label"), F.col(id_col).alias("id"), window.alias("text"))
-    drawn = join_counted(texts, thin, ["id"], "left_semi").where("text is not null").withColumn("h", F.xxhash64("id"))
-    first = Window.partitionBy("label").orderBy("h", "text")
+    # One window an id, before any row leaves its task: an id may be on any number of rows.
+    drawn = join_counted(texts, thin, ["id"], "left_semi").where("text is not null").groupBy("label", "id").agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("id"))
+    first = Window.partitionBy("label").orderBy("h")
     chosen = drawn.withColumn("before", F.sum(F.length("text")).over(first.rowsBetween(Window.unboundedPreceding, -1)))
     out: dict[str, list[str]] = {}
     for r in chosen.where(F.coalesce("before", F.lit(0)) < sample_chars).orderBy("label", "h").toLocalIterator():

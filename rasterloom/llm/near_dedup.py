@@ -270,13 +270,14 @@ def link(docs: DataFrame, *, block: int = BLOCK, percent: int = PERCENT) -> tupl
     members = as_table(join_counted(dealt, as_table(leaders, "leaders"), ["key"], "inner"), "buckets")
 
     wanted = as_table(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-    sets = as_table(full_sets(join_counted(docs.select(F.col("doc_id").cast("long"), text_bytes("text").alias("text")), wanted, ["doc_id"], "left_semi")), "sets")
+    texts = docs.select(F.col("doc_id").cast("long"), text_bytes("text").alias("text"))
+    sets = as_table(full_sets(once_each(join_counted(texts, wanted, ["doc_id"], "left_semi"), documents)), "sets")
 
     star = as_table(compare(members.where("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sketches, percent), "pairs")
     best = Window.partitionBy("b").orderBy(F.desc("equal"), "a")  # at most one row per band and member
     first = star.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("a", "b")
     several = documents.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
-    same_id = several.select("doc_id", "a").join(documents.select("doc_id", F.col("node").alias("b")), "doc_id").where("a < b").select("a", "b")
+    same_id = several.select("doc_id", "a").join(documents.select("doc_id", F.col("node").alias("b")), "doc_id").where("a < b").select("a", "b").distinct()
     links = as_table(confirm(first, sets, percent).select("a", "b").union(same_id.select("a", "b")), "links")
     tested, only = first, None
     labels = as_table(components(links), "labels")
@@ -304,6 +305,15 @@ def open_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(x, "a", "left").join(y, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def once_each(texts: DataFrame, documents: DataFrame) -> DataFrame:
+    """Each text of an id once, so that n repeated rows and m of a partner don't meet n * m times. Only ids on several rows are shuffled."""
+    repeated = as_table(documents.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return texts
+    single = join_counted(texts, repeated, ["doc_id"], "left_anti")
+    return single.union(join_counted(texts, repeated, ["doc_id"], "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"]).select("doc_id", "text"))
+
+
 def full_sets(docs: DataFrame) -> DataFrame:
     """node and its sorted shingle hashes (uint64 bytes)."""
 

@@ -240,15 +240,25 @@ def copies_of(docs: DataFrame) -> DataFrame:
     return join_counted(hashed, as_table(least, "texts"), ["tag", "h"], "inner").where("doc_id > least").select(F.col("doc_id").alias("id"), "tag").distinct()
 
 
+def once_each(docs: DataFrame) -> DataFrame:
+    """Each text of a doc_id once: what is on several rows is shuffled and written, so that both passes over it cut the same chunks."""
+    repeated = as_table(docs.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "tag"), "repeated")
+    if repeated.isEmpty():
+        return docs
+    single = join_counted(docs, repeated, ["doc_id", "tag"], "left_anti").select("doc_id", "text", "tag")
+    more = join_counted(docs, repeated, ["doc_id", "tag"], "left_semi").dropDuplicates(["doc_id", "tag"]).select("doc_id", "text", "tag")
+    return single.union(as_table(more, "once"))
+
+
 def repeated_windows(docs: DataFrame, *, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """id, hits: for each text of a doc_id its tag, and spans of words to remove (int32 pairs), or that it is a copy (whole).
     docs: doc_id (not null), text as bytes, tag."""
     copies = as_table(copies_of(docs), "copies")
-    own = join_counted(docs.withColumnRenamed("doc_id", "id"), copies, ["id", "tag"], "left_anti").select(F.col("id").alias("doc_id"), "text", "tag")
+    own = join_counted(once_each(docs).withColumnRenamed("doc_id", "id"), copies, ["id", "tag"], "left_anti").select(F.col("id").alias("doc_id"), "text", "tag")
     found = candidates(own, chunk_words)
     least = F.min("doc_id").over(Window.partitionBy("h1", "h2", F.col("spans").isNull()))
     late = found.withColumn("least", least).where("spans is not null or doc_id > least")
-    starts = late.groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("starts"), F.collect_list("spans").alias("spans"))  # bounded by a document's windows
+    starts = late.groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("starts"), F.collect_list("spans").alias("spans"))  # at most the windows of one text, as each is there once
     hits = starts.mapInArrow(words_of_windows, "id long, tag long, spans binary").withColumn("whole", F.lit(False))
     hits = hits.union(copies.select("id", "tag", F.lit(None).cast("binary"), F.lit(True)))
     return hits.groupBy("id").agg(F.collect_list(F.struct("tag", "spans", "whole")).alias("hits"))
