@@ -1,8 +1,9 @@
-"""Vector tiles in the public protobuf format (version 2): polygons with one string attribute, `kind`."""
+"""Vector tiles in the public protobuf format (version 2): polygons with one string attribute, `kind`, are written; any tile is read and merged."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 from .geometry import Point, area
 
@@ -11,6 +12,7 @@ TILE_LAYER = 3
 LAYER_NAME, LAYER_FEATURE, LAYER_KEY, LAYER_VALUE, LAYER_EXTENT, LAYER_VERSION = 1, 2, 3, 4, 5, 15
 FEATURE_TAGS, FEATURE_TYPE, FEATURE_GEOMETRY = 2, 3, 4
 VALUE_STRING = 1
+DEFAULT_EXTENT = 4096
 POLYGON, MOVE, LINE, CLOSE = 3, 1, 2, 7
 
 
@@ -67,3 +69,162 @@ def encode(features: list[tuple[str, str, list[list[list[Point]]]]], extent: int
         body += bytes_field(LAYER_KEY, b"kind") + b"".join(bytes_field(LAYER_VALUE, bytes_field(VALUE_STRING, k.encode())) for k in kinds) + number_field(LAYER_EXTENT, extent)
         out.append(bytes_field(TILE_LAYER, body))
     return b"".join(out)
+
+
+def read_varint(data: bytes, at: int) -> tuple[int, int]:
+    """A number and where it ends."""
+    n = shift = 0
+    while True:
+        b = data[at]
+        at += 1
+        n |= (b & 0x7F) << shift
+        if b < 0x80:
+            return n, at
+        shift += 7
+
+
+def read_fields(data: bytes) -> Iterator[tuple[int, int | bytes, bytes]]:
+    """(field, value, the field as it stands) of a message; values of fixed width are bytes."""
+    at = 0
+    while at < len(data):
+        begin = at
+        key, at = read_varint(data, at)
+        kind = key & 7
+        if kind == 0:
+            value, at = read_varint(data, at)
+        elif kind == 2:
+            size, at = read_varint(data, at)
+            value, at = data[at : at + size], at + size
+        elif kind in (1, 5):
+            size = 8 if kind == 1 else 4
+            value, at = data[at : at + size], at + size
+        else:
+            raise ValueError("not a vector tile")
+        if at > len(data):
+            raise ValueError("the tile is cut short")
+        yield key >> 3, value, data[begin:at]
+
+
+def read_packed(data: bytes) -> list[int]:
+    out, at = [], 0
+    while at < len(data):
+        n, at = read_varint(data, at)
+        out.append(n)
+    return out
+
+
+def unzigzag(n: int) -> int:
+    return n >> 1 if n & 1 == 0 else -((n + 1) >> 1)
+
+
+@dataclass
+class Layer:
+    """A layer as it stands: features are messages, values are messages; only what a merge must look into is read."""
+
+    name: bytes
+    version: int = 1
+    extent: int = DEFAULT_EXTENT
+    keys: list[bytes] = field(default_factory=list)
+    values: list[bytes] = field(default_factory=list)
+    features: list[bytes] = field(default_factory=list)
+    others: list[bytes] = field(default_factory=list)
+
+    def message(self) -> bytes:
+        parts = [number_field(LAYER_VERSION, self.version), bytes_field(LAYER_NAME, self.name)]
+        parts += [bytes_field(LAYER_FEATURE, f) for f in self.features] + [bytes_field(LAYER_KEY, k) for k in self.keys] + [bytes_field(LAYER_VALUE, v) for v in self.values]
+        return b"".join([*parts, number_field(LAYER_EXTENT, self.extent), *self.others])
+
+
+def layers_of(tile: bytes) -> list[Layer]:
+    out = []
+    for number, body, _ in read_fields(tile):
+        if number == TILE_LAYER:
+            layer = Layer(b"")
+            for f, value, raw in read_fields(body):
+                if f == LAYER_NAME:
+                    layer.name = value
+                elif f == LAYER_VERSION:
+                    layer.version = value
+                elif f == LAYER_EXTENT:
+                    layer.extent = value
+                elif f in (LAYER_KEY, LAYER_VALUE, LAYER_FEATURE):
+                    {LAYER_KEY: layer.keys, LAYER_VALUE: layer.values, LAYER_FEATURE: layer.features}[f].append(value)
+                else:
+                    layer.others.append(raw)
+            out.append(layer)
+    return out
+
+
+def scaled(numbers: list[int], factor: float) -> list[int]:
+    """Drawing commands in other units: each point is rounded by itself, so points that were one stay one."""
+    out, at, x, y, u, v = [], 0, 0, 0, 0, 0
+    while at < len(numbers):
+        command = numbers[at]
+        out.append(command)
+        at += 1
+        for _ in range(command >> 3 if command & 7 != CLOSE else 0):
+            x, y = x + unzigzag(numbers[at]), y + unzigzag(numbers[at + 1])
+            at += 2
+            p, q = round(x * factor), round(y * factor)
+            out += [zigzag(p - u), zigzag(q - v)]
+            u, v = p, q
+    return out
+
+
+def add_layer(to: Layer, more: Layer) -> None:
+    """All features of a layer of the same name, with their attributes' keys and values numbered anew and their geometry in the first one's
+    units."""
+    keys, values = ({x: i for i, x in reversed(list(enumerate(held)))} for held in (to.keys, to.values))
+    number = lambda known, held, x: known[x] if x in known else known.setdefault(x, held.append(x) or len(held) - 1)
+    key_of = [number(keys, to.keys, k) for k in more.keys]
+    value_of = [number(values, to.values, v) for v in more.values]
+    for feature in more.features:
+        body = b""
+        for f, value, raw in read_fields(feature):
+            if f == FEATURE_TAGS:
+                tags = read_packed(value)
+                raw = packed(FEATURE_TAGS, [(value_of if i % 2 else key_of)[t] for i, t in enumerate(tags)])
+            elif f == FEATURE_GEOMETRY and more.extent != to.extent:
+                raw = packed(FEATURE_GEOMETRY, scaled(read_packed(value), to.extent / more.extent))
+            body += raw
+        to.features.append(body)
+    to.version = max(to.version, more.version)
+
+
+def merged(tiles: Iterable[bytes]) -> bytes:
+    """One tile with all features of several: each layer name once, in order of first appearance."""
+    layers: dict[bytes, Layer] = {}
+    for tile in tiles:
+        for layer in layers_of(tile):
+            if layer.name in layers:
+                add_layer(layers[layer.name], layer)
+            else:
+                layers[layer.name] = layer
+    return b"".join(bytes_field(TILE_LAYER, layer.message()) for layer in layers.values())
+
+
+def rings_of(numbers: list[int]) -> list[list[Point]]:
+    """The rings that drawing commands draw."""
+    out: list[list[Point]] = []
+    at, x, y = 0, 0, 0
+    while at < len(numbers):
+        command, at = numbers[at], at + 1
+        if command & 7 == MOVE:
+            out.append([])
+        for _ in range(command >> 3 if command & 7 != CLOSE else 0):
+            x, y, at = x + unzigzag(numbers[at]), y + unzigzag(numbers[at + 1]), at + 2
+            out[-1].append((float(x), float(y)))
+    return out
+
+
+def decode(tile: bytes) -> Iterator[tuple[int, str, dict[str, str], int, list[list[Point]], int]]:
+    """(layer's place, layer, attributes, geometry type, rings, extent) of each feature. Attributes that aren't text are given as their messages."""
+    for nth, layer in enumerate(layers_of(tile)):
+        for feature in layer.features:
+            found = {f: value for f, value, _ in read_fields(feature)}
+            tags = read_packed(found.get(FEATURE_TAGS, b""))
+            said = {}
+            for k, v in zip(tags[::2], tags[1::2], strict=True):
+                message = dict((f, x) for f, x, _ in read_fields(layer.values[v]))
+                said[layer.keys[k].decode()] = message[VALUE_STRING].decode() if VALUE_STRING in message else repr(message)
+            yield nth, layer.name.decode(), said, found.get(FEATURE_TYPE, 0), rings_of(read_packed(found.get(FEATURE_GEOMETRY, b""))), layer.extent

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import pixel_at
-from ..plans.settings import Grid
+from ..functions.geo import x_of, y_of
+from ..plans.settings import MERC, Grid
 
 
 def mode_of(value: str) -> Column:
@@ -21,13 +22,31 @@ def resample(pixels: DataFrame, x: Column, y: Column) -> DataFrame:
     return pixels.groupBy(x.cast("int").alias("x"), y.cast("int").alias("y")).agg(mode_of("value").alias("value"))
 
 
-def warp(samples: DataFrame, z: int, grid: Grid) -> DataFrame:
-    """x, y, value of level z from source cells in degrees (lon, lat of their centres, value): the dominant value of each target pixel.
+def placed(centre: Column, step: float, place: Callable[[Column], Column]) -> Column:
+    """A source cell along an axis, in target lines: the line its centre is on, those of its neighbours' centres, and its edges."""
+    one, two = place(centre - step / 2), place(centre + step / 2)
+    on = [F.floor(place(c)).alias(name) for c, name in ((centre, "here"), (centre - step, "before"), (centre + step, "behind"))]
+    return F.struct(*on, F.least(one, two).alias("low"), F.greatest(one, two).alias("high"))
 
-    One aggregation, counted map-side; the sources needn't be joined into one raster first."""
-    x, y = pixel_at(F.col("lon"), F.col("lat"), z, grid)
-    placed = samples.select(x.alias("x"), y.alias("y"), "value").where("x is not null")
-    return resample(placed, F.col("x"), F.col("y"))
+
+def takers(cell: str, size: int) -> Column:
+    """The target lines that take a placed cell: the one its centre is on, and those that no centre is on but whose middle is in the cell."""
+    c = F.col(cell)
+    low, high = F.greatest(F.floor(c["low"]), F.lit(0)), F.least(F.floor(c["high"]), F.lit(size - 1))
+    takes = lambda t: (t == c["here"]) | ((t + 0.5 >= c["low"]) & (t + 0.5 < c["high"]) & (t != c["before"]) & (t != c["behind"]))
+    return F.when(low <= high, F.filter(F.sequence(low, high), takes))
+
+
+def warp(samples: DataFrame, z: int, grid: Grid, dlon: float, dlat: float) -> DataFrame:
+    """x, y, value of level z from source cells in degrees (lon, lat of their centres on a lattice of dlon x dlat, value): the dominant value
+    of the cells whose centres a target pixel covers or, where it covers none, of the cell that its middle is in.
+
+    One aggregation, counted map-side; the sources needn't be joined into one raster first, and those that overlap count together."""
+    size, metres, pole = grid.size_px(z), grid.metres_per_px(z), F.lit(89.9999)
+    x = placed(F.col("lon"), dlon, lambda c: (x_of(c) + MERC) / metres)
+    y = placed(F.col("lat"), dlat, lambda c: (F.lit(MERC) - y_of(F.greatest(F.least(c, pole), -pole))) / metres)
+    cells = samples.select(x.alias("px"), y.alias("py"), "value")
+    return resample(cells.select(F.explode(takers("px", size)).alias("x"), "py", "value").select("x", F.explode(takers("py", size)).alias("y"), "value"), F.col("x"), F.col("y"))
 
 
 def halve(pixels: DataFrame, factor: int = 2) -> DataFrame:

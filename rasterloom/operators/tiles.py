@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Point, area, clip, from_wkb, mercator_ring, polygon_area, wkb
-from ..functions.mvt import encode
+from ..functions.mvt import decode, encode, merged
 from ..plans.settings import MERC, WORLD
 
 EXTENT = 4096
@@ -209,3 +209,47 @@ def merge_blobs(one: DataFrame, two: DataFrame, column: str = "data") -> DataFra
     empty = F.lit(b"")
     pair = one.withColumnRenamed(column, "_one").join(two.withColumnRenamed(column, "_two"), ["z", "tx", "ty"], "full_outer")
     return pair.select("z", "tx", "ty", F.concat(F.coalesce("_one", empty), F.coalesce("_two", empty)).alias(column))
+
+
+COMPRESSIONS = ("none", "gzip")
+
+
+def unpacked(data: bytes | None, compression: str) -> bytes:
+    return b"" if not data else gzip.decompress(data) if compression == "gzip" else bytes(data)
+
+
+def merge_tiles(one: DataFrame, two: DataFrame, compressions: tuple[str, str] = ("none", "none"), compression: str = "none") -> DataFrame:
+    """Encoded tiles of two sets (z, tx, ty, data) as one set: a full outer join by place. A tile that both have gets each layer once, with all
+    features of both; layers that only one of them has stay as they are. Sides may be compressed differently."""
+    for c in (*compressions, compression):
+        if c not in COMPRESSIONS:
+            raise ValueError(f"tiles compressed by {c} can't be merged; known are {', '.join(COMPRESSIONS)}")
+    same = compressions == (compression, compression)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for a, b in zip(f["_one"], f["_two"], strict=True):
+                if same and (a is None or b is None):
+                    out.append(a if b is None else b)
+                else:
+                    tile = merged([unpacked(a, compressions[0]), unpacked(b, compressions[1])])
+                    out.append(gzip.compress(tile, mtime=0) if compression == "gzip" else tile)
+            yield pd.DataFrame({"z": f["z"], "tx": f["tx"], "ty": f["ty"], "data": out})
+
+    sides = [df.select("z", "tx", "ty", F.col("data").alias(name)) for df, name in ((one, "_one"), (two, "_two"))]
+    return sides[0].join(sides[1], ["z", "tx", "ty"], "full_outer").mapInPandas(run, "z int, tx int, ty int, data binary")
+
+
+FEATURE = "z int, tx int, ty int, nth_layer int, layer string, kind string, area double, extent int"
+
+
+def decode_tiles(tiles: DataFrame, compression: str = "none") -> DataFrame:
+    """A row for each feature of encoded tiles: FEATURE. area is that of its rings, holes taken off; kind is its attribute of that name."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [(t.z, t.tx, t.ty, nth, layer, said.get("kind"), sum(map(area, rings)), extent) for t in f.itertuples(index=False) for nth, layer, said, _, rings, extent in decode(unpacked(t.data, compression))]
+            yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in FEATURE.split(", ")])
+
+    return tiles.select("z", "tx", "ty", "data").mapInPandas(run, FEATURE)

@@ -179,6 +179,10 @@ SELECT region, CAST(code AS INTEGER) AS code, layer, kind, count(*) AS n FROM re
 SELECT id, c_nationkey, coalesce((SELECT sum(b.bytes) FROM c b WHERE b.c_nationkey = a.c_nationkey AND (b.area < a.area OR b.area = a.area AND b.id < a.id)), 0) < (SELECT sum(bytes) FROM c b WHERE b.c_nationkey = a.c_nationkey) - 5000 AS merged FROM c a""",
     "q_zoom_union": f"WITH {TILES} SELECT z, count(*) AS n FROM ours GROUP BY z",
     "q_feature_merge": f"WITH {TILES}, {BASE}, merged AS (SELECT z, tx, ty, 0 AS b FROM ours UNION ALL SELECT z, tx, ty, 1 FROM base) SELECT z, tx, ty, count(*) AS n, CAST(sum(b) AS BIGINT) AS n_base FROM merged GROUP BY ALL",
+    "q_layer_merge": f"""WITH {TILES}, {BASE}, merged AS (
+  SELECT z, tx, ty, id, CASE WHEN id % 3 = 0 THEN 'water_polygons' ELSE 'land' END AS layer, 'a' || (id % 5) AS kind FROM ours
+  UNION ALL SELECT z, tx, ty, id, CASE WHEN id % 2 = 0 THEN 'land' ELSE 'roads' END, CASE WHEN id % 4 = 0 THEN 'a1' ELSE 'b' || (id % 4) END FROM base)
+SELECT z, tx, ty, layer, kind, count(*) AS n, CAST(sum((id % 30 + 1) * (id % 7 + 1)) AS BIGINT) AS area, CAST(1 AS BIGINT) AS n_layers FROM merged GROUP BY ALL""",
     "q_blob_merge": f"""WITH {TILES}, {BASE}, a AS (SELECT z, tx, ty, count(*) AS n FROM ours GROUP BY ALL), b AS (SELECT z, tx, ty, count(*) AS n FROM base GROUP BY ALL)
 SELECT z, tx, ty, coalesce(CAST(a.n AS VARCHAR), '') || coalesce(CAST(b.n AS VARCHAR), '') AS data FROM a FULL OUTER JOIN b USING (z, tx, ty)""",
     "q_sliding_rate": f"WITH {EVENTS} SELECT seq, done, {micro('rate')} AS rate_micro FROM rated",
@@ -204,6 +208,16 @@ SELECT p_partkey, {micro(f'((x * px - {MERC!r}) / {MERC!r} * 180)')} AS lon_micr
     "q_warp": f"""WITH c AS (SELECT (l_partkey * 7 % 540) / 1.5 - 179.7 AS lon, (l_suppkey * 11 % 270) / 1.5 - 89.6 AS lat, [0, 10, 30, 80, 50][CAST(l_quantity AS INTEGER) % 5 + 1] AS value FROM lineitem),
 m AS (SELECT CAST(floor((lon + 180) / 360 * {SIZE}) AS INTEGER) AS x, CAST(floor((1 - ln(tan(pi() / 4 + radians(lat) / 2)) / pi()) / 2 * {SIZE}) AS INTEGER) AS y, value FROM c)
 SELECT x, y, value FROM (SELECT x, y, value, row_number() OVER (PARTITION BY x, y ORDER BY count(*) DESC, value) AS n FROM m WHERE x BETWEEN 0 AND {SIZE - 1} AND y BETWEEN 0 AND {SIZE - 1} GROUP BY x, y, value) s WHERE n = 1""",
+    "q_warp_fine": f"""WITH c AS (SELECT l_partkey % 18 AS i, l_suppkey % 85 AS j, [0, 10, 30, 80, 50][CAST(l_quantity AS INTEGER) % 5 + 1] AS value FROM lineitem),
+n AS (SELECT i, j, value, count(*) AS n FROM c GROUP BY ALL),
+-- lines of pixels gather lines of cells: those whose centres they hold, else the one that holds their middle
+ci AS (SELECT k AS i, CAST(floor((k * 20 + 10) / 360.0 * 256) AS INTEGER) AS t FROM range(18) r(k)),
+cj AS (SELECT k AS j, CAST(floor((1 - ln(tan(pi() / 4 + radians(k * 2 - 84.0) / 2)) / pi()) / 2 * 256) AS INTEGER) AS t FROM range(85) r(k)),
+mj AS (SELECT CAST(t AS INTEGER) AS t, degrees(2 * atan(exp((1 - 2 * (t + 0.5) / 256) * pi())) - pi() / 2) AS lat FROM range(256) r(t)),
+gx AS (SELECT t, i FROM ci UNION ALL SELECT CAST(t AS INTEGER), CAST(floor((t + 0.5) / 256 * 18) AS BIGINT) FROM range(256) r(t) WHERE t NOT IN (SELECT t FROM ci)),
+gy AS (SELECT t, j FROM cj UNION ALL SELECT t, CAST(floor((lat + 85) / 2) AS BIGINT) FROM mj WHERE t NOT IN (SELECT t FROM cj) AND lat >= -85 AND lat < 85),
+p AS (SELECT gx.t AS x, gy.t AS y, value, sum(n) AS n FROM n JOIN gx USING (i) JOIN gy USING (j) GROUP BY ALL)
+SELECT x, y, value FROM (SELECT x, y, value, row_number() OVER (PARTITION BY x, y ORDER BY n DESC, value) AS nth FROM p) s WHERE nth = 1""",
     "q_simplify_checks": f"""WITH RECURSIVE {REGIONS}, sides AS (
   SELECT a.region, (SELECT count(*) FROM regions b WHERE abs(a.x - b.x) + abs(a.y - b.y) = 1 AND a.region = b.region) AS same FROM regions a)
 SELECT count(DISTINCT region) AS regions, CAST(sum(4 - same) AS BIGINT) AS corners, count(*) AS area, CAST(0 AS BIGINT) AS wrong FROM sides""",

@@ -152,13 +152,18 @@ def listed(spark: SparkSession, folder: str) -> list[str]:
 
 
 def merge_containers(spark: SparkSession, ours: str, base: str, out: str, metadata: dict | None = None) -> None:
-    """Two containers as one: the contents of each tile one after the other (their layers stand side by side)."""
+    """Two containers as one, layer by layer: a tile of both has each layer once, with the features of both. The result is compressed as ours."""
     (one, about), (two, about_base) = sinks.read_container(spark, ours), sinks.read_container(spark, base)
-    layers = {v["id"]: v for v in [*about_base.get("vector_layers", []), *about.get("vector_layers", [])]}
+    layers: dict[str, dict] = {}
+    for v in [*about_base.get("vector_layers", []), *about.get("vector_layers", [])]:
+        held = layers.get(v["id"], {})
+        layers[v["id"]] = {**v, **held, "fields": {**v.get("fields", {}), **held.get("fields", {})}}
     about.pop("made_from", None)
     about_base.pop("made_from", None)
     zooms = {"minzoom": min(about["minzoom"], about_base["minzoom"]), "maxzoom": max(about["maxzoom"], about_base["maxzoom"])}
-    sinks.write_container(tiles.merge_blobs(one, two), out, {**about_base, **about, **zooms, "vector_layers": list(layers.values()), **(metadata or {})})
+    kinds = (about_base.get("compression", "none"), about.get("compression", "none"))
+    made = tiles.merge_tiles(two, one, kinds, kinds[1])
+    sinks.write_container(made, out, {**about_base, **about, **zooms, "vector_layers": list(layers.values()), **(metadata or {})})
 
 
 def merge(ours: DataFrame, base: DataFrame, out: str) -> None:

@@ -189,7 +189,18 @@ def q_warp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells in degrees, two thirds of a degree apart, warped to the fixture's top level by dominant value."""
     code = F.element_at(F.array(*map(F.lit, CODES)), (F.col("l_quantity").cast("int") % 5 + 1).cast("int"))
     cells = table(spark, sf_dir, "lineitem").select(((F.col("l_partkey") * 7 % 540) / 1.5 - 179.7).alias("lon"), ((F.col("l_suppkey") * 11 % 270) / 1.5 - 89.6).alias("lat"), code.alias("value"))
-    return resample.warp(cells, Z, FIXTURE)
+    return resample.warp(cells, Z, FIXTURE, 2 / 3, 2 / 3)
+
+
+#: A level so fine that in the north and south its pixels are smaller than the cells that are warped to it.
+FINE = Grid(max_level=4, tile_px=16, block_tiles=2, blur_radius=3)
+
+
+def q_warp_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of 20 x 2 degrees from 85 S to 85 N, warped to 256 x 256 pixels: towards the poles most rows of pixels hold no cell's centre."""
+    code = F.element_at(F.array(*map(F.lit, CODES)), (F.col("l_quantity").cast("int") % 5 + 1).cast("int"))
+    cells = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 18 * 20 - 170.0).alias("lon"), (F.col("l_suppkey") % 85 * 2 - 84.0).alias("lat"), code.alias("value"))
+    return resample.warp(cells, FINE.max_level, FINE, 20.0, 2.0)
 
 
 def q_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -496,6 +507,27 @@ def q_blob_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.merge_blobs(*counts).select("z", "tx", "ty", F.col("data").cast("string").alias("data"))
 
 
+def encoded_boxes(spark: SparkSession, sf_dir: str, name: str, key: str, size: str, layer: Column, kind: Column, extent: int) -> DataFrame:
+    """Encoded tiles: every box of a table leaves a rectangle of its id's size in each tile it touches."""
+    placed = tiles.tile_explode(boxes(spark, sf_dir, name, key, size)).select("z", "tx", "ty", layer.alias("layer"), kind.alias("kind"), (F.col("id") % 30 + 1).alias("wide"), (F.col("id") % 7 + 1).alias("high"))
+
+    def shapes(frames):
+        for f in frames:
+            corners = zip(f["wide"].astype(float), f["high"].astype(float), strict=True)
+            yield f[["z", "tx", "ty", "layer", "kind"]].assign(geom=[geometry.wkb([[[(0.0, 0.0), (w, 0.0), (w, h), (0.0, h)]]]) for w, h in corners])
+
+    return tiles.encode_tiles(placed.mapInPandas(shapes, tiles.TILE), extent)
+
+
+def q_layer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two encoded tile sets merged layer by layer, read again: features and their area by layer and kind, and the layers of that name."""
+    k = F.col("id")
+    ours = encoded_boxes(spark, sf_dir, "part", "p_partkey", "p_size", F.when(k % 3 == 0, "water_polygons").otherwise("land"), F.concat(F.lit("a"), k % 5), 4096)
+    base = encoded_boxes(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", F.when(k % 2 == 0, "land").otherwise("roads"), F.when(k % 4 == 0, "a1").otherwise(F.concat(F.lit("b"), k % 4)), 4096)
+    found = tiles.decode_tiles(tiles.merge_tiles(ours, base))
+    return found.groupBy("z", "tx", "ty", "layer", "kind").agg(F.count("*").alias("n"), F.sum("area").cast("long").alias("area"), F.count_distinct("nth_layer").alias("n_layers"))
+
+
 # progress and text
 
 

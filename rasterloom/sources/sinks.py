@@ -119,7 +119,7 @@ def style_sheet(spark) -> str:
         fill = ET.SubElement(symbol, "layer", {"class": "SimpleFill", "enabled": "1", "locked": "0", "pass": "0"})
         option_map(fill, ((name, r.fill if name == "color" else value) for name, value in FILL_OPTIONS))
         option_map(ET.SubElement(fill, "data_defined_properties"), none)
-    ET.SubElement(ET.SubElement(root, "labeling", type="basic", labelsEnabled="0"), "styles")
+    ET.SubElement(ET.SubElement(root, "labeling", type="basic", labelsEnabled="1"), "styles")
     ET.SubElement(root, "blendMode").text = "0"
     ET.SubElement(root, "layerOpacity").text = "1"
     ET.indent(root)

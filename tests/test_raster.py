@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rasterloom.functions import geometry
+from rasterloom.functions import geometry, mvt
 from rasterloom.operators import classify, fragments, progress, regions, resample, tiles
 from rasterloom.plans import pipeline
 from rasterloom.plans.settings import FIXTURE, Grid
@@ -363,10 +363,41 @@ def test_build_resumes_and_merges(spark, levels, tmp_path):
     pipeline.merge_containers(spark, f"{root}/container", f"{root}/container", f"{tmp_path}/both")
     both, about = sinks.read_container(spark, f"{tmp_path}/both")
     single = {(r.z, r.tx, r.ty): gzip.decompress(r.data) for r in sinks.read_container(spark, f"{root}/container")[0].collect()}
-    assert {(r.z, r.tx, r.ty): gzip.decompress(r.data) for r in both.collect()} == {k: 2 * v for k, v in single.items()}
+    merged = {(r.z, r.tx, r.ty): gzip.decompress(r.data) for r in both.collect()}
+    assert merged.keys() == single.keys()
+    for place, tile in single.items():
+        one, two = ([(layer, said, shape) for _, layer, said, _, shape, _ in mvt.decode(t)] for t in (tile, merged[place]))
+        assert sorted(map(repr, two)) == sorted(map(repr, one + one))
+        assert [v.name for v in mvt.layers_of(merged[place])] == [v.name for v in mvt.layers_of(tile)]
     assert about["attribution"] == "none"
 
 
+def test_tiles_merge_layer_by_layer(spark):
+    """Tiles of another writer: other keys, values of other types, ids, lines, an older version, other extents and no layer in common."""
+    line = mvt.packed(mvt.FEATURE_GEOMETRY, [mvt.MOVE | 1 << 3, 20, 20, mvt.LINE | 2 << 3, 2, 3, 5, 8])
+    odd = mvt.number_field(1, 77) + mvt.packed(mvt.FEATURE_TAGS, [1, 0, 0, 1]) + mvt.number_field(mvt.FEATURE_TYPE, 2) + line
+    body = mvt.number_field(mvt.LAYER_VERSION, 1) + mvt.bytes_field(mvt.LAYER_NAME, b"land") + mvt.bytes_field(mvt.LAYER_FEATURE, odd) + mvt.bytes_field(mvt.LAYER_KEY, b"kind") + mvt.bytes_field(mvt.LAYER_KEY, b"lanes")
+    body += mvt.bytes_field(mvt.LAYER_VALUE, mvt.number_field(4, 3)) + mvt.bytes_field(mvt.LAYER_VALUE, mvt.bytes_field(1, b"forest")) + mvt.number_field(mvt.LAYER_EXTENT, 2048)
+    base = mvt.bytes_field(mvt.TILE_LAYER, body)
+    square = [[(0.0, 0.0), (40.0, 0.0), (40.0, 40.0), (0.0, 40.0)]]
+    ours = mvt.encode([("land", "forest", [square]), ("land", "scrub", [square]), ("water_polygons", "water", [square])], 4096)
+    got = list(mvt.decode(mvt.merged([base, ours])))
+    assert [(n, layer, kind, extent) for n, layer, _, kind, _, extent in got] == [(0, "land", 2, 2048), (0, "land", 3, 2048), (0, "land", 3, 2048), (1, "water_polygons", 3, 4096)]
+    assert [said for _, _, said, _, _, _ in got] == [{"kind": "forest", "lanes": "{4: 3}"}, {"kind": "forest"}, {"kind": "scrub"}, {"kind": "water"}]
+    assert got[0][4] == [[(10.0, 10.0), (11.0, 8.0), (8.0, 12.0)]] and geometry.area(got[1][4][0]) == 20 * 20
+    assert b"".join(mvt.number_field(1, 77) for _ in range(1)) in mvt.merged([base, ours])
+    assert mvt.merged([ours]) and list(mvt.decode(mvt.merged([b"", ours]))) == list(mvt.decode(ours))
+    with pytest.raises(ValueError, match="tile"):
+        mvt.merged([base[:-3]])
+    schema = "z int, tx int, ty int, data binary"
+    one = spark.createDataFrame([(1, 0, 0, gzip.compress(base)), (1, 0, 1, gzip.compress(base))], schema)
+    two = spark.createDataFrame([(1, 0, 0, ours), (1, 1, 1, ours)], schema)
+    out = {(r.tx, r.ty): gzip.decompress(r.data) for r in tiles.merge_tiles(one, two, ("gzip", "none"), "gzip").collect()}
+    assert out[0, 0] == mvt.merged([base, ours]) and list(mvt.decode(out[0, 1])) == list(mvt.decode(base)) and list(mvt.decode(out[1, 1])) == list(mvt.decode(ours))
+    with pytest.raises(ValueError, match="brotli"):
+        tiles.merge_tiles(one, two, ("brotli", "none"))
+
+
 WRITES = ("write_records", "write_log", "write_tiles", "write_container")
 
 

@@ -11,7 +11,7 @@ import pytest
 
 from rasterloom.operators import resample, warp
 from rasterloom.plans import pipeline
-from rasterloom.plans.settings import FIXTURE
+from rasterloom.plans.settings import FIXTURE, Grid
 from rasterloom.sources import listing, raster_files
 
 PAGES = {
@@ -138,9 +138,55 @@ def test_files_warped_to_the_grid(spark, tmp_path):
         pixels = rng.choice(np.array([0, 10, 30, 80], np.uint8), (60, 70))
         (tmp_path / f"{k}.tif").write_bytes(tiff(pixels, lon, lat, 0.5, tile=32, deflate=True))
         rows += [(lon + (i + 0.5) * 0.5, lat - (j + 0.5) * 0.5, int(pixels[j, i])) for j in range(60) for i in range(70)]
-    want = {(r.x, r.y): r.value for r in resample.warp(spark.createDataFrame(rows, "lon double, lat double, value int"), 2, grid).collect() if r.value}
+    want = {(r.x, r.y): r.value for r in resample.warp(spark.createDataFrame(rows, "lon double, lat double, value int"), 2, grid, 0.5, 0.5).collect() if r.value}
     made = warp.warp_blocks(raster_files.read_blocks(spark, str(tmp_path)), 2, grid, 16)
     got = {(r.x, r.y): r.value for r in pipeline.pixels_of(made, 16).collect() if r.value}
     assert got == want and len(want) > 100
     pipeline.load_chunks(made, str(tmp_path / "levels"), grid, 16)
     assert spark.read.parquet(str(tmp_path / "levels")).where("level = 0").count() >= 1
+
+
+def gathered(pixels, lon, lat, step, z, grid):
+    """Pixel by pixel: the mode of the cells whose centres it covers along both axes; along an axis without one, the cell of its middle."""
+    size, h, w = grid.size_px(z), *pixels.shape
+    k = np.arange(-400, 800)
+    on = {"x": np.floor(warp.columns_at(lon + (k + 0.5) * step, z, grid)), "y": np.floor(warp.rows_at(lat - (k + 0.5) * step, z, grid))}
+    out = {}
+    for y in range(size):
+        rows = k[on["y"] == y] if (on["y"] == y).any() else [int(np.floor((lat - warp.lat_of_rows(y + 0.5, z, grid)) / step))]
+        rows = [r for r in rows if 0 <= r < h]
+        for x in range(size) if rows else ():
+            columns = k[on["x"] == x] if (on["x"] == x).any() else [int(np.floor((warp.lon_of_columns(x + 0.5, z, grid) - lon) / step))]
+            values = [int(pixels[r, c]) for r in rows for c in columns if 0 <= c < w]
+            if values:
+                out[x, y] = min(values, key=lambda v: (-values.count(v), v))
+    return out
+
+
+@pytest.mark.parametrize(("lon", "lat", "step"), [(-30.0, 85.5, 0.5), (150.0, -70.0, 0.5), (-20.0, 20.0, 3.0), (0.0, 84.0, 0.2)])
+def test_warped_pixels_gather_their_cells(spark, lon, lat, step):
+    """Finer and coarser than the source, up to the square's edges: no hole, and both forms equal plain loops."""
+    grid, z = Grid(max_level=3, tile_px=32, block_tiles=2), 3
+    pixels = np.random.default_rng(4).choice(np.array([10, 20, 30], np.uint8), (40, 50))
+    want = gathered(pixels, lon, lat, step, z, grid)
+    blocks = [(lon + x * step, lat - y * step, step, step, min(16, 50 - x), min(16, 40 - y), pixels[y : y + 16, x : x + 16].tobytes()) for y in range(0, 40, 16) for x in range(0, 50, 16)]
+    made = warp.warp_blocks(spark.createDataFrame(blocks, "lon double, lat double, dlon double, dlat double, width int, height int, data binary"), z, grid, 32)
+    assert {(r.x, r.y): r.value for r in pipeline.pixels_of(made, 32).collect() if r.value} == want
+    cells = spark.createDataFrame([(lon + (i + 0.5) * step, lat - (j + 0.5) * step, int(pixels[j, i])) for j in range(40) for i in range(50)], "lon double, lat double, value int")
+    assert {(r.x, r.y): r.value for r in resample.warp(cells, z, grid, step, step).collect()} == want
+
+
+def test_no_row_is_missed_at_any_latitude():
+    """Tiles of one degree at 1/12,000 of a degree, on the default grid's finest level."""
+    grid = Grid()
+    for lat in range(-84, 85):
+        rows, _ = warp.taken_rows(lat + 1.0, 1 / 12_000, 12_000, grid.max_level, grid)
+        edges = warp.rows_at(np.array([lat + 1.0, float(lat)]), grid.max_level, grid)
+        assert set(range(max(0, int(np.ceil(edges[0]))), min(grid.size_px(10), int(edges[1])))) <= set(rows.tolist())
+
+
+def test_sources_that_overlap_count_together(spark):
+    grid = Grid(max_level=0, tile_px=4, block_tiles=1)
+    block = lambda v: (-180.0, 60.0, 30.0, 30.0, 3, 1, bytes([v]) * 3)
+    df = spark.createDataFrame([block(v) for v in (10, 30, 30)], "lon double, lat double, dlon double, dlat double, width int, height int, data binary")
+    assert {r.value for r in pipeline.pixels_of(warp.warp_blocks(df, 0, grid, 4), 4).collect() if r.value} == {30}
