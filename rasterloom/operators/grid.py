@@ -14,10 +14,14 @@ def zooms(spark: SparkSession, grid: Grid) -> DataFrame:
 
 
 def block_grid(spark: SparkSession, grid: Grid) -> DataFrame:
-    """z, bx, by of every block of every zoom: generated in parallel from (z, row)."""
-    n = blocks_per_axis(F.col("z"), grid)
-    rows = zooms(spark, grid).select("z", n.alias("n")).withColumn("by", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    return rows.select("z", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("bx"), "by")
+    """z, bx, by of every block of every zoom."""
+    return blocks_of(zooms(spark, grid), grid)
+
+
+def blocks_of(zooms_: DataFrame, grid: Grid) -> DataFrame:
+    """A row for every block of the zoom z of each row, beside the row's other columns: generated in parallel from (z, row)."""
+    line = F.sequence(F.lit(0), blocks_per_axis(F.col("z"), grid) - 1)
+    return zooms_.withColumn("by", F.explode(line)).select(*zooms_.columns, F.explode(line).alias("bx"), "by")
 
 
 def block_windows(blocks: DataFrame, grid: Grid) -> DataFrame:
@@ -47,7 +51,7 @@ def row_major(blocks: DataFrame) -> DataFrame:
 
 
 def in_order(blocks: DataFrame) -> DataFrame:
-    """Blocks by zoom, then row by row: ranges of neighbours, so that a task's windows share chunks."""
+    """Blocks by zoom, then row by row."""
     return blocks.orderBy("z", "by", "bx")
 
 

@@ -5,8 +5,10 @@ Tiles are rows: z, tx, ty, layer, kind, geom (multi-polygon in tile units, 0..ex
 from __future__ import annotations
 
 import gzip
+import math
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,6 +25,8 @@ COLUMNS = ["z", "tx", "ty", "layer", "kind", "geom"]
 FLUSH_BYTES = 4 << 20
 #: Bytes of an encoded feature besides its geometry, and what a feature and its names take at most.
 FEATURE_BYTES, HEADER_BYTES = 8, 200
+#: Bytes that an edge takes, about.
+EDGE_BYTES = 3
 
 Feature = tuple[str, str, list[list[list[Point]]]]
 
@@ -124,9 +128,99 @@ def coarser(polygons: list[list[list[Point]]], step: int) -> list[list[list[Poin
     return out
 
 
+class Faces:
+    """The polygons of a tile as faces over directed edges. Outer rings turn one way and holes the other, so a border that two polygons of a layer
+    share is an edge of one and, reversed, of the other. Dissolving takes such pairs of edges away; what is left are the rings of both
+    together, and no area is lost."""
+
+    def __init__(self, features: list[Feature]):
+        self.features = features
+        self.edges: list[set[tuple[Point, Point]]] = []
+        self.feature: list[int] = []
+        self.area: list[float] = []
+        self.owner: dict[tuple[str, Point, Point], int] = {}
+        for n, (layer, _, polygons) in enumerate(features):
+            for rings in polygons:
+                face, edges = len(self.edges), set()
+                for i, ring in enumerate(rings):
+                    ring = ring if (area(ring) > 0) == (i == 0) else ring[::-1]
+                    edges |= {(p, q) for p, q in zip(ring, ring[1:] + ring[:1], strict=True) if p != q}
+                edges = {(p, q) for p, q in edges if (q, p) not in edges}  # a spike bounds nothing
+                self.edges.append(edges)
+                self.feature.append(n)
+                self.area.append(polygon_area(rings))
+                for p, q in edges:  # an edge that another face has too is shared with neither's neighbours
+                    self.owner.setdefault((layer, p, q), face)
+        self.heap = [(size, face) for face, size in enumerate(self.area)]
+        heapify(self.heap)
+
+    def layer(self, face: int) -> str:
+        return self.features[self.feature[face]][0]
+
+    def dissolve_smallest(self) -> int | None:
+        """Takes the smallest face that has a neighbour into the one with which its border is longest (the larger, then the first, on a tie).
+        Returns how many edges that saves, or None if no face has a neighbour any more."""
+        while self.heap:
+            size, face = heappop(self.heap)
+            if self.area[face] != size or not self.edges[face]:
+                continue
+            layer, border = self.layer(face), defaultdict(float)
+            for p, q in self.edges[face]:
+                other = self.owner.get((layer, q, p), face)
+                if other != face and (q, p) in self.edges[other]:
+                    border[other] += math.hypot(q[0] - p[0], q[1] - p[1])
+            if border:
+                into = max(border, key=lambda f: (border[f], self.area[f], -f))
+                shared = {(p, q) for p, q in self.edges[face] if (q, p) in self.edges[into]}
+                self.edges[into] -= {(q, p) for p, q in shared}
+                self.edges[into] |= self.edges[face] - shared
+                for p, q in self.edges[face]:
+                    if self.owner.get((layer, p, q)) == face:
+                        self.owner[layer, p, q] = into
+                self.edges[face] = set()
+                self.area[into] += size
+                heappush(self.heap, (self.area[into], into))
+                return 2 * len(shared)
+        return None
+
+    def rows(self) -> list[Feature]:
+        """The features as they are now; those whose faces have all gone into others are no more."""
+        held: dict[int, list[list[list[Point]]]] = defaultdict(list)
+        for face, edges in enumerate(self.edges):
+            if edges:
+                held[self.feature[face]] += polygons_of_edges(edges)
+        return [(*self.features[n][:2], polygons) for n, polygons in sorted(held.items()) if polygons]
+
+
+def polygons_of_edges(edges: set[tuple[Point, Point]]) -> list[list[list[Point]]]:
+    """Polygons (outer ring and holes) that directed edges bound. Where a boundary touches itself, each ring keeps to its own side."""
+    leaving: dict[Point, list[Point]] = defaultdict(list)
+    for p, q in sorted(edges):
+        leaving[p].append(q)
+    rings = []
+    for start in sorted(leaving):
+        while leaving[start]:
+            ring, p, q = [start], start, leaving[start].pop(0)
+            while q != start:
+                ring.append(q)
+                back = math.atan2(p[1] - q[1], p[0] - q[0])
+                ways = leaving[q]
+                nth = min(range(len(ways)), key=lambda k: (back - math.atan2(ways[k][1] - q[1], ways[k][0] - q[0])) % math.tau or math.tau)  # noqa: B023
+                p, q = q, ways.pop(nth)
+            rings.append(ring)
+    outer = [[r] for r in rings if area(r) > 0]
+    box = lambda r: (min(x for x, _ in r), min(y for _, y in r), max(x for x, _ in r), max(y for _, y in r))
+    for hole in (r for r in rings if area(r) < 0):
+        x0, y0, x1, y1 = box(hole)
+        around = [o for o in outer if (b := box(o[0]))[0] <= x0 and b[1] <= y0 and b[2] >= x1 and b[3] >= y1]
+        min(around or outer, key=lambda o: area(o[0])).append(hole)
+    return outer
+
+
 def within_budget(features: list[Feature], budget: int, extent: int) -> list[Feature]:
-    """Features (layer, kind, polygons) whose encoded tile has at most `budget` bytes. Of an over-full tile the smallest features are joined
-    to the largest of their layer and kind, one after the other; if that isn't enough, coordinates are rounded to 2, 4, 8 ... units."""
+    """Features (layer, kind, polygons) whose encoded tile has at most `budget` bytes. Of an over-full tile the smallest polygons are dissolved
+    into their neighbours in the layer, one after the other, so that the layer covers what it did. Polygons that touch no other are
+    joined, as parts, to the largest feature of their layer and kind. Only if that isn't enough, coordinates are rounded to 2, 4, 8 ... units."""
 
     def size() -> int:
         return len(encode(rows, extent))
@@ -135,6 +229,16 @@ def within_budget(features: list[Feature], budget: int, extent: int) -> list[Fea
     over = size() - budget
     if over <= 0:
         return rows
+    faces, more = Faces(rows), True
+    while over > 0 and more:
+        saved = 0
+        while more and saved < over:
+            gone = faces.dissolve_smallest()
+            more = gone is not None
+            saved += FEATURE_BYTES + EDGE_BYTES * (gone or 0)
+        rows = faces.rows()
+        over = size() - budget
+    rows.sort(key=lambda f: (sum(map(polygon_area, f[2])), f[0], f[1], wkb(f[2])))
     largest = {f[:2]: i for i, f in enumerate(rows)}
     parts, gone = {i: [rows[i][2]] for i in largest.values()}, set()
     for i, f in enumerate(rows):

@@ -18,8 +18,7 @@ BLOCKS = f"""{ZOOMS},
 blocks AS (
   SELECT z, CAST(x AS INTEGER) AS bx, CAST(y AS INTEGER) AS by_ FROM (SELECT z, CAST(ceil(2 ** z / {G.block_tiles}) AS BIGINT) AS n FROM zooms) s,
   unnest(range(n)) a(x), unnest(range(n)) b(y))"""
-BOXES = f"""{BLOCKS},
-spans AS (SELECT *, {WORLD!r} / 2 ** z AS span, bx * {G.block_tiles} AS x0, by_ * {G.block_tiles} AS y0, least(bx * {G.block_tiles} + {G.block_tiles}, 2 ** z) AS x1, least(by_ * {G.block_tiles} + {G.block_tiles}, 2 ** z) AS y1 FROM blocks),
+SPANS = f"""spans AS (SELECT *, {WORLD!r} / 2 ** z AS span, bx * {G.block_tiles} AS x0, by_ * {G.block_tiles} AS y0, least(bx * {G.block_tiles} + {G.block_tiles}, 2 ** z) AS x1, least(by_ * {G.block_tiles} + {G.block_tiles}, 2 ** z) AS y1 FROM blocks),
 inner_box AS (SELECT z, bx, by_, span / {G.tile_px} AS px, x0 * span - {MERC!r} AS minx, x1 * span - {MERC!r} AS maxx, {MERC!r} - y1 * span AS miny, {MERC!r} - y0 * span AS maxy FROM spans),
 boxes AS (
   SELECT *, greatest(-{MERC!r}, minx - {G.margin_px} * px) AS win_minx, greatest(-{MERC!r}, miny - {G.margin_px} * px) AS win_miny,
@@ -27,6 +26,12 @@ boxes AS (
          minx / {MERC!r} * 180 AS west, maxx / {MERC!r} * 180 AS east,
          degrees(atan(sinh(miny / {MERC!r} * pi()))) AS south, degrees(atan(sinh(maxy / {MERC!r} * pi()))) AS north
   FROM inner_box)"""
+BOXES = f"{BLOCKS}, {SPANS}"
+TABLE_ZOOMS = "zooms AS (SELECT s_suppkey, CAST(z AS INTEGER) AS z FROM supplier, range(11) t(z) WHERE z <= s_suppkey % 11)"
+TABLE_BLOCKS = f"""blocks AS (
+  SELECT DISTINCT CAST(z AS INTEGER) AS z, CAST(o_custkey % n AS INTEGER) AS bx, CAST(o_orderkey * 7 % n AS INTEGER) AS by_
+  FROM (SELECT *, CAST(ceil(2 ** z / {G.block_tiles}) AS BIGINT) AS n FROM (SELECT *, o_orderkey % 11 AS z FROM orders) o) s)"""
+TABLE_BOXES = f"{TABLE_BLOCKS}, {SPANS}"
 NAMES = """names AS (
   SELECT CASE WHEN s_suppkey % 7 = 0 THEN 'readme' || s_suppkey || '.txt'
     ELSE format('map/tile_{}{:02d}{}{:03d}_v2.tif', CASE WHEN s_suppkey % 2 = 0 THEN 'N' ELSE 'S' END, s_suppkey * 3 % 84, CASE WHEN s_suppkey % 3 = 0 THEN 'W' ELSE 'E' END, s_suppkey * 21 % 180) END AS key
@@ -58,15 +63,29 @@ h AS (SELECT x + o AS x, y, channel, sum(w) AS score FROM channels, taps WHERE x
 scores AS (SELECT x, y + o AS y, channel, sum(score * w) AS score FROM h, taps WHERE y + o BETWEEN 0 AND {SIZE - 1} GROUP BY ALL)"""
 CLASSES = f"""{SCORES},
 classes AS (SELECT x, y, channel FROM (SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY score DESC, channel) AS n FROM scores) s WHERE n = 1)"""
-# Labels spread to equal neighbours until none changes; a label is the region's first pixel in row order.
-REGIONS = f"""{CLASSES},
-near AS (SELECT a.x, a.y, b.x AS nx, b.y AS ny FROM classes a JOIN classes b ON a.channel = b.channel AND abs(a.x - b.x) + abs(a.y - b.y) = 1),
-spread(x, y, region) USING KEY (x, y) AS (
-  SELECT x, y, y * {SIZE} + x FROM classes
+# The raster of a block for each supplier; labels spread to equal neighbours until none changes; a label is the region's first pixel in row order.
+SIDE = 16
+BLOCK_RASTER = f"""braw AS (
+  SELECT CAST(l_suppkey % 32 AS INTEGER) AS bx, CAST(l_suppkey // 32 AS INTEGER) AS by_, CAST(l_partkey % {SIDE} AS INTEGER) AS x, CAST((l_orderkey * 7 + l_linenumber) % {SIDE} AS INTEGER) AS y,
+         [0, 10, 30, 80, 50][CAST(l_quantity AS INTEGER) % 5 + 1] AS value FROM lineitem),
+bmodes AS (SELECT bx, by_, x, y, value FROM (SELECT *, row_number() OVER (PARTITION BY bx, by_, x, y ORDER BY n DESC, value) AS nth FROM (SELECT bx, by_, x, y, value, count(*) AS n FROM braw GROUP BY ALL) c) s WHERE nth = 1),
+bgrid AS (SELECT bx, by_, CAST(gx AS INTEGER) AS x, CAST(gy AS INTEGER) AS y FROM (SELECT DISTINCT bx, by_ FROM bmodes) b, range({SIDE}) a(gx), range({SIDE}) c(gy)), {LEGEND_SQL},
+bclasses AS (
+  SELECT bx, by_, x, y, coalesce((SELECT idx FROM legend WHERE list_contains(codes, coalesce(value, 0)) AND layer IS NOT NULL AND max_zoom >= {FIXTURE.max_level}), 0) AS channel
+  FROM bgrid LEFT JOIN bmodes USING (bx, by_, x, y))"""
+REGIONS = f"""{BLOCK_RASTER},
+steps(dx, dy) AS (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)),
+near AS (SELECT a.bx, a.by_, a.x, a.y, b.x AS nx, b.y AS ny FROM (SELECT *, x + dx AS tx, y + dy AS ty FROM bclasses, steps) a JOIN bclasses b ON a.bx = b.bx AND a.by_ = b.by_ AND a.channel = b.channel AND b.x = a.tx AND b.y = a.ty),
+spread(bx, by_, x, y, region) USING KEY (bx, by_, x, y) AS (
+  SELECT bx, by_, x, y, y * {SIDE} + x FROM bclasses
   UNION
-  SELECT n.x, n.y, min(s.region) FROM near n JOIN spread s ON s.x = n.nx AND s.y = n.ny JOIN recurring.spread r ON r.x = n.x AND r.y = n.y
-  WHERE s.region < r.region GROUP BY n.x, n.y),
-regions AS (SELECT CAST(c.x AS INTEGER) AS x, CAST(c.y AS INTEGER) AS y, CAST(channel AS INTEGER) AS channel, CAST(region AS BIGINT) AS region FROM classes c JOIN spread USING (x, y))"""
+  SELECT n.bx, n.by_, n.x, n.y, min(s.region) FROM near n JOIN spread s ON s.bx = n.bx AND s.by_ = n.by_ AND s.x = n.nx AND s.y = n.ny JOIN recurring.spread r ON r.bx = n.bx AND r.by_ = n.by_ AND r.x = n.x AND r.y = n.y
+  WHERE s.region < r.region GROUP BY n.bx, n.by_, n.x, n.y),
+regions AS (SELECT bx, by_, CAST(c.x AS INTEGER) AS x, CAST(c.y AS INTEGER) AS y, CAST(channel AS INTEGER) AS channel, CAST(region AS BIGINT) AS region FROM bclasses c JOIN spread USING (bx, by_, x, y)),
+-- how many of a pixel's four sides are inside its region
+sides AS (
+  SELECT r.bx, r.by_, r.region, r.x, r.y, count(o.region) AS same FROM (SELECT *, x + dx AS tx, y + dy AS ty FROM regions, steps) r
+  LEFT JOIN regions o ON o.bx = r.bx AND o.by_ = r.by_ AND o.x = r.tx AND o.y = r.ty AND o.region = r.region GROUP BY r.bx, r.by_, r.region, r.x, r.y)"""
 HALO = f"""{RASTER},
 halo AS (
   SELECT {FIXTURE.max_level} AS z, CAST(i AS INTEGER) AS bx, CAST(j AS INTEGER) AS by_, x, y, value FROM raster, range({FIXTURE.blocks(FIXTURE.max_level)}) a(i), range({FIXTURE.blocks(FIXTURE.max_level)}) b(j)
@@ -79,7 +98,7 @@ active AS (SELECT z, bx, by_, count(*) AS n_active, min(idx) AS first FROM drawn
 branches AS (
   SELECT w.*, coalesce(n_active, 0) AS n_active, first, CASE WHEN n_active IS NULL THEN 'empty' WHEN n_present = 1 THEN 'uniform' ELSE 'full' END AS branch
   FROM windows w LEFT JOIN active USING (z, bx, by_))"""
-UNIFORM = f"""{BOXES}, {LEGEND_SQL},
+UNIFORM = f"""{TABLE_BOXES}, {LEGEND_SQL},
 uniform AS (SELECT z, bx, by_, layer, kind, west, south, east, north FROM boxes JOIN legend ON idx = (bx + 3 * by_ + z) % 12 WHERE layer IS NOT NULL)"""
 
 
@@ -126,10 +145,10 @@ LEVELS = "SELECT 2 AS level, x, y, value FROM raster UNION ALL SELECT 1, x, y, v
 FILLED = "CAST(floor(done / total * 24 + 0.5) AS INTEGER)"
 
 ORACLES: dict[str, str] = {
-    "q_block_grid": f'WITH {BLOCKS} SELECT z, bx, by_ AS "by" FROM blocks',
-    "q_window_geometry": f"""WITH {BOXES} SELECT z, bx, by_ AS "by", {", ".join(f"{micro(c, '1000')} AS {c}" for c in ("minx", "miny", "maxx", "maxy", "win_minx", "win_miny", "win_maxx", "win_maxy"))},
+    "q_block_grid": f'WITH {TABLE_ZOOMS} SELECT s_suppkey, z, CAST(x AS INTEGER) AS bx, CAST(y AS INTEGER) AS "by" FROM (SELECT *, CAST(ceil(2 ** z / {G.block_tiles}) AS BIGINT) AS n FROM zooms WHERE z < 7) s, unnest(range(n)) a(x), unnest(range(n)) b(y)',
+    "q_window_geometry": f"""WITH {TABLE_BOXES} SELECT z, bx, by_ AS "by", {", ".join(f"{micro(c, '1000')} AS {c}" for c in ("minx", "miny", "maxx", "maxy", "win_minx", "win_miny", "win_maxx", "win_maxy"))},
   CAST(round((win_maxx - win_minx) / px) AS INTEGER) AS px_width, CAST(round((win_maxy - win_miny) / px) AS INTEGER) AS px_height, {", ".join(f"{micro(c)} AS {c}" for c in ("west", "south", "east", "north"))} FROM boxes""",
-    "q_tolerance_by_zoom": f"WITH {ZOOMS} SELECT z, CAST(ceil(2 ** z / {G.block_tiles}) AS INTEGER) AS blocks, {micro(f'({WORLD!r} / 2 ** z / {G.tile_px})', '1000')} AS mm_per_px, {micro(f'({WORLD!r} / (256 * 2 ** z))', '1000')} AS tolerance_mm FROM zooms",
+    "q_tolerance_by_zoom": f"WITH zooms AS (SELECT p_partkey, CAST(p_size % 11 AS INTEGER) AS z FROM part) SELECT p_partkey, z, CAST(ceil(2 ** z / {G.block_tiles}) AS INTEGER) AS blocks, {micro(f'({WORLD!r} / 2 ** z / {G.tile_px})', '1000')} AS mm_per_px, {micro(f'({WORLD!r} / (256 * 2 ** z))', '1000')} AS tolerance_mm FROM zooms",
     "q_corner_parse": f"WITH {NAMES} SELECT key, lat, lon FROM corners",
     "q_xml_key_extract": """SELECT p_partkey, 'a/' || p_partkey || '.tif|b/' || p_partkey || '.tif' AS keys, CASE WHEN p_size % 3 <> 0 THEN 'T' || p_size END AS next_token FROM part""",
     "q_occupied_cells": f"WITH {NAMES} SELECT lat, lon FROM cells",
@@ -138,10 +157,10 @@ ORACLES: dict[str, str] = {
     "q_blocks_per_zoom": f"WITH {TOUCHED} SELECT z, count(*) AS blocks FROM touched GROUP BY z",
     "q_resume_pending": f"""WITH {TOUCHED}, s AS (SELECT *, (bx * 7 + by_ * 3 + z) % 4 AS k, z <= 3 AS has_water FROM touched)
 SELECT z, bx, by_ AS "by", true AS has_land, has_water FROM s WHERE NOT (k IN (0, 1) AND (NOT has_water OR k IN (0, 2)))""",
-    "q_active_channels": f"WITH {ZOOMS}, {LEGEND_SQL} SELECT z, idx, layer, kind FROM zooms, legend WHERE layer IS NOT NULL AND max_zoom >= z",
-    "q_nodata_codes": f"WITH {ZOOMS}, {LEGEND_SQL} SELECT z, unnest(codes) AS code FROM zooms, legend WHERE layer IS NULL OR max_zoom < z",
-    "q_style_rules": f"""WITH {LEGEND_SQL}, d AS (SELECT *, [CAST('0x' || colour[2:3] AS INTEGER), CAST('0x' || colour[4:5] AS INTEGER), CAST('0x' || colour[6:7] AS INTEGER), 255] AS b FROM legend WHERE colour IS NOT NULL)
-SELECT idx, layer, kind, array_to_string(b, ',') || ',rgb:' || array_to_string(list_transform(b, lambda v: regexp_replace(CAST(v / 255 AS VARCHAR), '\\.0$', '')), ',') AS fill, '"kind" = ''' || kind || '''' AS rule FROM d""",
+    "q_active_channels": f"WITH {TABLE_ZOOMS}, {LEGEND_SQL} SELECT s_suppkey, z, idx, layer, kind FROM zooms, legend WHERE layer IS NOT NULL AND max_zoom >= z",
+    "q_nodata_codes": f"WITH {TABLE_ZOOMS}, {LEGEND_SQL} SELECT s_suppkey, z, unnest(codes) AS code FROM zooms, legend WHERE layer IS NULL OR max_zoom < z",
+    "q_style_rules": f"""WITH d AS (SELECT p_partkey AS idx, p_type AS kind, [p_partkey * 7919 % 16777216 // 65536, p_partkey * 7919 % 16777216 // 256 % 256, p_partkey * 7919 % 16777216 % 256, 255] AS b FROM part WHERE p_size % 5 <> 0 AND p_size % 7 <> 0)
+SELECT idx, 'land' AS layer, kind, array_to_string(b, ',') || ',rgb:' || array_to_string(list_transform(b, lambda v: regexp_replace(CAST(v / 255 AS VARCHAR), '\\.0$', '')), ',') AS fill, '"kind" = ''' || kind || '''' AS rule FROM d""",
     "q_color_parse": """WITH c AS (SELECT p_partkey, p_size, '#' || lpad(upper(to_hex(p_partkey * 7919 % 16777216)), 6, '0') || CASE WHEN p_size % 2 = 0 THEN lpad(upper(to_hex(p_size)), 2, '0') ELSE '' END AS code, p_partkey * 7919 % 16777216 AS v FROM part)
 SELECT p_partkey, code, (v // 65536) || ',' || (v // 256 % 256) || ',' || (v % 256) || ',' || CASE WHEN p_size % 2 = 0 THEN p_size ELSE 255 END AS rgba FROM c""",
     "q_mode_resample": f"WITH {RAW} SELECT x, y, value FROM modes",
@@ -162,16 +181,14 @@ SELECT p_partkey, code, (v // 65536) || ',' || (v // 256 % 256) || ',' || (v % 2
     "q_blur": f"WITH {SCORES} SELECT CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, channel, CAST(score AS BIGINT) AS score FROM scores",
     "q_argmax": f"WITH {CLASSES} SELECT CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, channel FROM classes",
     "q_class_histogram": f"WITH {CLASSES} SELECT channel, count(*) AS n FROM classes GROUP BY channel",
-    "q_channel_prune_equiv": f"WITH {CLASSES} SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM classes",
-    "q_components": f"WITH RECURSIVE {REGIONS} SELECT x, y, channel, region FROM regions",
-    "q_region_sizes": f"WITH RECURSIVE {REGIONS} SELECT region, channel, count(*) AS n FROM regions GROUP BY ALL",
-    "q_region_adjacency": f"""WITH RECURSIVE {REGIONS} SELECT least(a.region, b.region) AS one, greatest(a.region, b.region) AS two, count(*) AS edges
-FROM regions a JOIN regions b ON (b.x = a.x + 1 AND b.y = a.y) OR (b.x = a.x AND b.y = a.y + 1) WHERE a.region <> b.region GROUP BY ALL""",
-    "q_polygon_area": f"""WITH RECURSIVE {REGIONS}, sides AS (
-  SELECT a.region, a.x, a.y, (SELECT count(*) FROM regions b WHERE abs(a.x - b.x) + abs(a.y - b.y) = 1 AND a.region = b.region) AS same FROM regions a)
-SELECT region, count(*) AS area, CAST(sum(4 - same) AS BIGINT) AS boundary FROM sides GROUP BY region""",
-    "q_tag_split": f"""WITH RECURSIVE {REGIONS}, codes AS (SELECT channel, row_number() OVER (ORDER BY channel) + 1 AS code FROM (SELECT DISTINCT channel FROM regions WHERE channel > 0) s)
-SELECT region, CAST(code AS INTEGER) AS code, layer, kind, count(*) AS n FROM regions JOIN codes USING (channel) JOIN legend ON idx = channel WHERE layer IS NOT NULL GROUP BY ALL""",
+    "q_channel_prune_equiv": f'WITH {BLOCK_RASTER} SELECT bx, by_ AS "by", count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM bclasses GROUP BY bx, by_',
+    "q_components": f'WITH RECURSIVE {REGIONS} SELECT bx, by_ AS "by", x, y, channel, region FROM regions',
+    "q_region_sizes": f'WITH RECURSIVE {REGIONS} SELECT bx, by_ AS "by", region, channel, count(*) AS n FROM regions GROUP BY ALL',
+    "q_region_adjacency": f"""WITH RECURSIVE {REGIONS} SELECT a.bx, a.by_ AS "by", least(a.region, b.region) AS one, greatest(a.region, b.region) AS two, count(*) AS edges
+FROM (SELECT *, x + dx AS tx, y + dy AS ty FROM regions, steps WHERE dx + dy = 1) a JOIN regions b ON a.bx = b.bx AND a.by_ = b.by_ AND b.x = a.tx AND b.y = a.ty WHERE a.region <> b.region GROUP BY ALL""",
+    "q_polygon_area": f'WITH RECURSIVE {REGIONS} SELECT bx, by_ AS "by", region, count(*) AS area, CAST(sum(4 - same) AS BIGINT) AS boundary FROM sides GROUP BY ALL',
+    "q_tag_split": f"""WITH RECURSIVE {REGIONS}, codes AS (SELECT bx, by_, channel, row_number() OVER (PARTITION BY bx, by_ ORDER BY channel) + 1 AS code FROM (SELECT DISTINCT bx, by_, channel FROM regions WHERE channel > 0) s)
+SELECT bx, by_ AS "by", region, CAST(code AS INTEGER) AS code, layer, kind, count(*) AS n FROM regions JOIN codes USING (bx, by_, channel) JOIN legend ON idx = channel WHERE layer IS NOT NULL GROUP BY ALL""",
     "q_uniform_fragments": f'WITH {UNIFORM} SELECT z, bx, by_ AS "by", layer, kind, {", ".join(f"{micro(c)} AS {c}" for c in ("west", "south", "east", "north"))} FROM uniform',
     "q_fragment_union": f"WITH {UNIFORM} SELECT z, layer, kind, count(*) AS n, count(*) AS n_geom FROM uniform GROUP BY ALL",
     "q_tile_explode": f"WITH {TILES} SELECT id, z, tx, ty FROM ours",
@@ -196,11 +213,11 @@ SELECT seq, done, pct, {FILLED} AS cells FROM l WHERE before <> pct""",
   (s_suppkey % 3) || CASE WHEN s_suppkey % 3 = 1 THEN ' entry' ELSE ' entries' END AS entries FROM supplier""",
     "q_windowed_rate": f"""WITH e AS (SELECT CAST(floor(epoch_ms(ts) / 60000) AS BIGINT) * 60 - k * 60 AS start_s, event_type FROM events, range(5) t(k))
 SELECT start_s, event_type, count(*) AS n, {micro('(count(*) / 300)')} AS rate_micro FROM e GROUP BY start_s, event_type""",
-    "q_block_order": f'WITH {BLOCKS} SELECT z, bx, by_ AS "by", CAST(by_ * ceil(2 ** z / {G.block_tiles}) + bx AS INTEGER) AS nth FROM blocks',
+    "q_block_order": f'WITH {TABLE_BLOCKS} SELECT z, bx, by_ AS "by", CAST(row_number() OVER (PARTITION BY z ORDER BY by_, bx) - 1 AS INTEGER) AS nth FROM blocks',
     "q_cell_keys": f"WITH {NAMES} SELECT lat || ',' || lon AS cell FROM cells",
     "q_path_parts": f"WITH {NAMES} SELECT key, CASE WHEN contains(key, '/') THEN 'map' ELSE key END AS folder, string_split(key, '/')[-1] AS name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'[length(key) % 25 + 1] AS band FROM names",
     "q_lines": "SELECT s_suppkey, CAST(nth AS INTEGER) AS nth, CASE nth WHEN 0 THEN s_name WHEN 1 THEN CAST(s_suppkey AS VARCHAR) ELSE 'end' END AS line FROM supplier, range(3) t(nth)",
-    "q_active_layers": f"WITH {ZOOMS} SELECT z, true AS has_land, z <= 3 AS has_water FROM zooms",
+    "q_active_layers": f"WITH {TABLE_ZOOMS} SELECT s_suppkey, z, true AS has_land, z <= 3 AS has_water FROM zooms",
     "q_project_points": f"""WITH p AS (SELECT c_custkey, c_custkey * 7919 % 3590000 / 10000 - 179.5 AS lon, c_custkey * 104729 % 1700000 / 10000 - 85 AS lat FROM customer)
 SELECT c_custkey, {micro(f'(lon / 180 * {MERC!r})', '1000')} AS x_mm, {micro(f'(ln(tan(pi() / 4 + radians(lat) / 2)) / pi() * {MERC!r})', '1000')} AS y_mm, {micro('lon')} AS lon_micro, {micro('lat')} AS lat_micro FROM p""",
     "q_pixel_corners": f"""WITH p AS (SELECT p_partkey, {WORLD!r} / 2 ** (p_partkey % 11) / {G.tile_px} AS px, p_partkey * 31 % 1024 AS x, p_partkey * 17 % 1024 AS y FROM part)
@@ -218,10 +235,8 @@ gx AS (SELECT t, i FROM ci UNION ALL SELECT CAST(t AS INTEGER), CAST(floor((t +
 gy AS (SELECT t, j FROM cj UNION ALL SELECT t, CAST(floor((lat + 85) / 2) AS BIGINT) FROM mj WHERE t NOT IN (SELECT t FROM cj) AND lat >= -85 AND lat < 85),
 p AS (SELECT gx.t AS x, gy.t AS y, value, sum(n) AS n FROM n JOIN gx USING (i) JOIN gy USING (j) GROUP BY ALL)
 SELECT x, y, value FROM (SELECT x, y, value, row_number() OVER (PARTITION BY x, y ORDER BY n DESC, value) AS nth FROM p) s WHERE nth = 1""",
-    "q_simplify_checks": f"""WITH RECURSIVE {REGIONS}, sides AS (
-  SELECT a.region, (SELECT count(*) FROM regions b WHERE abs(a.x - b.x) + abs(a.y - b.y) = 1 AND a.region = b.region) AS same FROM regions a)
-SELECT count(DISTINCT region) AS regions, CAST(sum(4 - same) AS BIGINT) AS corners, count(*) AS area, CAST(0 AS BIGINT) AS wrong FROM sides""",
-    "q_sieve_checks": f"SELECT CAST({SIZE * SIZE} AS BIGINT) AS pixels, CAST(0 AS BIGINT) AS small",
+    "q_simplify_checks": f'WITH RECURSIVE {REGIONS} SELECT bx, by_ AS "by", count(DISTINCT region) AS regions, CAST(sum(4 - same) AS BIGINT) AS corners, count(*) AS area, CAST(0 AS BIGINT) AS wrong FROM sides GROUP BY ALL',
+    "q_sieve_checks": f'WITH {BLOCK_RASTER} SELECT bx, by_ AS "by", count(*) AS pixels, CAST(0 AS BIGINT) AS small FROM bclasses GROUP BY ALL',
     "q_rectangle_rings": f"""WITH {UNIFORM} SELECT z, bx, by_ AS "by", CAST(nth AS INTEGER) AS nth, {micro('(CASE WHEN nth IN (1, 2) THEN east ELSE west END)')} AS x_micro, {micro('(CASE WHEN nth IN (2, 3) THEN north ELSE south END)')} AS y_micro FROM uniform, range(5) t(nth)""",
     "q_layers_by_zoom": f"WITH {UNIFORM} SELECT z, count(*) FILTER (layer = 'land') AS n_land, count(*) FILTER (layer = 'water_polygons') AS n_water FROM uniform WHERE z % 2 = 0 AND bx % 2 = 1 GROUP BY z",
     "q_fragment_bytes": """WITH b AS (SELECT DISTINCT CAST(c_custkey % 50 AS INTEGER) AS bx, CAST(c_custkey % 7 AS INTEGER) AS by_ FROM customer),

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..operators import fragments, grid, tiles
 from ..operators.progress import Progress
-from ..sources import sinks
+from ..operators.warp import warp_blocks
+from ..sources import listing, raster_files, sinks
 from ..sources.legend import active_layers
 from .settings import LAYERS, Grid
 
@@ -32,6 +33,18 @@ def load_chunks(chunks: DataFrame, out: str, grid_: Grid, chunk: int = 512) -> N
         fragments.halve_chunks(above, chunk).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={level}")
 
 
+def download(spark: SparkSession, keys: DataFrame, store: str, out: str, grid_: Grid, chunk: int = 512) -> DataFrame:
+    """The first job: listed raster files (key) under a store to a pyramid in out/levels, and their list in out/list. Returns the occupied cells.
+
+    Files are read by ranges of bytes and warped block by block; the mosaic is the sum of the blocks' counts."""
+    sinks.write_list(keys.distinct(), f"{out}/list")
+    listed_keys = listing.read_list(spark, f"{out}/list")
+    paths = sorted(f"{store.rstrip('/')}/{r.key}" for r in listed_keys.collect())  # a few thousand names
+    blocks = raster_files.window(raster_files.read_windows(spark, paths), -180.0, -90.0, 180.0, 90.0)
+    load_chunks(warp_blocks(blocks, grid_.max_level, grid_, chunk), f"{out}/levels", grid_, chunk)
+    return listing.occupied_cells(listed_keys)
+
+
 def pixels_of(chunks: DataFrame, chunk: int = 512) -> DataFrame:
     """x, y, value of stored chunks, zeros included."""
 
@@ -78,7 +91,7 @@ def build(spark: SparkSession, levels: str, cells: DataFrame, out: str, grid_: G
     done = read_records(spark, root, before, "log").select("z", "bx", "by")
     pending = planned.join(done, ["z", "bx", "by"], "left_anti")
     stored = spark.read.parquet(levels).select(F.col("level").cast("int").alias("level"), "cx", "cy", "data")
-    pieces = fragments.chunks_for_blocks(stored, grid.in_order(pending), grid_, chunk)
+    pieces = fragments.chunks_for_blocks(stored, pending, grid_, chunk)
     counter = spark.sparkContext.accumulator(0)
     with bar.following(lambda: counter.value) if bar else nullcontext():
         sinks.write_records(fragments.process_blocks(pieces, grid_, counter.add), f"{root}/records/run={run}")

@@ -48,37 +48,71 @@ def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.classify(raster(spark, sf_dir), Z, SIZE, SIZE, FIXTURE)
 
 
-def per_raster(df: DataFrame, value: str, fn: Callable[[np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
-    """fn over a dense raster as one window: its size is the grid's, not the table's."""
+#: Pixels along a side of the blocks that follow.
+BLOCK = 16
+
+
+def block_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raster that grows with the table: a block of 16 x 16 pixels for each supplier (bx, by, x, y, value), dense, with the mode of the codes
+    that its items leave on each pixel. Gaps are 0."""
+    s = F.col("l_suppkey")
+    code = F.element_at(F.array(*map(F.lit, CODES)), (F.col("l_quantity").cast("int") % 5 + 1).cast("int"))
+    place = [(s % 32).cast("int").alias("bx"), F.floor(s / 32).cast("int").alias("by"), (F.col("l_partkey") % BLOCK).cast("int").alias("x"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % BLOCK).cast("int").alias("y")]
+    modes = table(spark, sf_dir, "lineitem").select(*place, code.alias("value")).groupBy("bx", "by", "x", "y").agg(resample.mode_of("value").alias("value"))
+    line = F.sequence(F.lit(0), F.lit(BLOCK - 1))
+    full = modes.select("bx", "by").distinct().withColumn("x", F.explode(line)).withColumn("y", F.explode(line))
+    return full.join(modes, ["bx", "by", "x", "y"], "left").select("bx", "by", "x", "y", F.coalesce("value", F.lit(0)).alias("value"))
+
+
+def block_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.fold(block_raster(spark, sf_dir), Z).select("bx", "by", "x", "y", "channel")
+
+
+def per_block(df: DataFrame, value: str, fn: Callable[[np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+    """bx, by and fn's rows for each block, as the engine's own job has them: a group is one window."""
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        a = np.zeros((SIZE, SIZE), np.uint8)
+        a = np.zeros((BLOCK, BLOCK), np.uint8)
         a[p["y"], p["x"]] = p[value]
-        return fn(a)
+        return fn(a).assign(bx=p["bx"].iat[0], by=p["by"].iat[0])
+
+    return df.select("bx", "by", "x", "y", value).groupBy("bx", "by").applyInPandas(run, f"bx int, by int, {schema}")
+
+
+def table_zooms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """s_suppkey and z: the zooms that a supplier's job draws."""
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(0), (k % 11).cast("int"))).alias("z"))
+
 
-    return df.select(F.lit(0).alias("window"), "x", "y", value).groupBy("window").applyInPandas(run, schema)
+def table_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """z, bx, by of the blocks that orders ask for."""
+    orders = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 11).cast("int").alias("z"), "o_orderkey", "o_custkey")
+    n = geo.blocks_per_axis(F.col("z"), WORLD_GRID)
+    return orders.select("z", (F.col("o_custkey") % n).cast("int").alias("bx"), (F.col("o_orderkey") * 7 % n).cast("int").alias("by")).distinct()
 
 
 # grids and coverage
 
 
 def q_block_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.block_grid(spark, WORLD_GRID)
+    """The blocks of every supplier's zooms, up to the seventh."""
+    return grid.blocks_of(table_zooms(spark, sf_dir).where("z < 7"), WORLD_GRID)
 
 
 def q_window_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = grid.block_windows(grid.block_grid(spark, WORLD_GRID), WORLD_GRID)
+    w = grid.block_windows(table_blocks(spark, sf_dir), WORLD_GRID)
     metres = ("minx", "miny", "maxx", "maxy", "win_minx", "win_miny", "win_maxx", "win_maxy")
     return w.select("z", "bx", "by", *(whole(F.col(c), 1000).alias(c) for c in metres), "px_width", "px_height", *(whole(F.col(c), 1e6).alias(c) for c in ("west", "south", "east", "north")))
 
 
 def q_block_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.row_major(grid.block_grid(spark, WORLD_GRID))
+    return grid.row_major(table_blocks(spark, sf_dir))
 
 
 def q_tolerance_by_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = F.col("z")
-    return grid.zooms(spark, WORLD_GRID).select("z", geo.blocks_per_axis(z, WORLD_GRID).alias("blocks"), whole(geo.metres_per_px(z, WORLD_GRID), 1000).alias("mm_per_px"), whole(geo.tolerance(z), 1000).alias("tolerance_mm"))
+    z = (F.col("p_size") % 11).cast("int")
+    return table(spark, sf_dir, "part").select("p_partkey", z.alias("z"), geo.blocks_per_axis(z, WORLD_GRID).alias("blocks"), whole(geo.metres_per_px(z, WORLD_GRID), 1000).alias("mm_per_px"), whole(geo.tolerance(z), 1000).alias("tolerance_mm"))
 
 
 def tile_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,19 +175,22 @@ def q_resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_active_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return legend.active_channels(spark, grid.zooms(spark, WORLD_GRID))
+    return legend.active_channels(spark, table_zooms(spark, sf_dir))
 
 
 def q_active_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return legend.active_layers(spark, grid.zooms(spark, WORLD_GRID))
+    return legend.active_layers(spark, table_zooms(spark, sf_dir))
 
 
 def q_nodata_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return legend.nodata_codes(spark, grid.zooms(spark, WORLD_GRID))
+    return legend.nodata_codes(spark, table_zooms(spark, sf_dir))
 
 
 def q_style_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.style_rules(spark)
+    """A legend of parts, some of them without a layer or a colour."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    colour = F.when(size % 7 != 0, F.concat(F.lit("#"), F.lpad(F.hex(k * 7919 % 16777216), 6, "0")))
+    return sinks.style_rules(table(spark, sf_dir, "part").select(k.alias("idx"), F.when(size % 5 != 0, "land").alias("layer"), F.col("p_type").alias("kind"), colour.alias("colour")))
 
 
 def q_color_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,8 +335,11 @@ def q_channel_prune_equiv(spark: SparkSession, sf_dir: str) -> DataFrame:
         y, x = np.mgrid[: a.shape[0], : a.shape[1]]
         return pd.DataFrame({"x": x.ravel(), "y": y.ravel(), "pruned": one.ravel(), "unpruned": two.ravel()})
 
-    both = per_raster(raster(spark, sf_dir), "value", arrays, "x int, y int, pruned int, unpruned int").join(classes(spark, sf_dir), ["x", "y"])
-    return both.agg(F.count("*").alias("n"), F.sum(F.expr("cast(pruned <> unpruned or pruned <> channel as bigint)")).alias("n_different"))
+    pixels, side = block_raster(spark, sf_dir), (F.lit(0), F.lit(BLOCK))
+    keys = ["bx", "by"]
+    relational = classify.argmax(classify.blur(classify.fold(pixels, Z), (*side, *side), FIXTURE, keys), *keys)
+    both = per_block(pixels, "value", arrays, "x int, y int, pruned int, unpruned int").join(relational, [*keys, "x", "y"])
+    return both.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(F.expr("cast(pruned <> unpruned or pruned <> channel as bigint)")).alias("n_different"))
 
 
 # regions
@@ -310,7 +350,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         y, x = np.mgrid[: a.shape[0], : a.shape[1]]
         return pd.DataFrame({"x": x.ravel(), "y": y.ravel(), "channel": a.ravel(), "region": regions.label(a).ravel()})
 
-    return per_raster(classes(spark, sf_dir), "channel", run, "x int, y int, channel int, region long")
+    return per_block(block_channels(spark, sf_dir), "channel", run, "x int, y int, channel int, region long")
 
 
 def q_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,14 +358,14 @@ def q_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_region_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labelled(spark, sf_dir).groupBy("region", "channel").agg(F.count("*").alias("n"))
+    return labelled(spark, sf_dir).groupBy("bx", "by", "region", "channel").agg(F.count("*").alias("n"))
 
 
 def q_region_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(a: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame(dict(zip(("one", "two", "edges"), regions.adjacency(regions.label(a)), strict=True)))
 
-    return per_raster(classes(spark, sf_dir), "channel", run, "one long, two long, edges long")
+    return per_block(block_channels(spark, sf_dir), "channel", run, "one long, two long, edges long")
 
 
 def q_sieve(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,7 +373,7 @@ def q_sieve(spark: SparkSession, sf_dir: str) -> DataFrame:
         y, x = np.mgrid[: a.shape[0], : a.shape[1]]
         return pd.DataFrame({"x": x.ravel(), "y": y.ravel(), "channel": regions.sieve(a, FIXTURE.sieve_px).ravel()})
 
-    return per_raster(classes(spark, sf_dir), "channel", run, "x int, y int, channel int")
+    return per_block(block_channels(spark, sf_dir), "channel", run, "x int, y int, channel int")
 
 
 def q_polygon_area(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +383,7 @@ def q_polygon_area(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = regions.polygonize(regions.label(a))
         return pd.DataFrame([(r, sum(map(regions.area2, rings)) // 2, sum(map(len, rings))) for r, rings in found.items()], columns=["region", "area", "boundary"])
 
-    return per_raster(classes(spark, sf_dir), "channel", run, "region long, area long, boundary long")
+    return per_block(block_channels(spark, sf_dir), "channel", run, "region long, area long, boundary long")
 
 
 def q_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,13 +395,13 @@ def q_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
         after = regions.simplify_coverage(labels, 1.5)
         return pd.DataFrame([(r, sum(map(len, before[r])), sum(map(len, rings)), sum(map(regions.area2, rings)) / 2) for r, rings in after.items()], columns=["region", "n_before", "n_after", "area"])
 
-    return per_raster(classes(spark, sf_dir), "channel", run, "region long, n_before long, n_after long, area double")
+    return per_block(block_channels(spark, sf_dir), "channel", run, "region long, n_before long, n_after long, area double")
 
 
 def q_simplify_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What simplification must keep: every region, the whole area, and no more corners than there were."""
     found = q_simplify(spark, sf_dir)
-    return found.agg(F.count("*").alias("regions"), F.sum("n_before").alias("corners"), whole(F.sum("area"), 1).alias("area"), F.sum(F.expr("cast(n_after > n_before or n_after < 3 as bigint)")).alias("wrong"))
+    return found.groupBy("bx", "by").agg(F.count("*").alias("regions"), F.sum("n_before").alias("corners"), whole(F.sum("area"), 1).alias("area"), F.sum(F.expr("cast(n_after > n_before or n_after < 3 as bigint)")).alias("wrong"))
 
 
 def q_sieve_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,34 +411,33 @@ def q_sieve_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         _, n = regions.sizes_of(regions.label(regions.sieve(a, FIXTURE.sieve_px)))
         return pd.DataFrame({"n": n})
 
-    left = per_raster(classes(spark, sf_dir), "channel", run, "n long")
-    return left.agg(F.sum("n").alias("pixels"), F.sum(F.expr(f"cast(n < {FIXTURE.sieve_px} as bigint)")).alias("small"))
+    left = per_block(block_channels(spark, sf_dir), "channel", run, "n long")
+    return left.groupBy("bx", "by").agg(F.sum("n").alias("pixels"), F.sum(F.expr(f"cast(n < {FIXTURE.sieve_px} as bigint)")).alias("small"))
 
 
 def q_tag_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = q_region_sizes(spark, sf_dir)
-    codes = sizes.select("channel").where("channel > 0").distinct()
-    numbered = codes.groupBy().agg(F.array_sort(F.collect_set("channel")).alias("active"))  # at most the legend's channels
-    codes = classify.ordinals(numbered.withColumn("window", F.lit(0)), "window")
-    coded = sizes.join(F.broadcast(codes.select("channel", F.col("code").cast("int").alias("code"))), "channel", "left").select(F.lit(0).alias("window"), "region", "n", F.coalesce("code", F.lit(1)).alias("code"))
-    return fragments.tag(coded, codes, ["window"]).select("region", "code", "layer", "kind", "n")
+    keys, sizes = ["bx", "by"], q_region_sizes(spark, sf_dir)
+    numbered = sizes.where("channel > 0").groupBy(*keys).agg(F.array_sort(F.collect_set("channel")).alias("active"))  # at most the legend's channels
+    codes = classify.ordinals(numbered, *keys).withColumn("code", F.col("code").cast("int"))
+    coded = sizes.join(codes, [*keys, "channel"], "left").select(*keys, "region", "n", F.coalesce("code", F.lit(1)).alias("code"))
+    return fragments.tag(coded, codes, keys).select(*keys, "region", "code", "layer", "kind", "n")
 
 
 # fragments and tiles
 
 
-def uniform(spark: SparkSession) -> DataFrame:
-    blocks = grid.block_grid(spark, WORLD_GRID).withColumn("channel", F.expr("(bx + 3 * by + z) % 12").cast("int"))
+def uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = table_blocks(spark, sf_dir).withColumn("channel", F.expr("(bx + 3 * by + z) % 12").cast("int"))
     return fragments.uniform_fragments(blocks, WORLD_GRID)
 
 
 def q_uniform_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return uniform(spark).select("z", "bx", "by", "layer", "kind", *(whole(F.col(c), 1e6).alias(c) for c in ("west", "south", "east", "north")))
+    return uniform(spark, sf_dir).select("z", "bx", "by", "layer", "kind", *(whole(F.col(c), 1e6).alias(c) for c in ("west", "south", "east", "north")))
 
 
 def q_fragment_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = [F.col(c) for c in ("west", "south", "east", "north")]
-    tagged = uniform(spark).select("z", "bx", "by", "layer", "kind", F.to_json(geo.ring_of(*box)).cast("binary").alias("geom"))
+    tagged = uniform(spark, sf_dir).select("z", "bx", "by", "layer", "kind", F.to_json(geo.ring_of(*box)).cast("binary").alias("geom"))
     parts = [tagged.where(F.col("layer") == layer).withColumn("code", F.lit(2)) if layer == "land" else tagged.where(F.col("layer") == layer) for layer in ("land", "water_polygons")]
     return fragments.union_fragments(parts).groupBy("z", "layer", "kind").agg(F.count("*").alias("n"), F.count("geom").alias("n_geom"))
 
@@ -406,7 +445,7 @@ def q_fragment_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_rectangle_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five points of each uniform block's ring, in order."""
     box = [F.col(c) for c in ("west", "south", "east", "north")]
-    points = uniform(spark).select("z", "bx", "by", F.posexplode(geo.ring_of(*box)).alias("nth", "p"))
+    points = uniform(spark, sf_dir).select("z", "bx", "by", F.posexplode(geo.ring_of(*box)).alias("nth", "p"))
     return points.select("z", "bx", "by", "nth", whole(F.col("p.x"), 1e6).alias("x_micro"), whole(F.col("p.y"), 1e6).alias("y_micro"))
 
 
@@ -414,7 +453,7 @@ def q_layers_by_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of uniform blocks' rectangles, those of even zooms and of odd columns; the others have no geometry."""
     box = [F.col(c) for c in ("west", "south", "east", "north")]
     shape = F.when((F.col("z") % 2 == 0) & (F.col("bx") % 2 == 1), F.to_json(geo.ring_of(*box)).cast("binary"))
-    return fragments.layers_by_zoom(uniform(spark).withColumn("geom", shape))
+    return fragments.layers_by_zoom(uniform(spark, sf_dir).withColumn("geom", shape))
 
 
 def q_fragment_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:

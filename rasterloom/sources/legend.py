@@ -20,18 +20,18 @@ def is_active(z: Column | int) -> Column:
 
 
 def active_channels(spark: SparkSession, zooms: DataFrame) -> DataFrame:
-    """z, idx, layer, kind of the channels drawn at each zoom."""
-    return zooms.join(F.broadcast(legend(spark)), F.col("layer").isNotNull() & (F.col("max_zoom") >= F.col("z"))).select("z", "idx", "layer", "kind")
+    """idx, layer, kind of the channels drawn at the zoom z of each row, beside the row's columns."""
+    return zooms.join(F.broadcast(legend(spark)), F.col("layer").isNotNull() & (F.col("max_zoom") >= F.col("z"))).select(*zooms.columns, "idx", "layer", "kind")
 
 
 def active_layers(spark: SparkSession, zooms: DataFrame) -> DataFrame:
-    """z, has_land, has_water: whether a channel of the layer is drawn at each zoom."""
-    return active_channels(spark, zooms).groupBy("z").agg(F.bool_or(F.col("layer") == "land").alias("has_land"), F.bool_or(F.col("layer") == "water_polygons").alias("has_water"))
+    """has_land, has_water: whether a channel of the layer is drawn at the zoom z of each row (z and other columns that tell rows apart)."""
+    return active_channels(spark, zooms).groupBy(*zooms.columns).agg(F.bool_or(F.col("layer") == "land").alias("has_land"), F.bool_or(F.col("layer") == "water_polygons").alias("has_water"))
 
 
 def nodata_codes(spark: SparkSession, zooms: DataFrame) -> DataFrame:
-    """z and the source codes that fold into no-data there: the complement of the active ones."""
-    return zooms.join(F.broadcast(legend(spark)), F.col("layer").isNull() | (F.col("max_zoom") < F.col("z"))).select("z", F.explode("codes").alias("code"))
+    """For the zoom z of each row, beside its columns, the source codes that fold into no-data there: the complement of the active ones."""
+    return zooms.join(F.broadcast(legend(spark)), F.col("layer").isNull() | (F.col("max_zoom") < F.col("z"))).select(*zooms.columns, F.explode("codes").alias("code"))
 
 
 def channel_of(code: Column, z: Column | int) -> Column:
@@ -43,6 +43,6 @@ def channel_of(code: Column, z: Column | int) -> Column:
     return out
 
 
-def styled(spark: SparkSession) -> DataFrame:
-    """Channels that a style sheet draws."""
-    return legend(spark).where("layer is not null and kind is not null and colour is not null")
+def styled(channels: DataFrame) -> DataFrame:
+    """Channels (of a legend) that a style sheet draws."""
+    return channels.where("layer is not null and kind is not null and colour is not null")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import block_id, colour, iso_millis
-from .legend import styled
+from .legend import legend, styled
 
 LOG_COLUMNS = ("timestamp", "id", "branch", "ms", "land_bytes", "water_bytes", "present", "channels", "kind")
 
@@ -71,9 +71,9 @@ def write_log(log: DataFrame, path: str) -> None:
     log_rows(log).select(*LOG_COLUMNS).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
 
 
-def style_rules(spark) -> DataFrame:
-    """idx, layer, kind, fill and the filter of each drawn kind."""
-    return styled(spark).select("idx", "layer", "kind", colour(F.col("colour")).alias("fill"), F.concat(F.lit("\"kind\" = '"), F.col("kind"), F.lit("'")).alias("rule"))
+def style_rules(channels: DataFrame) -> DataFrame:
+    """idx, layer, kind, fill and the filter of each drawn kind of a legend."""
+    return styled(channels).select("idx", "layer", "kind", colour(F.col("colour")).alias("fill"), F.concat(F.lit("\"kind\" = '"), F.col("kind"), F.lit("'")).alias("rule"))
 
 
 #: fixed values: what the desktop viewer writes for a plain fill without an outline.
@@ -112,7 +112,7 @@ def style_sheet(spark) -> str:
     ET.SubElement(ET.SubElement(root, "customproperties"), "Option")
     styles = ET.SubElement(ET.SubElement(root, "renderer", type="basic"), "styles")
     none = (("name", ""), ("properties", None), ("type", "collection"))
-    for r in style_rules(spark).orderBy("idx").collect():  # the legend: a dozen rows
+    for r in style_rules(legend(spark)).orderBy("idx").collect():  # the legend: a dozen rows
         one = ET.SubElement(styles, "style", {"geometry": "2", "min-zoom": "-1", "max-zoom": "-1", "layer": r.layer, "enabled": "1", "name": r.kind, "expression": r.rule})
         symbol = ET.SubElement(ET.SubElement(one, "symbols"), "symbol", type="fill", name="0", alpha="1", is_animated="0", frame_rate="10", clip_to_extent="1", force_rhr="0")
         option_map(ET.SubElement(symbol, "data_defined_properties"), none)

@@ -112,6 +112,33 @@ def test_sieve_leaves_no_small_region(seed):
     assert (n >= 28).all()
 
 
+def plain_sieve(a, threshold):
+    """One region at a time, smallest and first in front, everything labelled anew after each."""
+    a = a.copy()
+    while True:
+        ids = flood(a)
+        names, n = np.unique(ids, return_counts=True)
+        small = sorted((int(k), int(r)) for r, k in zip(names, n, strict=True) if k < threshold)
+        if not small or len(names) == 1:
+            return a
+        size = dict(zip(names.tolist(), n.tolist(), strict=True))
+        mine = ids == small[0][1]
+        around = np.zeros_like(mine)
+        around[1:] |= mine[:-1]
+        around[:-1] |= mine[1:]
+        around[:, 1:] |= mine[:, :-1]
+        around[:, :-1] |= mine[:, 1:]
+        target = min(set(ids[around & ~mine].tolist()), key=lambda r: (-size[r], r))
+        a[mine] = a[ids == target][0]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_sieve_equals_one_region_at_a_time(seed):
+    rng = np.random.default_rng(seed)
+    for a in (blobs(seed, 24), rng.integers(0, 4, (16, 16)), rng.integers(0, 2, (20, 9))):
+        assert (regions.sieve(a, 28) == plain_sieve(a, 28)).all()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_sieve_ends_in_speckle(seed):
     """Regions that are each other's largest neighbour don't swap classes for ever."""
@@ -268,6 +295,66 @@ def test_a_byte_budget_is_met(spark, budget):
         assert sum(map(geometry.polygon_area, parts)) == pytest.approx(whole, rel=0.1)
 
 
+def squares(kinds):
+    """A coverage of 10 x 10 squares: features (layer, kind, polygons), a square each."""
+    out = []
+    for j, row in enumerate(kinds):
+        for i, kind in enumerate(row):
+            x, y = float(i * 10), float(j * 10)
+            out.append(("land", kind, [[[(x, y), (x + 10, y), (x + 10, y + 10), (x, y + 10)]]]))
+    return out
+
+
+def covered(rows):
+    """Which half-unit points each feature covers, by the even-odd rule, over 40 x 40."""
+    out = {}
+    for n, (_, _, polygons) in enumerate(rows):
+        for rings in polygons:
+            for j in range(4):
+                for i in range(4):
+                    x, y = i * 10 + 5, j * 10 + 5
+                    crossed = sum((p[1] > y) != (q[1] > y) and x < p[0] + (y - p[1]) * (q[0] - p[0]) / (q[1] - p[1]) for ring in rings for p, q in zip(ring, ring[1:] + ring[:1], strict=True))
+                    if crossed % 2:
+                        out.setdefault((i, j), []).append(n)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_dissolved_squares_still_cover_all(seed):
+    """Whatever the order, every square stays covered once, and areas are those of the squares that went in."""
+    rng = np.random.default_rng(seed)
+    faces = tiles.Faces(squares(rng.choice(["a", "b", "c"], (4, 4)).tolist()))
+    for left in range(15, 0, -1):
+        assert faces.dissolve_smallest() >= 2
+        rows = faces.rows()
+        cover = covered(rows)
+        assert len(rows) == left and set(cover) == {(i, j) for i in range(4) for j in range(4)} and all(len(v) == 1 for v in cover.values())
+        held = [sum(map(geometry.polygon_area, polygons)) for _, _, polygons in rows]
+        assert held == [100.0 * sum(v == [n] for v in cover.values()) for n in range(left)]
+    assert faces.dissolve_smallest() is None
+
+
+def test_the_smallest_goes_to_its_longest_border():
+    ring = lambda *p: [[list(map(lambda c: (float(c[0]), float(c[1])), p))]]
+    left, right = ring((0, 0), (10, 0), (10, 2), (10, 9), (10, 10), (0, 10)), ring((10, 0), (30, 0), (30, 10), (10, 10), (10, 9), (12, 9), (12, 2), (10, 2))
+    speck, apart = ring((10, 2), (12, 2), (12, 9), (10, 9)), ring((50, 50), (51, 50), (51, 51), (50, 51))
+    faces = tiles.Faces([("land", "a", left), ("land", "b", right), ("land", "c", speck), ("land", "d", apart), ("water_polygons", "w", speck)])
+    assert faces.dissolve_smallest() == 6  # 11 units of border on the right, 7 on the left
+    got = {(layer, kind): sum(map(geometry.polygon_area, p)) for layer, kind, p in faces.rows()}
+    assert got == {("land", "a"): 100.0, ("land", "b"): 200.0, ("land", "d"): 1.0, ("water_polygons", "w"): 14.0}
+
+
+def test_an_over_full_coverage_loses_no_area(spark):
+    """A ragged coverage with holes, cut from regions, far over budget."""
+    found = regions.simplify_coverage(regions.label(blobs(3, 60)), 1.0)
+    features = [("land", ("forest", "scrub", "heath")[r % 3], [[[(float(x), float(y)) for x, y in ring] for ring in rings] for rings in fragments.polygons_of(rings_)]) for r, rings_ in found.items()]
+    full = len(mvt.encode(features, 4096))
+    for budget in (full - 1, full // 2, full // 8):
+        rows = tiles.within_budget(features, budget, 4096)
+        assert len(mvt.encode(rows, 4096)) <= budget and len(rows) < len(features)
+        assert sum(geometry.polygon_area(p) for f in rows for p in f[2]) == pytest.approx(3600.0, abs=1e-6)
+
+
 def test_shared_zoom_is_an_error(spark):
     t = spark.createDataFrame([(1, 0, 0, "land", "forest", b"")], tiles.TILE)
     with pytest.raises(ValueError):

@@ -190,3 +190,86 @@ def test_sources_that_overlap_count_together(spark):
     block = lambda v: (-180.0, 60.0, 30.0, 30.0, 3, 1, bytes([v]) * 3)
     df = spark.createDataFrame([block(v) for v in (10, 30, 30)], "lon double, lat double, dlon double, dlat double, width int, height int, data binary")
     assert {r.value for r in pipeline.pixels_of(warp.warp_blocks(df, 0, grid, 4), 4).collect() if r.value} == {30}
+
+
+def with_reduced(pixels, lon, lat, step, tile):
+    """A file with its image and two reduced ones, chained."""
+    images = [pixels, pixels[::2, ::2], pixels[::4, ::4]]
+    out, link = bytearray(), None
+    for a in images:
+        one = bytearray(tiff(np.ascontiguousarray(a), lon, lat, step, tile=tile, deflate=True))
+        start, base = struct.unpack_from("<I", one, 4)[0], len(out)
+        (n,) = struct.unpack_from("<H", one, start)
+        for k in range(n):  # move what points into the file
+            place = start + 2 + 12 * k
+            tag, kind, count = struct.unpack_from("<HHI", one, place)
+            size = {3: 2, 4: 4, 12: 8}[kind] * count
+            at = place + 8 if size <= 4 else struct.unpack_from("<I", one, place + 8)[0]
+            if tag == 324:
+                struct.pack_into(f"<{count}I", one, at, *(v + base for v in struct.unpack_from(f"<{count}I", one, at)))
+            if size > 4:
+                struct.pack_into("<I", one, place + 8, at + base)
+        if link is not None:
+            struct.pack_into("<I", out, link, start + base)
+        out += one
+        link = base + start + 2 + 12 * n
+    return bytes(out)
+
+
+def test_a_window_reads_its_blocks_only(spark, tmp_path, monkeypatch):
+    pixels = np.random.default_rng(6).integers(0, 250, (512, 512)).astype(np.uint8)
+    paths = [f"{tmp_path}/{k}.tif" for k in range(3)]
+    for k, path in enumerate(paths):
+        with open(path, "wb") as f:
+            f.write(with_reduced(pixels, 10.0 + 64 * k, 50.0, 0.125, 64))
+    df = raster_files.read_windows(spark, paths, 1 << 14)
+    assert {(r.level, r.n) for r in df.groupBy("level").count().withColumnRenamed("count", "n").collect()} == {(0, 192), (1, 48), (2, 12)}
+    some = raster_files.window(df, 20.0, 30.0, 29.0, 37.0)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan raster" in plan and "29.0" not in plan and "37.0" not in plan  # the reader has taken the comparisons
+    got = some.collect()
+    want = {(x, y) for y in range(0, 512, 64) for x in range(0, 512, 64) if 10 + x / 8 < 29 and 10 + (x + 64) / 8 > 20 and 50 - (y + 64) / 8 < 37 and 50 - y / 8 > 30}
+    assert {(round((r.lon - 10) * 8), round((50 - r.lat) * 8)) for r in got} == want and len(got) == len(want) == 4
+    for r in got:
+        x, y = round((r.lon - 10) * 8), round((50 - r.lat) * 8)
+        assert r.data == pixels[y : y + 64, x : x + 64].tobytes()
+    coarse = raster_files.window(df, -180.0, -90.0, 180.0, 90.0, level=2)
+    assert {(r.width, r.dlon) for r in coarse.collect()} == {(64, 0.5)}
+
+    # the same by the reader itself, counting bytes: directories for the plan, then the blocks' own bytes
+    read, real = [], raster_files.open_ranges
+    monkeypatch.setattr(raster_files, "open_ranges", lambda path: (lambda at, n, one=real(path): read.append(n) or one(at, n)))
+    from pyspark.sql.datasource import EqualTo, GreaterThan, LessThan, StringContains
+
+    reader = raster_files.RasterReader(paths, 1 << 14)
+    left = list(reader.pushFilters([EqualTo(("level",), 0), LessThan(("west",), 29.0), GreaterThan(("east",), 20.0), LessThan(("south",), 37.0), GreaterThan(("north",), 30.0), StringContains(("path",), "tif")]))
+    assert [type(f) for f in left] == [StringContains]
+    parts = reader.partitions()
+    planned = sum(read)
+    assert planned <= 3 * (raster_files.FRONT_BYTES + 20_000) and {p.path for p in parts} == {paths[0]}
+    read.clear()
+    assert len([row for p in parts for row in reader.read(p)]) == 4
+    assert sum(read) == sum(b.size for p in parts for b in p.blocks) < sum(len(open(p, "rb").read()) for p in paths) / 20
+
+
+def test_no_block_in_the_window(spark, tmp_path):
+    (tmp_path / "a.tif").write_bytes(tiff(np.ones((8, 8), np.uint8), 0.0, 10.0, 1.0))
+    df = raster_files.read_windows(spark, [f"{tmp_path}/a.tif"])
+    assert raster_files.window(df, 100.0, 0.0, 110.0, 10.0).count() == 0 and raster_files.window(df, 0.0, 9.0, 1.0, 10.0).count() == 1
+
+
+def test_download_then_build(spark, tmp_path):
+    """From a list of files to tiles: what the levels hold is what warping whole files gives."""
+    rng, grid = np.random.default_rng(7), FIXTURE
+    (tmp_path / "store" / "map").mkdir(parents=True)
+    keys = []
+    for name, lon, lat in (("N00E000", 0.0, 3.0), ("N48W120", -120.0, 51.0), ("S03E003", 3.0, 0.0)):
+        keys.append((f"map/tile_{name}_v2.tif",))
+        (tmp_path / "store" / keys[-1][0]).write_bytes(tiff(np.kron(rng.choice(np.array([10, 30, 80], np.uint8), (6, 6)), np.ones((8, 8), np.uint8)), lon, lat, 0.0625, tile=16, deflate=True))
+    cells = pipeline.download(spark, spark.createDataFrame(keys + keys[:1], "key string"), str(tmp_path / "store"), str(tmp_path / "out"), grid, 16)
+    assert {tuple(r) for r in cells.collect()} == {(0, 0), (48, -120), (-3, 3)}
+    want = warp.warp_blocks(raster_files.read_blocks(spark, f"{tmp_path}/store/map/*.tif"), 2, grid, 16)
+    levels = spark.read.parquet(f"{tmp_path}/out/levels")
+    top = levels.where("level = 2").select("cx", "cy", "data")
+    assert sorted(map(repr, top.collect())) == sorted(map(repr, want.collect())) and top.count() > 0
+    assert pipeline.build(spark, f"{tmp_path}/out/levels", cells, f"{tmp_path}/tiles", grid, chunk=16).count() >= 0
