@@ -144,6 +144,14 @@ PYRAMID = f"{RASTER}, one AS ({mode_of_cells('raster', '2')}), zero AS ({mode_of
 LEVELS = "SELECT 2 AS level, x, y, value FROM raster UNION ALL SELECT 1, x, y, value FROM one UNION ALL SELECT 0, x, y, value FROM zero"
 FILLED = "CAST(floor(done / total * 24 + 0.5) AS INTEGER)"
 
+# The suppliers' blocks side by side; each level is the mode of two by two of the one above it.
+LARGE = f"""{BLOCK_RASTER},
+big AS (SELECT bx * {SIDE} + x AS x, by_ * {SIDE} + y AS y, value FROM bmodes),
+l5 AS (SELECT CAST(gx AS INTEGER) AS x, CAST(gy AS INTEGER) AS y, coalesce(value, 0) AS value FROM (SELECT gx, gy FROM range(512) a(gx), range(512) b(gy)) g LEFT JOIN big ON big.x = gx AND big.y = gy),
+""" + ",\n".join(f"l{z} AS ({mode_of_cells(f'l{z + 1}', '2')})" for z in range(4, -1, -1))
+OURS_FEATURES = "SELECT z, tx, ty, id, CASE WHEN id % 3 = 0 THEN 'water_polygons' ELSE 'land' END AS layer, 'a' || (id % 5) AS kind FROM ours"
+FEATURES = "SELECT z, tx, ty, layer, kind, count(*) AS n, CAST(sum((id % 30 + 1) * (id % 7 + 1)) AS BIGINT) AS area, CAST(1 AS BIGINT) AS n_layers FROM merged GROUP BY ALL"
+
 ORACLES: dict[str, str] = {
     "q_block_grid": f'WITH {TABLE_ZOOMS} SELECT s_suppkey, z, CAST(x AS INTEGER) AS bx, CAST(y AS INTEGER) AS "by" FROM (SELECT *, CAST(ceil(2 ** z / {G.block_tiles}) AS BIGINT) AS n FROM zooms WHERE z < 7) s, unnest(range(n)) a(x), unnest(range(n)) b(y)',
     "q_window_geometry": f"""WITH {TABLE_BOXES} SELECT z, bx, by_ AS "by", {", ".join(f"{micro(c, '1000')} AS {c}" for c in ("minx", "miny", "maxx", "maxy", "win_minx", "win_miny", "win_maxx", "win_maxy"))},
@@ -248,4 +256,19 @@ t AS (SELECT id, z, CAST(i AS INTEGER) AS tx, CAST(j AS INTEGER) AS ty, greatest
 SELECT id, z, tx, ty, CAST(round(x0) AS BIGINT) AS x0, CAST(round(x1) AS BIGINT) AS x1, CAST(round(y0) AS BIGINT) AS y0, CAST(round(y1) AS BIGINT) AS y1 FROM t WHERE round(x0) < round(x1) AND round(y0) < round(y1)""",
     "q_status_lines": f"""WITH {EVENTS}, p AS (SELECT seq, done, total, CAST(floor(done / total * 100) AS INTEGER) AS pct FROM done), l AS (SELECT *, coalesce(lag(pct) OVER (ORDER BY seq), 0) AS before, CASE WHEN done < total THEN (total - done) / (2 / 7) END AS eta FROM p)
 SELECT seq, lpad(CAST(pct AS VARCHAR), 3, ' ') || '% ' || done || '/' || total || ' (0.3/s, ETA ' || {said('eta')} || ')' AS line FROM l WHERE before <> pct""",
+    "q_saved_list": f"WITH {NAMES} SELECT key, count(*) AS n FROM names GROUP BY key",
+    "q_stored_levels": f"""WITH {LARGE}, levels AS ({" UNION ALL ".join(f"SELECT {z} AS level, x, y, value FROM l{z}" for z in range(6))})
+SELECT level, CAST(x // {SIDE} AS INTEGER) AS cx, CAST(y // {SIDE} AS INTEGER) AS cy, CAST(count(*) FILTER (value > 0) AS BIGINT) AS n, CAST(sum(value) AS BIGINT) AS total FROM levels GROUP BY ALL HAVING sum(value) > 0""",
+    "q_stored_fragments": f'WITH {UNIFORM} SELECT z, bx, by_ AS "by", layer, kind, CAST(1 AS BIGINT) AS n_parts, {micro("west")} AS west_micro, {micro("north")} AS north_micro FROM uniform',
+    "q_packed_tiles": f"WITH {TILES}, merged AS ({OURS_FEATURES}) {FEATURES}",
+    # the pixels of a block or tile, counted in the raster that fills what no supplier has
+    "q_block_areas": f"""WITH {BLOCK_RASTER}, big AS (SELECT bx * {SIDE} + x AS x, by_ * {SIDE} + y AS y, value FROM bmodes),
+field AS (SELECT gx AS x, gy AS y, coalesce(value, 10) AS value FROM (SELECT gx, gy FROM range(512) a(gx), range(512) b(gy)) g LEFT JOIN big ON big.x = gx AND big.y = gy),
+levels AS (SELECT 5 - k AS z, x >> k AS x, y >> k AS y FROM field, range(4) t(k) GROUP BY ALL)
+SELECT CAST(z AS INTEGER) AS z, CAST(x // 32 AS INTEGER) AS bx, CAST(y // 32 AS INTEGER) AS "by", count(*) AS pixels FROM levels GROUP BY ALL""",
+    "q_tile_areas": f"""WITH {BLOCK_RASTER}, big AS (SELECT bx * {SIDE} + x AS x, by_ * {SIDE} + y AS y, value FROM bmodes),
+field AS (SELECT gx AS x, gy AS y, coalesce(value, 10) AS value FROM (SELECT gx, gy FROM range(512) a(gx), range(512) b(gy)) g LEFT JOIN big ON big.x = gx AND big.y = gy),
+levels AS (SELECT 5 - k AS z, x >> k AS x, y >> k AS y FROM field, range(4) t(k) GROUP BY ALL)
+SELECT CAST(z AS INTEGER) AS z, CAST(x // 16 AS INTEGER) AS tx, CAST(y // 16 AS INTEGER) AS ty, CAST(count(*) * (4096 // 16) * (4096 // 16) AS BIGINT) AS units FROM levels GROUP BY ALL""",
 }
+ORACLES["q_merged_containers"] = ORACLES["q_layer_merge"]

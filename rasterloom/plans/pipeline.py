@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import fragments, grid, tiles
 from ..operators.progress import Progress
 from ..operators.warp import warp_blocks
-from ..sources import listing, raster_files, sinks
+from ..sources import listing, packs, raster_files, sinks
 from ..sources.legend import active_layers
 from .settings import LAYERS, Grid
 
@@ -164,6 +164,12 @@ def listed(spark: SparkSession, folder: str) -> list[str]:
     return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
 
 
+def pack_container(spark: SparkSession, container: str, out: str, files: int) -> None:
+    """A container as files of tiles with an index, for readers that ask for single tiles."""
+    encoded, about = sinks.read_container(spark, container)
+    packs.write_pack(encoded, out, about, files)
+
+
 def merge_containers(spark: SparkSession, ours: str, base: str, out: str, metadata: dict | None = None) -> None:
     """Two containers as one, layer by layer: a tile of both has each layer once, with the features of both. The result is compressed as ours."""
     (one, about), (two, about_base) = sinks.read_container(spark, ours), sinks.read_container(spark, base)

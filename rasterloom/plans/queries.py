@@ -4,6 +4,7 @@ pixels at level 2 of the FIXTURE grid, the mode of class codes that fall on each
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, geometry, text
 from ..operators import classify, fragments, grid, progress, regions, resample, tiles
-from ..sources import legend, listing, sinks
+from ..sources import legend, listing, packs, sinks
+from ..sources.scratch import scratch
 from ..streaming import rates
+from . import pipeline
 from .settings import FIXTURE, MERC, WORLD, Grid
 
 WORLD_GRID = Grid()
@@ -560,11 +563,124 @@ def encoded_boxes(spark: SparkSession, sf_dir: str, name: str, key: str, size: s
 
 def q_layer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two encoded tile sets merged layer by layer, read again: features and their area by layer and kind, and the layers of that name."""
+    return features_of(tiles.merge_tiles(our_tiles(spark, sf_dir), base_tiles(spark, sf_dir)))
+
+
+def covered_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All blocks of a raster without gaps through the whole chain: the suppliers' blocks side by side on a field of forest."""
+    held = block_raster(spark, sf_dir).where("value > 0").select((F.col("bx") * BLOCK + F.col("x")).alias("x"), (F.col("by") * BLOCK + F.col("y")).alias("y"), "value")
+    size = LARGE.size_px(LARGE.max_level)
+    field = resample.dense(held, size, size).withColumn("value", F.when(F.col("value") > 0, F.col("value")).otherwise(10))
+    chunks = fragments.chunk_pixels(resample.pyramid(field, LARGE.max_level).where("level > 1"), 32)
+    blocks = grid.block_grid(spark, LARGE).where("z > 1")
+    return fragments.fragments_of(fragments.process_blocks(fragments.chunks_for_blocks(chunks, blocks, LARGE, 32), LARGE))
+
+
+def q_block_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area of each block's fragments in pixels: after blur, sieve and simplification they still cover the block, once."""
+
+    def areas(frames):
+        for f in frames:
+            out = []
+            for z, geom in zip(f["z"], f["geom"], strict=True):
+                px = LARGE.metres_per_px(z)
+                out.append(sum(geometry.polygon_area([list(map(tuple, (geometry.mercator_ring(r) / px).tolist())) for r in rings]) for rings in geometry.from_wkb(geom)))
+            yield f[["z", "bx", "by"]].assign(area=out)
+
+    found = covered_fragments(spark, sf_dir).mapInPandas(areas, "z int, bx int, by int, area double")
+    return found.groupBy("z", "bx", "by").agg(whole(F.sum("area"), 1).alias("pixels"))
+
+
+def q_tile_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area of each tile's features in tile units: cut without a buffer, brought under a byte budget by dissolving the smallest into their
+    neighbours, encoded and decoded, they still cover the tile, once."""
+    cut = tiles.coalesce_smallest(tiles.cut_tiles(covered_fragments(spark, sf_dir), buffer=0), 700)
+    return tiles.decode_tiles(tiles.encode_tiles(cut)).groupBy("z", "tx", "ty").agg(whole(F.sum("area"), 1).alias("units"))
+
+
+# written and read again
+
+
+def q_saved_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tiles' names, saved as a list and read from it."""
+    path = scratch(spark, "list")
+    sinks.write_list(tile_names(spark, sf_dir), path)
+    return listing.read_list(spark, path).groupBy("key").agg(F.count("*").alias("n"))
+
+
+#: The grid of the raster of all suppliers' blocks, 512 pixels wide.
+LARGE = Grid(max_level=5, tile_px=16, block_tiles=2, blur_radius=3)
+
+
+def q_stored_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster of all suppliers' blocks as a pyramid of sparse chunks, loaded and read again: what each chunk of each level holds."""
+    path, big = scratch(spark, "levels"), block_raster(spark, sf_dir)
+    rows = (big.agg(F.max("by")).first()[0] or 0) + 1
+    grid_ = replace(LARGE, max_level=max(LARGE.max_level, (rows - 1).bit_length()))
+    pixels = big.select((F.col("bx") * BLOCK + F.col("x")).alias("x"), (F.col("by") * BLOCK + F.col("y")).alias("y"), "value")
+    pipeline.load_levels(pixels, path, grid_, BLOCK)
+    stored = spark.read.parquet(path).select(F.col("level").cast("int").alias("level"), "cx", "cy", "data")
+
+    def held(frames):
+        for f in frames:
+            arrays = [np.frombuffer(d, np.uint8) for d in f["data"]]
+            yield f[["level", "cx", "cy"]].assign(n=[int((a > 0).sum()) for a in arrays], total=[int(a.sum()) for a in arrays])
+
+    return stored.mapInPandas(held, "level int, cx int, cy int, n long, total long")
+
+
+def rectangles(frames):
+    """Rows of FRAGMENT from boxes in degrees."""
+    for f in frames:
+        corners = zip(f["west"], f["south"], f["east"], f["north"], strict=True)
+        yield f[["z", "bx", "by", "layer", "kind"]].assign(geom=[geometry.wkb([[[(w, s), (e, s), (e, n), (w, n)]]]) for w, s, e, n in corners])
+
+
+def q_stored_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniform blocks' rectangles as multi-polygons, written as records of a run and read from it."""
+    root = scratch(spark, "build")
+    records = uniform(spark, sf_dir).mapInPandas(rectangles, fragments.FRAGMENT).withColumn("record_type", F.lit("fragment"))
+    names = [c.split(" ")[0] for c in fragments.RECORD.split(", ")]
+    typed = spark.createDataFrame([], fragments.RECORD).unionByName(records, allowMissingColumns=True).select(*names)
+    sinks.write_records(typed, f"{root}/records/run=0")
+
+    def corners(frames):
+        for f in frames:
+            parts = [geometry.from_wkb(g) for g in f["geom"]]
+            yield f[["z", "bx", "by", "layer", "kind"]].assign(n_parts=list(map(len, parts)), west=[p[0][0][0][0] for p in parts], north=[p[0][0][2][1] for p in parts])
+
+    found = pipeline.read_fragments(spark, root).mapInPandas(corners, "z int, bx int, by int, layer string, kind string, n_parts long, west double, north double")
+    return found.select("z", "bx", "by", "layer", "kind", "n_parts", whole(F.col("west"), 1e6).alias("west_micro"), whole(F.col("north"), 1e6).alias("north_micro"))
+
+
+def our_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_boxes(spark, sf_dir, "part", "p_partkey", "p_size", F.when(F.col("id") % 3 == 0, "water_polygons").otherwise("land"), F.concat(F.lit("a"), F.col("id") % 5), 4096)
+
+
+def base_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("id")
-    ours = encoded_boxes(spark, sf_dir, "part", "p_partkey", "p_size", F.when(k % 3 == 0, "water_polygons").otherwise("land"), F.concat(F.lit("a"), k % 5), 4096)
-    base = encoded_boxes(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", F.when(k % 2 == 0, "land").otherwise("roads"), F.when(k % 4 == 0, "a1").otherwise(F.concat(F.lit("b"), k % 4)), 4096)
-    found = tiles.decode_tiles(tiles.merge_tiles(ours, base))
-    return found.groupBy("z", "tx", "ty", "layer", "kind").agg(F.count("*").alias("n"), F.sum("area").cast("long").alias("area"), F.count_distinct("nth_layer").alias("n_layers"))
+    return encoded_boxes(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", F.when(k % 2 == 0, "land").otherwise("roads"), F.when(k % 4 == 0, "a1").otherwise(F.concat(F.lit("b"), k % 4)), 4096)
+
+
+def features_of(tile_set: DataFrame) -> DataFrame:
+    return tiles.decode_tiles(tile_set).groupBy("z", "tx", "ty", "layer", "kind").agg(F.count("*").alias("n"), F.sum("area").cast("long").alias("area"), F.count_distinct("nth_layer").alias("n_layers"))
+
+
+def q_packed_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded tiles as a container of files with indexes, and their features read from it."""
+    path = scratch(spark, "pack")
+    packs.write_pack(our_tiles(spark, sf_dir), path, {"name": "parts"}, 4)
+    return features_of(packs.read_pack(spark, path)[0])
+
+
+def q_merged_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two written containers, merged into a third layer by layer, and the features read from that."""
+    ours, base, out = (scratch(spark, name) for name in ("ours", "base", "merged"))
+    about = {"minzoom": 0, "maxzoom": 4, "compression": "none", "vector_layers": [{"id": "land", "fields": {"kind": "String"}}]}
+    sinks.write_container(our_tiles(spark, sf_dir), ours, about)
+    sinks.write_container(base_tiles(spark, sf_dir), base, about)
+    pipeline.merge_containers(spark, ours, base, out)
+    return features_of(sinks.read_container(spark, out)[0])
 
 
 # progress and text

@@ -12,7 +12,7 @@ import pytest
 from rasterloom.operators import resample, warp
 from rasterloom.plans import pipeline
 from rasterloom.plans.settings import FIXTURE, Grid
-from rasterloom.sources import listing, raster_files
+from rasterloom.sources import listing, packs, raster_files
 
 PAGES = {
     None: "<R><Key>a/N00E003.tif</Key><Key>a/readme.txt</Key><Key>.tif</Key><IsTruncated>true</IsTruncated><NextContinuationToken>t/1+</NextContinuationToken></R>",
@@ -273,3 +273,40 @@ def test_download_then_build(spark, tmp_path):
     top = levels.where("level = 2").select("cx", "cy", "data")
     assert sorted(map(repr, top.collect())) == sorted(map(repr, want.collect())) and top.count() > 0
     assert pipeline.build(spark, f"{tmp_path}/out/levels", cells, f"{tmp_path}/tiles", grid, chunk=16).count() >= 0
+
+
+def pack_tiles(spark, n=60):
+    rows = [(z, x, y, f"{z}/{x}/{y}".encode() * (x + 1)) for z in range(4) for x in range(1 << z) for y in range(1 << z)][:n]
+    return spark.createDataFrame(rows, packs.TILES).repartition(3), {r[:3]: r[3] for r in rows}
+
+
+def test_a_pack_answers_single_tiles(spark, tmp_path, monkeypatch):
+    df, want = pack_tiles(spark)
+    packs.write_pack(df, f"{tmp_path}/out", {"name": "classes", "minzoom": 0}, 5)
+    back, about = packs.read_pack(spark, f"{tmp_path}/out")
+    assert {(r.z, r.tx, r.ty): bytes(r.data) for r in back.collect()} == want and about == {"name": "classes", "minzoom": 0}
+    pack, read, real = packs.Pack(f"file://{tmp_path}/out"), [], packs.Pack.ranges
+    assert len(pack.files) > 1
+    monkeypatch.setattr(packs.Pack, "ranges", lambda self, file: (lambda at, n, one=real(self, file): read.append(n) or one(at, n)))
+    for (z, x, y), data in want.items():
+        read.clear()
+        assert pack.tile(z, x, y) == data and len(read) == 2 and read[1] == len(data)
+    read.clear()
+    assert pack.tile(3, 7, 7) is None and pack.tile(9, 0, 0) is None and pack.tile(-1, 0, 0) is None and len(read) <= 1
+
+
+def test_a_pack_is_whole_or_not_there(spark, tmp_path):
+    df, want = pack_tiles(spark)
+    bad = df.unionByName(spark.createDataFrame([(0, 0, 0, b"again")], packs.TILES))
+    with pytest.raises(Exception, match="two tiles"):
+        packs.write_pack(bad, f"{tmp_path}/out", {}, 3)
+    assert not list((tmp_path / "out").glob("*")) if (tmp_path / "out").exists() else True
+    packs.write_pack(df, f"{tmp_path}/out", {"run": 1}, 3)
+    with pytest.raises(Exception, match="two tiles"):
+        packs.write_pack(bad, f"{tmp_path}/out", {"run": 2}, 3)
+    assert packs.read_pack(spark, f"{tmp_path}/out")[1] == {"run": 1} and packs.read_pack(spark, f"{tmp_path}/out")[0].count() == len(want)
+    packs.write_pack(df.where("z < 2"), f"{tmp_path}/out", {"run": 3}, 3)
+    back, about = packs.read_pack(spark, f"{tmp_path}/out")
+    assert back.count() == 5 and about == {"run": 3} and len(list((tmp_path / "out").glob("*.tiles"))) == len(packs.Pack(f"{tmp_path}/out").files)
+    packs.write_pack(df.where("false"), f"{tmp_path}/none", {}, 3)
+    assert packs.read_pack(spark, f"{tmp_path}/none")[0].count() == 0
