@@ -6,11 +6,11 @@ full chain: classify, sieve, crop, polygonize, simplify shared edges, and only t
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import block_window
@@ -106,6 +106,44 @@ def process_blocks(chunks: DataFrame, grid: Grid, count: Callable[[int], None] |
     return chunks.groupBy("z", "bx", "by").applyInPandas(run, RECORD)
 
 
+def only_value(data: Column) -> Column:
+    """The value of a chunk that holds a single one; -1 of others."""
+    first = F.substring(data, 1, 1)
+    return F.when(data == F.rpad(data.substr(1, 1), F.octet_length(data), first), F.conv(F.hex(first), 16, 10).cast("int")).otherwise(-1)
+
+
+def chunk_span(low: Column, high: Column, chunk: int) -> Column:
+    """How many chunks along an axis the pixels [low, high) touch."""
+    return F.floor((high - 1) / chunk) - F.floor(low / chunk) + 1
+
+
+def settled_blocks(chunks: DataFrame, blocks: DataFrame, grid: Grid, chunk: int = 512) -> DataFrame:
+    """z, bx, by, only: the value of blocks whose whole window has a single one by the stored chunks' `only` (level, cx, cy, only), null for others.
+
+    No pixel is read: a window that no stored chunk touches is 0; one that all its chunks cover has their value if they agree."""
+    held = block_keys(chunks, grid, chunk).groupBy("z", "bx", "by").agg(F.count("*").alias("n"), F.min("only").alias("low"), F.max("only").alias("high"))
+    m, size = grid.margin_px, grid.block_px
+    last = (F.lit(grid.tile_px) * F.pow(F.lit(2.0), F.col("z"))).cast("int")
+    ends = lambda c: (F.greatest(F.lit(0), F.col(c) * size - m), F.least(last, (F.col(c) + 1) * size + m))
+    whole = chunk_span(*ends("bx"), chunk) * chunk_span(*ends("by"), chunk)
+    only = F.when(F.col("n").isNull(), 0).when((F.col("low") == F.col("high")) & (F.col("low") >= 0) & (F.col("n") == whole), F.col("low"))
+    return blocks.select("z", "bx", "by").join(held, ["z", "bx", "by"], "left").select("z", "bx", "by", only.alias("only"))
+
+
+def settle(blocks: DataFrame, grid: Grid, count: Callable[[int], None] | None = None) -> DataFrame:
+    """Records of settled blocks (z, bx, by, only), as process_blocks makes them, from their places alone."""
+    names = [f.split(" ")[0] for f in RECORD.split(", ")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            made = [r for b in frame.itertuples(index=False) for r in process_window(np.array([[b.only]], np.uint8), b.z, b.bx, b.by, grid)]
+            if count:
+                count(len(frame))
+            yield pd.DataFrame([[r.get(n) for n in names] for r in made], columns=names, dtype=object)
+
+    return blocks.select("z", "bx", "by", "only").mapInPandas(run, RECORD)
+
+
 def fragments_of(records: DataFrame) -> DataFrame:
     return records.where("record_type = 'fragment'").select("z", "bx", "by", "layer", "kind", "geom")
 
@@ -184,13 +222,19 @@ def halve_chunks(chunks: DataFrame, chunk: int = 512) -> DataFrame:
     return chunks.select("cx", "cy", "data").groupBy(*(p.alias(f"parent_{c}") for p, c in zip(places, ("cx", "cy"), strict=True))).applyInPandas(run, "cx int, cy int, data binary")
 
 
+def block_keys(chunks: DataFrame, grid: Grid, chunk: int = 512) -> DataFrame:
+    """Chunks with z, bx, by of each block whose window they overlap."""
+    m, size = grid.margin_px, grid.block_px
+    span = lambda c: F.sequence(F.greatest(F.lit(0), F.floor((F.col(c) * chunk - m) / size)), F.floor((F.col(c) * chunk + chunk - 1 + m) / size))
+    placed = chunks.withColumn("bx", F.explode(span("cx"))).withColumn("by", F.explode(span("cy")))
+    return placed.withColumns({"z": F.col("level").cast("int"), "bx": F.col("bx").cast("int"), "by": F.col("by").cast("int")})
+
+
 def chunks_for_blocks(chunks: DataFrame, blocks: DataFrame, grid: Grid, chunk: int = 512) -> DataFrame:
     """Each chunk once for every block whose window it overlaps, plus an empty piece per block so that all blocks are processed.
 
     Zoom z reads level z. Block ids come from arithmetic on the chunk's place; the join only keeps planned blocks."""
-    m, size = grid.margin_px, grid.block_px
-    span = lambda c: F.sequence(F.greatest(F.lit(0), F.floor((F.col(c) * chunk - m) / size)), F.floor((F.col(c) * chunk + chunk - 1 + m) / size))
-    placed = chunks.withColumn("bx", F.explode(span("cx"))).withColumn("by", F.explode(span("cy")))
-    placed = placed.select(F.col("level").cast("int").alias("z"), F.col("bx").cast("int").alias("bx"), F.col("by").cast("int").alias("by"), (F.col("cx") * chunk).cast("int").alias("x0"), (F.col("cy") * chunk).cast("int").alias("y0"), F.lit(chunk).alias("width"), F.lit(chunk).alias("height"), "data")
+    placed = block_keys(chunks, grid, chunk)
+    placed = placed.select("z", "bx", "by", (F.col("cx") * chunk).cast("int").alias("x0"), (F.col("cy") * chunk).cast("int").alias("y0"), F.lit(chunk).alias("width"), F.lit(chunk).alias("height"), "data")
     none = blocks.select("z", "bx", "by", F.lit(0).alias("x0"), F.lit(0).alias("y0"), F.lit(0).alias("width"), F.lit(0).alias("height"), F.lit(b"").alias("data"))
     return placed.join(blocks.select("z", "bx", "by"), ["z", "bx", "by"], "left_semi").unionByName(none)

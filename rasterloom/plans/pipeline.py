@@ -25,12 +25,14 @@ def load_levels(base: DataFrame, out: str, grid_: Grid, chunk: int = 512) -> Non
 def load_chunks(chunks: DataFrame, out: str, grid_: Grid, chunk: int = 512) -> None:
     """Base chunks (cx, cy, data: chunk * chunk bytes, row by row) to a pyramid, a level at a time from the one before.
 
-    The base is written as it comes, without a shuffle; each coarser level is made chunk by chunk and read back from storage."""
+    The base is written as it comes, without a shuffle; each coarser level is made chunk by chunk and read back from storage. Beside its
+    pixels a chunk has `only`, its value if it has a single one, by which a build settles blocks without reading them."""
     spark = chunks.sparkSession
-    chunks.select("cx", "cy", "data").write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={grid_.max_level}")
+    stored = ["cx", "cy", "data", fragments.only_value(F.col("data")).alias("only")]
+    chunks.select(*stored).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={grid_.max_level}")
     for level in range(grid_.max_level - 1, -1, -1):
         above = spark.read.parquet(f"{out}/level={level + 1}")
-        fragments.halve_chunks(above, chunk).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={level}")
+        fragments.halve_chunks(above, chunk).select(*stored).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={level}")
 
 
 def download(spark: SparkSession, keys: DataFrame, store: str, out: str, grid_: Grid, chunk: int = 512) -> DataFrame:
@@ -90,11 +92,13 @@ def build(spark: SparkSession, levels: str, cells: DataFrame, out: str, grid_: G
     planned = plan_blocks(spark, cells, grid_)
     done = read_records(spark, root, before, "log").select("z", "bx", "by")
     pending = planned.join(done, ["z", "bx", "by"], "left_anti")
-    stored = spark.read.parquet(levels).select(F.col("level").cast("int").alias("level"), "cx", "cy", "data")
-    pieces = fragments.chunks_for_blocks(stored, pending, grid_, chunk)
+    stored = spark.read.parquet(levels).withColumn("level", F.col("level").cast("int"))
+    settled = fragments.settled_blocks(stored.select("level", "cx", "cy", "only"), pending, grid_, chunk)
+    # Only chunks of blocks that aren't settled yet are shuffled.
+    pieces = fragments.chunks_for_blocks(stored.select("level", "cx", "cy", "data"), settled.where("only is null"), grid_, chunk)
     counter = spark.sparkContext.accumulator(0)
     with bar.following(lambda: counter.value) if bar else nullcontext():
-        sinks.write_records(fragments.process_blocks(pieces, grid_, counter.add), f"{root}/records/run={run}")
+        sinks.write_records(fragments.process_blocks(pieces, grid_, counter.add).unionByName(fragments.settle(settled.where("only is not null"), grid_, counter.add)), f"{root}/records/run={run}")
     runs = [*before, run]
     for n in runs:
         if n not in runs_of(spark, f"{root}/log"):

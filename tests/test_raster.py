@@ -485,6 +485,32 @@ def test_tiles_merge_layer_by_layer(spark):
         tiles.merge_tiles(one, two, ("brotli", "none"))
 
 
+@pytest.mark.parametrize("west", [0, 10, 30])
+def test_settled_blocks_ship_no_pixels(spark, tmp_path, west):
+    """Half of the raster is of one value (drawn, not drawn at this zoom's end, or sea): its blocks come out as if all pixels were shipped."""
+    grid = Grid(max_level=3, tile_px=16, block_tiles=2, blur_radius=1)
+    a = blobs(6, 128)
+    a[:, :96] = west
+    pipeline.load_levels(rows_of(spark, a), str(tmp_path / "levels"), grid, chunk=8)
+    stored = spark.read.parquet(str(tmp_path / "levels")).withColumn("level", F.col("level").cast("int"))
+    for r in stored.select("only", "data").collect():
+        assert r.only == (r.data[0] if len(set(r.data)) == 1 else -1)
+    from rasterloom.operators.grid import block_grid
+
+    blocks = block_grid(spark, grid)
+    settled = fragments.settled_blocks(stored.select("level", "cx", "cy", "only"), blocks, grid, 8)
+    shipped = lambda b: fragments.chunks_for_blocks(stored.select("level", "cx", "cy", "data"), b, grid, 8)
+    skip = ("ms", "ended")
+    rows = lambda df: sorted(repr({k: v for k, v in r.asDict().items() if k not in skip}) for r in df.collect())
+    whole = fragments.process_blocks(shipped(blocks), grid)
+    parts = fragments.process_blocks(shipped(settled.where("only is null")), grid).unionByName(fragments.settle(settled.where("only is not null"), grid))
+    assert rows(whole) == rows(parts)
+    done = {(r.z, r.bx, r.by): r.only for r in settled.collect() if r.only is not None}
+    assert len(done) >= 8 and set(done.values()) == {west}
+    sent = lambda b: shipped(b).where("z = 3").agg(F.sum(F.octet_length("data"))).first()[0]
+    assert sent(settled.where("only is null")) <= (0.6 if west else 1) * sent(blocks)
+
+
 WRITES = ("write_records", "write_log", "write_tiles", "write_container")
 
 
