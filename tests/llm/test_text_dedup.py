@@ -147,6 +147,17 @@ def test_decontamination_without_items(spark, docs_of):
     assert decontaminate.digest(docs_of([]), spark.createDataFrame([(1, "a")], "item_id long, text string")).collect() == []
 
 
+def test_decontamination_by_joins_equals_the_broadcast_one(spark, monkeypatch):
+    """The given tables: a benchmark that is too large for one block gives the same rows, also where every bit of the bitmap is set."""
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
+    spans = lambda block: sorted(map(repr, decontaminate.find_contamination(docs, items, F.struct("doc_id"), block_windows=block).select("row.doc_id", "out.*").collect()))
+    want = spans(1_000_000)
+    assert sum("spans=bytearray(b'')" not in r for r in want) > 0
+    assert spans(20) == want
+    monkeypatch.setattr(decontaminate, "marks_of", lambda hashes: np.full(64, 255, np.uint8))
+    assert spans(20) == want
+
+
 def brute_components(rows):
     sets = []
     for i, t in rows:
