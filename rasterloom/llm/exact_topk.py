@@ -1,6 +1,7 @@
 """Exact top-k search by inner product.
 
-Queries are dealt into blocks and all other rows into shards, both of bounded size. A (block, shard) pair is a tile: the
+Queries are dealt into blocks and all other rows into shards, both of bounded size. Each row is sent once for every block and each
+query once for every shard, so where there are many tiles both grow, up to TILE_BYTES a side. A (block, shard) pair is a tile: the
 matrix product of its queries and its rows, computed a few queries at a time, from which each query's k best are selected
 without sorting the rest. A query thus leaves k rows per shard; these lists are merged in a tree, `fan_in` lists at a time,
 so no task ever holds more than fan_in * k entries of a query.
@@ -24,9 +25,13 @@ from pyspark.sql import functions as F
 from .common import as_table
 
 K = 20
+#: Rows of a block and of a shard to begin with. Both are doubled while there are more than TILES tiles and a side's vectors hold in TILE_BYTES.
 BLOCK = 4096
 SHARD = 8192
-QUERIES_AT_ONCE = 128
+TILES = 4096
+TILE_BYTES = 32 << 20
+#: Scores computed at once.
+SCORES = 1 << 20
 FAN_IN = 16
 EXACT = 1 << 53
 
@@ -54,10 +59,10 @@ def best_of_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
     most = largest(q) * largest(c) * max(1, q.shape[1])
     kind = np.float64 if (most + 1) * (n + 1) < EXACT else object
     q, c, place = q.astype(kind), c.astype(kind).T, np.arange(n, dtype=np.int64)[::-1].astype(kind)
-    out = []
-    for i in range(0, len(q), QUERIES_AT_ONCE):
-        own = q_ids[i : i + QUERIES_AT_ONCE]
-        score = q[i : i + QUERIES_AT_ONCE] @ c
+    out, step = [], max(1, SCORES // max(1, n))
+    for i in range(0, len(q), step):
+        own = q_ids[i : i + step]
+        score = q[i : i + step] @ c
         key = score * n + place  # unique, and greater for a smaller id at equal scores
         low = -(most + 1) * n
         key[own[:, None] == c_ids[None, :]] = low
@@ -97,11 +102,22 @@ def merge(lists: DataFrame, k: int, fan_in: int) -> DataFrame:
     return up.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = K, *, block: int = BLOCK, shard: int = SHARD, fan_in: int = FAN_IN) -> DataFrame:
-    """query_id, rank, vec_id, score. vectors: id, v (integers); is_query: a condition on id."""
+def tile_sizes(rows: int, queries: int, dimensions: int) -> tuple[int, int]:
+    """Rows of a block and of a shard."""
+    block, shard = BLOCK, SHARD
+    while -(-rows // shard) * -(-queries // block) > TILES and 16 * block * dimensions <= TILE_BYTES:
+        block, shard = 2 * block, max(shard, 2 * block)
+    return block, shard
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = K, *, block: int | None = None, shard: int | None = None, fan_in: int = FAN_IN) -> DataFrame:
+    """query_id, rank, vec_id, score. vectors: id, v (integers); is_query: a condition on id. block and shard: as tile_sizes has them."""
     rows = as_table(vectors.groupBy("id", "v").agg(F.count("*").alias("n")), "vectors")
     asked = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    shards, blocks = max(1, -(-rows.count() // shard)), max(1, -(-asked.count() // block))
+    n, dimensions = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    many = asked.count()
+    sizes = tile_sizes(n, many, dimensions or 0)
+    shards, blocks = max(1, -(-n // (shard or sizes[1]))), max(1, -(-many // (block or sizes[0])))
     # Copies of one row count once here; the hash of the id alone would do, the vector spreads ids with many vectors.
     dealt = rows.select(F.col("id").alias("c_id"), F.col("v").alias("c_v"), F.col("n").alias("c_n"), F.pmod(F.xxhash64("id", "v"), F.lit(shards)).alias("c_shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("c_block"))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))

@@ -90,6 +90,20 @@ def test_vectors_of_many_dimensions(spark):
         assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
 
 
+def test_tiles_grow_with_the_table(spark, monkeypatch):
+    assert exact_topk.tile_sizes(0, 0, 0) == exact_topk.tile_sizes(256_410, 12_820, 64) == (4096, 8192)
+    block, shard = exact_topk.tile_sizes(10**9, 5 * 10**7, 64)
+    assert block == shard == 65_536 and exact_topk.tile_sizes(10**9, 5 * 10**7, 1024) == (4096, 8192)
+    vectors = exact_topk.quantised(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"))
+    found = lambda: sorted(map(tuple, exact_topk.search(vectors, F.col("id") % 20 == 0).collect()))
+    want = found()
+    monkeypatch.setattr(exact_topk, "BLOCK", 1)
+    monkeypatch.setattr(exact_topk, "SHARD", 2)
+    monkeypatch.setattr(exact_topk, "TILES", 30)
+    monkeypatch.setattr(exact_topk, "SCORES", 3)
+    assert found() == want
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "a b")]])
 def test_tables_of_the_matrix_go(spark, docs_of, rows):
     from rasterloom.llm import binary_output
