@@ -145,10 +145,19 @@ LEVELS = "SELECT 2 AS level, x, y, value FROM raster UNION ALL SELECT 1, x, y, v
 FILLED = "CAST(floor(done / total * 24 + 0.5) AS INTEGER)"
 
 # The suppliers' blocks side by side; each level is the mode of two by two of the one above it.
-LARGE = f"""{BLOCK_RASTER},
-big AS (SELECT bx * {SIDE} + x AS x, by_ * {SIDE} + y AS y, value FROM bmodes),
+def large(blocks: str) -> str:
+    return f"""{BLOCK_RASTER},
+big AS (SELECT bx * {SIDE} + x AS x, by_ * {SIDE} + y AS y, value FROM {blocks}),
 l5 AS (SELECT CAST(gx AS INTEGER) AS x, CAST(gy AS INTEGER) AS y, coalesce(value, 0) AS value FROM (SELECT gx, gy FROM range(512) a(gx), range(512) b(gy)) g LEFT JOIN big ON big.x = gx AND big.y = gy),
 """ + ",\n".join(f"l{z} AS ({mode_of_cells(f'l{z + 1}', '2')})" for z in range(4, -1, -1))
+
+
+LARGE = large("bmodes")
+CHANGED = large("""(
+  SELECT bx, by_, x, y, CASE WHEN n % 15 = 0 THEN value + 1 WHEN n % 10 = 0 THEN 0 WHEN n % 5 = 0 THEN 110 - value ELSE value END AS value
+  FROM (SELECT bx, by_, x, y, bx + 3 * by_ AS n, coalesce(value, 0) AS value FROM bgrid LEFT JOIN bmodes USING (bx, by_, x, y)) v) changed""")
+CHUNK_SUMS = f"""levels AS ({" UNION ALL ".join(f"SELECT {z} AS level, x, y, value FROM l{z}" for z in range(6))})
+SELECT level, CAST(x // {SIDE} AS INTEGER) AS cx, CAST(y // {SIDE} AS INTEGER) AS cy, CAST(count(*) FILTER (value > 0) AS BIGINT) AS n, CAST(sum(value) AS BIGINT) AS total FROM levels GROUP BY ALL HAVING sum(value) > 0"""
 OURS_FEATURES = "SELECT z, tx, ty, id, CASE WHEN id % 3 = 0 THEN 'water_polygons' ELSE 'land' END AS layer, 'a' || (id % 5) AS kind FROM ours"
 FEATURES = "SELECT z, tx, ty, layer, kind, count(*) AS n, CAST(sum((id % 30 + 1) * (id % 7 + 1)) AS BIGINT) AS area, CAST(1 AS BIGINT) AS n_layers FROM merged GROUP BY ALL"
 
@@ -257,8 +266,8 @@ SELECT id, z, tx, ty, CAST(round(x0) AS BIGINT) AS x0, CAST(round(x1) AS BIGINT)
     "q_status_lines": f"""WITH {EVENTS}, p AS (SELECT seq, done, total, CAST(floor(done / total * 100) AS INTEGER) AS pct FROM done), l AS (SELECT *, coalesce(lag(pct) OVER (ORDER BY seq), 0) AS before, CASE WHEN done < total THEN (total - done) / (2 / 7) END AS eta FROM p)
 SELECT seq, lpad(CAST(pct AS VARCHAR), 3, ' ') || '% ' || done || '/' || total || ' (0.3/s, ETA ' || {said('eta')} || ')' AS line FROM l WHERE before <> pct""",
     "q_saved_list": f"WITH {NAMES} SELECT key, count(*) AS n FROM names GROUP BY key",
-    "q_stored_levels": f"""WITH {LARGE}, levels AS ({" UNION ALL ".join(f"SELECT {z} AS level, x, y, value FROM l{z}" for z in range(6))})
-SELECT level, CAST(x // {SIDE} AS INTEGER) AS cx, CAST(y // {SIDE} AS INTEGER) AS cy, CAST(count(*) FILTER (value > 0) AS BIGINT) AS n, CAST(sum(value) AS BIGINT) AS total FROM levels GROUP BY ALL HAVING sum(value) > 0""",
+    "q_stored_levels": f"WITH {LARGE}, {CHUNK_SUMS}",
+    "q_updated_levels": f"WITH {CHANGED}, {CHUNK_SUMS}",
     "q_stored_fragments": f'WITH {UNIFORM} SELECT z, bx, by_ AS "by", layer, kind, CAST(1 AS BIGINT) AS n_parts, {micro("west")} AS west_micro, {micro("north")} AS north_micro FROM uniform',
     "q_packed_tiles": f"WITH {TILES}, merged AS ({OURS_FEATURES}) {FEATURES}",
     # the pixels of a block or tile, counted in the raster that fills what no supplier has

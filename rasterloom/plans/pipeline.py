@@ -29,12 +29,85 @@ def load_chunks(chunks: DataFrame, out: str, grid_: Grid, chunk: int = 512) -> N
     pixels a chunk has `only`, its value if it has a single one, by which a build settles blocks without reading them."""
     spark = chunks.sparkSession
     stored = ["cx", "cy", "data", fragments.only_value(F.col("data")).alias("only")]
+    remove(spark, f"{out}/{CHANGES}")  # they were of the base that this one replaces
     chunks.select(*stored).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={grid_.max_level}")
     for level in range(grid_.max_level - 1, -1, -1):
         above = spark.read.parquet(f"{out}/level={level + 1}")
         fragments.halve_chunks(above, chunk).select(*stored).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/level={level}")
 
 
+#: Where changes of a pyramid are kept, beside its levels; readers of the folder as a table pass over it.
+CHANGES = "_changes"
+#: As many places of chunks, of 16 bytes each, are sent to all tasks at most.
+FEW = 1_000_000
+
+
+def versions_of(spark: SparkSession, levels: str) -> list[int]:
+    """The numbers of a pyramid's complete changes: those of which the last level, 0, is written."""
+    folder = f"{levels}/{CHANGES}"
+    numbers = sorted(int(name.removeprefix("version=")) for name in listed(spark, folder) if name.startswith("version="))
+    return [n for n in numbers if "_SUCCESS" in listed(spark, f"{folder}/version={n}/level=0")]
+
+
+def if_few(places: DataFrame) -> DataFrame:
+    """A table of places, to be sent to all tasks if it is counted to be small, and shuffled otherwise."""
+    return F.broadcast(places) if places.count() <= FEW else places
+
+
+def newest_chunks(spark: SparkSession, levels: str, versions: list[int], level: int | None = None) -> DataFrame:
+    """level, cx, cy, data, only after these changes: of each place the newest chunk, or none where that is empty. A single level is read alone.
+
+    Versions are compared by place, so pixels take no part in the grouping, and of the stored chunks none is shuffled unless very many changed."""
+    inside, columns = ("" if level is None else f"/level={level}"), ["level", "cx", "cy", "data", "only"]
+    held = spark.read.option("basePath", levels).parquet(levels + inside).withColumn("level", F.col("level").cast("int")).select(columns)
+    if not versions:
+        return held
+    folder = f"{levels}/{CHANGES}"
+    changes = spark.read.option("basePath", folder).parquet(*(f"{folder}/version={n}{inside}" for n in versions)).withColumns({c: F.col(c).cast("int") for c in ("level", "version")})
+    place = ["level", "cx", "cy"]
+    last = if_few(changes.groupBy(place).agg(F.max("version").alias("version")))
+    kept = changes.join(last, [*place, "version"], "left_semi").where("data is not null")
+    return held.join(last, place, "left_anti").unionByName(kept.select(columns))
+
+
+def read_levels(spark: SparkSession, levels: str) -> DataFrame:
+    """level, cx, cy, data, only of a pyramid, as its complete changes have left it."""
+    return newest_chunks(spark, levels, versions_of(spark, levels))
+
+
+def update_chunks(changed: DataFrame, levels: str, grid_: Grid, chunk: int = 512) -> int:
+    """New base chunks (cx, cy, data; each place once) into a stored pyramid: only the chunks above them are made anew, one a level for each
+    family of four with a change. Returns the number of the change.
+
+    A null or all-zero chunk takes away the one that was there. Stored files stay as they are: a change is a version of its own, which
+    counts once its level 0 is written, so a stopped update changes nothing and is written over by the next one. One update at a time."""
+    spark = changed.sparkSession
+    before = versions_of(spark, levels)
+    version = max(before, default=0) + 1
+    target = f"{levels}/{CHANGES}/version={version}"
+    remove(spark, target)  # what a stopped update has left
+    only = fragments.only_value(F.col("data"))
+    rows = changed.select(F.col("cx").cast("int").alias("cx"), F.col("cy").cast("int").alias("cy"), F.when(only != 0, F.col("data")).alias("data"))
+    for level in range(grid_.max_level, -1, -1):
+        rows.select("cx", "cy", "data", only.alias("only")).write.option("compression", "zstd").parquet(f"{target}/level={level}")
+        if level:
+            parents = [F.floor(F.col(c) / 2).cast("int") for c in ("cx", "cy")]
+            dirty = spark.read.parquet(f"{target}/level={level}").select(*(p.alias(c) for p, c in zip(parents, ("cx", "cy"), strict=True))).distinct()
+            now = newest_chunks(spark, levels, [*before, version], level)
+            box = dirty.agg(*(f(c).alias(f"{name}_{c}") for c in ("cx", "cy") for name, f in (("low", F.min), ("high", F.max)))).first()
+            if box.low_cx is not None:  # a range reaches the files' statistics
+                now = now.where(" and ".join(f"{c} between {2 * box[f'low_{c}']} and {2 * box[f'high_{c}'] + 1}" for c in ("cx", "cy")))
+            family = now.join(if_few(dirty.toDF("parent_cx", "parent_cy")), [p == F.col(f"parent_{c}") for p, c in zip(parents, ("cx", "cy"), strict=True)], "left_semi")
+            rows = dirty.join(fragments.halve_chunks(family, chunk), ["cx", "cy"], "left")
+    return version
+
+
+def build_root(spark: SparkSession, levels: str, out: str, grid_: Grid) -> str:
+    """Where the results of a build go: a folder for all parameters and, of a changed pyramid, for its version."""
+    versions = versions_of(spark, levels)
+    return f"{out}/{grid_.params_hash()}" + (f"-{versions[-1]}" if versions else "")
+
+
 def download(spark: SparkSession, keys: DataFrame, store: str, out: str, grid_: Grid, chunk: int = 512) -> DataFrame:
     """The first job: listed raster files (key) under a store to a pyramid in out/levels, and their list in out/list. Returns the occupied cells.
 
@@ -80,19 +153,19 @@ def read_records(spark: SparkSession, root: str, runs: list[int], kind: str) ->
 
 
 def build(spark: SparkSession, levels: str, cells: DataFrame, out: str, grid_: Grid, *, chunk: int = 512, budget: int = 500_000, metadata: dict | None = None, bar: Progress | None = None) -> DataFrame:
-    """Fragments, log, tiles and container under out/<params hash>; returns the tiles as features.
+    """Fragments, log, tiles and container under out/<params hash>, see build_root; returns the tiles as features.
 
     A run's records are one write; it is what makes blocks done, and all else follows from complete runs and is made again where it is
     missing: a log for each run, and the tiles of zooms that have newer records than tiles. So a build that is stopped anywhere and
     started again ends with what it would have ended with. Blocks of complete runs are not done again. All zooms are one plan; bar, if
     given, is followed while it runs."""
-    root = f"{out}/{grid_.params_hash()}"
+    root = build_root(spark, levels, out, grid_)
     before = runs_of(spark, f"{root}/records")
     run = max(before, default=-1) + 1
     planned = plan_blocks(spark, cells, grid_)
     done = read_records(spark, root, before, "log").select("z", "bx", "by")
     pending = planned.join(done, ["z", "bx", "by"], "left_anti")
-    stored = spark.read.parquet(levels).withColumn("level", F.col("level").cast("int"))
+    stored = read_levels(spark, levels)
     settled = fragments.settled_blocks(stored.select("level", "cx", "cy", "only"), pending, grid_, chunk)
     # Only chunks of blocks that aren't settled yet are shuffled.
     pieces = fragments.chunks_for_blocks(stored.select("level", "cx", "cy", "data"), settled.where("only is null"), grid_, chunk)
@@ -168,6 +241,12 @@ def listed(spark: SparkSession, folder: str) -> list[str]:
     return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of any file system that the engine can write, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def pack_container(spark: SparkSession, container: str, out: str, files: int) -> None:
     """A container as files of tiles with an index, for readers that ask for single tiles."""
     encoded, about = sinks.read_container(spark, container)

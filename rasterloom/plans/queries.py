@@ -612,21 +612,47 @@ def q_saved_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 LARGE = Grid(max_level=5, tile_px=16, block_tiles=2, blur_radius=3)
 
 
-def q_stored_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raster of all suppliers' blocks as a pyramid of sparse chunks, loaded and read again: what each chunk of each level holds."""
-    path, big = scratch(spark, "levels"), block_raster(spark, sf_dir)
+def load_large(spark: SparkSession, sf_dir: str, path: str) -> Grid:
+    """The raster of all suppliers' blocks as a pyramid of sparse chunks; returns its grid."""
+    big = block_raster(spark, sf_dir)
     rows = (big.agg(F.max("by")).first()[0] or 0) + 1
     grid_ = replace(LARGE, max_level=max(LARGE.max_level, (rows - 1).bit_length()))
     pixels = big.select((F.col("bx") * BLOCK + F.col("x")).alias("x"), (F.col("by") * BLOCK + F.col("y")).alias("y"), "value")
     pipeline.load_levels(pixels, path, grid_, BLOCK)
-    stored = spark.read.parquet(path).select(F.col("level").cast("int").alias("level"), "cx", "cy", "data")
+    return grid_
+
+
+def chunk_sums(chunks: DataFrame) -> DataFrame:
+    """What each chunk of each level holds."""
 
     def held(frames):
         for f in frames:
             arrays = [np.frombuffer(d, np.uint8) for d in f["data"]]
             yield f[["level", "cx", "cy"]].assign(n=[int((a > 0).sum()) for a in arrays], total=[int(a.sum()) for a in arrays])
 
-    return stored.mapInPandas(held, "level int, cx int, cy int, n long, total long")
+    return chunks.select("level", "cx", "cy", "data").mapInPandas(held, "level int, cx int, cy int, n long, total long")
+
+
+def q_stored_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster of all suppliers' blocks as a pyramid of sparse chunks, loaded and read again: what each chunk of each level holds."""
+    path = scratch(spark, "levels")
+    load_large(spark, sf_dir, path)
+    return chunk_sums(spark.read.parquet(path).withColumn("level", F.col("level").cast("int")))
+
+
+def q_updated_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That pyramid after two changes. The first takes a tenth of the blocks away and turns another tenth's values round; the second brings a
+    fifteenth back with values of their own, over what the first has done."""
+    path = scratch(spark, "updated")
+    grid_ = load_large(spark, sf_dir, path)
+    n = F.col("bx") + 3 * F.col("by")
+    place = [(F.col("b" + c) * BLOCK + F.col(c)).alias(c) for c in ("x", "y")]
+    raised = block_raster(spark, sf_dir).where(n % 15 == 0).select(F.lit(grid_.max_level).alias("level"), *place, (F.col("value") + 1).alias("value"))
+    turned = block_raster(spark, sf_dir).where((n % 10 == 5)).select(F.lit(grid_.max_level).alias("level"), *place, (110 - F.col("value")).alias("value"))
+    gone = block_raster(spark, sf_dir).where(n % 10 == 0).select(F.col("bx").alias("cx"), F.col("by").alias("cy"), F.lit(None).cast("binary").alias("data")).distinct()
+    pipeline.update_chunks(fragments.chunk_pixels(turned, BLOCK).select("cx", "cy", "data").unionByName(gone), path, grid_, BLOCK)
+    pipeline.update_chunks(fragments.chunk_pixels(raised, BLOCK), path, grid_, BLOCK)
+    return chunk_sums(pipeline.read_levels(spark, path))
 
 
 def rectangles(frames):

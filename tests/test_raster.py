@@ -564,6 +564,54 @@ def test_chunked_pyramid_equals_the_relational_one(spark, tmp_path, seed):
         assert got == want
 
 
+def test_changed_chunks_go_up_the_pyramid(spark, tmp_path):
+    """Two changes and a stopped one: the levels are those of a pyramid made anew, and a change writes one chunk a family."""
+    path, a = str(tmp_path / "levels"), blobs(8, 64)
+    place = lambda cx, cy: (slice(8 * cy, 8 * cy + 8), slice(8 * cx, 8 * cx + 8))
+    a[:16, :16] = 0
+    a[place(7, 7)] = 0
+    pipeline.load_levels(rows_of(spark, a), path, FIXTURE, chunk=8)
+
+    def update(changes):
+        rows = []
+        for (cx, cy), block in changes.items():
+            a[place(cx, cy)] = 0 if block is None else block
+            rows.append((cx, cy, block if block is None else bytearray(block.tobytes())))
+        return pipeline.update_chunks(spark.createDataFrame(rows, "cx long, cy long, data binary"), path, FIXTURE, 8)
+
+    def check():
+        levels = pipeline.read_levels(spark, path)
+        assert levels.count() == levels.select("level", "cx", "cy").distinct().count()
+        for z in range(3):
+            want = {(r.x, r.y): r.value for r in resample.pyramid(rows_of(spark, a), 2).where(F.col("level") == z).collect() if r.value}
+            got = {(r.x, r.y): r.value for r in pipeline.pixels_of(levels.where(F.col("level") == z), 8).collect() if r.value}
+            assert got == want
+
+    block = np.full((8, 8), 30, np.uint8)
+    assert pipeline.versions_of(spark, path) == []
+    # A chunk where none was, one that is changed, one that goes as null and one as zeros, the last of its family.
+    assert update({(0, 0): block, (5, 2): blobs(9, 8), (4, 4): None, (6, 6): block * 0, (7, 6): block * 0, (6, 7): None}) == 1
+    check()
+    written = {z: spark.read.parquet(f"{path}/_changes/version=1/level={z}") for z in range(3)}
+    assert {z: df.count() for z, df in written.items()} == {2: 6, 1: 4, 0: 3}
+    assert {(r.cx, r.cy) for r in written[1].where("data is null").collect()} == {(3, 3)}
+    # What comes later wins, also over a chunk that went; an update that stopped before level 0 counts for nothing and is written over.
+    stopped = tmp_path / "levels/_changes/version=2/level=2"
+    spark.createDataFrame([(1, 1, bytearray(block.tobytes()), 30)], "cx int, cy int, data binary, only int").write.parquet(str(stopped))
+    check()
+    assert update({(0, 0): blobs(10, 8), (4, 4): block, (7, 7): block}) == 2
+    check()
+    assert update({}) == 3
+    check()
+    # A build of the changed pyramid has a place of its own; loading a base drops the changes.
+    cells = spark.createDataFrame([], CELLS)
+    assert pipeline.build_root(spark, path, "out", FIXTURE) == f"out/{FIXTURE.params_hash()}-3"
+    assert pipeline.build(spark, path, cells, str(tmp_path / "out"), FIXTURE, chunk=8).count() == 0
+    pipeline.load_levels(rows_of(spark, a), path, FIXTURE, chunk=8)
+    assert pipeline.versions_of(spark, path) == []
+    check()
+
+
 def test_mode_of_four():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 4, (60, 60))
