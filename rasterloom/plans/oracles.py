@@ -158,6 +158,14 @@ CHANGED = large("""(
   FROM (SELECT bx, by_, x, y, bx + 3 * by_ AS n, coalesce(value, 0) AS value FROM bgrid LEFT JOIN bmodes USING (bx, by_, x, y)) v) changed""")
 CHUNK_SUMS = f"""levels AS ({" UNION ALL ".join(f"SELECT {z} AS level, x, y, value FROM l{z}" for z in range(6))})
 SELECT level, CAST(x // {SIDE} AS INTEGER) AS cx, CAST(y // {SIDE} AS INTEGER) AS cy, CAST(count(*) FILTER (value > 0) AS BIGINT) AS n, CAST(sum(value) AS BIGINT) AS total FROM levels GROUP BY ALL HAVING sum(value) > 0"""
+# Labels spread over the whole raster, block borders or not; a label is a pixel's block and its place there.
+ACROSS = f"""{BLOCK_RASTER},
+pix AS (SELECT bx, by_, bx * {SIDE} + x AS x, by_ * {SIDE} + y AS y, CASE WHEN value IN (10, 30) THEN 1 ELSE 2 END AS value, (CAST(by_ AS BIGINT) * 65536 + bx) * 1048576 + y * {SIDE} + x AS place FROM bmodes WHERE value > 0),
+beside AS (SELECT a.place, b.place AS other FROM (SELECT *, x + dx AS tx, y + dy AS ty FROM pix, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) s(dx, dy)) a JOIN pix b ON b.x = a.tx AND b.y = a.ty AND b.value = a.value),
+spread(place, region) USING KEY (place) AS (
+  SELECT place, place FROM pix
+  UNION
+  SELECT n.place, min(s.region) FROM beside n JOIN spread s ON s.place = n.other JOIN recurring.spread r ON r.place = n.place WHERE s.region < r.region GROUP BY n.place)"""
 OURS_FEATURES = "SELECT z, tx, ty, id, CASE WHEN id % 3 = 0 THEN 'water_polygons' ELSE 'land' END AS layer, 'a' || (id % 5) AS kind FROM ours"
 FEATURES = "SELECT z, tx, ty, layer, kind, count(*) AS n, CAST(sum((id % 30 + 1) * (id % 7 + 1)) AS BIGINT) AS area, CAST(1 AS BIGINT) AS n_layers FROM merged GROUP BY ALL"
 
@@ -268,6 +276,7 @@ SELECT seq, lpad(CAST(pct AS VARCHAR), 3, ' ') || '% ' || done || '/' || total |
     "q_saved_list": f"WITH {NAMES} SELECT key, count(*) AS n FROM names GROUP BY key",
     "q_stored_levels": f"WITH {LARGE}, {CHUNK_SUMS}",
     "q_updated_levels": f"WITH {CHANGED}, {CHUNK_SUMS}",
+    "q_regions_across": f"WITH RECURSIVE {ACROSS} SELECT region, value, count(*) AS n, count(DISTINCT (bx, by_)) AS n_chunks FROM pix JOIN spread USING (place) GROUP BY ALL",
     "q_stored_fragments": f'WITH {UNIFORM} SELECT z, bx, by_ AS "by", layer, kind, CAST(1 AS BIGINT) AS n_parts, {micro("west")} AS west_micro, {micro("north")} AS north_micro FROM uniform',
     "q_packed_tiles": f"WITH {TILES}, merged AS ({OURS_FEATURES}) {FEATURES}",
     # the pixels of a block or tile, counted in the raster that fills what no supplier has

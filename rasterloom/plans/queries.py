@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, geometry, text
-from ..operators import classify, fragments, grid, progress, regions, resample, tiles
+from ..operators import classify, fragments, grid, progress, regions, resample, seams, tiles
 from ..sources import legend, listing, packs, sinks
 from ..sources.scratch import scratch
 from ..streaming import rates
@@ -655,6 +655,14 @@ def q_updated_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_sums(pipeline.read_levels(spark, path))
 
 
+def q_regions_across(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regions of that raster in two classes, across the blocks that they are stored in."""
+    place = [(F.col("b" + c) * BLOCK + F.col(c)).alias(c) for c in ("x", "y")]
+    kinds = F.when(F.col("value").isin(10, 30), 1).when(F.col("value") > 0, 2).otherwise(0)
+    chunks = fragments.chunk_pixels(block_raster(spark, sf_dir).select(F.lit(LARGE.max_level).alias("level"), *place, kinds.alias("value")), BLOCK)
+    return seams.regions_across(chunks, BLOCK)
+
+
 def rectangles(frames):
     """Rows of FRAGMENT from boxes in degrees."""
     for f in frames:

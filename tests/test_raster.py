@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rasterloom.functions import geometry, mvt
-from rasterloom.operators import classify, fragments, progress, regions, resample, tiles
+from rasterloom.operators import classify, fragments, progress, regions, resample, seams, tiles
 from rasterloom.plans import pipeline
 from rasterloom.plans.settings import FIXTURE, Grid
 from rasterloom.sources import sinks
@@ -612,6 +612,49 @@ def test_changed_chunks_go_up_the_pyramid(spark, tmp_path):
     check()
 
 
+def spiral(size):
+    """One arm of a single pixel's width that winds inward, so that a region is as long as it can be."""
+    a = np.zeros((size, size), np.uint8)
+    x, y, dx, dy = 0, 0, 1, 0
+    a[0, 0] = 10
+    for _ in range(size * size):
+        ahead, beyond = (x + dx, y + dy), (x + 2 * dx, y + 2 * dy)
+        free = all(0 <= c < size for c in ahead) and not a[ahead[1], ahead[0]] and not (all(0 <= c < size for c in beyond) and a[beyond[1], beyond[0]])
+        if free:
+            x, y = ahead
+            a[y, x] = 10
+        else:
+            dx, dy = -dy, dx
+    return a
+
+
+@pytest.mark.parametrize("kind", ["blobs", "spiral", "plain", "speckled"])
+def test_regions_across_chunks_are_those_of_one_array(spark, kind):
+    rng = np.random.default_rng(4)
+    a = {"blobs": lambda: blobs(12, 48), "spiral": lambda: spiral(48), "plain": lambda: np.full((48, 48), 255, np.uint8), "speckled": lambda: rng.choice(np.array([0, 10, 30], np.uint8), (48, 48))}[kind]()
+    chunks = fragments.chunk_pixels(rows_of(spark, a).withColumn("level", F.lit(2)), 8)
+    parts = seams.parts_of_regions(chunks, 8).collect()
+    want = flood(a)
+    sizes = np.bincount(want.ravel())
+    of_part, of_region = {}, {}
+    for p in parts:
+        at = p.part & 0xFFFFF
+        y, x = p.cy * 8 + at // 8, p.cx * 8 + at % 8
+        assert p.value == a[y, x] and p.region <= p.part
+        of_part[p.part] = want[y, x]
+        of_region.setdefault(p.region, []).append(p)
+    assert len(of_part) == len(parts)
+    assert len(of_region) == len(set(of_part.values())) == len({v for v in want[a > 0].tolist()})
+    for region, held in of_region.items():
+        assert {of_part[p.part] for p in held} == {of_part[region]} and sum(p.n for p in held) == sizes[of_part[region]]
+        assert region == min(p.part for p in held)
+
+
+def test_regions_across_nothing(spark):
+    none = spark.createDataFrame([], "cx int, cy int, data binary")
+    assert seams.regions_across(none, 8).count() == 0
+
+
 def test_mode_of_four():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 4, (60, 60))
