@@ -232,6 +232,11 @@ SELECT z, tx, ty, coalesce(CAST(a.n AS VARCHAR), '') || coalesce(CAST(b.n AS VAR
     "q_percent_lines": f"""WITH {EVENTS}, p AS (SELECT seq, done, total, CAST(floor(done / total * 100) AS INTEGER) AS pct FROM done), l AS (SELECT *, coalesce(lag(pct) OVER (ORDER BY seq), 0) AS before FROM p)
 SELECT seq, done, pct, {FILLED} AS cells FROM l WHERE before <> pct""",
     "q_duration_text": f"WITH o AS (SELECT o_orderkey, o_totalprice / 7 - 100 AS s FROM orders) SELECT o_orderkey, {said('s')} AS said FROM o",
+    "q_job_rates": f"""WITH log AS (SELECT user_id % 23 AS job, event_id AS seq, epoch_us(ts) // 1000 AS t_ms, user_id % 3 + 1 AS n FROM events),
+totals AS (SELECT *, CAST(sum(n) OVER (PARTITION BY job ORDER BY seq) AS BIGINT) AS done, first_value(t_ms) OVER (PARTITION BY job ORDER BY seq) AS start FROM log),
+spans AS (SELECT *, (t_ms - coalesce(lag(t_ms, 63) OVER w, start)) / 1000 AS span, done - coalesce(lag(done, 63) OVER w, 0) AS grown, (t_ms - start) / 1000 AS elapsed FROM totals WINDOW w AS (PARTITION BY job ORDER BY seq)),
+rated AS (SELECT *, CASE WHEN span > 0 THEN grown / span WHEN elapsed > 0 THEN done / elapsed ELSE 0 END AS rate FROM spans)
+SELECT job, seq, done, {micro('rate')} AS rate_micro FROM rated""",
     "q_json_hist": "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(CASE WHEN json_extract(props, '$.k') IS NULL THEN 0 ELSE 2 END AS INTEGER) AS n_buckets, count(*) AS n FROM events GROUP BY ALL",
     "q_listing_url": """SELECT s_suppkey, 'https://store.example/bucket?list-type=2&prefix=' || replace(replace(url_encode(s_name), '%20', '+'), '%23', '%23') || CASE WHEN s_suppkey % 2 = 0 THEN '&continuation-token=a%2Fb%2B' || s_suppkey ELSE '' END AS url FROM supplier""",
     "q_exit_reason": """SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'killed by SIGKILL (out of memory?)' WHEN 1 THEN 'killed by SIGTERM' ELSE 'exited with code ' || s_nationkey END AS said,

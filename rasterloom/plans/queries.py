@@ -779,4 +779,14 @@ def q_windowed_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.unix_seconds("start").alias("start_s"), "event_type", "n", whole(F.col("rate"), 1e6).alias("rate_micro"))
 
 
+def q_job_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of what 23 jobs have done, each with the rate over its last 64 rows."""
+    path, held = scratch(spark, "rates"), table(spark, sf_dir, "events")
+    events = spark.readStream.schema(held.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    log = events.select((F.col("user_id") % 23).alias("job"), F.col("event_id").alias("seq"), F.unix_millis(F.col("ts").cast("timestamp")).alias("t_ms"), (F.col("user_id") % 3 + 1).alias("n"))
+    sink = rates.job_rates(log).writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+    sink.start(f"{path}/rated").awaitTermination()
+    return spark.read.parquet(f"{path}/rated").select("job", "seq", "done", whole(F.col("rate"), 1e6).alias("rate_micro"))
+
+
 QUERIES: dict[str, Query] = {name: f for name, f in list(globals().items()) if name.startswith("q_")}

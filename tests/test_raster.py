@@ -715,3 +715,26 @@ def test_encoded_tile(spark):
     steps = list(feature[4])
     assert steps[0] == 9 and steps.count(15) == 2 and steps[3] == 26  # move one, two closes, line of three
     assert dict(layers[0])[5] == tiles.EXTENT and dict(layers[0])[15] == 2
+
+
+def test_job_rates_on_a_stream_that_is_stopped(spark, tmp_path):
+    """Files of a log of three jobs, one a batch, with a stop between: the rates are those of each job's whole log."""
+    from rasterloom.streaming.rates import job_rates
+
+    rng = np.random.default_rng(2)
+    times = np.cumsum(rng.integers(0, 3, 300) * 700)  # several rows at one time, also at the start
+    rows = [(int(j), i, int(times[i]), int(n)) for i, (j, n) in enumerate(zip(rng.choice(3, 300, p=[0.7, 0.28, 0.02]), rng.integers(1, 5, 300), strict=True))]
+    schema, folder = "job long, seq long, t_ms long, n long", tmp_path / "in"
+
+    def feed(part):
+        spark.createDataFrame(part[::-1], schema).coalesce(1).write.mode("append").parquet(str(folder))
+        stream = job_rates(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder)), samples=8)
+        stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+
+    for low, high in ((0, 100), (100, 105), (105, 300)):
+        feed(rows[low:high])  # a new query each time, from the checkpoint
+    got = spark.read.parquet(str(tmp_path / "out"))
+    for job in range(3):
+        want = progress.sliding_rate(spark.createDataFrame([r for r in rows if r[0] == job], schema).drop("job"), samples=8)
+        assert sorted(map(tuple, got.where(F.col("job") == job).drop("job").collect())) == sorted(map(tuple, want.select("seq", "t_ms", "n", "done", "rate").collect()))
+    assert got.count() == 300
