@@ -18,7 +18,8 @@ def lon_of(x: Column) -> Column:
 
 
 def y_of(lat: Column) -> Column:
-    return F.lit(MERC) / F.pi() * F.asinh(F.tan(F.radians(lat)))
+    """Northing of degrees north; null at the poles and beyond. asinh(tan) would lose digits towards the south."""
+    return F.when(F.abs(lat) < 90, F.log(F.tan(F.pi() / 4 + F.radians(lat) / 2)) / F.pi() * MERC)
 
 
 def x_of(lon: Column) -> Column:
