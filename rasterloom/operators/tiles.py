@@ -9,13 +9,15 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Point, area, clip, from_wkb, mercator_ring, polygon_area, wkb
-from ..functions.mvt import decode, encode, merged
+from ..functions.mvt import decode, encode, encode_sorted, merged
 from ..plans.settings import MERC, WORLD
 
 EXTENT = 4096
@@ -23,6 +25,7 @@ BUFFER = 80
 TILE = "z int, tx int, ty int, layer string, kind string, geom binary"
 COLUMNS = ["z", "tx", "ty", "layer", "kind", "geom"]
 FLUSH_BYTES = 4 << 20
+FLUSH_ROWS = 10_000
 #: Bytes of an encoded feature besides its geometry, and what a feature and its names take at most.
 FEATURE_BYTES, HEADER_BYTES = 8, 200
 #: Bytes that an edge takes, about.
@@ -270,15 +273,18 @@ def coalesce_smallest(tiles: DataFrame, budget: int, extent: int = EXTENT) -> Da
 
 
 def encode_tiles(tiles: DataFrame, extent: int = EXTENT, *, compress: bool = False) -> DataFrame:
-    """z, tx, ty and the encoded tile, gzipped if asked for. A group is one tile, which coalesce_smallest has brought under its budget."""
+    """z, tx, ty and the encoded tile, gzipped if asked for. A group is one tile. Spark sorts its features, and they pass by in batches, so
+    of a tile with very many of them (coalesce_smallest keeps it under a budget) only the encoded form is held."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted((r.layer, r.kind, r.geom) for r in group.itertuples(index=False))
-        first = group.iloc[0]
-        data = encode([(layer, kind, from_wkb(geom)) for layer, kind, geom in rows], extent)
-        return pd.DataFrame({"z": [first.z], "tx": [first.tx], "ty": [first.ty], "data": [gzip.compress(data, mtime=0) if compress else data]})
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((layer, kind, from_wkb(geom)) for batch in batches for layer, kind, geom in zip(*(batch.column(c).to_pylist() for c in ("layer", "kind", "geom")), strict=True))
+        data = encode_sorted(rows, extent)
+        place = [pa.array([k.as_py()], pa.int32()) for k in key]
+        yield pa.RecordBatch.from_arrays([*place, pa.array([gzip.compress(data, mtime=0) if compress else bytes(data)], pa.binary())], ["z", "tx", "ty", "data"])
 
-    return tiles.groupBy("z", "tx", "ty").applyInPandas(run, "z int, tx int, ty int, data binary")
+    place = ["z", "tx", "ty"]
+    ordered = tiles.select(COLUMNS).repartition(*place).sortWithinPartitions(COLUMNS)
+    return ordered.groupBy(*place).applyInArrow(run, "z int, tx int, ty int, data binary")
 
 
 def smallest_first(features: DataFrame, keys: list[str], budget: int) -> DataFrame:
@@ -332,14 +338,20 @@ def merge_tiles(one: DataFrame, two: DataFrame, compressions: tuple[str, str] =
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = []
-            for a, b in zip(f["_one"], f["_two"], strict=True):
+            out, held = [], 0
+            for z, tx, ty, a, b in zip(*(f[c] for c in ("z", "tx", "ty", "_one", "_two")), strict=True):
                 if same and (a is None or b is None):
-                    out.append(a if b is None else b)
+                    tile = a if b is None else b
                 else:
                     tile = merged([unpacked(a, compressions[0]), unpacked(b, compressions[1])])
-                    out.append(gzip.compress(tile, mtime=0) if compression == "gzip" else tile)
-            yield pd.DataFrame({"z": f["z"], "tx": f["tx"], "ty": f["ty"], "data": out})
+                    tile = gzip.compress(tile, mtime=0) if compression == "gzip" else tile
+                out.append((z, tx, ty, tile))
+                held += len(tile)
+                if held >= FLUSH_BYTES:
+                    yield pd.DataFrame(out, columns=["z", "tx", "ty", "data"])
+                    out, held = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=["z", "tx", "ty", "data"])
 
     sides = [df.select("z", "tx", "ty", F.col("data").alias(name)) for df, name in ((one, "_one"), (two, "_two"))]
     return sides[0].join(sides[1], ["z", "tx", "ty"], "full_outer").mapInPandas(run, "z int, tx int, ty int, data binary")
@@ -353,7 +365,8 @@ def decode_tiles(tiles: DataFrame, compression: str = "none") -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(t.z, t.tx, t.ty, nth, layer, said.get("kind"), sum(map(area, rings)), extent) for t in f.itertuples(index=False) for nth, layer, said, _, rings, extent in decode(unpacked(t.data, compression))]
-            yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in FEATURE.split(", ")])
+            rows = ((t.z, t.tx, t.ty, nth, layer, said.get("kind"), sum(map(area, rings)), extent) for t in f.itertuples(index=False) for nth, layer, said, _, rings, extent in decode(unpacked(t.data, compression)))
+            while some := list(islice(rows, FLUSH_ROWS)):
+                yield pd.DataFrame(some, columns=[c.split(" ")[0] for c in FEATURE.split(", ")])
 
     return tiles.select("z", "tx", "ty", "data").mapInPandas(run, FEATURE)
